@@ -1,4 +1,4 @@
-"""WARC archives with an index: writing records, and reading back the selected ones by byte ranges.
+"""WARC archives (a gzip member a record) with an index: writing records, and reading back the selected ones by byte ranges.
 
 Writing: records with equal payloads are found by SHA-1; the one with the smallest page_id carries the payload
 (response), the others point to it (revisit). Each task writes one archive and gives an index row a record: offset,
@@ -16,6 +16,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -76,6 +77,12 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
 _SAFE = "".join(map(chr, range(33, 127)))
 
 
+def member(data: bytes) -> bytes:
+    """A record as a gzip member of its own, so a reader can start at any record."""
+    z = zlib.compressobj(3, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
+
+
 def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes the archives and gives the index (lazily: materialise it once; only its files count)."""
 
@@ -86,10 +93,11 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
             ids, urls, payloads, refers = (batch.column(i).to_pylist() for i in range(4))
             for page_id, url, payload, ref in zip(ids, urls, payloads, refers, strict=True):
                 if out is None:
-                    out = common.SharedFile(folder, "pages", ".warc")
+                    out = common.SharedFile(folder, "pages", ".warc.gz")
                     info = b"software: folioflow\r\nformat: WARC File Format 1.1\r\n"
-                    out.write(f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(info)}\r\n\r\n".encode() + info + b"\r\n\r\n")
+                    out.write(member(f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(info)}\r\n\r\n".encode() + info + b"\r\n\r\n"))
                 data, digest = record(page_id, url, payload.encode(), ref, date)
+                data = member(data)
                 rows.append((page_id, url, out.name, out.write(data), len(data), digest, "response" if ref is None else "revisit", ref))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], [x.split()[0] for x in _INDEX.split(", ")])
@@ -140,7 +148,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             opened.seek(first)
             data = opened.read(end - first)
             for r in rows[i:j]:
-                got = parse(data[r["offset"] - first : r["offset"] - first + r["length"]])
+                got = parse(zlib.decompress(data[r["offset"] - first : r["offset"] - first + r["length"]], 31))
                 digest, kind = got["warc-payload-digest"].removeprefix("sha1:"), got["warc-type"]
                 if digest != r["payload_digest"] or kind == "response" and (base32_sha1(got["payload"]) != digest or len(got["payload"]) != got["payload_bytes"]):
                     raise ValueError(f"damaged record at {r['file']}:{r['offset']}")

@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import random
 
@@ -57,6 +58,6 @@ def test_the_archives_are_plain_warc(spark):
     fs, root = common.store(folder)
     from pyarrow.fs import FileSelector
 
-    data = b"".join(fs.open_input_file(f.path).read() for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".warc"))
+    data = b"".join(gzip.decompress(fs.open_input_file(f.path).read()) for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".warc.gz"))
     kinds = [x.split(b": ")[1] for x in data.split(b"\r\n") if x.startswith(b"WARC-Type")]
     assert sorted(kinds)[:2] == [b"response", b"revisit"] and data.count(b"WARC-Refers-To: <urn:uuid:") == 1
