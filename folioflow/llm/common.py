@@ -25,6 +25,22 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+class Shielded:
+    """A table whose columns are renamed by their places, so that an operator's own columns clash with none of them.
+
+    inner has them as c0, c1, ...; restore() gives the old names back and drops all else."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.inner = df.toDF(*(f"c{i}" for i in range(len(self.names))))
+
+    def __call__(self, name: str) -> str:
+        return f"c{self.names.index(name)}"
+
+    def restore(self, df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(self.names)))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fixed fifth of the ids that no model may learn from; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
