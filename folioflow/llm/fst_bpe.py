@@ -38,8 +38,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        to_byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(visible)))}
+        to_byte = {c: b for b, c in bpe_text.byte_characters().items()}
         vocab = model["vocab"]
         self.text = {i: bytes(to_byte[c] for c in t) for t, i in vocab.items() if all(c in to_byte for c in t)}
         self.text |= {i: t.encode() for t, i in bpe_text.added(path).items()}
@@ -219,7 +218,7 @@ def mapped(data: bytes) -> Lexicon:
 class Encoder(dict):
     """Piece -> ids, by the lexicon or else by exact merging; remembers at most `limit` pieces of those seen."""
 
-    def __init__(self, path: str, lexicon: Lexicon, limit: int = 400_000):
+    def __init__(self, path: str, lexicon: Lexicon, limit: int = 800_000):
         super().__init__()
         self.path, self.lexicon, self.bpe, self.limit = path, lexicon, merges(path), limit
 

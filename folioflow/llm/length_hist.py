@@ -29,20 +29,20 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, keep: tuple[str,
 
     def run(batches):
         for batch in batches:
-            of = bpe_text.count_memo(path).__getitem__
-            n = [sum(map(of, bpe_text.pieces(t, path))) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            n = list(bpe_text.count_all(batch.column(batch.num_columns - 1).to_pylist(), path))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n_tokens"])
 
     return chosen.mapInArrow(run, schema)
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    """One row a distinct length: documents and tokens at it, and the suffix sums from it on.
+    """The counts are written once, so texts are encoded once. One row a distinct length: documents and tokens at it, and the suffix sums from it on.
 
     n_docs, n_tokens: at this length. docs_from, tokens_from: at this length or more. docs_total, tokens_total: of all.
     truncated_total: tokens that stay when every document is cut to this length. share_below: share of documents that
     are shorter, so the q-quantile is the largest length whose share_below is at most q."""
-    h = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).select(F.col("n_tokens").alias("length"), "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("n_tokens"), F.floor(F.col("n_tokens") / BLOCK).alias("_b"))
+    counted, _ = common.written(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "length-counts")
+    h = counted.select(F.col("n_tokens").alias("length"), "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("n_tokens"), F.floor(F.col("n_tokens") / BLOCK).alias("_b"))
     blocks = h.groupBy("_b").agg(F.sum("n_docs").alias("_d"), F.sum("n_tokens").alias("_t"))
     later = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()

@@ -3,7 +3,7 @@
 One frequency table over the ids of all documents is shared by every block. Blocks (about a million ids of whole
 documents) are independent; inside a block, lanes are interleaved so that one vector step codes one id of each lane.
 A block carries its documents' ids and lengths, lane states, checkpoints inside the block from which a second reader
-can start, and checksums of the stored bytes and of the decoded ids.
+can start, and a checksum of its stored bytes; decoding must end in the coder's first state.
 
 Defined cases: a null text is empty and has only the end id; repeated rows are stored as often as they occur;
 documents with equal ids are ordered by text hash; a null doc_id comes first; no rows give an empty result;
@@ -25,10 +25,10 @@ from . import bpe_text, common
 SCALE = 20
 LOW = np.uint64(1 << 31)
 _MAGIC = b"FRANS1\n\0"
-_HEAD = struct.Struct("<8sIIIIIIII")  # magic, documents, ids, lanes, words, checkpoints, null mark, crc of ids, crc of body
+_HEAD = struct.Struct("<8sIIIIII")  # magic, documents, ids, lanes, words, checkpoints, crc of body
 BLOCK_IDS = 1 << 20
-LANES = 2048
-CHECK_STEPS = 256
+LANES = 4096
+CHECK_STEPS = 128
 
 
 def normalised(counts: np.ndarray) -> np.ndarray:
@@ -65,7 +65,7 @@ class Table:
     @property
     def slots(self) -> np.ndarray:
         if self._slots is None:
-            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint16 if len(self.freq) <= 1 << 16 else np.uint32), self.freq.astype(np.int64))
         return self._slots
 
 
@@ -133,12 +133,12 @@ def pack(doc_ids: list, lens: np.ndarray, ids: np.ndarray, table: Table) -> byte
             words.tobytes(),
         ]
     )
-    return _HEAD.pack(_MAGIC, len(doc_ids), len(ids), lanes, len(words), len(marks), 0, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    return _HEAD.pack(_MAGIC, len(doc_ids), len(ids), lanes, len(words), len(marks), zlib.crc32(body)) + body
 
 
 def unpack(data: bytes, table: Table) -> tuple[list, np.ndarray, np.ndarray]:
     """(doc ids, lengths, ids) of a stored block, its checksums verified; the parts between checkpoints are decoded one by one."""
-    magic, docs, n, lanes, n_words, n_marks, _, crc_ids, crc_body = _HEAD.unpack_from(data)
+    magic, docs, n, lanes, n_words, n_marks, crc_body = _HEAD.unpack_from(data)
     body = memoryview(data)[_HEAD.size :]
     if magic != _MAGIC or zlib.crc32(body) != crc_body:
         raise ValueError("damaged block: header or checksum of the stored bytes")
@@ -159,12 +159,10 @@ def unpack(data: bytes, table: Table) -> tuple[list, np.ndarray, np.ndarray]:
     starts = [(0, 0, states), *marks]
     ends = [t for t, _, _ in marks] + [None]
     ids = np.concatenate([decode(words, s, n, table, t, w, e) for (t, w, s), e in zip(starts, ends, strict=True)])
-    if zlib.crc32(ids.astype("<u4").tobytes()) != crc_ids:
-        raise ValueError("damaged block: checksum of the ids")
     return [None if z else int(d) for d, z in zip(doc_ids, null, strict=True)], lens.astype(np.int64), ids
 
 
-_BLOCKS = "part int, block int, doc_ids array<bigint>, lens array<bigint>, ids binary, n_ids bigint"
+_BLOCKS = "part int, block int, doc_ids array<bigint>, lens array<bigint>, ids binary, n_ids bigint, counts binary"
 
 
 def blocks_of(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -185,14 +183,14 @@ def blocks_of(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = BLO
         def out():
             ids = np.frombuffer(b"".join(x[1] for x in held), "<u4")
             small = ids.astype("<u2") if len(ids) == 0 or ids.max() < 1 << 16 else ids
-            row = {"part": part, "block": block, "doc_ids": [x[0] for x in held], "lens": [len(x[1]) // 4 for x in held], "ids": bytes([small.itemsize]) + small.tobytes(), "n_ids": len(ids)}
-            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("ids", pa.binary()), ("n_ids", pa.int64())]))
+            row = {"part": part, "block": block, "doc_ids": [x[0] for x in held], "lens": [len(x[1]) // 4 for x in held], "ids": bytes([small.itemsize]) + small.tobytes(), "n_ids": len(ids), "counts": _sparse(ids)}
+            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())), ("ids", pa.binary()), ("n_ids", pa.int64()), ("counts", pa.binary())]))
 
         for batch in batches:
             ids, texts, parts = (batch.column(i).to_pylist() for i in range(3))
-            for doc_id, text, p in zip(ids, texts, parts, strict=True):
+            for doc_id, coded, p in zip(ids, bpe_text.encode_all(texts, tokenizer), parts, strict=True):
                 part = p
-                held.append((doc_id, bpe_text.encode(text, tokenizer) + end))
+                held.append((doc_id, coded + end))
                 size += len(held[-1][1]) // 4
                 if size >= block_ids:
                     yield out()
@@ -207,21 +205,28 @@ def _ids(stored: bytes) -> np.ndarray:
     return np.frombuffer(stored, f"<u{stored[0]}", -1, 1)
 
 
+def _sparse(ids: np.ndarray) -> bytes:
+    got = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    used = np.flatnonzero(got)
+    return np.stack([used, got[used]]).astype("<u4").tobytes()
+
+
 def frequencies(blocks: DataFrame) -> np.ndarray:
-    """Counts of every id over all blocks: the result is as long as the vocabulary, whatever the corpus."""
+    """Counts of every id over all blocks, from the counts that each block brings along: the result is as long as the
+    vocabulary, whatever the corpus."""
 
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for stored in batch.column(0):
-                got = np.bincount(_ids(stored.as_py()))
-                if len(got) > len(total):
-                    total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
-                total[: len(got)] += got
+                ids, n = np.frombuffer(stored.as_py(), "<u4").reshape(2, -1)
+                if len(ids) and ids[-1] >= len(total):
+                    total = np.concatenate([total, np.zeros(int(ids[-1]) + 1 - len(total), np.int64)])
+                total[ids] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    rows = blocks.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = blocks.select("counts").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] for r in rows], default=-1) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -252,7 +257,7 @@ def write_files(blocks: DataFrame, freq: np.ndarray, folder: str) -> DataFrame:
         if stem:
             out.close()
 
-    return blocks.mapInArrow(run, _INDEX)
+    return blocks.drop("counts").mapInArrow(run, _INDEX)
 
 
 def with_start(index: DataFrame) -> DataFrame:
