@@ -40,7 +40,7 @@ def lexicon(docs: DataFrame, floor: float = FLOOR, ceiling: float = CEILING) ->
     total = docs.count()
     low, high = max(2, -(-total * floor // 1)), max(2, total * ceiling)
     terms = docs.select(F.explode(term_hashes(common.text_of())).alias("t")).groupBy("t").agg(F.count("*").alias("df")).filter(F.col("df").between(int(low), int(high))).select("t")
-    found, _ = common.written(terms, "lexicon")
+    found, _ = common.written(terms.repartition(8), "lexicon")  # small and bounded: few files
     if found.count() > MOST_TERMS:
         raise ValueError("the band holds too many terms; raise its floor")
     return found
