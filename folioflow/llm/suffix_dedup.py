@@ -85,26 +85,34 @@ def anchors(b: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
 
 
 def _occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """(key, context, text_key, n_before, first, last) of every anchor occurrence; doc_id tells rows apart."""
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), common.text_of().alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    """(key, context, text_key, pos) of every anchor occurrence; pos packs the first window, the number of windows
+    after it, and the bytes between the first window's start and the anchor."""
+    own = docs.select(common.text_of().alias("text")).select(F.xxhash64("text").alias("text_key"), "text")
+    if length - GRAM > 255:
+        raise ValueError("windows this long need another packing")
 
     def run(batches):
         for batch in batches:
-            ids, keys = batch.column(0), batch.column(1)
             parts, of = [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 b = np.frombuffer(text.encode(), np.uint8)
                 for at in range(0, max(1, len(b) - length + 1), STRETCH):
                     piece = b[at : at + STRETCH + length - 1]
                     if len(piece) >= length:
                         key, context, first, last, p = anchors(piece, length)
-                        parts.append(np.stack([key.view(np.int64), context.view(np.int64), p - first, first + at, last + at]))
+                        parts.append(np.stack([key.view(np.int64), context.view(np.int64), (first + at) << 16 | (last - first) << 8 | (p - first)]))
                         of.append(np.full(len(key), i))
             if parts:
-                cols, of = np.concatenate(parts, axis=1), pa.array(np.concatenate(of))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), ids.take(of), keys.take(of), *(pa.array(c.astype(np.int32)) for c in cols[2:])], ["key", "context", "doc_id", "text_key", "before", "first", "last"])
+                cols = np.concatenate(parts, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), batch.column(0).take(pa.array(np.concatenate(of))), pa.array(cols[2])], ["key", "context", "text_key", "pos"])
 
-    return own.mapInArrow(run, "key bigint, context bigint, doc_id bigint, text_key bigint, before int, first int, last int")
+    return own.mapInArrow(run, "key bigint, context bigint, text_key bigint, pos bigint")
+
+
+def _unpacked() -> list:
+    first = F.shiftright("pos", 16)
+    last = first + F.shiftright("pos", 8).bitwiseAND(F.lit(255))
+    return [F.col("pos").bitwiseAND(F.lit(255)).cast("int").alias("before"), first.cast("int").alias("first"), last.cast("int").alias("last")]
 
 
 # Deep-shallow sorting of byte strings.
@@ -280,10 +288,12 @@ _CONTEXT = "key bigint, context bigint, text_key bigint, before int, first int,
 
 
 def _cut(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """The bytes of the contexts asked for (key, context, doc_id, text_key, before, first, last)."""
+    """The bytes of the contexts asked for (key, context, text_key, before, first, last). Of equal texts the one with
+    the smallest doc_id is read; of repeated rows each, which makes their contexts repeated, as they are."""
     least = F.lit(-(1 << 63)).cast("bigint")
-    of = asked.withColumn("_id", F.coalesce("doc_id", least)).groupBy("_id", "text_key").agg(F.collect_list(F.struct("key", "context", "before", "first", "last")).alias("m"))
     own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("_id"), common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
+    one = own.groupBy("text_key").agg(F.min("_id").alias("_id"))
+    of = asked.groupBy("text_key").agg(F.collect_list(F.struct("key", "context", "before", "first", "last")).alias("m")).join(one, "text_key")
 
     def run(batches):
         for batch in batches:
@@ -297,7 +307,7 @@ def _cut(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 data = [texts[i][a : b + length] for i, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([cols["key"], cols["context"], piece.column(0).take(pa.array(of)), cols["before"], cols["first"], cols["last"], pa.array(data, pa.binary())], ["key", "context", "text_key", "before", "first", "last", "bytes"])
 
-    return own.join(of, ["_id", "text_key"]).select("text_key", "text", "m").mapInArrow(run, _CONTEXT).dropDuplicates(["key", "context", "text_key", "first"])
+    return own.join(of, ["text_key", "_id"]).select("text_key", "text", "m").mapInArrow(run, _CONTEXT)
 
 
 def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
@@ -358,76 +368,89 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "text_key bigint, first int, last int")
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataFrame:
-    """(text_key, first, last): runs of starts of windows that occur again, for every different text. May overlap."""
+def repeated_windows(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> tuple[DataFrame, list[str]]:
+    """(text_key, first, last): runs of starts of windows that occur again, for every different text. May overlap.
+
+    Also the paths of the tables that this reads; they can go when it has been written."""
     spark = docs.sparkSession
     common.ship_code(spark)
     occ, occ_path = common.written(_occurrences(docs, length), "anchors")
-    pick = F.min(F.struct("doc_id", "text_key", "before", "first", "last")).alias("o")
-    different, different_path = common.written(occ.groupBy("key", "context").agg(F.count("*").alias("n"), pick), "contexts")
-    twice = different.filter("n > 1").select("key", "context")
-    found = [occ.join(twice, ["key", "context"], "left_semi").select("text_key", "first", "last").distinct()]
-    found, paths = [common.written(found[0], "repeated")], [occ_path, different_path]
+    different, different_path = common.written(occ.groupBy("key", "context").agg(F.count("*").alias("n"), F.first("text_key").alias("text_key"), F.first("pos").alias("pos")), "contexts")
+    common.release(spark)
     many = different.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    asked = different.join(many, "key").select("key", "context", "o.doc_id", "o.text_key", "o.before", "o.first", "o.last")
+    asked = different.join(many, "key").select("key", "context", "text_key", *_unpacked())
     contexts, path = common.written(_cut(docs, asked, length), "context-bytes")
-    common.remove(spark, *paths)
-    paths = []
+    common.release(spark)
+    whole = occ.join(different.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select("text_key", "pos").distinct()
+    found = whole.select("text_key", *_unpacked()[1:])
+    paths = [occ_path, different_path, path]
     for width in (16, 1, 0):
         sizes = contexts.groupBy("key").agg(F.count("*").alias("m"))
         small = contexts.join(sizes.filter(F.col("m").between(2, limit)), "key", "left_semi")
-        found.append(common.written(_sorted_buckets(small, length), "repeated"))
-        paths.append(path)
+        found = found.unionByName(_sorted_buckets(small, length))
         large = sizes.filter(F.col("m") > limit).select("key")
         if not width or large.isEmpty():
             break
         rest, rest_path = common.written(_split(contexts.join(large, "key", "left_semi"), width, length), "split")
         twice = rest.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first")).alias("o"))
-        found.append(common.written(rest.join(twice.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select("text_key", "first", "last"), "repeated"))
+        found = found.unionByName(rest.join(twice.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select("text_key", "first", "last"))
         one = twice.select("key", "context", "o.text_key", "o.first")
         contexts, path = common.written(rest.join(one, ["key", "context", "text_key", "first"], "left_semi"), "context-bytes")
-        paths.append(rest_path)
-    common.remove(spark, *paths)
-    out = found[0][0]
-    for df, _ in found[1:]:
-        out = out.unionByName(df)
-    return out
-
+        paths += [rest_path, path]
+    return found, paths
 
-def spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Runs of window starts as maximal covered (start, end) spans."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(runs):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b + length))
-        else:
-            out.append((a, b + length))
-    return out
 
+def _merged(found: DataFrame, length: int) -> DataFrame:
+    """(text_key, spans): the maximal spans of each text, packed as pairs of 32-bit integers."""
+    rows = found.select("text_key", "first", "last").repartition(common.cores(found.sparkSession), "text_key").sortWithinPartitions("text_key", "first")
 
-def _with_runs(docs: DataFrame, text: str, length: int, limit: int, columns: list[str], runs: DataFrame) -> DataFrame:
-    runs = runs.groupBy("text_key").agg(F.collect_set(F.struct("first", "last")).alias("_runs"))
-    runs, _ = common.written(runs, "runs")
+    def run(batches):
+        held: list[tuple[int, int]] = []
+        key = None
+        for batch in batches:
+            keys, out = [], []
+            for k, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    if held:
+                        keys.append(key)
+                        out.append(np.array(held, "<i4").tobytes())
+                    held, key = [], k
+                if held and a <= held[-1][1]:
+                    if b + length > held[-1][1]:
+                        held[-1] = (held[-1][0], b + length)
+                else:
+                    held.append((a, b + length))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["text_key", "spans"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([np.array(held, "<i4").tobytes()], pa.binary())], ["text_key", "spans"])
+
+    return rows.mapInArrow(run, "text_key bigint, spans binary")
+
+
+def _with_spans(docs: DataFrame, text: str, length: int, columns: list[str], found: tuple[DataFrame, list[str]]) -> DataFrame:
+    merged, _ = common.written(_merged(found[0], length), "spans")
+    common.remove(docs.sparkSession, *found[1])
     own = docs.select(*columns, common.text_of(text).alias("_text")).withColumn("_key", F.xxhash64("_text"))
-    return own.join(runs.withColumnRenamed("text_key", "_key"), "_key", "left").select(*columns, "_text", "_runs")
+    return own.join(merged.toDF("_key", "_spans"), "_key", "left").select(*columns, "_text", "_spans")
 
 
-def _each(batch) -> list[tuple[bytes, list[tuple[int, int]]]]:
+def _each(batch) -> list[tuple[bytes, list[list[int]]]]:
     n = batch.num_columns
-    return [(t.encode(), [(r["first"], r["last"]) for r in runs or ()]) for t, runs in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)]
+    return [(t.encode(), np.frombuffer(x or b"", "<i4").reshape(-1, 2).tolist()) for t, x in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)]
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans (byte offsets)."""
-    rows = _with_runs(docs, "text", length, limit, list(keep), repeated_windows(docs, length, limit))
-    schema = rows.drop("_text", "_runs").selectExpr("*", "0L n_bytes", "0L n_removed", "0L n_spans", "'' kept_sha256", "cast(array() as array<struct<start:int,end:int>>) spans").schema
+    rows = _with_spans(docs, "text", length, list(keep), repeated_windows(docs, length, limit))
+    schema = rows.drop("_text", "_spans").selectExpr("*", "0L n_bytes", "0L n_removed", "0L n_spans", "'' kept_sha256", "cast(array() as array<struct<start:int,end:int>>) spans").schema
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for batch in batches:
             out = []
-            for data, runs in _each(batch):
-                cuts, h, at = spans(runs, length), hashlib.sha256(), 0
+            for data, cuts in _each(batch):
+                h, at = hashlib.sha256(), 0
                 for a, b in cuts:
                     h.update(data[at:a])
                     at = b
@@ -446,8 +469,8 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> Data
     own = common.Shielded(docs)
     text, others = own("text"), [c for c in own.inner.columns if c != own("text")]
     marked = own.inner.withColumn("_null", F.col(text).isNull())
-    rows = _with_runs(marked, text, length, limit, [*others, "_null"], repeated_windows(docs, length, limit))
-    schema = rows.drop("_text", "_runs").withColumn(text, F.lit("")).withColumn("_cut", F.lit(False)).schema
+    rows = _with_spans(marked, text, length, [*others, "_null"], repeated_windows(docs, length, limit))
+    schema = rows.drop("_text", "_spans").withColumn(text, F.lit("")).withColumn("_cut", F.lit(False)).schema
 
     def whole(data: bytes, at: int) -> int:
         while at < len(data) and data[at] & 0xC0 == 0x80:
@@ -457,16 +480,16 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> Data
     def run(batches):
         for batch in batches:
             texts, cut = [], []
-            for data, runs in _each(batch):
+            for data, cuts in _each(batch):
                 out, at = [], 0
-                for a, b in spans(runs, length):
+                for a, b in cuts:
                     while a < len(data) and data[a] & 0xC0 == 0x80:
                         a += 1
                     out.append(data[at:a])
                     at = max(a, whole(data, b))
                 out.append(data[at:])
                 texts.append(b"".join(out).decode())
-                cut.append(bool(runs))
+                cut.append(bool(cuts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(cut)], schema.names)
 
     got = rows.mapInArrow(run, schema).filter(~F.col("_cut") | (F.trim(F.regexp_replace(text, r"\s+", " ")) != ""))
