@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from . import common, linear
 
 #: Labelled documents read for fitting, at most, all grades together.
-SAMPLE = 6000
+SAMPLE = 4000
 BITS = 18
 
 
@@ -92,6 +92,8 @@ def fit(sample: list[tuple[str, int, float]], steps: int = 250, rate: float = 0.
         for t in tokens:
             f = memo.get(t)
             if f is None:
+                if len(memo) > 200_000:
+                    memo.clear()
                 f = memo[t] = token_features(t)
             got += f
         u, n = np.unique(np.array(got, np.int64), return_counts=True)

@@ -14,18 +14,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, linear
 
 #: Labelled documents read for fitting, at most, both labels together.
-SAMPLE = 6000
+SAMPLE = 4000
 #: Share of labels of either kind taken to be wrong while fitting.
 NOISE = 0.01
 #: Features kept for fitting, at most: those that differ most between the labels.
@@ -35,11 +35,12 @@ _WORD = re.compile(r"\S+|\n")
 _EDGES = ".,;:!?()[]{}\"'`*_~-<>|/\\“”‘’«»…"
 
 
-def features(token: str) -> list[str]:
+def features(token: str) -> tuple[int, ...]:
+    """Hashes of the word and of its first four and five letters."""
     word = token.strip(_EDGES).lower()
     if not word:
-        return []
-    return ["w" + word, *(f"{k}{word[:k]}" for k in (4, 5) if len(word) > k)]
+        return ()
+    return tuple(xxhash.xxh64_intdigest(x.encode()) for x in ("w" + word, *(f"{k}{word[:k]}" for k in (4, 5) if len(word) > k)))
 
 
 def ends_sentence(token: str) -> bool:
@@ -49,7 +50,7 @@ def ends_sentence(token: str) -> bool:
 @dataclass(frozen=True)
 class Model:
     bias: float
-    weights: dict[str, float]
+    weights: dict[int, float]
 
     def token(self, token: str) -> float:
         return sum(self.weights.get(f, 0.0) for f in features(token))
@@ -118,54 +119,58 @@ def fit(sample: list[tuple[str, int, float]], steps: int = 400, rate: float = 0.
         return Model(-40.0, {})
     weight = np.array([w for _, _, w in sample])
     weight = weight / weight.sum()
-    memo: dict[str, list[str]] = {}
-    docs, sets = [], []
-    for text, _, _ in sample:
-        sentences: list[list[str]] = [[]]
-        for token in text.replace("\n", " . ").split():
+    memo: dict[str, tuple[int, ...]] = {}
+    found, places, ds, sets, docs = [], [], [], [], len(sample)
+    for d, (text, _, _) in enumerate(sample):
+        fs, ss, sentence = [], [], []
+        for token in [*text.replace("\n", " . ").split(), "."]:
             got = memo.get(token)
             if got is None:
+                if len(memo) > 200_000:
+                    memo.clear()
                 got = memo[token] = features(token)
-            sentences[-1].extend(got)
+            sentence += got
             if ends_sentence(token):
-                sentences.append([])
-        docs.append([s for s in sentences if s])
-        sets.append({f for s in docs[-1] for f in s})
-    n, pos = Counter(), Counter()
-    for found, y in zip(sets, labels, strict=True):
-        n.update(found)
-        if y:
-            pos.update(found)
+                if sentence:
+                    once = set(sentence)
+                    fs += once
+                    ss += [len(ds)] * len(once)
+                    ds.append(d)
+                    sentence = []
+        found.append(np.array(fs, np.uint64))
+        places.append(np.array(ss, np.int32))
+        sets.append(np.unique(found[-1]))
+    names, n = np.unique(np.concatenate(sets), return_counts=True)
+    with_label, k = np.unique(np.concatenate([s for s, y in zip(sets, labels, strict=True) if y]), return_counts=True)
+    del sets
+    pos = np.zeros(len(names))
+    pos[np.searchsorted(names, with_label)] = k
     n_pos = labels.sum()
     n_neg = len(labels) - n_pos
-
-    def contrast(f: str) -> float:
-        a, b = pos[f], n[f] - pos[f]
-        return abs(math.log((a + 0.5) / (n_pos + 1)) - math.log((b + 0.5) / (n_neg + 1))) / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-
-    chosen = sorted((f for f in n if n[f] >= 3 and contrast(f) >= 2.0), key=lambda f: (-contrast(f), f))[:FEATURES]
-    at = {f: i for i, f in enumerate(chosen)}
-    fs, ss, ds = [], [], []
-    for d, sentences in enumerate(docs):
-        for s in sentences:
-            ds.append(d)
-            for f in dict.fromkeys(s):
-                if f in at:
-                    fs.append(at[f])
-                    ss.append(len(ds) - 1)
-    fs, ss, ds = np.array(fs, np.int64), np.array(ss, np.int64), np.array(ds, np.int64)
-    share = max(1, len(ds) / len(docs))
+    neg = n - pos
+    contrast = np.abs(np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))) / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+    told = np.flatnonzero((n >= 3) & (contrast >= 2.0))
+    chosen = np.sort(names[told[np.argsort(-contrast[told], kind="stable")][:FEATURES]])
+    if not len(chosen):
+        return Model(-40.0, {})
+    at = [np.minimum(np.searchsorted(chosen, f), len(chosen) - 1) for f in found]
+    keep = [chosen[a] == f for a, f in zip(at, found, strict=True)]
+    fs = np.concatenate([a[q] for a, q in zip(at, keep, strict=True)])
+    ss = np.concatenate([p[q] for p, q in zip(places, keep, strict=True)]).astype(np.int64)
+    del found, places, at, keep
+    ds = np.array(ds, np.int64)
+    share = max(1, len(ds) / docs)
 
     def gradient(x: np.ndarray) -> np.ndarray:
         z = x[0] + np.bincount(ss, x[1:][fs], len(ds))
-        clean = np.exp(-np.bincount(ds, np.logaddexp(0, z), len(docs)))
+        clean = np.exp(-np.bincount(ds, np.logaddexp(0, z), docs))
         p = NOISE + (1 - 2 * NOISE) * (1 - clean)
         slope = weight * (labels / p - (1 - labels) / (1 - p)) * (1 - 2 * NOISE) * clean
         g = -slope[ds] * linear.sigmoid(z)
         return np.concatenate([[g.sum()], np.bincount(fs, g[ss], len(chosen)) + l2 * x[1:]])
 
     x = linear.adam(gradient, np.concatenate([[-2 - math.log(share)], np.zeros(len(chosen))]), steps, rate)
-    return Model(float(x[0]), {f: float(w) for f, w in zip(chosen, x[1:], strict=True) if abs(w) > 0.25})
+    return Model(float(x[0]), {int(f): float(w) for f, w in zip(chosen, x[1:], strict=True) if abs(w) > 0.25})
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
