@@ -118,7 +118,7 @@ def described(docs: DataFrame) -> DataFrame:
                 ["doc_id", "text_key", "set_key", "n", "paths", "sketch"],
             )
 
-    return own.mapInArrow(run, _OF_SETS)
+    return own.mapInArrow(common.lean(run), _OF_SETS)
 
 
 def _leaves(nodes: DataFrame, limit: int) -> DataFrame:
@@ -232,7 +232,7 @@ def _with_company(cells: DataFrame) -> DataFrame:
             if keep.any():
                 yield from t.filter(pa.array(keep)).combine_chunks().select(names).to_batches()
 
-    return rows.mapInArrow(run, cells.schema)
+    return rows.mapInArrow(common.lean(run), cells.schema)
 
 
 def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -315,7 +315,7 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*flat.flatten(), s.take(pa.array(of))], [*(f.name for f in flat.type), "shingles"])
 
     schema = members.select("cell", "chunk", "whole", *_MEMBERS).withColumn("shingles", F.lit(b"")).schema
-    dealt = rows.mapInArrow(sets, schema).repartition(common.cores(spark), "cell").sortWithinPartitions("cell", "set_key")
+    dealt = rows.mapInArrow(common.lean(sets), schema).repartition(common.cores(spark), "cell").sortWithinPartitions("cell", "set_key")
 
     def run(batches):
         for t in whole_cells(batches):
@@ -325,7 +325,7 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["set_key", "weight", "root"])
 
-    return dealt.mapInArrow(run, "set_key bigint, weight bigint, root bigint")
+    return dealt.mapInArrow(common.lean(run), "set_key bigint, weight bigint, root bigint")
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:

@@ -48,6 +48,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the executors once an application, so that workers import it on any cluster."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # the default is too many long texts
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -60,6 +62,28 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def lean(run):
+    """A worker function that gives memory back when its task ends: workers live on and serve other stages."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # not on this C library
+                pass
+
+    return wrapped
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir. Only a local master may do without."""
     sc = spark.sparkContext

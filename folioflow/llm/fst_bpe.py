@@ -246,12 +246,12 @@ class Encoder(dict):
         return data
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, lexicon: bytes) -> Encoder:
-    return Encoder(path, mapped(lexicon))
+@lru_cache(maxsize=1)
+def encoder(path: str, lexicon: bytes, limit: int) -> Encoder:
+    return Encoder(path, mapped(lexicon), limit)
 
 
-def frequent_pieces(docs: DataFrame, path: str, most: int = LEXICON, flush: int = 300_000) -> list[str]:
+def frequent_pieces(docs: DataFrame, path: str, most: int = LEXICON, flush: int = 150_000) -> list[str]:
     """The most frequent pieces over all documents, ties in the order of the pieces.
 
     Each task adds up what it reads and passes its sums on when it holds `flush` pieces."""
@@ -271,7 +271,7 @@ def frequent_pieces(docs: DataFrame, path: str, most: int = LEXICON, flush: int
         if got:
             yield out()
 
-    counts = docs.select(common.text_of().alias("text")).mapInArrow(run, "piece string, n bigint").filter(F.length("piece") <= 64).groupBy("piece").agg(F.sum("n").alias("n"))
+    counts = docs.select(common.text_of().alias("text")).mapInArrow(common.lean(run), "piece string, n bigint").filter(F.length("piece") <= 64).groupBy("piece").agg(F.sum("n").alias("n"))
     return [r["piece"] for r in counts.filter("n > 1").orderBy(F.desc("n"), "piece").limit(most).collect()]
 
 
@@ -282,8 +282,10 @@ def build_lexicon(docs: DataFrame, path: str | None = None, most: int = LEXICON)
     return compile_lexicon({p.encode(): bpe.merge(p.encode()) for p in frequent_pieces(docs, path, most) if p not in bpe.added})
 
 
-def encode_decode(docs: DataFrame, lexicon: bytes, path: str | None = None, keep: tuple[str, ...] = ("doc_id",), full: bool = False) -> DataFrame:
-    """The kept columns, n_tokens, and digests of the ids and of the text decoded from them; full adds both themselves."""
+def encode_decode(docs: DataFrame, lexicon: bytes, path: str | None = None, keep: tuple[str, ...] = ("doc_id",), full: bool = False, memo: int = 800_000) -> DataFrame:
+    """The kept columns, n_tokens, and digests of the ids and of the text decoded from them; full adds both themselves.
+
+    memo: pieces that a worker remembers with their ids, some 250 bytes each."""
     spark = docs.sparkSession
     common.ship_code(spark)
     path = path or bpe_text.default_path()
@@ -292,7 +294,7 @@ def encode_decode(docs: DataFrame, lexicon: bytes, path: str | None = None, keep
     schema = chosen.drop("_text").selectExpr("*", "0L n_tokens", "'' ids_sha256", "'' decoded_sha256", *(["array(0) ids", "'' decoded"] if full else [])).schema
 
     def run(batches):
-        own = encoder(path, shared.value)
+        own = encoder(path, shared.value, memo)
         for batch in batches:
             n, a, b, ids, texts = [], [], [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
@@ -309,4 +311,4 @@ def encode_decode(docs: DataFrame, lexicon: bytes, path: str | None = None, keep
                 more += [(pa.array(ids, pa.list_(pa.int32())), "ids"), (pa.array(texts, pa.string()), "decoded")]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(x for x, _ in more)], [*batch.schema.names[:-1], *(x for _, x in more)])
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.lean(run), schema)

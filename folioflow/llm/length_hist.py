@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, keep: tuple[str,
             n = list(bpe_text.count_all(batch.column(batch.num_columns - 1).to_pylist(), path))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n_tokens"])
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.lean(run), schema)
 
 
 def histogram(lengths: DataFrame) -> DataFrame:

@@ -159,4 +159,4 @@ def scored(docs: DataFrame, model: Model, at_least: int | None = None, keep_from
             cols = [pa.array(own.grades[0] + p @ steps), pa.array(list(p), pa.list_(pa.float64())), pa.array(score), pa.array(score >= keep_from)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], [*batch.schema.names[:-1], "expected_grade", "tails", "score", "keep"])
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.lean(run), schema)

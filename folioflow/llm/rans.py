@@ -198,7 +198,7 @@ def blocks_of(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = BLO
         if held:
             yield out()
 
-    return ordered.mapInArrow(run, _BLOCKS)
+    return ordered.mapInArrow(common.lean(run), _BLOCKS)
 
 
 def _ids(stored: bytes) -> np.ndarray:
@@ -226,7 +226,7 @@ def frequencies(blocks: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    rows = blocks.select("counts").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = blocks.select("counts").mapInArrow(common.lean(run), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] for r in rows], default=-1) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -257,7 +257,7 @@ def write_files(blocks: DataFrame, freq: np.ndarray, folder: str) -> DataFrame:
         if stem:
             out.close()
 
-    return blocks.drop("counts").mapInArrow(run, _INDEX)
+    return blocks.drop("counts").mapInArrow(common.lean(run), _INDEX)
 
 
 def with_start(index: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def read_files(index: DataFrame, freq: np.ndarray, folder: str) -> DataFrame:
                 crc = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lens.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(r["start"] + ends - lens), pa.array(lens), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return index.repartition(common.cores(spark), "file", "offset").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return index.repartition(common.cores(spark), "file", "offset").mapInArrow(common.lean(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:

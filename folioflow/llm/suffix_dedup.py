@@ -106,7 +106,7 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
                 cols = np.concatenate(parts, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), batch.column(0).take(pa.array(np.concatenate(of))), pa.array(cols[2])], ["key", "context", "text_key", "pos"])
 
-    return own.mapInArrow(run, "key bigint, context bigint, text_key bigint, pos bigint")
+    return own.mapInArrow(common.lean(run), "key bigint, context bigint, text_key bigint, pos bigint")
 
 
 def _unpacked() -> list:
@@ -307,7 +307,7 @@ def _cut(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 data = [texts[i][a : b + length] for i, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([cols["key"], cols["context"], piece.column(0).take(pa.array(of)), cols["before"], cols["first"], cols["last"], pa.array(data, pa.binary())], ["key", "context", "text_key", "before", "first", "last", "bytes"])
 
-    return own.join(of, ["text_key", "_id"]).select("text_key", "text", "m").mapInArrow(run, _CONTEXT)
+    return own.join(of, ["text_key", "_id"]).select("text_key", "text", "m").mapInArrow(common.lean(run), _CONTEXT)
 
 
 def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
@@ -329,7 +329,7 @@ def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "context", "text_key", "before", "first", "last", "bytes"])
 
-    return contexts.select(*_COLUMNS).mapInArrow(run, _CONTEXT)
+    return contexts.select(*_COLUMNS).mapInArrow(common.lean(run), _CONTEXT)
 
 
 def _hash(data: bytes, key: int, salt: int) -> int:
@@ -365,7 +365,7 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
         if len(held) > 1 and (out := judge(held)):
             yield batch_of(out)
 
-    return rows.mapInArrow(run, "text_key bigint, first int, last int")
+    return rows.mapInArrow(common.lean(run), "text_key bigint, first int, last int")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> tuple[DataFrame, list[str]]:
@@ -425,7 +425,7 @@ def _merged(found: DataFrame, length: int) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([np.array(held, "<i4").tobytes()], pa.binary())], ["text_key", "spans"])
 
-    return rows.mapInArrow(run, "text_key bigint, spans binary")
+    return rows.mapInArrow(common.lean(run), "text_key bigint, spans binary")
 
 
 def _with_spans(docs: DataFrame, text: str, length: int, columns: list[str], found: tuple[DataFrame, list[str]]) -> DataFrame:
@@ -460,7 +460,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT, keep
                 cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.string(), kind], strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(common.lean(run), schema)
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataFrame:
@@ -492,7 +492,7 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> Data
                 cut.append(bool(cuts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(cut)], schema.names)
 
-    got = rows.mapInArrow(run, schema).filter(~F.col("_cut") | (F.trim(F.regexp_replace(text, r"\s+", " ")) != ""))
+    got = rows.mapInArrow(common.lean(run), schema).filter(~F.col("_cut") | (F.trim(F.regexp_replace(text, r"\s+", " ")) != ""))
     if "n_chars" in own.names:
         n = own("n_chars")
         got = got.withColumn(n, F.when(F.col("_cut"), F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(n)))

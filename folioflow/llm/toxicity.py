@@ -201,7 +201,7 @@ def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), l
                 cols.append((pa.array([located(shared.value, t) if s >= 0.5 else [] for t, s in zip(texts, score, strict=True)], spans), "sentences"))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(c for c, _ in cols)], [*batch.schema.names[:-1], *(n for _, n in cols)])
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.lean(run), schema)
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:

@@ -104,7 +104,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
         if out is not None:
             out.close()
 
-    return pages.mapInArrow(run, _INDEX)
+    return pages.mapInArrow(common.lean(run), _INDEX)
 
 
 def coalesced(ranges: list[tuple[int, int]], most: int = READ, gap: int = GAP) -> list[tuple[int, int, int]]:
@@ -177,7 +177,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             opened.close()
 
     chosen = index.select("file", "offset", "length", "payload_digest")
-    return chosen.repartition(common.cores(spark), "file", F.floor(F.col("offset") / (32 << 20))).sortWithinPartitions("file", "offset").mapInArrow(run, _ROWS)
+    return chosen.repartition(common.cores(spark), "file", F.floor(F.col("offset") / (32 << 20))).sortWithinPartitions("file", "offset").mapInArrow(common.lean(run), _ROWS)
 
 
 def archive(pages: DataFrame) -> tuple[DataFrame, str]:
