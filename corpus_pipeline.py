@@ -33,7 +33,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the number of ids and the digests of ids and decoded text."""
-    return fst_bpe.encode_decode(docs, fst_bpe.build_lexicon(docs))
+    return fst_bpe.encode_decode(docs, fst_bpe.build_lexicon(docs), memo=300_000)
 
 
 STAGES = [
