@@ -45,23 +45,61 @@ def relative_error(value: Column, truth: Column) -> Column:
     return F.when((v == 0) & (t == 0), F.lit(0.0)).when(t != 0, F.abs(v - t) / F.abs(t))
 
 
-def verdict(value: Column, truth: Column, abstained: Column, tolerance: float = 0.005) -> Column:
-    """One of unresolvable, abstained, exact, within_tolerance, scale_error, wrong; the first that fits."""
+def magnitude_ratio(value: Column, truth: Column) -> Column:
+    """The larger magnitude over the smaller; 1 for 0 and 0, null if one of them is 0."""
+    a, b = F.abs(value.cast("double")), F.abs(truth.cast("double"))
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).when((a != 0) & (b != 0), F.greatest(a, b) / F.least(a, b))
+
+
+def scale_factor(value: Column, truth: Column, tolerance: float = 0.005) -> Column:
+    """The power of a thousand by which value has to be multiplied (negative: divided) to fit truth; null if none."""
+    v, out = value.cast("double"), F.lit(None).cast("bigint")
+    for k in (10**9, 10**6, 10**3):
+        for scaled, sign in ((v / k, -1), (v * k, 1)):
+            out = F.when((v != 0) & (truth != 0) & (relative_error(scaled, truth) <= tolerance), F.lit(k * sign)).otherwise(out)
+    return out
+
+
+def safe_decimal(raw: Column) -> Column:
+    """A number of a text, null where there is none."""
+    return raw.try_cast("decimal(38,4)")
+
+
+def verdict(value: Column, truth: Column, abstained: Column, tolerance: float = 0.005, others: Column | None = None, unreadable: Column | None = None) -> Column:
+    """One of unresolvable, abstained, exact, within_tolerance, scale_error, hallucinated, wrong; the first that fits.
+
+    others: an array of figures that would also do, tried before a wrong scale. unreadable: an answer that is no number."""
     error = relative_error(value, truth)
-    scales = [f for k in (1e3, 1e6, 1e9) for f in (k, 1 / k)]
-    scaled = F.lit(False)
-    for f in scales:
-        scaled = scaled | F.coalesce(relative_error(value.cast("double") * f, truth) <= tolerance, F.lit(False))
+    near = F.lit(False) if others is None else F.exists(others, lambda o: F.coalesce(relative_error(value, o) <= tolerance, F.lit(False)))
+    same = F.lit(False) if others is None else F.exists(others, lambda o: F.coalesce(value == o, F.lit(False)))
+    bad = F.lit(False) if unreadable is None else unreadable
+    ratio = magnitude_ratio(value, truth)
     return (
         F.when(truth.isNull(), "unresolvable")
-        .when(abstained | value.isNull(), "abstained")
+        .when(abstained | (value.isNull() & ~bad), "abstained")
+        .when(bad, "hallucinated")
         .when(value == truth, "exact")
         .when(error <= tolerance, "within_tolerance")
-        .when((value != 0) & (truth != 0) & scaled, "scale_error")
+        .when(same, "exact")
+        .when(near, "within_tolerance")
+        .when(scale_factor(value, truth, tolerance).isNotNull(), "scale_error")
+        .when(ratio.isNull() | (ratio > 10), "hallucinated")
         .otherwise("wrong")
     )
 
 
+def figure_forms(value: Column) -> Column:
+    """The ways a whole figure is printed: with and without commas, in ones, thousands and millions where these are whole."""
+    v = F.abs(value.cast("decimal(38,4)"))
+    one = lambda k: F.when((v != 0) & (v % k == 0), F.array(F.format_number(v / k, 0), (v / k).cast("decimal(38,0)").cast("string"))).otherwise(F.array().cast("array<string>"))
+    return F.concat(one(1), one(1000), one(1000000))
+
+
+def path_segment(raw: Column) -> Column:
+    """A part of a path: slashes as hyphens, of the rest letters, digits and -_. only; nothing left counts as unknown."""
+    return F.coalesce(F.nullif(F.regexp_replace(F.translate(F.trim(raw), "/\\", "--"), r"[^\p{L}\p{N}\-_.]", ""), F.lit("")), F.lit("unknown"))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity of two vectors, accumulated in double."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

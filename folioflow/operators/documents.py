@@ -9,9 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import WORDS_A_TOKEN
+
 #: Tags whose content is no text.
 _SILENT = {"script", "style", "link", "meta", "head", "title"}
-_SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[A-Z(\"'])")
+#: Where texts may be cut, coarse places first.
+_CUTS = (re.compile(r"\n{2,}"), re.compile(r"\n"), re.compile(r"(?<=[.!?])\s+(?=[A-Z(\"'])"))
 
 
 class _Text(HTMLParser):
@@ -42,28 +45,45 @@ def flat_text(html: str | None) -> str:
 
 def estimated_tokens(text: str) -> int:
     words = len(text.split())
-    return int(words / 0.75) + 1 if words else 0
+    return int(words / WORDS_A_TOKEN) + 1 if words else 0
+
+
+def _pieces(text: str, start: int, end: int, size: int, level: int) -> list[tuple[int, int]]:
+    """Spans of at most `size` tokens: cut after empty lines, where that is not enough after lines, then after
+    sentences, and at last at a blank in the second half of a span of fixed length."""
+    if not text[start:end].strip():
+        return []
+    if estimated_tokens(text[start:end]) <= size:
+        return [(start, end)]
+    if level < len(_CUTS):
+        marks = [m.end() for m in _CUTS[level].finditer(text[start:end]) if m.end() < end - start]
+        edges = [start, *(start + m for m in marks), end]
+        return [p for a, b in zip(edges, edges[1:], strict=False) for p in _pieces(text, a, b, size, level + 1)]
+    out, reach = [], max(200, int(size * WORDS_A_TOKEN * 6))
+    while start < end:
+        stop = min(end, start + reach)
+        if stop < end:
+            blank = text.rfind(" ", start + reach // 2, stop)
+            stop = blank + 1 if blank > start else stop
+        out.append((start, stop))
+        start = stop
+    return out
 
 
 def windows(text: str, size: int = 512, overlap: int = 64, least: int = 32) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of windows of whole sentences with at most `size` tokens, or of one longer sentence; each
-    window goes back over sentences of at least `overlap` tokens. Windows of fewer than `least` tokens are left out."""
+    """(start, end, tokens) of windows of whole pieces with at most `size` tokens, or of one longer piece; each window
+    goes back over pieces of at least `overlap` tokens, but always moves on. White space at their ends does not count,
+    and windows of fewer than `least` tokens are left out."""
     if overlap >= size:
         raise ValueError("the overlap must be smaller than the window")
-    units, at = [], 0
-    for m in [*_SENTENCE.finditer(text), None]:
-        end = m.start() if m else len(text)
-        if text[at:end].strip():
-            units.append((at, end, estimated_tokens(text[at:end])))
-        at = m.end() if m else end
-    out, i = [], 0
+    units = [(a, b, estimated_tokens(text[a:b])) for a, b in _pieces(text, 0, len(text), size, 0)]
+    spans, i = [], 0
     while i < len(units):
         j, total = i, 0
-        while j < len(units) and (j == i or total + units[j][2] <= size):
+        while j < len(units) and (not total or total + units[j][2] <= size):
             total += units[j][2]
             j += 1
-        if total >= least:
-            out.append((units[i][0], units[j - 1][1], total))
+        spans.append((units[i][0], units[j - 1][1]))
         if j == len(units):
             break
         back, carried = j, 0
@@ -71,6 +91,13 @@ def windows(text: str, size: int = 512, overlap: int = 64, least: int = 32) -> l
             back -= 1
             carried += units[back][2]
         i = back
+    out = []
+    for a, b in spans:
+        body = text[a:b]
+        first = a + len(body) - len(body.lstrip())
+        last, tokens = first + len(body.strip()), estimated_tokens(body)
+        if tokens >= least:
+            out.append((first, last, tokens))
     return out
 
 

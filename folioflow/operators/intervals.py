@@ -30,3 +30,30 @@ def sessions(events: DataFrame, user: str, seconds: str, gap: int) -> DataFrame:
     new = F.when(F.col(seconds) - F.lag(seconds).over(w) <= gap, 0).otherwise(1)
     marked = events.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(user, "session").agg(F.count("*").alias("n"), F.min(seconds).alias("first_s"), F.max(seconds).alias("last_s"))
+
+
+def split_at(spans: DataFrame, regions: DataFrame, key: str) -> DataFrame:
+    """Cuts spans (key, start, end) at all edges of regions (key, start, end, name) inside them: (key, start, end, name),
+    name null outside all regions. Neither the spans of a key nor its regions overlap; all edges are sorted once."""
+    span, region = F.struct("start", "end"), F.struct("start", "end", "name")
+    marks = [
+        spans.select(key, F.col("start").alias("at"), span.alias("span")),
+        spans.select(key, F.col("end").alias("at")),
+        regions.select(key, F.col("start").alias("at"), region.alias("region")),
+        regions.select(key, F.col("end").alias("at")),
+    ]
+    edges = marks[0]
+    for m in marks[1:]:
+        edges = edges.unionByName(m, allowMissingColumns=True)
+    edges = edges.groupBy(key, "at").agg(F.max("span").alias("span"), F.max("region").alias("region"))
+    w = Window.partitionBy(key).orderBy("at")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    cut = edges.select(key, F.col("at").alias("start"), F.lead("at").over(w).alias("end"), F.last("span", True).over(upto).alias("s"), F.last("region", True).over(upto).alias("r"))
+    return cut.filter("start < s.end").select(key, "start", "end", F.when(F.col("start") < F.col("r.end"), F.col("r.name")).alias("name"))
+
+
+def counted_before(points: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Points (key, pos) with n, the number of marks (key, pos) of their key at or before them."""
+    both = marks.select(key, "pos", F.lit(1).alias("_mark")).unionByName(points.select(key, "pos", F.lit(0).alias("_mark")))
+    w = Window.partitionBy(key).orderBy("pos", F.desc("_mark")).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("n", F.sum("_mark").over(w)).filter("_mark = 0").drop("_mark")

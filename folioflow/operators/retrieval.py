@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,6 +43,48 @@ def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none
     return out
 
 
+def web_condition(tokens: Column, query: str) -> Column:
+    """The condition of a search line: words must all occur, quoted ones side by side, a leading hyphen forbids, OR
+    between two terms asks for either. Any other sign separates words; a line without words fits nothing."""
+    terms, either = [], False
+    for sign, quoted, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', query):
+        if word == "OR" and not sign:
+            either = bool(terms)
+            continue
+        words = [w for w in re.split(r"[^\w]+|_+", (quoted or word).lower()) if w]
+        if not words:
+            continue
+        one = matches(tokens, phrase=words) if quoted else matches(tokens, all_of=words)
+        one = ~one if sign else one
+        if either:
+            terms[-1] = terms[-1] | one
+        else:
+            terms.append(one)
+        either = False
+    return reduce(lambda a, b: a & b, terms) if terms else F.lit(False)
+
+
+def cover_density(tokens: Column, terms: list[str]) -> Column:
+    """Cover density of a token array for distinct terms: each shortest run of tokens that holds all terms adds a tenth,
+    divided by one and the number of other tokens in it. 0 where a term is missing.
+
+    A fold over the places of the terms: a cover ends where the earliest of the terms' last places moves on."""
+    wanted = F.array(*(F.lit(t) for t in terms))
+    places = F.filter(F.transform(tokens, lambda w, i: F.struct((F.array_position(wanted, w) - 1).cast("int").alias("term"), i.alias("at"))), lambda x: x["term"] >= 0)
+    places = F.transform(places, lambda x, k: F.struct(x["term"].alias("term"), x["at"].alias("at"), k.alias("nth")))
+    none = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("nth"))
+    start = F.struct(F.array_repeat(none, len(terms)).alias("last"), none.alias("from"), F.lit(0.0).alias("score"))
+
+    def step(state, x):
+        last = F.transform(state["last"], lambda old, t: F.when(t == x["term"], F.struct(x["at"].alias("at"), x["nth"].alias("nth"))).otherwise(old))
+        first = F.array_min(last)
+        others = (x["at"] - first["at"]) - (x["nth"] - first["nth"])
+        new = first["at"] > state["from"]["at"]
+        return F.struct(last.alias("last"), F.when(new, first).otherwise(state["from"]).alias("from"), (state["score"] + F.when(new, 0.1 / (1 + others)).otherwise(0.0)).alias("score"))
+
+    return F.aggregate(places, start, step, lambda s: s["score"])
+
+
 def bm25(rows: DataFrame, key: str, terms: list[str], k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k best rows (key, score) by Okapi BM25; ties by key. Only the terms' counts leave the scan."""
     def times(term: str) -> Column:

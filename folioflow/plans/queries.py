@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
+from . import reports
 
 #: Inline fixtures for columns that the tables lack.
 LINES = "(VALUES (1, '320193|APPLE INC|10-K|20240102|edgar/data/320193/0000320193-24-000001.txt'), (2, '----'), (3, 'CIK|Company|Form|Date|File'), (4, '1|ACME|10-K/A|20240231|edgar/data/1/x.txt'), (5, '2|BETA|10-Q|20240315|edgar/data/2/0000000002-24-000002.txt'), (6, 'a|b|c|d')) AS t(id, line)"
@@ -28,7 +29,7 @@ REGIONS = "(VALUES (1,0,10,'a'),(1,10,30,'b'),(1,40,50,'c'),(2,5,9,'d')) AS r(do
 POINTS = "(VALUES (1,0),(1,9),(1,10),(1,29),(1,30),(1,45),(1,60),(2,0),(2,5),(3,1)) AS p(doc, pos)"
 VERDICT = """CASE WHEN truth IS NULL THEN 'unresolvable' WHEN abstained OR val IS NULL THEN 'abstained' WHEN val = truth THEN 'exact'
  WHEN truth <> 0 AND abs(val - truth) / abs(truth) <= 0.005 THEN 'within_tolerance'
- WHEN truth <> 0 AND val <> 0 AND (abs(val * 1e3 - truth) / abs(truth) <= 0.005 OR abs(val / 1e3 - truth) / abs(truth) <= 0.005 OR abs(val * 1e6 - truth) / abs(truth) <= 0.005 OR abs(val / 1e6 - truth) / abs(truth) <= 0.005 OR abs(val * 1e9 - truth) / abs(truth) <= 0.005 OR abs(val / 1e9 - truth) / abs(truth) <= 0.005) THEN 'scale_error' ELSE 'wrong' END"""
+ WHEN truth <> 0 AND val <> 0 AND (abs(val * 1e3 - truth) / abs(truth) <= 0.005 OR abs(val / 1e3 - truth) / abs(truth) <= 0.005 OR abs(val * 1e6 - truth) / abs(truth) <= 0.005 OR abs(val / 1e6 - truth) / abs(truth) <= 0.005 OR abs(val * 1e9 - truth) / abs(truth) <= 0.005 OR abs(val / 1e9 - truth) / abs(truth) <= 0.005) THEN 'scale_error' WHEN truth = 0 OR val = 0 OR greatest(abs(val), abs(truth)) / least(abs(val), abs(truth)) > 10 THEN 'hallucinated' ELSE 'wrong' END"""
 
 #: Same text for both engines.
 PORTABLE = {
@@ -262,8 +263,8 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in PORTABLE.items()} | {k: f for k, (f, _) in OWN.items()}
+    return {k: _portable(v) for k, v in PORTABLE.items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in PORTABLE.items()} | {k: s for k, (_, s) in OWN.items() if s}
+    return {k: _duck(v) for k, v in PORTABLE.items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES).items() if s}
