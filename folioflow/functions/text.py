@@ -95,6 +95,25 @@ def figure_forms(value: Column) -> Column:
     return F.concat(one(1), one(1000), one(1000000))
 
 
+def decoded(raw: Column) -> Column:
+    """Bytes as text: UTF-8 where valid, else Windows-1252, and Latin-1 if a byte has no meaning in that. The signs that
+    Windows puts in place of the control characters of Latin-1 are told by the codec itself."""
+    signs = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    known = {k: v for k, v in signs.items() if v}
+    latin = F.decode(raw, "ISO-8859-1")
+    windows = F.translate(latin, "".join(known), "".join(known.values()))
+    odd = latin.rlike("[" + "".join(f"\\x{ord(k):02x}" for k, v in signs.items() if not v) + "]")
+    return F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).when(odd, latin).otherwise(windows)
+
+
+def is_index_text(text: Column) -> Column:
+    """Whether a table is a list of contents: its first 400 characters say so, or name the statements while hardly any
+    of its characters are digits."""
+    head = F.lower(F.substring(text, 1, 400))
+    digits = F.char_length(F.regexp_replace(text, r"\P{Nd}", ""))
+    return (head.contains("index to") & head.contains("page")) | (head.contains("consolidated financial statements") & (digits < 0.02 * F.char_length(text)))
+
+
 def path_segment(raw: Column) -> Column:
     """A part of a path: slashes as hyphens, of the rest letters, digits and -_. only; nothing left counts as unknown."""
     return F.coalesce(F.nullif(F.regexp_replace(F.translate(F.trim(raw), "/\\", "--"), r"[^\p{L}\p{N}\-_.]", ""), F.lit("")), F.lit("unknown"))

@@ -43,25 +43,34 @@ def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none
     return out
 
 
-def web_condition(tokens: Column, query: str) -> Column:
-    """The condition of a search line: words must all occur, quoted ones side by side, a leading hyphen forbids, OR
-    between two terms asks for either. Any other sign separates words; a line without words fits nothing."""
+def _search_terms(query: str) -> list[tuple[bool, bool, list[str], bool]]:
+    """(forbidden, quoted, words, or with the one before) for each term of a search line."""
     terms, either = [], False
     for sign, quoted, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', query):
         if word == "OR" and not sign:
             either = bool(terms)
             continue
         words = [w for w in re.split(r"[^\w]+|_+", (quoted or word).lower()) if w]
-        if not words:
-            continue
+        if words:
+            terms.append((bool(sign), bool(quoted), words, either))
+            either = False
+    return terms
+
+
+def plain_words(query: str) -> list[str]:
+    """The words of a search line that are not forbidden."""
+    return [w for forbidden, _, words, _ in _search_terms(query) if not forbidden for w in words]
+
+
+def web_condition(tokens: Column, query: str) -> Column:
+    """The condition of a search line: words must all occur, quoted ones side by side, a leading hyphen forbids, OR
+    between two terms asks for either. Any other sign separates words; a line without words fits nothing."""
+    parts: list[Column] = []
+    for forbidden, quoted, words, either in _search_terms(query):
         one = matches(tokens, phrase=words) if quoted else matches(tokens, all_of=words)
-        one = ~one if sign else one
-        if either:
-            terms[-1] = terms[-1] | one
-        else:
-            terms.append(one)
-        either = False
-    return reduce(lambda a, b: a & b, terms) if terms else F.lit(False)
+        one = ~one if forbidden else one
+        parts = [*parts[:-1], parts[-1] | one] if either else [*parts, one]
+    return reduce(lambda a, b: a & b, parts) if parts else F.lit(False)
 
 
 def cover_density(tokens: Column, terms: list[str]) -> Column:

@@ -37,3 +37,25 @@ def landing_status(stored: DataFrame, incoming: DataFrame, overwrite: bool = Fal
     per = incoming.join(s, ["prefix", "filename"], "left").groupBy("prefix").agg(F.bool_and(F.col("sha256").eqNullSafe(F.col("old"))).alias("same"))
     other = "overwritten" if overwrite else "conflict"
     return per.join(known, "prefix", "left").select("prefix", F.when(F.col("known").isNull(), "landed").when(F.col("same"), "unchanged").otherwise(other).alias("status"))
+
+
+def with_new_values(rows: DataFrame, new: DataFrame, key: str, column: str) -> DataFrame:
+    """One column replaced where new (key, column) has a value; all other rows and columns as they are."""
+    n = new.select(key, F.col(column).alias("_new"))
+    return rows.join(n, key, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
+
+
+def verified(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """(prefix, filename, ok) for each entry (prefix, filename, sha256) of a manifest: the file's bytes (prefix,
+    filename, content) hash to it. A missing file is not ok."""
+    got = files.select("prefix", "filename", F.sha2("content", 256).alias("_now"))
+    return manifest.join(got, ["prefix", "filename"], "left").select("prefix", "filename", F.coalesce(F.col("_now") == F.col("sha256"), F.lit(False)).alias("ok"))
+
+
+def computed_once(rows: DataFrame, digest: str, compute) -> DataFrame:
+    """Rows with what compute (a function of a DataFrame, keeping digest) adds, run once for each digest: equal contents
+    are worked on once and every row gets the result. Rows without a digest are kept, with nulls."""
+    once = rows.filter(F.col(digest).isNotNull()).dropDuplicates([digest])
+    made = compute(once)
+    added = [c for c in made.columns if c not in rows.columns]
+    return rows.join(made.select(digest, *added), digest, "left")

@@ -13,7 +13,7 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
-from . import reports
+from . import reports, services
 
 #: Inline fixtures for columns that the tables lack.
 LINES = "(VALUES (1, '320193|APPLE INC|10-K|20240102|edgar/data/320193/0000320193-24-000001.txt'), (2, '----'), (3, 'CIK|Company|Form|Date|File'), (4, '1|ACME|10-K/A|20240231|edgar/data/1/x.txt'), (5, '2|BETA|10-Q|20240315|edgar/data/2/0000000002-24-000002.txt'), (6, 'a|b|c|d')) AS t(id, line)"
@@ -263,8 +263,8 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in PORTABLE.items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES).items()}
+    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in PORTABLE.items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES).items() if s}
+    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES).items() if s}
