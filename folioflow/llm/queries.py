@@ -1,4 +1,4 @@
-"""The queries opN_<name> of this package: thin layers over its operators, on whole tables."""
+"""The queries opN_<name> of this package: thin layers over its operators, on whole tables; ORACLE_SQL has SQL for some."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chosen_path, common, decontam, fst_bpe, imatch, length_hist, ordinal, rans, suffix_dedup, toxicity, warc
 from .common import table
+from .oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +74,3 @@ QUERIES = {
         op10_rans_token_files,
     )
 }
-#: Queries that SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
