@@ -30,6 +30,9 @@ from . import bpe_text, common
 #: Pieces in the lexicon; the file is a few megabytes, whatever the corpus.
 LEXICON = 50_000
 _MAGIC = b"FLEX1\n\0\0"
+_NO_PAIR, _ID = 1 << 62, (1 << 32) - 1
+#: Ids that are decoded at a time, so a text of any length takes a bounded space for places.
+_DECODED = 1 << 16
 
 
 class Merges:
@@ -45,52 +48,52 @@ class Merges:
         self.added = {t: i for t, i in bpe_text.added(path).items()}
         self.byte = [vocab[c] for c in sorted(to_byte, key=to_byte.get)]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank = {(vocab[a], vocab[b]): (k, vocab[a + b]) for k, (a, b) in enumerate(pairs)}
+        #: Pair -> rank and merged id in one integer, so that the smallest is the pair to merge.
+        self.rank = {(vocab[a], vocab[b]): k << 32 | vocab[a + b] for k, (a, b) in enumerate(pairs)}
+        tokens = [self.text.get(i, b"") for i in range(max(self.text) + 1)]
+        self.sizes = np.array([len(t) for t in tokens])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one piece: the pair of lowest rank, the leftmost at ties, is merged until none is left."""
+        """The ids of one piece: the pair of lowest rank, the leftmost at ties, is merged until none is left. A merge
+        changes only the two pairs beside it."""
         ids = [self.byte[b] for b in piece]
-        rank = self.rank
         if len(ids) > 48:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            found = [rank[p] for p in zip(ids, ids[1:]) if p in rank]  # noqa: B905
-            if not found:
-                break
-            best = min(found)
-            new, out, i, n = best[1], [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and rank.get((ids[i], ids[i + 1])) == best:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        get = self.rank.get
+        codes = [get(p, _NO_PAIR) for p in zip(ids, ids[1:])]  # noqa: B905
+        while codes and (best := min(codes)) != _NO_PAIR:
+            i = codes.index(best)
+            ids[i : i + 2] = (best & _ID,)
+            del codes[i]
+            if i:
+                codes[i - 1] = get((ids[i - 1], ids[i]), _NO_PAIR)
+            if i < len(codes):
+                codes[i] = get((ids[i], ids[i + 1]), _NO_PAIR)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a queue over a linked list, so a piece of a million bytes takes n log n steps."""
         rank, n = self.rank, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(rank[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]  # noqa: B905
+        queue = [(rank[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]  # noqa: B905
         heapq.heapify(queue)
         while queue:
             k, i = heapq.heappop(queue)
             j = after[i]
             if ids[i] < 0 or j >= n:
                 continue
-            got = rank.get((ids[i], ids[j]))
-            if got is None or got[0] != k:
+            if rank.get((ids[i], ids[j])) != k:
                 continue
-            ids[i], ids[j] = got[1], -1
+            ids[i], ids[j] = k & _ID, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
                 if p := rank.get((ids[i], ids[after[i]])):
-                    heapq.heappush(queue, (p[0], i))
+                    heapq.heappush(queue, (p, i))
             if before[i] >= 0 and (p := rank.get((ids[before[i]], ids[i]))):
-                heapq.heappush(queue, (p[0], before[i]))
+                heapq.heappush(queue, (p, before[i]))
         return [x for x in ids if x >= 0]
 
 
@@ -238,7 +241,14 @@ class Encoder(dict):
 
     def decode(self, ids: bytes) -> bytes:
         """The UTF-8 bytes of the decoded text. Bytes that are no UTF-8 become the replacement character."""
-        data = b"".join(map(self.bpe.text.__getitem__, memoryview(ids).cast("I")))
+        all_ids, parts = np.frombuffer(ids, "<u4"), []
+        for at in range(0, len(all_ids), _DECODED):
+            chosen = all_ids[at : at + _DECODED]
+            sizes = self.bpe.sizes[chosen]
+            ends = np.cumsum(sizes)
+            places = np.arange(ends[-1]) + np.repeat(self.bpe.starts[chosen] - (ends - sizes), sizes)
+            parts.append(self.bpe.blob[places].tobytes())
+        data = b"".join(parts)
         try:
             data.decode()
         except UnicodeDecodeError:
