@@ -262,9 +262,11 @@ def encoder(path: str, lexicon: bytes, limit: int) -> Encoder:
 
 
 def frequent_pieces(docs: DataFrame, path: str, most: int = LEXICON, flush: int = 150_000) -> list[str]:
-    """The most frequent pieces over all documents, ties in the order of the pieces.
+    """The most frequent pieces over all documents, at most `most`: counts fall into steps of a sixteenth of an octave,
+    and whole steps are taken from the top.
 
-    Each task adds up what it reads and passes its sums on when it holds `flush` pieces."""
+    Each task adds up what it reads and passes its sums on when it holds `flush` pieces. The driver gets some hundred
+    steps and the chosen pieces, whatever the number of tasks."""
 
     def run(batches):
         got: Counter = Counter()
@@ -281,8 +283,18 @@ def frequent_pieces(docs: DataFrame, path: str, most: int = LEXICON, flush: int
         if got:
             yield out()
 
-    counts = docs.select(common.text_of().alias("text")).mapInArrow(common.lean(run), "piece string, n bigint").filter(F.length("piece") <= 64).groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r["piece"] for r in counts.filter("n > 1").orderBy(F.desc("n"), "piece").limit(most).collect()]
+    spark = docs.sparkSession
+    sums = docs.select(common.text_of().alias("text")).mapInArrow(common.lean(run), "piece string, n bigint").filter(F.length("piece") <= 64).groupBy("piece").agg(F.sum("n").alias("n"))
+    counts, at = common.written(sums.filter("n > 1").withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "piece-counts")
+    held, lowest = 0, None
+    for r in counts.groupBy("step").agg(F.count("*").alias("k")).orderBy(F.desc("step")).collect():
+        held += r["k"]
+        if held > most:
+            break
+        lowest = r["step"]
+    found = [] if lowest is None else [r["piece"] for r in counts.filter(F.col("step") >= lowest).select("piece").collect()]
+    common.remove(spark, at)
+    return sorted(found)
 
 
 def build_lexicon(docs: DataFrame, path: str | None = None, most: int = LEXICON) -> bytes:
