@@ -28,7 +28,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found."""
-    return decontam.without(docs, common.table(spark, sf_dir, "benchmark"))
+    return decontam.without(docs, common.table(spark, sf_dir, "benchmark"), inside=True)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Names, numbers and units become typed placeholders, the rest lower-case words; windows of five template tokens of all
 items are hash-joined with those of all documents. Matches on one diagonal (same shift between document and item) are
 kept if their slots agree: each value of the item stands for one value of the document and the other way round.
-An item is found in a document if at least 0.8 of its windows match so. Items of fewer than five tokens are one window.
+An item is found in a document if at least 0.8 of its windows match so, under one reading of its head: a capitalised
+head is a word, or a name as it is after a lower-case word. Items of fewer than five tokens are one window, which is
+found in texts of the same tokens or, if asked for, inside longer ones.
 
 Only DataFrame functions run. The items' windows are broadcast after their number is checked, else joined by shuffle.
 Defined cases: null and empty texts match nothing; repeated rows are judged alike, each with its own row; equal items
@@ -24,6 +26,8 @@ BROADCAST_WINDOWS = 500_000
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|mile|miles|ft|feet|inch|inches|yd|l|ml|litre|litres|liter|liters|s|sec|seconds|min|minutes|h|hr|hours|day|days|week|weeks|month|months|year|years|kmh|mph|kw|kwh|w|v|a|hz|khz|mhz|ghz|kb|mb|gb|tb|usd|eur|gbp|dollars|euros|pounds|cents|percent|degrees"
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 _NAMES = r"([\p{Ll}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+#: Scripts without spaces between words: each letter is a token.
+_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
 _NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*"
 
 
@@ -37,61 +41,88 @@ def marked(text: Column) -> Column:
 
 def raw_tokens(text: Column) -> Column:
     """Tokens in lower case; a slot is its mark followed by its value."""
-    return F.regexp_extract_all(F.lower(marked(text)), F.lit("([\x01-\x03][^\x04]*\x04|\\p{L}+)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(marked(text)), F.lit(f"([\x01-\x03][^\x04]*\x04|[{_SCRIPTS}]|[\\p{{L}}&&[^{_SCRIPTS}]]+)"), F.lit(1))
 
 
 def _is_slot(token: Column) -> Column:
     return token < F.lit("\x04")
 
 
-def windows(rows: DataFrame, keys: list[str], size: int = WINDOW) -> DataFrame:
-    """Rows with text -> (keys, pos, w, t0..): each window of `size` tokens, or one for a shorter text; w hashes its template."""
+def windows(rows: DataFrame, keys: list[str], size: int = WINDOW, short: tuple[int, ...] = ()) -> DataFrame:
+    """Rows with text, or tokens -> (keys, pos, w, t0..): each window of `size` tokens, or one for a shorter text; w hashes
+    its template. For every length of `short` also each window of so many tokens, the others null."""
     t = F.col("tokens")
     shifted = [F.slice(t, F.lit(i + 1), F.greatest(F.size(t) - size + 1, F.lit(1))).alias(f"t{i}") for i in range(size)]
-    split = rows.select(*keys, raw_tokens(F.col("text")).alias("tokens"))
-    made = split.filter(F.size(t) > 0).select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z")).select(*keys, "pos", "z.*")
+    split = rows if "tokens" in rows.columns else rows.select(*keys, raw_tokens(F.col("text")).alias("tokens"))
+    split = split.filter(F.size(t) > 0)
+    made = split.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z")).select(*keys, "pos", "z.*")
+    if short:
+        split = split.select(*keys, t, F.explode(F.array(*(F.lit(n) for n in short))).alias("_n")).filter(F.size(t) > F.col("_n"))
+        heads = split.select(*keys, t, "_n", F.posexplode(F.slice(t, F.lit(1), F.size(t) - F.col("_n") + 1)).alias("pos", "t0"))
+        made = made.unionByName(heads.select(*keys, "pos", "t0", *(F.when(F.col("_n") > i, F.get(t, F.col("pos") + i)).alias(f"t{i}") for i in range(1, size))))
     parts = [F.when(_is_slot(F.col(f"t{i}")), F.substring(f"t{i}", 1, 1)).otherwise(F.col(f"t{i}")) for i in range(size)]
     return made.withColumn("w", F.xxhash64(*parts))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
+    """The windows of each item under two readings of its head: as a text of its own, and as it is read after a lower-case
+    word, where a capitalised head is a name. Places count from the end, so that both readings share their diagonals."""
     own = items.select(F.col("item_id").cast("bigint").alias("item_id"), common.text_of().alias("text"))
     own = own.withColumn("item_key", F.xxhash64("text", F.coalesce("item_id", F.lit(-1)))).dropDuplicates(["item_id", "item_key"])
-    w = windows(own, ["item_id", "item_key"])
-    return w.select("item_id", "item_key", F.col("pos").alias("item_pos"), "w", *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
+    plain = raw_tokens(F.col("text"))
+    after = raw_tokens(F.concat(F.lit("x "), F.ltrim("text")))
+    read = own.select("item_id", "item_key", plain.alias("plain"), F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))).alias("after"))
+    read = read.select("item_id", "item_key", F.posexplode(F.when(F.col("plain") == F.col("after"), F.array("plain")).otherwise(F.array("plain", "after"))).alias("reading", "tokens"))
+    keys = ["item_id", "item_key", "reading", "n_tokens"]
+    w = windows(read.withColumn("n_tokens", F.size("tokens")), keys)
+    return w.select("item_id", "item_key", "reading", "n_tokens", (F.col("pos") - F.col("n_tokens")).alias("item_pos"), "w", *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
 
 
-def found(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
-    """(text_key, item_id, matched, n_windows) for each item found in a text; text_key is the text's 64-bit hash.
+def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool = False) -> DataFrame:
+    """(text_key, item_id, matched, n_windows) for each item found in a text; text_key is the text's 64-bit hash. The
+    numbers are those of the first reading that finds the item, its own before the one after a lower-case word.
 
-    Equal texts are one: their matches collapse before the shuffle."""
+    With `inside`, items of fewer than five tokens are also found inside longer texts; if they have slots only, with
+    the same values. Equal texts are one: their matches collapse before the shuffle."""
     wanted, _ = common.written(item_windows(items), "item-windows")
     few = wanted.count() <= BROADCAST_WINDOWS
     hint = F.broadcast if few else lambda x: x
-    sizes = wanted.groupBy("item_key").agg(F.countDistinct("item_pos").alias("n_windows"))
+    sizes = wanted.groupBy("item_key", "reading").agg(F.countDistinct("item_pos").alias("n_windows"))
+    short = tuple(r[0] for r in wanted.filter(F.col("n_tokens") < WINDOW).select("n_tokens").distinct().collect()) if inside else ()
     own = docs.select(common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    hits = windows(own, ["text_key"]).join(hint(wanted), "w")
+    keys = ["text_key"]
+    if short:
+        own = own.select("text_key", raw_tokens(F.col("text")).alias("tokens")).withColumn("n", F.size("tokens"))
+        keys = ["text_key", "n"]
+    hits = windows(own, keys, short=short).join(hint(wanted), "w")
+    if short:
+        words = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) | F.col(f"i{i}").eqNullSafe(F.col(f"t{i}")) for i in range(WINDOW)]
+        some = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) for i in range(WINDOW)]
+        hits = hits.filter((F.col("n_tokens") >= WINDOW) | (F.col("n") == F.col("n_tokens")) | F.greatest(*some) | F.least(*words))
     pairs = F.array(*(F.when(_is_slot(F.col(f"i{i}")), F.struct(F.col(f"i{i}").alias("i"), F.col(f"t{i}").alias("t"))) for i in range(WINDOW)))
-    hits = hits.select("text_key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", F.filter(pairs, lambda p: p.isNotNull()).alias("pairs")).distinct()
-    whole = hits.groupBy("text_key", "item_id", "item_key", "shift").agg(F.collect_set("item_pos").alias("ps"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    of = ["text_key", "item_id", "item_key", "reading"]
+    hits = hits.select(*of, (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", F.filter(pairs, lambda p: p.isNotNull()).alias("pairs")).distinct()
+    whole = hits.groupBy(*of, "shift").agg(F.collect_set("item_pos").alias("ps"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     n = F.size("pairs")
     agree = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["t"]))) == n)
-    matched = whole.filter(agree).groupBy("text_key", "item_id", "item_key").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ps")))).alias("matched"))
-    return matched.join(hint(sizes), "item_key").filter(F.col("matched") >= F.ceil(F.lit(share) * F.col("n_windows"))).select("text_key", "item_id", "matched", "n_windows")
+    matched = whole.filter(agree).groupBy(*of).agg(F.size(F.array_distinct(F.flatten(F.collect_list("ps")))).alias("matched"))
+    enough = matched.join(hint(sizes), ["item_key", "reading"]).filter(F.col("matched") >= F.ceil(F.lit(share) * F.col("n_windows")))
+    best = enough.groupBy("text_key", "item_id", "item_key").agg(F.min_by(F.struct("matched", "n_windows"), "reading").alias("b"))
+    return best.select("text_key", "item_id", "b.matched", "b.n_windows")
 
 
-def judged(docs: DataFrame, items: DataFrame, share: float = SHARE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def judged(docs: DataFrame, items: DataFrame, share: float = SHARE, keep: tuple[str, ...] = ("doc_id",), inside: bool = False) -> DataFrame:
     """The kept columns, contaminated, item_ids (ascending, nulls first) and the largest share of an item's windows found."""
-    hits = found(docs, items, share).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("item_id"))).alias("item_ids"), F.max(F.col("matched") / F.col("n_windows")).alias("share"))
+    hits = found(docs, items, share, inside).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("item_id"))).alias("item_ids"), F.max(F.col("matched") / F.col("n_windows")).alias("share"))
     hits, _ = common.written(hits, "contaminated")
     rows = docs.select(*keep, F.xxhash64(common.text_of()).alias("_text_key"))
     out = rows.join(hits.withColumnRenamed("text_key", "_text_key"), "_text_key", "left")
     return out.select(*keep, F.col("share").isNotNull().alias("contaminated"), F.coalesce(F.transform("item_ids", lambda x: x["item_id"]), F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("share", F.lit(0.0)).alias("share"))
 
 
-def without(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
+def without(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool = False) -> DataFrame:
     """The documents in which no item was found, all columns kept."""
-    hits, _ = common.written(found(docs, items, share).select("text_key").distinct(), "contaminated")
+    hits, _ = common.written(found(docs, items, share, inside).select("text_key").distinct(), "contaminated")
     own = common.Shielded(docs)
     rows = own.inner.withColumn("_text_key", F.xxhash64(common.text_of(own("text"))))
     return own.restore(rows.join(hits.withColumnRenamed("text_key", "_text_key"), "_text_key", "left_anti"))

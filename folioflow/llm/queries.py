@@ -19,7 +19,7 @@ def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), inside=True)
 
 
 def op3_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
