@@ -3,8 +3,8 @@
 Names, numbers and units become typed placeholders, the rest lower-case words; windows of five template tokens of all
 items are hash-joined with those of all documents. Matches on one diagonal (same shift between document and item) are
 kept if their slots agree: each value of the item stands for one value of the document and the other way round.
-An item is found in a document if at least 0.8 of its windows match so, under one reading of its head: a capitalised
-head is a word, or a name as it is after a lower-case word. Items of fewer than five tokens are one window, which is
+An item is found in a document if at least 0.8 of its windows match so, under one reading of its capitalised words:
+those after a lower-case word are names, the head too, all are, or none is. Items of fewer than five tokens are one window, which is
 found in texts of the same tokens or, if asked for, inside longer ones.
 
 Only DataFrame functions run. The items' windows are broadcast after their number is checked, else joined by shuffle.
@@ -27,21 +27,24 @@ UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|mile|miles|ft|feet|inch|inches|yd|l|ml|
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 _NAMES = r"([\p{Ll}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
 #: Scripts without spaces between words: each letter is a token.
-_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
+_SCRIPTS = r"\u0e00-\u0e7f\u3005\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{323af}"
+#: A name wherever it stands, sentence openers too.
+_ANY_NAMES = r"(?<!\p{L})(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
 _NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*"
 
 
-def marked(text: Column) -> Column:
-    """The text with a mark and its value for each slot: mark, value, mark."""
-    out = F.regexp_replace(text, "[\x01-\x04]", " ")
-    out = F.regexp_replace(out, _NAMES, f"$1{NAME}$2\x04")
+def marked(text: Column, openers: bool = False) -> Column:
+    """The text with a mark and its value for each slot: mark, value, mark. With `openers`, white space is made even and
+    every capitalised word is a name."""
+    out = F.regexp_replace(text, "[\x01-\x04\\s]+" if openers else "[\x01-\x04]", " ")
+    out = F.regexp_replace(out, _ANY_NAMES, f"{NAME}$1\x04") if openers else F.regexp_replace(out, _NAMES, f"$1{NAME}$2\x04")
     out = F.regexp_replace(out, _NUMBERS, f" {NUMBER}$0\x04 ")
     return F.regexp_replace(out, rf"(?i)(?<=\x04) {{0,2}}({UNITS}|[%$€£°])(?![\p{{L}}\p{{N}}])", f" {UNIT}$1\x04 ")
 
 
-def raw_tokens(text: Column) -> Column:
+def raw_tokens(text: Column, openers: bool = False) -> Column:
     """Tokens in lower case; a slot is its mark followed by its value."""
-    return F.regexp_extract_all(F.lower(marked(text)), F.lit(f"([\x01-\x03][^\x04]*\x04|[{_SCRIPTS}]|[\\p{{L}}&&[^{_SCRIPTS}]]+)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(marked(text, openers)), F.lit(f"([\x01-\x03][^\x04]*\x04|[\\p{{L}}&&[^{_SCRIPTS}]]+|\\p{{L}})"), F.lit(1))
 
 
 def _is_slot(token: Column) -> Column:
@@ -64,23 +67,32 @@ def windows(rows: DataFrame, keys: list[str], size: int = WINDOW, short: tuple[i
     return made.withColumn("w", F.xxhash64(*parts))
 
 
+def _views(text: Column) -> Column:
+    """Tokens with names as they are told by what stands before them (view 0), and with every capitalised word a name (1)."""
+    return F.array(raw_tokens(text), raw_tokens(text, openers=True))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """The windows of each item under two readings of its head: as a text of its own, and as it is read after a lower-case
-    word, where a capitalised head is a name. Places count from the end, so that both readings share their diagonals."""
+    """The windows of each item under up to four readings, w of each for the view of a document that it is sought in.
+
+    Its own; as it is read after a lower-case word, where a capitalised head is a name; in lower case, without names;
+    and, for five tokens or more, with every capitalised word a name. Places count from the end, so that the first two
+    share their diagonals."""
     own = items.select(F.col("item_id").cast("bigint").alias("item_id"), common.text_of().alias("text"))
     own = own.withColumn("item_key", F.xxhash64("text", F.coalesce("item_id", F.lit(-1)))).dropDuplicates(["item_id", "item_key"])
-    plain = raw_tokens(F.col("text"))
     after = raw_tokens(F.concat(F.lit("x "), F.ltrim("text")))
-    read = own.select("item_id", "item_key", plain.alias("plain"), F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))).alias("after"))
-    read = read.select("item_id", "item_key", F.posexplode(F.when(F.col("plain") == F.col("after"), F.array("plain")).otherwise(F.array("plain", "after"))).alias("reading", "tokens"))
-    keys = ["item_id", "item_key", "reading", "n_tokens"]
-    w = windows(read.withColumn("n_tokens", F.size("tokens")), keys)
-    return w.select("item_id", "item_key", "reading", "n_tokens", (F.col("pos") - F.col("n_tokens")).alias("item_pos"), "w", *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
+    plain, after, low, openers = raw_tokens(F.col("text")), F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))), raw_tokens(F.lower("text")), raw_tokens(F.col("text"), openers=True)
+    read = own.select("item_id", "item_key", F.posexplode(F.array(plain, after, low, openers)).alias("reading", "tokens"))
+    read = read.withColumns({"view": (F.col("reading") == 3).cast("int"), "n_tokens": F.size("tokens")}).filter("view = 0 or n_tokens >= 5")
+    # The same tokens in one view are one reading, the first.
+    read = read.groupBy("item_id", "item_key", "view", "n_tokens", "tokens").agg(F.min("reading").alias("reading"))
+    w = windows(read, ["item_id", "item_key", "reading", "view", "n_tokens"])
+    return w.select("item_id", "item_key", "reading", "n_tokens", (F.col("pos") - F.col("n_tokens")).alias("item_pos"), F.col("w").bitwiseXOR(F.col("view")).alias("w"), *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
 
 
 def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool = False) -> DataFrame:
     """(text_key, item_id, matched, n_windows) for each item found in a text; text_key is the text's 64-bit hash. The
-    numbers are those of the first reading that finds the item, its own before the one after a lower-case word.
+    numbers are those of the first reading that finds the item, its own before the others.
 
     With `inside`, items of fewer than five tokens are also found inside longer texts; if they have slots only, with
     the same values. Equal texts are one: their matches collapse before the shuffle."""
@@ -90,11 +102,9 @@ def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool
     sizes = wanted.groupBy("item_key", "reading").agg(F.countDistinct("item_pos").alias("n_windows"))
     short = tuple(r[0] for r in wanted.filter(F.col("n_tokens") < WINDOW).select("n_tokens").distinct().collect()) if inside else ()
     own = docs.select(common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    keys = ["text_key"]
-    if short:
-        own = own.select("text_key", raw_tokens(F.col("text")).alias("tokens")).withColumn("n", F.size("tokens"))
-        keys = ["text_key", "n"]
-    hits = windows(own, keys, short=short).join(hint(wanted), "w")
+    own = own.select("text_key", F.posexplode(_views(F.col("text"))).alias("view", "tokens")).withColumn("n", F.size("tokens"))
+    made = windows(own, ["text_key", "view", "n"], short=short)
+    hits = made.withColumn("w", F.col("w").bitwiseXOR(F.col("view"))).join(hint(wanted), "w")
     if short:
         words = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) | F.col(f"i{i}").eqNullSafe(F.col(f"t{i}")) for i in range(WINDOW)]
         some = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) for i in range(WINDOW)]
