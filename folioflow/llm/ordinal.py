@@ -134,7 +134,7 @@ def fit(sample: list[tuple[str, int, float]], steps: int = 250, rate: float = 0.
 
 def train(docs: DataFrame, labels: DataFrame, grade: str = "quality", bound: int = SAMPLE) -> Model:
     """Fits on a bounded sample of the rated documents outside the held-out fifth."""
-    return fit(linear.labelled_sample(docs, labels, grade, bound)[0])
+    return linear.fitted(docs, labels, grade, bound, fit)
 
 
 def scored(docs: DataFrame, model: Model, at_least: int | None = None, keep_from: float = 0.5, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

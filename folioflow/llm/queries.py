@@ -15,7 +15,7 @@ def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     got = toxicity.with_held_out(toxicity.scored(docs, model))
     spans = F.transform("sentences", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["p"].alias("p")))
-    return got.select("doc_id", "held_out", "score", "predicted", "n_sentences", spans.alias("offending"))
+    return got.select("doc_id", "held_out", "score", "predicted", "n_scored", spans.alias("offending"))
 
 
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def test_noisy_or_finds_documents_and_sentences():
     tokens = toxicity.Tokens(model)
     for text, y, _ in toxic_corpus(100, 1):
         assert (tokens.score(text) >= 0.5) == bool(y)
-        found = toxicity.located(model, text)
+        found = tokens.located(text) if tokens.score(text) >= 0.5 else []
         assert bool(found) == bool(y)
         for s in found:
             assert text[s["start"] : s["end"]] == s["text"] and s["text"].startswith("You ")
@@ -86,3 +86,62 @@ def test_held_out_accuracy(spark, name, label):
     assert (got["predicted"] == got[label]).mean() > 0.95
     for y in (0, 1):
         assert (got[got[label] == y]["predicted"] == y).mean() > 0.85
+
+
+def plain_score(model, text):
+    """Noisy-or in plain Python: sets of features a sentence, equal ones once, the likeliest of those under the floor."""
+    w = dict(zip(model.names.tolist(), model.weights.tolist(), strict=True))
+    bag, now = set(), set()
+    for token in [*text.replace("\n", " . ").split(), "."]:
+        now |= {f for f in toxicity.features(token) if f in w}
+        if token[-1] in ".!?":
+            bag |= {frozenset(now)} if now else set()
+            now = set()
+    p = sorted(1 / (1 + np.exp(-(model.bias + sum(w[f] for f in s)))) for s in bag)
+    low = [x for x in p if x < toxicity.FLOOR]
+    high = [x for x in p if x >= toxicity.FLOOR]
+    return 1 - np.prod([1 - x for x in (high or low[-1:])]) if p else 0.0
+
+
+def test_every_score_is_the_fitted_formula(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    assert len(model.names) and (np.diff(model.names.astype(object)) > 0).all()
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model, locate=False).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert set(got) == set(texts)
+    for d, t in texts.items():
+        assert got[d] == pytest.approx(plain_score(model, t), abs=1e-9)
+    again = toxicity.train(docs, labels)
+    assert again.bias == model.bias and (again.weights == model.weights).all()
+
+
+def test_length_and_repetition_do_not_make_a_text_toxic(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    tokens = toxicity.Tokens(toxicity.train(docs, labels))
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id").select("text").collect()
+    words = [w for r in clean for w in r["text"].split()]
+    r = random.Random(3)
+    sentences = [s for t in clean for s in t["text"].replace("\n", ". ").split(". ") if tokens.score(s) < 0.05]
+    assert len(sentences) > 300 and len(words) > 1000
+    long = ". ".join(r.choice(sentences) for _ in range(100_000)) + "."
+    assert tokens.score(long) < 0.5
+    assert tokens.score("\n" * 50_000) == 0 and tokens.score("hello there. " * 20_000) < 0.5
+    assert tokens.score((sentences[0] + ". ") * 5000) == pytest.approx(tokens.score(sentences[0] + ". "))
+
+
+def test_ordinal_scores_against_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = ordinal.train(docs, labels)
+    got = {r["doc_id"]: r for r in ordinal.scored(docs, model).collect()}
+    for d, t in ((r["doc_id"], r["text"] or "") for r in docs.collect()):
+        tokens = t.split()
+        s = sum(model.weights[i] for i in ordinal.document_features(tokens))
+        s += sum(model.weights[i] for x in tokens for i in ordinal.token_features(x)) / max(1, len(tokens))
+        tails = [1 / (1 + np.exp(-(s - k))) for k in model.thresholds]
+        assert got[d]["tails"] == pytest.approx(tails, abs=1e-9) and got[d]["score"] == pytest.approx(tails[-1], abs=1e-9)
+        assert got[d]["expected_grade"] == pytest.approx(model.grades[0] + sum(np.diff(model.grades) * tails), abs=1e-9)
+    assert ordinal.scored(docs.filter("1 = 0"), model).count() == 0
