@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 _local_shared: dict[str, str] = {}
+#: Spark's setting by which the shuffle files of an execution are deleted at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,27 +104,26 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str, codec: str = "snappy") -> tuple[DataFrame, str]:
-    """Writes df to the shared folder, which cuts its lineage, and gives the table read back and its path."""
+    """Writes df to the shared folder, which cuts its lineage, and gives the table read back and its path.
+
+    The shuffle files of this write go when it ends: nothing reads them again."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
-    """Deletes tables of written() that no later plan reads, and lets Spark drop shuffle files no longer in use."""
+    """Deletes tables of written() that no later plan reads."""
     jvm = spark.sparkContext._jvm
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    release(spark)
-
-
-def release(spark: SparkSession) -> None:
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
 
 
 def store(uri: str):

@@ -297,7 +297,6 @@ def token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
     spark = docs.sparkSession
     common.ship_code(spark)
     blocks, at = common.written(blocks_of(docs, tokenizer or bpe_text.default_path(), end_id, block_ids), "id-blocks", "zstd")
-    common.release(spark)
     freq = normalised(frequencies(blocks))
     folder = common.new_path(spark, "token-files")
     index, _ = common.written(write_files(blocks, freq, folder), "token-index")

@@ -14,7 +14,8 @@ common core is hashed into the key, and what is still large by single windows, w
 Texts are UTF-8 bytes; matches never cross documents; bytes are judged on the input.
 Defined cases: null and empty texts have no bytes and lose none; texts shorter than the length keep everything; rows
 with equal texts are occurrences of their own, so all of a copied text of 200 bytes or more goes; no rows give an empty
-result; other columns are ignored or kept. Texts and contexts are told apart by 64-bit hashes and their lengths.
+result; other columns are ignored or kept; a text of any length is hashed in overlapping stretches. Texts are told apart
+by 64-bit hashes and their numbers of bytes.
 """
 
 from __future__ import annotations
@@ -84,17 +85,25 @@ def anchors(b: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
     return g[p], context, first, last, p
 
 
+_TEXT = ["text_key", "size"]
+
+
+def _text_key(text: str) -> list:
+    """What texts are told apart by: a 64-bit hash and the number of bytes."""
+    return [F.xxhash64(text).alias("text_key"), F.octet_length(text).alias("size")]
+
+
 def _occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """(key, context, text_key, pos) of every anchor occurrence; pos packs the first window, the number of windows
+    """(key, context, text_key, size, pos) of every anchor occurrence; pos packs the first window, the number of windows
     after it, and the bytes between the first window's start and the anchor."""
-    own = docs.select(common.text_of().alias("text")).select(F.xxhash64("text").alias("text_key"), "text")
+    own = docs.select(common.text_of().alias("text")).select(*_text_key("text"), "text")
     if length - GRAM > 255:
         raise ValueError("windows this long need another packing")
 
     def run(batches):
         for batch in batches:
             parts, of = [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 b = np.frombuffer(text.encode(), np.uint8)
                 for at in range(0, max(1, len(b) - length + 1), STRETCH):
                     piece = b[at : at + STRETCH + length - 1]
@@ -104,9 +113,10 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
                         of.append(np.full(len(key), i))
             if parts:
                 cols = np.concatenate(parts, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), batch.column(0).take(pa.array(np.concatenate(of))), pa.array(cols[2])], ["key", "context", "text_key", "pos"])
+                rows = pa.array(np.concatenate(of))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(cols[2])], ["key", "context", "text_key", "size", "pos"])
 
-    return own.mapInArrow(common.lean(run), "key bigint, context bigint, text_key bigint, pos bigint")
+    return own.mapInArrow(common.lean(run), "key bigint, context bigint, text_key bigint, size int, pos bigint")
 
 
 def _unpacked() -> list:
@@ -283,31 +293,32 @@ def repeated_places(contexts: list[bytes], before: list[int], after: list[int],
     return out
 
 
-_COLUMNS = ["key", "context", "text_key", "before", "first", "last", "bytes"]
-_CONTEXT = "key bigint, context bigint, text_key bigint, before int, first int, last int, bytes binary"
+_COLUMNS = ["key", "context", *_TEXT, "before", "first", "last", "bytes"]
+_CONTEXT = "key bigint, context bigint, text_key bigint, size int, before int, first int, last int, bytes binary"
 
 
 def _cut(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """The bytes of the contexts asked for (key, context, text_key, before, first, last). Of equal texts the one with
+    """The bytes of the contexts asked for (key, context, text_key, size, before, first, last). Of equal texts the one with
     the smallest doc_id is read; of repeated rows each, which makes their contexts repeated, as they are."""
     least = F.lit(-(1 << 63)).cast("bigint")
-    own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("_id"), common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    one = own.groupBy("text_key").agg(F.min("_id").alias("_id"))
-    of = asked.groupBy("text_key").agg(F.collect_list(F.struct("key", "context", "before", "first", "last")).alias("m")).join(one, "text_key")
+    own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("_id"), common.text_of().alias("text")).select("_id", "text", *_text_key("text"))
+    one = own.groupBy(*_TEXT).agg(F.min("_id").alias("_id"))
+    of = asked.groupBy(*_TEXT).agg(F.collect_list(F.struct("key", "context", "before", "first", "last")).alias("m")).join(one, _TEXT)
 
     def run(batches):
         for batch in batches:
             for piece in [batch.slice(k, 256) for k in range(0, len(batch), 256)]:
-                each = piece.column(2)
+                each = piece.column(3)
                 flat = each.flatten()
                 of = np.repeat(np.arange(len(piece)), np.array(each.value_lengths()))
-                texts = [t.encode() for t in piece.column(1).to_pylist()]
+                texts = [t.encode() for t in piece.column(2).to_pylist()]
                 cols = dict(zip((f.name for f in flat.type), flat.flatten(), strict=True))
                 first, last = np.array(cols["first"]), np.array(cols["last"])
                 data = [texts[i][a : b + length] for i, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([cols["key"], cols["context"], piece.column(0).take(pa.array(of)), cols["before"], cols["first"], cols["last"], pa.array(data, pa.binary())], ["key", "context", "text_key", "before", "first", "last", "bytes"])
+                rows = pa.array(of)
+                yield pa.RecordBatch.from_arrays([cols["key"], cols["context"], piece.column(0).take(rows), piece.column(1).take(rows), cols["before"], cols["first"], cols["last"], pa.array(data, pa.binary())], _COLUMNS)
 
-    return own.join(of, ["text_key", "_id"]).select("text_key", "text", "m").mapInArrow(common.lean(run), _CONTEXT)
+    return own.join(of, [*_TEXT, "_id"]).select(*_TEXT, "text", "m").mapInArrow(common.lean(run), _CONTEXT)
 
 
 def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
@@ -316,7 +327,7 @@ def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for key, _, text_key, before, first, last, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, _, text_key, size, before, first, last, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 a = before - (last - first)  # places of the anchor in the windows: a .. before
                 for c in range(max(a, 0) // width, before // width + 1):
                     low, high = max(a, c * width), min(before, c * width + width - 1)
@@ -324,10 +335,10 @@ def _split(contexts: DataFrame, width: int, length: int) -> DataFrame:
                     core = data[max(0, before - c * width) : before + length - min(c * width + width - 1, length - GRAM)]
                     part = data[start : end + length]
                     new = _hash(core, key, c * 1024 + width)
-                    out.append((new, _hash(part, new, (before - start) * 1024 + end - start), text_key, before - start, first + start, first + end, part))
+                    out.append((new, _hash(part, new, (before - start) * 1024 + end - start), text_key, size, before - start, first + start, first + end, part))
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "context", "text_key", "before", "first", "last", "bytes"])
+                kinds = [pa.int64()] * 3 + [pa.int32()] * 4 + [pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], _COLUMNS)
 
     return contexts.select(*_COLUMNS).mapInArrow(common.lean(run), _CONTEXT)
 
@@ -339,18 +350,18 @@ def _hash(data: bytes, key: int, salt: int) -> int:
 
 
 def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
-    """(text_key, first, last): the windows found repeated by sorting each key's contexts."""
+    """(text_key, size, first, last): the windows found repeated by sorting each key's contexts."""
     rows = contexts.select(*_COLUMNS).repartition(common.cores(contexts.sparkSession), "key").sortWithinPartitions("key")
 
     def run(batches):
         held: list = []
 
         def judge(rows):
-            runs = repeated_places([r[6] for r in rows], [r[3] for r in rows], [r[5] - r[4] for r in rows], length)
-            return [(r[2], r[4] + a, r[4] + b) for r, own in zip(rows, runs, strict=True) for a, b in own]
+            runs = repeated_places([r[7] for r in rows], [r[4] for r in rows], [r[6] - r[5] for r in rows], length)
+            return [(r[2], r[3], r[5] + a, r[5] + b) for r, own in zip(rows, runs, strict=True) for a, b in own]
 
         def batch_of(out):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int32(), pa.int32()], strict=True)], ["text_key", "first", "last"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] + [pa.int32()] * 3, strict=True)], [*_TEXT, "first", "last"])
 
         for batch in batches:
             out = []
@@ -365,74 +376,90 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
         if len(held) > 1 and (out := judge(held)):
             yield batch_of(out)
 
-    return rows.mapInArrow(common.lean(run), "text_key bigint, first int, last int")
+    return rows.mapInArrow(common.lean(run), "text_key bigint, size int, first int, last int")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """(key, m) of the keys of more than one row. Written before it is joined, so that Spark can split a hot key's rows."""
+    return rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> tuple[DataFrame, list[str]]:
-    """(text_key, first, last): runs of starts of windows that occur again, for every different text. May overlap.
+    """(text_key, size, first, last): runs of starts of windows that occur again, for every different text. May overlap.
 
-    Also the paths of the tables that this reads; they can go when it has been written."""
+    Also the paths of the tables that this reads; they can go when it has been written. Grams that occur once leave
+    before anything is joined or cut: most do."""
     spark = docs.sparkSession
     common.ship_code(spark)
-    occ, occ_path = common.written(_occurrences(docs, length), "anchors")
-    different, different_path = common.written(occ.groupBy("key", "context").agg(F.count("*").alias("n"), F.first("text_key").alias("text_key"), F.first("pos").alias("pos")), "contexts")
-    common.release(spark)
-    many = different.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    asked = different.join(many, "key").select("key", "context", "text_key", *_unpacked())
-    contexts, path = common.written(_cut(docs, asked, length), "context-bytes")
-    common.release(spark)
-    whole = occ.join(different.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select("text_key", "pos").distinct()
-    found = whole.select("text_key", *_unpacked()[1:])
+    every, every_path = common.written(_occurrences(docs, length), "anchors", "zstd")
+    again, again_path = common.written(_shared(every).select("key"), "repeated-grams")
+    occ, occ_path = common.written(every.join(again, "key", "left_semi"), "repeated-anchors", "zstd")
+    common.remove(spark, every_path, again_path)
+    different, different_path = common.written(occ.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct(*_TEXT, "pos")).alias("o")).select("key", "context", "n", "o.*"), "contexts", "zstd")
+    many, many_path = common.written(_shared(different).select("key"), "grams-in-contexts")
+    asked = different.join(many, "key", "left_semi").select("key", "context", *_TEXT, *_unpacked())
+    contexts, path = common.written(_cut(docs, asked, length), "context-bytes", "zstd")
+    whole = occ.join(different.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select(*_TEXT, "pos").distinct()
+    found = whole.select(*_TEXT, *_unpacked()[1:])
+    common.remove(spark, many_path)
     paths = [occ_path, different_path, path]
     for width in (16, 1, 0):
-        sizes = contexts.groupBy("key").agg(F.count("*").alias("m"))
-        small = contexts.join(sizes.filter(F.col("m").between(2, limit)), "key", "left_semi")
+        sizes, sizes_path = common.written(_shared(contexts), "gram-sizes")
+        small = contexts.join(sizes.filter(F.col("m") <= limit), "key", "left_semi")
         found = found.unionByName(_sorted_buckets(small, length))
+        paths.append(sizes_path)
         large = sizes.filter(F.col("m") > limit).select("key")
         if not width or large.isEmpty():
             break
-        rest, rest_path = common.written(_split(contexts.join(large, "key", "left_semi"), width, length), "split")
-        twice = rest.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first")).alias("o"))
-        found = found.unionByName(rest.join(twice.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select("text_key", "first", "last"))
-        one = twice.select("key", "context", "o.text_key", "o.first")
-        contexts, path = common.written(rest.join(one, ["key", "context", "text_key", "first"], "left_semi"), "context-bytes")
+        rest, rest_path = common.written(_split(contexts.join(large, "key", "left_semi"), width, length), "split", "zstd")
+        twice = rest.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct(*_TEXT, "first")).alias("o"))
+        found = found.unionByName(rest.join(twice.filter("n > 1").select("key", "context"), ["key", "context"], "left_semi").select(*_TEXT, "first", "last"))
+        one = twice.select("key", "context", "o.*")
+        contexts, path = common.written(rest.join(one, ["key", "context", *_TEXT, "first"], "left_semi"), "context-bytes", "zstd")
         paths += [rest_path, path]
     return found, paths
 
 
 def _merged(found: DataFrame, length: int) -> DataFrame:
-    """(text_key, spans): the maximal spans of each text, packed as pairs of 32-bit integers."""
-    rows = found.select("text_key", "first", "last").repartition(common.cores(found.sparkSession), "text_key").sortWithinPartitions("text_key", "first")
+    """(text_key, size, spans): the maximal spans of each text, packed as pairs of 32-bit integers."""
+    rows = found.select(*_TEXT, "first", "last").repartition(common.cores(found.sparkSession), *_TEXT).sortWithinPartitions(*_TEXT, "first")
 
     def run(batches):
         held: list[tuple[int, int]] = []
-        key = None
+        of = None
+
+        def batch_of(out):
+            keys, sizes, spans = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(spans, pa.binary())], [*_TEXT, "spans"])
+
         for batch in batches:
-            keys, out = [], []
-            for k, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != key:
+            out = []
+            for key, size, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, size) != of:
                     if held:
-                        keys.append(key)
-                        out.append(np.array(held, "<i4").tobytes())
-                    held, key = [], k
+                        out.append((*of, np.array(held, "<i4").tobytes()))
+                    held, of = [], (key, size)
                 if held and a <= held[-1][1]:
                     if b + length > held[-1][1]:
                         held[-1] = (held[-1][0], b + length)
                 else:
                     held.append((a, b + length))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["text_key", "spans"])
+            if out:
+                yield batch_of(out)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([np.array(held, "<i4").tobytes()], pa.binary())], ["text_key", "spans"])
+            yield batch_of([(*of, np.array(held, "<i4").tobytes())])
 
-    return rows.mapInArrow(common.lean(run), "text_key bigint, spans binary")
+    return rows.mapInArrow(common.lean(run), "text_key bigint, size int, spans binary")
 
 
 def _with_spans(docs: DataFrame, text: str, length: int, columns: list[str], found: tuple[DataFrame, list[str]]) -> DataFrame:
+    """The columns, _text and _spans. The columns may have any names: they are kept by their places."""
     merged, _ = common.written(_merged(found[0], length), "spans")
     common.remove(docs.sparkSession, *found[1])
-    own = docs.select(*columns, common.text_of(text).alias("_text")).withColumn("_key", F.xxhash64("_text"))
-    return own.join(merged.toDF("_key", "_spans"), "_key", "left").select(*columns, "_text", "_spans")
+    own = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), common.text_of(text).alias("_text"))
+    own = own.select("*", *(k.alias(f"_{c}") for k, c in zip(_text_key("_text"), _TEXT, strict=True)))
+    joined = own.join(merged.toDF("_text_key", "_size", "_spans"), ["_text_key", "_size"], "left")
+    return joined.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)), "_text", "_spans")
 
 
 def _each(batch) -> list[tuple[bytes, list[list[int]]]]:

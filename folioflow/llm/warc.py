@@ -186,5 +186,4 @@ def archive(pages: DataFrame) -> tuple[DataFrame, str]:
     common.ship_code(spark)
     folder = common.new_path(spark, "warc")
     index, _ = common.written(write_archives(with_roles(pages), folder), "warc-index")
-    common.release(spark)
     return index, folder
