@@ -1,19 +1,25 @@
 """Benchmark decontamination by template canonicalisation: exact and re-parameterised benchmark items in documents.
 
 Names, numbers and units become typed placeholders, the rest lower-case words; windows of five template tokens of all
-items are hash-joined with those of all documents. Matches on one diagonal (same shift between document and item) are
-kept if their slots agree: each value of the item stands for one value of the document and the other way round.
-An item is found in a document if at least 0.8 of its windows match so, under one reading of its capitalised words:
-those after a lower-case word are names, the head too, all are, or none is. Items of fewer than five tokens are one window, which is
-found in texts of the same tokens or, if asked for, inside longer ones.
+items are hash-joined with those of all documents. A window of placeholders alone is told by its values, so tables of
+figures are no hot key. Matches on one diagonal (same shift between document and item) are kept if their slots agree:
+each value of the item stands for one value of the document, the one that most windows say; windows that say another
+go. What other diagonals add must not contradict the best one.
+An item is found in a document if at least 0.8 of its windows match so, under one of two readings of both: without
+names, whatever the case; or with every capitalised word a name that is no function word, wherever it stands.
+Items of fewer than five tokens are one window, read without names, which is found in texts of the same tokens or, if
+asked for, inside longer ones.
 
 Only DataFrame functions run. The items' windows are broadcast after their number is checked, else joined by shuffle.
-Defined cases: null and empty texts match nothing; repeated rows are judged alike, each with its own row; equal items
-count each; no items, or no documents, give no match, or no rows; other columns play no part and may be kept.
+Defined cases: null and empty texts match nothing; a text of any length is read as a whole; repeated rows are judged
+alike, each with its own row; equal items count each; of values that as many windows say the largest stands; no items,
+or no documents, give no match, or no rows; other columns play no part and may be kept, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +28,70 @@ from . import common
 WINDOW, SHARE = 5, 0.8
 #: Windows of items that may be sent to all tasks (some 50 bytes each).
 BROADCAST_WINDOWS = 500_000
-#: Units after a number: fixed values.
-UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|mile|miles|ft|feet|inch|inches|yd|l|ml|litre|litres|liter|liters|s|sec|seconds|min|minutes|h|hr|hours|day|days|week|weeks|month|months|year|years|kmh|mph|kw|kwh|w|v|a|hz|khz|mhz|ghz|kb|mb|gb|tb|usd|eur|gbp|dollars|euros|pounds|cents|percent|degrees"
+# Number words, unit words, and words that are no names where they open a sentence.
+NUMBER_WORDS = tuple(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+)
+_SHORT_UNITS = "kg g mg lb lbs oz km m cm mm mi ft yd l ml cl dl s sec secs min mins h hr hrs kmh kph mph kw kwh mw w v a hz khz mhz ghz kb mb gb tb usd eur gbp"
+_PLAIN_UNITS = "foot feet inch inches yard mile acre hectare ounce pound stone gallon quart pint cup tablespoon teaspoon dozen minute hour day night week month year decade century centuries dollar cent euro penny pence pennies yen rupee franc peso mark percent degree knot barrel bushel"
+_METRIC_UNITS = "gram gramme meter metre liter litre watt volt amp hertz byte bit joule newton calorie second tonne ton"
+_PREFIXES = ("", "kilo", "centi", "milli", "mega", "giga", "tera", "micro", "nano", "deci")
+FUNCTION_WORDS = (
+    "A An The This That These Those It Its He His Him She Her They Their Them We Our Us You Your I My And Or But If Then So As At By For From In Into "
+    "Of On To With Without About After Before During While Until Since Because Although When Where Which Who Whom Whose What Why How Is Are Was Were Be "
+    "Do Does Did Has Have Had Can Could Will Would Should May Might Must Not No Yes Each Every All Some Any Many Much More Most Both Between Over Under "
+    "There Here Now Later First Next Finally Today Yesterday Tomorrow Suppose Given Let Calculate Find"
+).split()
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
-_NAMES = r"([\p{Ll}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
 #: Scripts without spaces between words: each letter is a token.
 _SCRIPTS = r"\u0e00-\u0e7f\u3005\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{323af}"
-#: A name wherever it stands, sentence openers too.
-_ANY_NAMES = r"(?<!\p{L})(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+#: A name wherever it stands, sentence openers too; no function word begins one.
+_ANY_NAMES = rf"(?=\p{{Lu}})(?<!\p{{L}})((?!(?:{'|'.join(FUNCTION_WORDS)})(?!\p{{L}}))\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)"
 _NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*"
+#: Readings of a text: without names; with names.
+PLAIN, NAMED = 0, 1
+
+
+def units() -> tuple[str, ...]:
+    """Unit words in the singular and the plural, metric ones with their prefixes."""
+    metric = [p + u for u in _METRIC_UNITS.split() for p in _PREFIXES]
+    words = [*_PLAIN_UNITS.split(), *metric]
+    return tuple(sorted({*_SHORT_UNITS.split(), *words, *(w + "s" for w in words)}))
+
 
+#: White space that is no single space, and marks.
+_SPACE = " ?[\x01-\x04\t-\r][\x01-\x04\\s]*| {2,}"
+#: A slot, a word, or a letter of the scripts without spaces. The commonest letters are tried first.
+_TOKENS = f"([\x01-\x03][^\x04]*\x04|[a-zß-öø-ÿ[\\p{{L}}&&[^{_SCRIPTS}]]]+|\\p{{L}})"
 
-def marked(text: Column, openers: bool = False) -> Column:
-    """The text with a mark and its value for each slot: mark, value, mark. With `openers`, white space is made even and
-    every capitalised word is a name."""
-    out = F.regexp_replace(text, "[\x01-\x04\\s]+" if openers else "[\x01-\x04]", " ")
-    out = F.regexp_replace(out, _ANY_NAMES, f"{NAME}$1\x04") if openers else F.regexp_replace(out, _NAMES, f"$1{NAME}$2\x04")
+
+def marked(text: Column, reading: int = NAMED) -> Column:
+    """The text in lower case with a mark and its value for each name, number and unit sign: mark, value, mark."""
+    if reading == PLAIN:
+        out = F.regexp_replace(F.lower(text), "[\x01-\x04]", " ")
+    else:
+        out = F.lower(F.regexp_replace(F.regexp_replace(text, _SPACE, " "), _ANY_NAMES, f"{NAME}$1\x04"))
     out = F.regexp_replace(out, _NUMBERS, f" {NUMBER}$0\x04 ")
-    return F.regexp_replace(out, rf"(?i)(?<=\x04) {{0,2}}({UNITS}|[%$€£°])(?![\p{{L}}\p{{N}}])", f" {UNIT}$1\x04 ")
+    return F.regexp_replace(out, r"\x04 {0,2}([%$€£°])", f"\x04 {UNIT}$1\x04 ")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def raw_tokens(text: Column, openers: bool = False) -> Column:
-    """Tokens in lower case; a slot is its mark followed by its value."""
-    return F.regexp_extract_all(F.lower(marked(text, openers)), F.lit(f"([\x01-\x03][^\x04]*\x04|[\\p{{L}}&&[^{_SCRIPTS}]]+|\\p{{L}})"), F.lit(1))
+def raw_tokens(text: Column, reading: int = NAMED) -> Column:
+    """Tokens in lower case; a slot is its mark followed by its value. Number words are numbers; a unit follows a number."""
+    found = F.regexp_extract_all(marked(text, reading), F.lit(_TOKENS), F.lit(1))
+    names = units()
+
+    def typed(x: Column, before: Column) -> Column:
+        number = x.isin(*NUMBER_WORDS)
+        unit = (before.startswith(NUMBER) | before.isin(*NUMBER_WORDS)) & x.isin(*names)
+        return F.when(number, F.concat(F.lit(NUMBER), x, F.lit("\x04"))).when(unit, F.concat(F.lit(UNIT), x, F.lit("\x04"))).otherwise(x)
+
+    return _let(found, lambda t: F.zip_with(t, F.slice(F.concat(F.array(F.lit("")), t), F.lit(1), F.size(t)), typed))
 
 
 def _is_slot(token: Column) -> Column:
@@ -53,7 +100,8 @@ def _is_slot(token: Column) -> Column:
 
 def windows(rows: DataFrame, keys: list[str], size: int = WINDOW, short: tuple[int, ...] = ()) -> DataFrame:
     """Rows with text, or tokens -> (keys, pos, w, t0..): each window of `size` tokens, or one for a shorter text; w hashes
-    its template. For every length of `short` also each window of so many tokens, the others null."""
+    its template, or its values if it has slots only. For every length of `short` also each window of so many tokens,
+    the others null."""
     t = F.col("tokens")
     shifted = [F.slice(t, F.lit(i + 1), F.greatest(F.size(t) - size + 1, F.lit(1))).alias(f"t{i}") for i in range(size)]
     split = rows if "tokens" in rows.columns else rows.select(*keys, raw_tokens(F.col("text")).alias("tokens"))
@@ -64,35 +112,37 @@ def windows(rows: DataFrame, keys: list[str], size: int = WINDOW, short: tuple[i
         heads = split.select(*keys, t, "_n", F.posexplode(F.slice(t, F.lit(1), F.size(t) - F.col("_n") + 1)).alias("pos", "t0"))
         made = made.unionByName(heads.select(*keys, "pos", "t0", *(F.when(F.col("_n") > i, F.get(t, F.col("pos") + i)).alias(f"t{i}") for i in range(1, size))))
     parts = [F.when(_is_slot(F.col(f"t{i}")), F.substring(f"t{i}", 1, 1)).otherwise(F.col(f"t{i}")) for i in range(size)]
-    return made.withColumn("w", F.xxhash64(*parts))
+    slots = F.coalesce(F.least(*(_is_slot(F.col(f"t{i}")) for i in range(size))) & F.col(f"t{size - 1}").isNotNull(), F.lit(False))
+    return made.withColumn("w", F.when(slots, F.xxhash64(*(F.col(f"t{i}") for i in range(size)))).otherwise(F.xxhash64(*parts)))
 
 
-def _views(text: Column) -> Column:
-    """Tokens with names as they are told by what stands before them (view 0), and with every capitalised word a name (1)."""
-    return F.array(raw_tokens(text), raw_tokens(text, openers=True))
+def _readings(text: Column) -> Column:
+    return F.array(raw_tokens(text, PLAIN), raw_tokens(text, NAMED))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """The windows of each item under up to four readings, w of each for the view of a document that it is sought in.
-
-    Its own; as it is read after a lower-case word, where a capitalised head is a name; in lower case, without names;
-    and, for five tokens or more, with every capitalised word a name. Places count from the end, so that the first two
-    share their diagonals."""
+    """The windows of each item under its readings; w differs by the reading."""
     own = items.select(F.col("item_id").cast("bigint").alias("item_id"), common.text_of().alias("text"))
     own = own.withColumn("item_key", F.xxhash64("text", F.coalesce("item_id", F.lit(-1)))).dropDuplicates(["item_id", "item_key"])
-    after = raw_tokens(F.concat(F.lit("x "), F.ltrim("text")))
-    plain, after, low, openers = raw_tokens(F.col("text")), F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))), raw_tokens(F.lower("text")), raw_tokens(F.col("text"), openers=True)
-    read = own.select("item_id", "item_key", F.posexplode(F.array(plain, after, low, openers)).alias("reading", "tokens"))
-    read = read.withColumns({"view": (F.col("reading") == 3).cast("int"), "n_tokens": F.size("tokens")}).filter("view = 0 or n_tokens >= 5")
-    # The same tokens in one view are one reading, the first.
-    read = read.groupBy("item_id", "item_key", "view", "n_tokens", "tokens").agg(F.min("reading").alias("reading"))
-    w = windows(read, ["item_id", "item_key", "reading", "view", "n_tokens"])
-    return w.select("item_id", "item_key", "reading", "n_tokens", (F.col("pos") - F.col("n_tokens")).alias("item_pos"), F.col("w").bitwiseXOR(F.col("view")).alias("w"), *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
+    read = own.select("item_id", "item_key", F.posexplode(_readings(F.col("text"))).alias("reading", "tokens")).withColumn("n_tokens", F.size("tokens"))
+    read = read.filter((F.col("reading") == PLAIN) | (F.col("n_tokens") >= WINDOW))
+    w = windows(read, ["item_id", "item_key", "reading", "n_tokens"])
+    return w.select("item_id", "item_key", "reading", "n_tokens", F.col("pos").alias("item_pos"), F.col("w").bitwiseXOR(F.col("reading")).alias("w"), *(F.col(f"t{i}").alias(f"i{i}") for i in range(WINDOW)))
+
+
+def _stands_for(pairs: Column) -> Column:
+    """For each value i of an item the value t that most pairs give it, the largest at ties."""
+
+    def most(f: Column, i: Column) -> Column:
+        said = F.transform(F.filter(f, lambda p: p["i"] == i), lambda p: p["t"])
+        return _let(said, lambda all_: F.array_max(F.transform(F.array_distinct(all_), lambda t: F.struct(F.size(F.filter(all_, lambda x: x == t)).alias("n"), t.alias("t")))))["t"]
+
+    return _let(pairs, lambda f: F.transform(F.array_distinct(F.transform(f, lambda p: p["i"])), lambda i: F.struct(i.alias("i"), most(f, i).alias("t"))))
 
 
 def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool = False) -> DataFrame:
     """(text_key, item_id, matched, n_windows) for each item found in a text; text_key is the text's 64-bit hash. The
-    numbers are those of the first reading that finds the item, its own before the others.
+    numbers are those of the reading without names if that finds the item.
 
     With `inside`, items of fewer than five tokens are also found inside longer texts; if they have slots only, with
     the same values. Equal texts are one: their matches collapse before the shuffle."""
@@ -102,9 +152,9 @@ def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool
     sizes = wanted.groupBy("item_key", "reading").agg(F.countDistinct("item_pos").alias("n_windows"))
     short = tuple(r[0] for r in wanted.filter(F.col("n_tokens") < WINDOW).select("n_tokens").distinct().collect()) if inside else ()
     own = docs.select(common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    own = own.select("text_key", F.posexplode(_views(F.col("text"))).alias("view", "tokens")).withColumn("n", F.size("tokens"))
-    made = windows(own, ["text_key", "view", "n"], short=short)
-    hits = made.withColumn("w", F.col("w").bitwiseXOR(F.col("view"))).join(hint(wanted), "w")
+    own = own.select("text_key", F.posexplode(_readings(F.col("text"))).alias("of_text", "tokens")).withColumn("n", F.size("tokens"))
+    made = windows(own, ["text_key", "of_text", "n"], short=short)
+    hits = made.withColumn("w", F.col("w").bitwiseXOR(F.col("of_text"))).join(hint(wanted), "w")
     if short:
         words = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) | F.col(f"i{i}").eqNullSafe(F.col(f"t{i}")) for i in range(WINDOW)]
         some = [F.coalesce(~_is_slot(F.col(f"i{i}")), F.lit(False)) for i in range(WINDOW)]
@@ -112,11 +162,19 @@ def found(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool
     pairs = F.array(*(F.when(_is_slot(F.col(f"i{i}")), F.struct(F.col(f"i{i}").alias("i"), F.col(f"t{i}").alias("t"))) for i in range(WINDOW)))
     of = ["text_key", "item_id", "item_key", "reading"]
     hits = hits.select(*of, (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", F.filter(pairs, lambda p: p.isNotNull()).alias("pairs")).distinct()
-    whole = hits.groupBy(*of, "shift").agg(F.collect_set("item_pos").alias("ps"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    n = F.size("pairs")
-    agree = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["t"]))) == n)
-    matched = whole.filter(agree).groupBy(*of).agg(F.size(F.array_distinct(F.flatten(F.collect_list("ps")))).alias("matched"))
-    enough = matched.join(hint(sizes), ["item_key", "reading"]).filter(F.col("matched") >= F.ceil(F.lit(share) * F.col("n_windows")))
+    hits, _ = common.written(hits, "template-hits")
+    by = ["text_key", "item_key", "reading"]  # item_key tells null ids too
+    cover = hits.groupBy(*by).agg(F.size(F.collect_set("item_pos")).alias("covered")).join(hint(sizes), ["item_key", "reading"])
+    cover = cover.withColumn("need", F.ceil(F.lit(share) * F.col("n_windows"))).filter("covered >= need").select(*by, "n_windows", "need")
+    hits = hits.join(cover, by)
+    of += ["n_windows", "need"]
+    lines = hits.groupBy(*of, "shift").agg(F.collect_list(F.struct("item_pos", "pairs")).alias("ws"))
+    lines = lines.withColumn("m", _stands_for(F.flatten(F.transform("ws", lambda w: w["pairs"]))))
+    agree = _let(F.col("m"), lambda m: F.filter("ws", lambda w: F.forall(w["pairs"], lambda p: F.exists(m, lambda q: (q["i"] == p["i"]) & (q["t"] == p["t"])))))
+    lines = lines.select(*of, "shift", "m", agree.alias("ws"))
+    whole = lines.groupBy(*of).agg(F.max_by("m", F.struct(F.size("ws"), -F.col("shift"))).alias("m"), F.flatten(F.collect_list("ws")).alias("ws"))
+    left = _let(F.col("m"), lambda m: F.filter("ws", lambda w: ~F.exists(w["pairs"], lambda p: F.exists(m, lambda q: (q["i"] == p["i"]) & (q["t"] != p["t"])))))
+    enough = whole.withColumn("matched", F.size(F.array_distinct(F.transform(left, lambda w: w["item_pos"])))).filter("matched >= need")
     best = enough.groupBy("text_key", "item_id", "item_key").agg(F.min_by(F.struct("matched", "n_windows"), "reading").alias("b"))
     return best.select("text_key", "item_id", "b.matched", "b.n_windows")
 
@@ -125,9 +183,9 @@ def judged(docs: DataFrame, items: DataFrame, share: float = SHARE, keep: tuple[
     """The kept columns, contaminated, item_ids (ascending, nulls first) and the largest share of an item's windows found."""
     hits = found(docs, items, share, inside).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("item_id"))).alias("item_ids"), F.max(F.col("matched") / F.col("n_windows")).alias("share"))
     hits, _ = common.written(hits, "contaminated")
-    rows = docs.select(*keep, F.xxhash64(common.text_of()).alias("_text_key"))
-    out = rows.join(hits.withColumnRenamed("text_key", "_text_key"), "_text_key", "left")
-    return out.select(*keep, F.col("share").isNotNull().alias("contaminated"), F.coalesce(F.transform("item_ids", lambda x: x["item_id"]), F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.xxhash64(common.text_of()).alias("text_key")).join(hits, "text_key", "left")
+    ids = F.coalesce(F.transform("item_ids", lambda x: x["item_id"]), F.array().cast("array<bigint>"))
+    return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("share").isNotNull().alias("contaminated"), ids.alias("item_ids"), F.coalesce("share", F.lit(0.0)).alias("share"))
 
 
 def without(docs: DataFrame, items: DataFrame, share: float = SHARE, inside: bool = False) -> DataFrame:

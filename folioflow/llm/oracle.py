@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
-from .decontam import UNITS
+from .decontam import NUMBER_WORDS, units
 
+
+def _listed(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+# The reading without names alone. Tokens are told apart by their first character.
 _DECONTAMINATION = rf"""
 WITH src AS (SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents UNION ALL SELECT DISTINCT 'i', item_id, coalesce(text, '') FROM benchmark),
-a AS (SELECT side, id, regexp_replace(text, '[' || chr(1) || '-' || chr(4) || ']', ' ', 'g') AS x FROM src),
-b AS (SELECT side, id, regexp_replace(x, '([\p{{Ll}}\p{{N}},;:] )(\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)', '\1' || chr(1) || '\2' || chr(4), 'g') AS x FROM a),
-c AS (SELECT side, id, regexp_replace(x, '(\p{{N}}+(?:[.,:]\p{{N}}+)*)', ' ' || chr(2) || '\1' || chr(4) || ' ', 'g') AS x FROM b),
-d AS (SELECT side, id, regexp_replace(x, '(?i)' || chr(4) || ' {{0,2}}({UNITS}|[%$€£°])([^\p{{L}}\p{{N}}]|$)', chr(4) || ' ' || chr(3) || '\1' || chr(4) || ' \2', 'g') AS x FROM c),
-t AS (SELECT side, id, regexp_extract_all(lower(x), '[' || chr(1) || '-' || chr(3) || '][^' || chr(4) || ']*' || chr(4) || '|\p{{L}}+') AS t FROM d),
-p AS (SELECT side, id, t, unnest(range(greatest(len(t) - 4, 1))) AS pos FROM t WHERE len(t) > 0),
+t AS (SELECT side, id, regexp_extract_all(regexp_replace(lower(text), '[' || chr(1) || '-' || chr(4) || ']', ' ', 'g'), '\p{{N}}+(?:[.,:]\p{{N}}+)*|[%$€£°]|\p{{L}}+|  *') AS t FROM src),
+v AS (SELECT side, id, list_filter(list_transform(t, lambda x, i: CASE WHEN x IN ('%', '$', '€', '£', '°') AND (i = 1 OR NOT regexp_matches(t[i - 1][1], '\p{{N}}') AND NOT (i > 2 AND t[i - 1] IN (' ', '  ') AND regexp_matches(t[i - 2][1], '\p{{N}}'))) THEN ' ' ELSE x END), lambda x: x[1] <> ' ') AS t FROM t),
+u AS (SELECT side, id, list_transform(t, lambda x, i: CASE
+  WHEN regexp_matches(x[1], '\p{{N}}') OR list_contains({_listed(NUMBER_WORDS)}, x) THEN chr(2) || x
+  WHEN x IN ('%', '$', '€', '£', '°') THEN chr(3) || x
+  WHEN i > 1 AND (regexp_matches(t[i - 1][1], '\p{{N}}') OR list_contains({_listed(NUMBER_WORDS)}, t[i - 1])) AND list_contains({_listed(units())}, x) THEN chr(3) || x
+  ELSE x END) AS t FROM v),
+p AS (SELECT side, id, t, unnest(range(greatest(len(t) - 4, 1))) AS pos FROM u WHERE len(t) > 0),
 w AS (SELECT side, id, pos, t[pos + 1:pos + 5] AS w FROM p),
-k AS (SELECT *, array_to_string(list_transform(w, lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE x END), ' ') AS template FROM w),
+k AS (SELECT *, CASE WHEN len(list_filter(w, lambda x: x < chr(4))) = 5 THEN array_to_string(w, ' ') ELSE array_to_string(list_transform(w, lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE x END), ' ') END AS template FROM w),
 n AS (SELECT id AS item_id, count(*) AS n_windows FROM k WHERE side = 'i' GROUP BY id),
-h AS (SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift, i.pos AS ip, list_transform(range(1, len(i.w) + 1), lambda j: CASE WHEN i.w[j] < chr(4) THEN {{'i': i.w[j], 't': d.w[j]}} END) AS pairs FROM k d JOIN k i ON d.side = 'd' AND i.side = 'i' AND d.template = i.template),
-g AS (SELECT doc_id, item_id, shift, list(DISTINCT ip) AS ips, list_distinct(list_filter(flatten(list(pairs)), lambda x: x IS NOT NULL)) AS pairs FROM h GROUP BY ALL),
-s AS (SELECT doc_id, item_id, unnest(ips) AS ip FROM g WHERE len(list_distinct(list_transform(pairs, lambda x: x.i))) = len(pairs) AND len(list_distinct(list_transform(pairs, lambda x: x.t))) = len(pairs)),
-m AS (SELECT doc_id, s.item_id, count(DISTINCT ip) / max(n_windows) AS share FROM s JOIN n ON n.item_id = s.item_id GROUP BY 1, 2 HAVING count(DISTINCT ip) >= ceil(0.8 * max(n_windows))),
-f AS (SELECT doc_id, list(item_id ORDER BY item_id) AS item_ids, max(share) AS share FROM m GROUP BY doc_id)
-SELECT o.doc_id, f.doc_id IS NOT NULL AS contaminated, coalesce(f.item_ids, CAST([] AS BIGINT[])) AS item_ids, coalesce(f.share, 0.0) AS share FROM documents o LEFT JOIN f ON f.doc_id = o.doc_id"""
+h AS (SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift, i.pos AS ip, d.w AS dw, i.w AS iw FROM k d JOIN k i ON d.side = 'd' AND i.side = 'i' AND d.template = i.template),
+s AS (SELECT doc_id, item_id, shift, ip, iw[j] AS i, dw[j] AS t FROM (SELECT *, unnest(range(1, len(iw) + 1)) AS j FROM h) WHERE iw[j] < chr(4)),
+m AS (SELECT doc_id, item_id, shift, i, arg_max(t, {{'n': n, 't': t}}) AS t FROM (SELECT doc_id, item_id, shift, i, t, count(*) AS n FROM s GROUP BY ALL) GROUP BY ALL),
+o AS (SELECT * FROM h WHERE NOT EXISTS (FROM s JOIN m USING (doc_id, item_id, shift, i) WHERE s.doc_id = h.doc_id AND s.item_id = h.item_id AND s.shift = h.shift AND s.ip = h.ip AND s.t <> m.t)),
+l AS (SELECT doc_id, item_id, arg_max(shift, {{'n': n, 's': -shift}}) AS shift FROM (SELECT doc_id, item_id, shift, count(*) AS n FROM o GROUP BY ALL) GROUP BY ALL),
+f AS (SELECT doc_id, item_id, i, t FROM m JOIN l USING (doc_id, item_id, shift)),
+g AS (SELECT * FROM o WHERE NOT EXISTS (FROM s JOIN f USING (doc_id, item_id, i) WHERE s.doc_id = o.doc_id AND s.item_id = o.item_id AND s.shift = o.shift AND s.ip = o.ip AND s.t <> f.t)),
+r AS (SELECT doc_id, g.item_id, count(DISTINCT ip) / max(n_windows) AS share FROM g JOIN n ON n.item_id = g.item_id GROUP BY 1, 2 HAVING count(DISTINCT ip) >= ceil(0.8 * max(n_windows))),
+x AS (SELECT doc_id, list(item_id ORDER BY item_id) AS item_ids, max(share) AS share FROM r GROUP BY doc_id)
+SELECT c.doc_id, x.doc_id IS NOT NULL AS contaminated, coalesce(x.item_ids, CAST([] AS BIGINT[])) AS item_ids, coalesce(x.share, 0.0) AS share FROM documents c LEFT JOIN x ON x.doc_id = c.doc_id"""
 
 _WARC = """
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS h FROM pages),
