@@ -1,15 +1,17 @@
 """I-Match fingerprints: distinct terms within a band of inverse document frequency, hashed over randomised lexicons.
 
-Document frequencies are counted over all documents. Terms in the band form the lexicon; its size is bounded by the
-mean number of distinct terms a document divided by the band's floor, whatever the number of documents, and checked.
+Document frequencies are counted over all different texts, so that copies do not push a text's own terms out of the
+band. Terms in the band form the lexicon; its size is bounded by the mean number of distinct terms a text divided by
+the band's floor; it is broadcast up to MOST_TERMS terms and joined by a shuffle beyond.
 The lexicon is dealt at random into subsets of three sizes; a fingerprint has one hash a subset, of the sorted
 distinct terms of the document that fall into it. An edit changes only the hashes of the subsets that it touches, so
 the share of equal hashes tells how alike two texts are: small subsets answer for long texts, large ones for short.
+A text with fewer than FEW terms of the band adds its own LOW terms with the smallest hashes, whatever their frequency.
 
-Defined cases: a null text is empty; a text without terms of the band has only empty subsets, and its likeness to
-another is 1 if both texts are equal, else 0; equal texts have equal fingerprints; a null doc_id counts as the
-smallest; rows with equal doc_id are ordered by text hash; a single document is its own next one; no rows give an
-empty result; other columns are ignored.
+Defined cases: a null text is empty; a text without any term has only empty subsets; equal fingerprints have the
+likeness 1; equal texts have equal fingerprints, also if repeated; a null doc_id counts as the smallest; rows with equal
+doc_id follow each other in an order of their own; a single document is its own next one; a text of any length is read
+as a whole; no rows give an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,122 +21,155 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: The band: terms in at least 1/256 and at most 1/16 of the documents, and in two at least.
+#: The band: terms in at least 1/256 and at most 1/16 of the different texts, and in two at least.
 FLOOR, CEILING = 1 / 256, 1 / 16
 #: Subsets: for each size, the lexicon is dealt into that many parts, of which the first sixteen are used.
 PARTS, USED = (16, 64, 512), 16
-#: Terms that a lexicon may have: it is sent to all tasks.
+#: Terms of a lexicon that is sent to all tasks; a larger one is joined by a shuffle.
 MOST_TERMS = 1_000_000
-_EMPTY = 42  # the hash of no terms
-_BLOCK, _SUPER = 256, 4096
+#: A text with fewer terms of the band than FEW is told by so many of its own terms too.
+FEW, LOW = 4, 16
+#: Subsets of a size that must be filled before their share of equal hashes counts in full.
+ENOUGH = 4
+_NONE = -1  # the hash of no terms
+#: Ids to a block, and rows from which a block is split.
+_BLOCK, _HOT = 256, 4096
 
 
 def term_hashes(text: Column) -> Column:
-    """Distinct terms as hashes: runs of letters and digits in lower case."""
+    """Distinct terms as ascending hashes: runs of letters and digits in lower case."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
 def lexicon(docs: DataFrame, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
-    """The hashes of the band's terms, t, as a table whose size is checked."""
-    total = docs.count()
+    """The hashes of the band's terms, t, as a table."""
+    own = docs.select(common.text_of().alias("text")).withColumn("k", F.xxhash64("text"))
+    total = own.select("k").distinct().count()
     low, high = max(2, -(-total * floor // 1)), max(2, total * ceiling)
-    terms = docs.select(F.explode(term_hashes(common.text_of())).alias("t")).groupBy("t").agg(F.count("*").alias("df")).filter(F.col("df").between(int(low), int(high))).select("t")
-    found, _ = common.written(terms.repartition(8), "lexicon")  # small and bounded: few files
-    if found.count() > MOST_TERMS:
-        raise ValueError("the band holds too many terms; raise its floor")
+    terms = own.dropDuplicates(["k"]).select(F.explode(term_hashes(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    found, _ = common.written(terms.filter(F.col("df").between(int(low), int(high))).select("t").repartition(8), "lexicon")  # bounded: few files
     return found
 
 
 def _subsets(keys: Column, parts: int, shift: int) -> Column:
-    """The hashes of the sorted terms of each of the first sixteen of so many parts; a part is chosen by bits of the term."""
+    """Sixteen bits of the hash of the sorted terms of each of the first sixteen of so many parts; a part is chosen by
+    bits of the term."""
 
     def part(t: Column) -> Column:
         return F.pmod(F.shiftright(t, shift), F.lit(parts))
 
+    def short(inside: Column) -> Column:
+        return F.when(F.size(inside) == 0, F.lit(_NONE)).otherwise(F.xxhash64(inside).bitwiseAND(F.lit(0xFFFF)).cast("int"))
+
     def hashes(inside: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(USED - 1)), lambda s: F.xxhash64(F.filter(inside, lambda t: part(t) == s)))
+        return F.transform(F.sequence(F.lit(0), F.lit(USED - 1)), lambda s: short(F.filter(inside, lambda t: part(t) == s)))
 
     inside = keys if parts == USED else F.filter(keys, lambda t: part(t) < USED)
     return F.get(F.transform(F.array(inside), hashes), F.lit(0))
 
 
 def signature(keys: Column) -> Column:
-    """One hash a subset, 42 where the subset is empty, of sorted distinct terms of the lexicon."""
+    """Sixteen bits a subset, -1 where the subset is empty, of sorted distinct terms."""
     return F.concat(*(_subsets(keys, parts, 14 + 12 * i) for i, parts in enumerate(PARTS)))
 
 
-def in_lexicon(rows: DataFrame, by: list[str], texts: list[str], lex: DataFrame) -> DataFrame:
-    """Rows of unique columns `by` and text columns -> `by` and, under each text's name, its sorted terms of the lexicon.
+def told_by(rows: DataFrame, by: list[str], texts: list[str], lex: DataFrame) -> DataFrame:
+    """Rows of unique columns `by` and text columns -> `by` and, under each text's name, the sorted terms that tell it.
 
-    Terms are looked up one a row by a broadcast join and gathered again in the partition they are in: rows dealt by
-    a column of `by` are not dealt again."""
+    Terms are looked up one a row and gathered again; with a broadcast lexicon they stay in their partition, so rows
+    dealt by a column of `by` are not dealt again."""
+    hint = F.broadcast if lex.count() <= MOST_TERMS else lambda x: x
     hashes = [term_hashes(F.coalesce(F.col(c), F.lit(""))).alias(f"_{i}") for i, c in enumerate(texts)]
     split = rows.select(*by, *hashes)
     ends = [sum((F.size(f"_{j}") for j in range(i + 1)), F.lit(0)).alias(f"_e{i}") for i in range(len(texts))]
     one = split.select(*by, *ends, F.posexplode_outer(F.concat(*(F.col(f"_{i}") for i in range(len(texts))))).alias("_pos", "t"))
-    one = one.join(F.broadcast(lex.withColumn("_in", F.lit(True))), "t", "left").filter(F.col("_in") | F.coalesce(F.col("_pos"), F.lit(0)).eqNullSafe(0))
-    first = lambda i: F.col(f"_e{i - 1}") if i else F.lit(0)
-    got = [F.sort_array(F.collect_list(F.when(F.col("_in") & (F.col("_pos") >= first(i)) & (F.col("_pos") < F.col(f"_e{i}")), F.col("t")))).alias(c) for i, c in enumerate(texts)]
-    return one.groupBy(*by).agg(*got)
+    one = one.join(hint(lex.withColumn("_in", F.lit(True))), "t", "left").withColumn("_in", F.coalesce("_in", F.lit(False)))
+    starts = [F.lit(0), *(F.col(f"_e{i}") for i in range(len(texts) - 1))]
+    inside = [(F.col("_pos") >= a) & (F.col("_pos") < F.col(f"_e{i}")) for i, a in enumerate(starts)]
+    low = [ok & (F.col("_pos") < a + LOW) for a, ok in zip(starts, inside, strict=True)]
+    any_low = low[0]
+    for x in low[1:]:
+        any_low = any_low | x
+    one = one.filter(F.col("_in") | any_low | F.coalesce(F.col("_pos"), F.lit(0)).eqNullSafe(0))
+    gathered = [x for i in range(len(texts)) for x in (F.collect_list(F.when(F.col("_in") & inside[i], F.col("t"))).alias(f"_h{i}"), F.collect_list(F.when(~F.col("_in") & low[i], F.col("t"))).alias(f"_l{i}"))]
+    got = one.groupBy(*by).agg(*gathered)
+    terms = [F.sort_array(F.array_distinct(F.when(F.size(f"_h{i}") >= FEW, F.col(f"_h{i}")).otherwise(F.concat(f"_h{i}", f"_l{i}")))).alias(c) for i, c in enumerate(texts)]
+    return got.select(*by, *terms)
 
 
 def as_text(sig: Column) -> Column:
     """Four hexadecimal digits a subset, dashes where it is empty."""
-    return F.array_join(F.transform(sig, lambda x: F.when(x == _EMPTY, "----").otherwise(F.lower(F.right(F.lpad(F.hex(x), 16, "0"), F.lit(4))))), "")
+    return F.array_join(F.transform(sig, lambda x: F.when(x == _NONE, "----").otherwise(F.lower(F.lpad(F.hex(x), 4, "0")))), "")
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Of the subsets of one size that are not empty in both, the share of equal hashes; the largest of the sizes.
+    Fewer than ENOUGH filled subsets count as so many; equal signatures are alike by 1."""
+    both = F.zip_with(a, b, lambda x, y: F.when((x == _NONE) & (y == _NONE), 0).when(x == y, 3).otherwise(1))
 
+    def share(z: Column) -> Column:
+        return F.size(F.filter(z, lambda x: x == 3)) / F.greatest(F.size(F.filter(z, lambda x: x > 0)), F.lit(ENOUGH))
 
-def likeness(a: Column, b: Column, equal: Column) -> Column:
-    """Share of equal hashes among the subsets that are not empty in both."""
-    both = F.zip_with(a, b, lambda x, y: F.when((x == _EMPTY) & (y == _EMPTY), 0).when(x == y, 3).otherwise(1))
-    some, same = F.size(F.filter(both, lambda x: x > 0)), F.size(F.filter(both, lambda x: x == 3))
-    return F.when(some > 0, same / some).otherwise(F.when(equal, 1.0).otherwise(0.0))
+    shares = F.transform(F.array(both), lambda z: F.greatest(*(share(F.slice(z, 1 + USED * i, USED)) for i in range(len(PARTS)))))
+    return F.when(a == b, 1.0).otherwise(F.get(shares, F.lit(0)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """text_key (the text's 64-bit hash) and fingerprint of every different text."""
     rows = docs.select(common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    keys = in_lexicon(rows, ["text_key"], ["text"], lexicon(docs))
-    return keys.select("text_key", as_text(signature(F.array_distinct("text"))).alias("fingerprint"))
+    keys = told_by(rows, ["text_key"], ["text"], lexicon(docs))
+    return keys.select("text_key", as_text(signature(F.col("text"))).alias("fingerprint"))
 
 
 def _next_blocks(blocks: DataFrame) -> DataFrame:
-    """For each block the next lower one that has rows, for the lowest the highest. Two levels: only one row a
-    super-block (about a million ids) meets in a single task."""
-    b = blocks.select("block", F.floor(F.col("block") / _SUPER).alias("sup"))
-    inside = Window.partitionBy("sup").orderBy(F.desc("block"))
-    b = b.withColumn("lower", F.lead("block").over(inside))
-    tops = b.groupBy("sup").agg(F.max("block").alias("top"))
-    down = Window.orderBy(F.desc("sup"))
-    tops = tops.select("sup", F.coalesce(F.lead("top").over(down), F.first("top").over(down)).alias("below"))
-    return b.join(tops, "sup").select("block", F.coalesce("lower", "below").alias("next_block"))
+    """For each block the next lower one that has rows, for the lowest the highest. Blocks are dealt by range;
+    only one row a range meets in a single task."""
+    spark = blocks.sparkSession
+    dealt, _ = common.written(blocks.distinct().repartitionByRange(common.cores(spark), "block").withColumn("range", F.spark_partition_id()), "blocks")
+    lower = Window.partitionBy("range").orderBy(F.desc("block"))
+    b = dealt.withColumn("lower", F.lead("block").over(lower))
+    tops = dealt.groupBy("range").agg(F.max("block").alias("top"))
+    down = Window.orderBy(F.desc("range"))
+    tops = tops.select("range", F.coalesce(F.lead("top").over(down), F.first("top").over(down)).alias("below"))
+    return b.join(tops, "range").select("block", F.coalesce("lower", "below").alias("next_block"))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, k (nulls as the smallest), h, u, text and block. A block is a run of ids; one with many rows, which can
+    only be if ids are repeated, is split by id and at random, so no id holds a task up."""
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("k"), common.text_of().alias("text"))
+    base = base.withColumns({"h": F.xxhash64("text"), "u": F.lit(0).cast("bigint"), "b": F.floor(F.col("k") / _BLOCK)})
+    hot = base.groupBy("b").agg(F.count("*").alias("n")).filter(F.col("n") > _HOT).select("b")
+    if hot.isEmpty():
+        return base.withColumn("block", F.col("b"))
+    none = F.lit(0).cast("bigint")
+    hot, _ = common.written(hot.withColumn("hot", F.lit(True)), "hot-blocks")
+    base = base.withColumn("u", F.monotonically_increasing_id()).join(hot, "b", "left")
+    return base.withColumn("block", F.struct("b", F.when(F.col("hot"), F.col("k")).otherwise(none).alias("k"), F.when(F.col("hot"), F.pmod(F.xxhash64("h", "u"), F.lit(4096))).otherwise(none).alias("s")))
 
 
 def against_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints every text and its edited form, whose last third comes from the next document in descending ids."""
     lex = lexicon(docs)
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("k"), common.text_of().alias("text")).withColumns({"h": F.xxhash64("text"), "block": F.floor(F.col("k") / _BLOCK)})
-    heads = base.groupBy("block").agg(F.max_by("text", F.struct("k", "h")).alias("head"))
-    follow = _next_blocks(base.select("block").distinct())
+    base = _placed(docs)
+    heads = base.groupBy("block").agg(F.max_by("text", F.struct("k", "h", "u")).alias("head"))
+    follow = _next_blocks(base.select("block"))
     heads = follow.join(heads.withColumnRenamed("block", "next_block"), "next_block").select("block", "head")
-    w = Window.partitionBy("block").orderBy(F.desc("k"), F.desc("h"))
+    w = Window.partitionBy("block").orderBy(F.desc("k"), F.desc("h"), F.desc("u"))
     rows = base.withColumns({"inside": F.lead("text").over(w), "row": F.row_number().over(w)}).join(heads, "block")
     rows = rows.withColumn("next", F.coalesce("inside", "head"))
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next", F.lit(1), third)))
-    by = ["block", "row", "doc_id", "n_chars", "edited_sha256", "same_edited", "same_next"]
-    rows = rows.select(
-        "block", "row", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        (F.col("text") == F.col("edited")).alias("same_edited"), (F.col("text") == F.col("next")).alias("same_next"),
-        "text", "edited", F.when(F.col("inside").isNull(), F.col("head")).alias("head"),
-    )
-    keys = in_lexicon(rows, by, ["text", "edited", "head"], lex)
+    by = ["block", "row", "doc_id", "n_chars", "edited_sha256"]
+    rows = rows.select("block", "row", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", F.when(F.col("inside").isNull(), F.col("head")).alias("head"))
+    keys = told_by(rows, by, ["text", "edited", "head"], lex)
     last = Window.partitionBy("block").orderBy("row")
     keys = keys.select(*by, signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("esig"), signature(F.col("head")).alias("hsig"))
     keys = keys.withColumn("next_sig", F.coalesce(F.lead("sig").over(last), "hsig"))
     return keys.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("sig")).alias("fingerprint"), as_text(F.col("esig")).alias("edited_fingerprint"),
-        likeness(F.col("sig"), F.col("esig"), F.col("same_edited")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig"), F.col("same_next")).alias("near_next"),
+        likeness(F.col("sig"), F.col("esig")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
     )
