@@ -361,7 +361,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 def joined(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """One row a document: class_id (smallest doc_id of its class), n_links (other documents with similarity 0.8 or
-    more, copies included), n_copies (documents with the same shingle set), text_key (its text's 64-bit hash)."""
+    more, copies included), n_copies (documents with the same shingle set), text_key (its text's 64-bit hash), root (the
+    smallest hash of a shingle set of its class)."""
     spark = docs.sparkSession
     common.ship_code(spark)
     rows, _ = common.written(described(docs), "sets")
@@ -379,18 +380,17 @@ def joined(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     known = nodes.select("set_key", "first_id", "copies").join(weights, "set_key", "left").join(comp.withColumnRenamed("node", "set_key"), "set_key", "left")
     known = known.withColumn("root", F.coalesce("root", "set_key"))
     ids = known.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    known = known.join(ids, "root").select("set_key", "class_id", (F.coalesce("weight", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
+    known = known.join(ids, "root").select("set_key", "root", "class_id", (F.coalesce("weight", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
     known, _ = common.written(known, "classes")
-    return rows.select("doc_id", "set_key", "text_key").join(known, "set_key").select("doc_id", "class_id", "n_links", "n_copies", "text_key")
+    return rows.select("doc_id", "set_key", "text_key").join(known, "set_key").select("doc_id", "class_id", "n_links", "n_copies", "text_key", "root")
 
 
 def one_of_each(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """The document with the smallest doc_id of each class, all its columns; of repeated rows one stays."""
+    """The document with the smallest doc_id of each class (of equal ids the smallest text hash; a null id only where the
+    class has no other), all its columns; of repeated rows one stays."""
     least = F.lit(-(1 << 63)).cast("bigint")
-    classes = joined(docs, limit).withColumn("_id", F.coalesce("doc_id", least))
-    # A class of null ids only has no id to be told by; its null rows are told apart by their texts.
-    known = classes.filter((F.col("doc_id") == F.col("class_id")) | F.col("class_id").isNull())
-    kept = known.groupBy("_id").agg(F.min("text_key").alias("_text_key")).filter(F.col("_id") != least).unionByName(known.filter(F.col("class_id").isNull()).select("_id", F.col("text_key").alias("_text_key")).distinct())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("m")
+    kept = joined(docs, limit).groupBy("root").agg(first).select(F.coalesce("m.doc_id", least).alias("_id"), F.col("m.text_key").alias("_text_key"))
     kept, _ = common.written(kept, "kept")
     own = common.Shielded(docs)
     rows = own.inner.withColumns({"_id": F.coalesce(F.col(own("doc_id")).cast("bigint"), least), "_text_key": F.xxhash64(common.text_of(own("text")))})

@@ -52,7 +52,7 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.joined(table(spark, sf_dir, "documents")).drop("text_key")
+    return chosen_path.joined(table(spark, sf_dir, "documents")).drop("text_key", "root")
 
 
 def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

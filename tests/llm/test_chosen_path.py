@@ -116,3 +116,25 @@ def test_components_of_long_chains(spark):
     got = {r["node"]: r["root"] for r in cp.components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {1001: 1000}
     assert cp.components(edges.filter("1 = 0")).count() == 0
+
+
+def test_rows_of_one_id_with_unrelated_texts_stay_both(spark):
+    texts = ["the first of two unrelated texts that share an id but no word shingle", "quite another story about hills and rivers in the north of the land"]
+    rows = [(7, texts[0]), (7, texts[1]), (8, texts[1]), (None, texts[0]), (None, "a third text that has no id at all and no copy")]
+    got = cp.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[1], rows[4]], key=str)
+
+
+def test_recall_at_the_least_similarity(spark):
+    """Pairs at a similarity just over 0.8, each alone: all runs together miss almost none."""
+    import random
+
+    r = random.Random(9)
+    rows = []
+    for k in range(600):
+        words = [f"w{k}x{j}" for j in range(93)]  # 89 shingles
+        other = [*words[:84], *(f"v{k}x{j}" for j in range(9))]  # 80 shared of 98: 0.816
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    r.shuffle(rows)
+    got = {x["doc_id"]: x["n_links"] for x in cp.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got.values()) / len(rows) >= 0.99
