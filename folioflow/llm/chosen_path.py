@@ -220,7 +220,7 @@ def whole_cells(batches):
 
 def _with_company(cells: DataFrame) -> DataFrame:
     """The rows that have a plausible partner in their cell."""
-    rows = cells.repartition(common.cores(cells.sparkSession), "cell").sortWithinPartitions("cell")
+    rows = cells.repartition("cell").sortWithinPartitions("cell")
     names = cells.columns
 
     def run(batches):
@@ -315,7 +315,7 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*flat.flatten(), s.take(pa.array(of))], [*(f.name for f in flat.type), "shingles"])
 
     schema = members.select("cell", "chunk", "whole", *_MEMBERS).withColumn("shingles", F.lit(b"")).schema
-    dealt = rows.mapInArrow(common.lean(sets), schema).repartition(common.cores(spark), "cell").sortWithinPartitions("cell", "set_key")
+    dealt = rows.mapInArrow(common.lean(sets), schema).repartition("cell").sortWithinPartitions("cell", "set_key")
 
     def run(batches):
         for t in whole_cells(batches):

@@ -351,7 +351,7 @@ def _hash(data: bytes, key: int, salt: int) -> int:
 
 def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
     """(text_key, size, first, last): the windows found repeated by sorting each key's contexts."""
-    rows = contexts.select(*_COLUMNS).repartition(common.cores(contexts.sparkSession), "key").sortWithinPartitions("key")
+    rows = contexts.select(*_COLUMNS).repartition("key").sortWithinPartitions("key")
 
     def run(batches):
         held: list = []
@@ -422,7 +422,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT)
 
 def _merged(found: DataFrame, length: int) -> DataFrame:
     """(text_key, size, spans): the maximal spans of each text, packed as pairs of 32-bit integers."""
-    rows = found.select(*_TEXT, "first", "last").repartition(common.cores(found.sparkSession), *_TEXT).sortWithinPartitions(*_TEXT, "first")
+    rows = found.select(*_TEXT, "first", "last").repartition(*_TEXT).sortWithinPartitions(*_TEXT, "first")
 
     def run(batches):
         held: list[tuple[int, int]] = []
