@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,57 +49,72 @@ def estimated_tokens(text: str) -> int:
     return int(words / WORDS_A_TOKEN) + 1 if words else 0
 
 
-def _pieces(text: str, start: int, end: int, size: int, level: int) -> list[tuple[int, int]]:
-    """Spans of at most `size` tokens: cut after empty lines, where that is not enough after lines, then after
-    sentences, and at last at a blank in the second half of a span of fixed length."""
-    if not text[start:end].strip():
-        return []
-    if estimated_tokens(text[start:end]) <= size:
-        return [(start, end)]
-    if level < len(_CUTS):
-        marks = [m.end() for m in _CUTS[level].finditer(text[start:end]) if m.end() < end - start]
-        edges = [start, *(start + m for m in marks), end]
-        return [p for a, b in zip(edges, edges[1:], strict=False) for p in _pieces(text, a, b, size, level + 1)]
-    out, reach = [], max(200, int(size * WORDS_A_TOKEN * 6))
-    while start < end:
-        stop = min(end, start + reach)
-        if stop < end:
-            blank = text.rfind(" ", start + reach // 2, stop)
-            stop = blank + 1 if blank > start else stop
-        out.append((start, stop))
-        start = stop
-    return out
+class _Words:
+    """Where the words of a text begin, so that the words of any span are counted by two look-ups."""
+
+    def __init__(self, text: str):
+        edges = np.array([m.span() for m in re.finditer(r"\S+", text)], np.int64).reshape(-1, 2)
+        self.begin, self.end = edges[:, 0], edges[:, 1]
+
+    def tokens(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Estimated tokens of the spans a .. b; a word that a span cuts into counts in it."""
+        first = np.searchsorted(self.end, a, "right")
+        n = np.maximum(np.searchsorted(self.begin, b) - first, 0)
+        return np.where(n > 0, (n / WORDS_A_TOKEN).astype(np.int64) + 1, 0)
+
+
+def _hard_cuts(text: str, a: int, b: int, reach: int) -> list[int]:
+    """Cuts of a span without better places: after the last blank of the second half of each stretch, or at its end."""
+    cuts = [a]
+    while b - cuts[-1] > reach:
+        blank = text.rfind(" ", cuts[-1] + reach // 2, cuts[-1] + reach)
+        cuts.append(cuts[-1] + reach if blank < 0 else blank + 1)
+    return cuts[1:]
+
+
+def _units(text: str, words: _Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, tokens) of the pieces that windows are made of. All places of a level are found at once; a level's
+    places count inside the spans that the levels before left longer than `size` tokens."""
+    edges = np.array([0, len(text)], np.int64)
+    for places in (*((m.end() for m in cut.finditer(text)) for cut in _CUTS), None):
+        long = words.tokens(edges[:-1], edges[1:]) > size
+        if not long.any():
+            break
+        if places is None:
+            reach = max(200, int(size * WORDS_A_TOKEN * 6))
+            new = np.array([c for a, b in zip(edges[:-1][long], edges[1:][long], strict=True) for c in _hard_cuts(text, int(a), int(b), reach)], np.int64)
+        else:
+            new = np.fromiter(places, np.int64)
+            of = np.searchsorted(edges, new, "right") - 1
+            new = new[(of < len(long)) & long[np.minimum(of, len(long) - 1)]]
+        edges = np.union1d(edges, new)
+    tokens = words.tokens(edges[:-1], edges[1:])
+    some = tokens > 0
+    return edges[:-1][some], edges[1:][some], tokens[some]
 
 
 def windows(text: str, size: int = 512, overlap: int = 64, least: int = 32) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of windows of whole pieces with at most `size` tokens, or of one longer piece; each window
     goes back over pieces of at least `overlap` tokens, but always moves on. White space at their ends does not count,
-    and windows of fewer than `least` tokens are left out."""
+    and windows of fewer than `least` tokens are left out. Ends are found on the running sums of the pieces' tokens."""
     if overlap >= size:
         raise ValueError("the overlap must be smaller than the window")
-    units = [(a, b, estimated_tokens(text[a:b])) for a, b in _pieces(text, 0, len(text), size, 0)]
-    spans, i = [], 0
-    while i < len(units):
-        j, total = i, 0
-        while j < len(units) and (not total or total + units[j][2] <= size):
-            total += units[j][2]
-            j += 1
-        spans.append((units[i][0], units[j - 1][1]))
-        if j == len(units):
-            break
-        back, carried = j, 0
-        while back > i + 1 and carried < overlap:
-            back -= 1
-            carried += units[back][2]
-        i = back
-    out = []
-    for a, b in spans:
-        body = text[a:b]
-        first = a + len(body) - len(body.lstrip())
-        last, tokens = first + len(body.strip()), estimated_tokens(body)
-        if tokens >= least:
-            out.append((first, last, tokens))
-    return out
+    words = _Words(text)
+    start, end, tokens = _units(text, words, size)
+    upto = np.concatenate([[0], np.cumsum(tokens)])
+    firsts, lasts, i = [], [], 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + size, "right")) - 1)
+        firsts.append(start[i])
+        lasts.append(end[j - 1])
+        i = len(start) if j == len(start) else max(i + 1, int(np.searchsorted(upto, upto[j] - overlap, "right")) - 1)
+    a, b = np.array(firsts, np.int64), np.array(lasts, np.int64)
+    n = words.tokens(a, b)
+    kept = n >= max(1, least)
+    a, b, n = a[kept], b[kept], n[kept]
+    a = np.maximum(a, words.begin[np.searchsorted(words.end, a, "right")])
+    b = np.minimum(b, words.end[np.searchsorted(words.begin, b) - 1])
+    return list(zip(a.tolist(), b.tolist(), n.tolist(), strict=True))
 
 
 def flattened(pages: DataFrame) -> DataFrame:

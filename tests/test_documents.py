@@ -17,15 +17,24 @@ def test_grid_spans_signs_and_padding():
 
 
 def test_signs():
-    assert html_tables.joined_signs(["$", "", "5", "%"]) == ["$", "", "5%"]
-    assert html_tables.joined_signs(["%", "a"]) == ["%", "a"]
+    assert html_tables.with_signs([(0, "$"), (2, "5"), (3, "%")]) == ["$", "5%"]
+    assert html_tables.with_signs([(0, "%"), (1, "a")]) == ["%", "a"]
+    assert html_tables.with_signs([(0, "$"), (1, "5"), (2, "%"), (3, "€"), (4, "€"), (5, "7")]) == ["$5%", "€", "€7"]
+    assert html_tables.with_signs([(2, "%"), (3, "a")]) == ["a"]
+
+
+def test_cells_over_rows_and_limits():
+    (t,) = html_tables.tables_of("<table><tr><td rowspan=3>a</td><td>b</td><td rowspan=2>c</td></tr><tr><td>d</td></tr><tr></tr><tr><td>e</td></tr></table>")
+    assert html_tables.placed(t) == [{0: "a", 1: "b", 2: "c"}, {0: "a", 1: "d", 2: "c"}, {0: "a"}, {0: "e"}]
+    rows = [[(str(i), 1, 1), ("x", 1, 1)] for i in range(500)]
+    assert len(html_tables.grid(rows)) == 400 and len(html_tables.grid(rows, None, None)) == 500
 
 
 def test_empty_unclosed_and_nested_tables():
     assert html_tables.tables_of(None) == [] and html_tables.grid([]) == [] and html_tables.markdown([]) == ""
     outer, inner = html_tables.tables_of("<table><tr><td>a<table><tr><td colspan=x>b</table></td><td>c")
     assert outer == [[("a b", 1, 1), ("c", 1, 1)]] and inner == [[("b", 1, 1)]]
-    assert len(html_tables.dense([[("a", 64, 64)]])) == 1
+    assert html_tables.placed([[("a", 64, 64)]]) == [{0: "a"}]
 
 
 @pytest.mark.parametrize("seed", range(5))
