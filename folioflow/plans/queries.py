@@ -13,12 +13,10 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
-from . import reports, services
+from . import facts, reports, services
 
 #: Inline fixtures for columns that the tables lack.
 LINES = "(VALUES (1, '320193|APPLE INC|10-K|20240102|edgar/data/320193/0000320193-24-000001.txt'), (2, '----'), (3, 'CIK|Company|Form|Date|File'), (4, '1|ACME|10-K/A|20240231|edgar/data/1/x.txt'), (5, '2|BETA|10-Q|20240315|edgar/data/2/0000000002-24-000002.txt'), (6, 'a|b|c|d')) AS t(id, line)"
-FACTS = "(VALUES ('c1','Rev','USD',100.0,DATE '2022-01-01',DATE '2022-12-31','10-K',DATE '2023-02-01','a1'), ('c1','Rev','USD',101.0,DATE '2022-01-01',DATE '2022-12-31','10-K/A',DATE '2023-05-01','a2'), ('c1','Rev','USD',25.0,DATE '2022-10-01',DATE '2022-12-31','10-K',DATE '2023-02-01','a1'), ('c1','Sales','USD',99.0,DATE '2022-01-01',DATE '2022-12-31','10-K',DATE '2023-02-01','a1'), ('c2','Sales','USD',7.0,DATE '2022-01-03',DATE '2023-01-02','10-K',DATE '2023-03-01','b1'), ('c2','Assets','USD',70.0,CAST(NULL AS DATE),DATE '2023-01-02','10-K',CAST(NULL AS DATE),'b1')) AS f(cik, tag, unit, val, start_d, end_d, form, filed, accn)"
-TAGS = "(VALUES ('revenue','duration','Rev',0), ('revenue','duration','Sales',1), ('assets','instant','Assets',0)) AS m(field, period, tag, pref)"
 SCORES = "(VALUES ('a1','revenue',100.0,100.0,false), ('a1','assets',70.2,70.0,false), ('a2','revenue',CAST(NULL AS DOUBLE),5.0,false), ('a2','assets',5.0,CAST(NULL AS DOUBLE),false), ('a3','revenue',5000.0,5.0,false), ('a3','assets',9.0,5.0,false), ('a4','revenue',0.0,0.0,false), ('a4','assets',3.0,3.0,true), ('a5','revenue',0.000005,5.0,false), ('a5','assets',1.0,0.0,false)) AS s(accession, field, val, truth, abstained)"
 OLD = "(VALUES ('k1','x','h1',1), ('k2','y','h2',2), ('k3',CAST(NULL AS VARCHAR(9)),'h3',3)) AS o(id, company, digest, v)"
 NEW = "(VALUES ('k2',CAST(NULL AS VARCHAR(9)),'h2',20), ('k3','z','h9',30), ('k4','w','h4',40)) AS n(id, company, digest, v)"
@@ -52,14 +50,6 @@ PORTABLE = {
     "failure_taxonomy": f"SELECT v AS verdict, count(*) AS n FROM (SELECT {VERDICT} AS v FROM {SCORES}) x WHERE v NOT IN ('exact','within_tolerance') GROUP BY v",
     "accuracy_rollup": f"SELECT field, count(*) AS n, sum(CASE WHEN v = 'exact' THEN 1 ELSE 0 END) * 1.0E0 / count(*) AS exact_share FROM (SELECT field, {VERDICT} AS v FROM {SCORES}) x GROUP BY ROLLUP (field)",
     "quality_gate": f"SELECT m AS measured, 0.6E0 AS floor, m >= 0.6E0 AS passed FROM (SELECT avg(CASE WHEN v IN ('exact','within_tolerance') THEN 1.0E0 ELSE 0.0E0 END) AS m FROM (SELECT {VERDICT} AS v FROM {SCORES}) x WHERE v <> 'unresolvable') y",
-    "facts_annual_filter": f"SELECT cik, tag, val FROM {FACTS} WHERE start_d IS NOT NULL AND datediff(end_d, start_d) BETWEEN 340 AND 400",
-    "fiscal_year_of": f"SELECT cik, tag, accn, year(end_d) - CASE WHEN month(end_d) = 1 AND day(end_d) <= 14 THEN 1 ELSE 0 END AS fy FROM {FACTS}",
-    "fiscal_year_for": f"SELECT cik, accn, tag, CASE WHEN form LIKE '10-K%' AND month(filed) < 7 THEN year(filed) - 1 ELSE year(filed) END AS fy FROM {FACTS}",
-    "resolve_field": f"SELECT cik, field, val, tag, accn FROM (SELECT f.cik, m.field, f.val, f.tag, f.accn, row_number() OVER (PARTITION BY f.cik, m.field ORDER BY CASE WHEN f.form = '10-K' THEN 0 ELSE 1 END, m.pref, coalesce(f.filed, DATE '9999-12-31'), f.accn) AS rn FROM {FACTS} JOIN {TAGS} ON f.tag = m.tag WHERE (m.period = 'duration' AND datediff(f.end_d, f.start_d) BETWEEN 340 AND 400) OR (m.period = 'instant' AND f.start_d IS NULL)) x WHERE rn = 1",
-    "resolve_candidates": f"SELECT cik, field, tag, val FROM (SELECT f.cik, m.field, f.val, f.tag, row_number() OVER (PARTITION BY f.cik, m.field, f.tag ORDER BY coalesce(f.filed, DATE '9999-12-31'), f.accn) AS rn FROM {FACTS} JOIN {TAGS} ON f.tag = m.tag WHERE (m.period = 'duration' AND datediff(f.end_d, f.start_d) BETWEEN 340 AND 400) OR (m.period = 'instant' AND f.start_d IS NULL)) x WHERE rn = 1",
-    "prefer_else_fallback": f"SELECT cik, tag, form, val FROM (SELECT cik, tag, form, val, max(CASE WHEN form = '10-K' THEN 1 ELSE 0 END) OVER (PARTITION BY cik, tag) AS any_k FROM {FACTS}) x WHERE form = '10-K' OR any_k = 0",
-    "restated_flag": f"SELECT cik, tag, count(DISTINCT val) > 1 AS restated FROM {FACTS} WHERE start_d IS NULL OR datediff(end_d, start_d) BETWEEN 340 AND 400 GROUP BY cik, tag",
-    "mode_fiscal_year": f"SELECT accn, fy FROM (SELECT accn, fy, row_number() OVER (PARTITION BY accn ORDER BY count(*) DESC, fy) AS rn FROM (SELECT accn, year(end_d) AS fy FROM {FACTS}) x GROUP BY accn, fy) y WHERE rn = 1",
     "item_monotonic": f"SELECT doc, part, pos, num FROM (SELECT h.*, max(num) OVER (PARTITION BY doc, part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM {HEADINGS}) x WHERE m IS NULL OR num > m",
     "lead_region_end": f"SELECT doc, pos, lead(pos, 1, 100) OVER (PARTITION BY doc ORDER BY pos) AS region_end FROM {HEADINGS}",
     "block_offsets": "SELECT doc_id, source, coalesce(CAST(sum(n_chars + 2) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start_at FROM {documents}",
@@ -80,7 +70,6 @@ PORTABLE = {
     "llm_cost": "SELECT conv_id, sum(length(text)) * 0.30E0 / 1e6 AS cost FROM {conversations} WHERE role = 'user' GROUP BY conv_id",
     "backoff_ceiling": "SELECT n, least(1.0E0 * power(2.0E0, n), 30.0E0) AS ceiling FROM (VALUES (0),(1),(2),(3),(4),(5),(6)) AS t(n)",
     "http_status_class": "SELECT code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM (VALUES (200),(404),(403),(429),(500),(503),(401)) AS t(code)",
-    "join_band_tolerance": f"SELECT s.accession, s.field, f.tag FROM {SCORES} JOIN {FACTS} ON f.val BETWEEN s.val * 0.995E0 AND s.val * 1.005E0",
     "cache_stats": f"SELECT count(*) AS lookups, count(o.id) AS hits, count(o.id) * 1.0E0 / count(*) AS hit_rate FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id AND o.digest = n.digest",
     "chunk_invariants": "SELECT count(*) AS n, sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS bad FROM {documents}",
     "revenue_by_region": "SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name, n_name",
@@ -98,7 +87,6 @@ def _portable(sql: str):
 
 
 def _duck(sql: str) -> str:
-    sql = re.sub(r"datediff\(((?:f\.)?end_d), ((?:f\.)?start_d)\)", r"date_diff('day', \2, \1)", sql)
     return re.sub(r"\{(\w+)\}", r"\1", sql)
 
 
@@ -263,8 +251,8 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES).items()}
+    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES).items() if s}
+    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES).items() if s}
