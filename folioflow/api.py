@@ -15,22 +15,23 @@ SCOREABLE = ("exact", "within_tolerance", "scale_error", "hallucinated", "abstai
 RIGHT = ("exact", "within_tolerance")
 
 
-def lexical(chunks: DataFrame, query: str, k: int = 50, where: Column | None = None) -> DataFrame:
-    """(chunk_id, score, rank): the k best rows that fit a search line, by cover density of its plain words, then id."""
-    words = list(dict.fromkeys(retrieval.plain_words(query)))
-    rows = retrieval.with_tokens(chunks if where is None else chunks.filter(where))
-    fit = rows.filter(retrieval.web_condition(F.col("tokens"), query))
+def lexical(chunks: DataFrame, query: str, k: int = 50, where: Column | None = None, stemmed: bool = True) -> DataFrame:
+    """(chunk_id, score, rank): the k best rows that fit a search line, by cover density of its words, then id; by
+    English stems without stop words, or by plain tokens."""
+    words = retrieval.plain_words(query, stemmed)
+    rows = retrieval.with_tokens(chunks if where is None else chunks.filter(where), stemmed=stemmed)
+    fit = rows.filter(retrieval.web_condition(F.col("tokens"), query, stemmed))
     score = F.round(retrieval.cover_density(F.col("tokens"), words), 9) if words else F.lit(0.0)
     best = fit.select("chunk_id", score.alias("score")).orderBy(F.desc("score"), "chunk_id").limit(k)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "chunk_id")))
 
 
-def search(chunks: DataFrame, query: str, top_k: int = 10, where: Column | None = None, dense: DataFrame | None = None, candidates: int = 50) -> DataFrame:
+def search(chunks: DataFrame, query: str, top_k: int = 10, where: Column | None = None, dense: DataFrame | None = None, candidates: int = 50, stemmed: bool = True) -> DataFrame:
     """The top_k chunks (0: all candidates) by rank fusion of the lexical run and, if given, a dense run (chunk_id,
     rank): chunk_id, text, score, n_runs. A blank query is refused."""
     if not query.strip():
         raise ValueError("the query is blank")
-    runs = [lexical(chunks, query, candidates, where).select("chunk_id", "rank")]
+    runs = [lexical(chunks, query, candidates, where, stemmed).select("chunk_id", "rank")]
     if dense is not None:
         runs.append(dense.filter(F.col("rank") <= candidates).select("chunk_id", "rank"))
     best = retrieval.rrf(runs, "chunk_id", top=top_k or None)

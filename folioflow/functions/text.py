@@ -123,3 +123,21 @@ def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity of two vectors, accumulated in double."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+
+
+def filing_url(base: str, cik: Column, accession: Column) -> Column:
+    """Where a filing lies: its number without leading zeros, its accession without hyphens."""
+    bare = F.coalesce(F.nullif(F.regexp_replace(cik, "^0+", ""), F.lit("")), F.lit("0"))
+    return F.concat(F.lit(base.rstrip("/") + "/"), bare, F.lit("/"), F.replace(accession, F.lit("-"), F.lit("")), F.lit("/"))
+
+
+def backoff_seconds(attempt: Column, retry_after: Column, base: float = 1.0, cap: float = 30.0, most: float = 300.0) -> Column:
+    """The longest wait before the next attempt: what the server asks for, up to a bound, if that is a number; else a
+    doubling one. Full jitter draws from 0 to it, once, by the caller."""
+    asked = retry_after.try_cast("double")
+    return F.when(asked >= 0, F.least(asked, F.lit(most))).otherwise(F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(cap)))
+
+
+def model_cost(tokens_in: Column, tokens_out: Column, price_in: float, price_out: float) -> Column:
+    """Cost of a call by prices of a million tokens."""
+    return (tokens_in * F.lit(price_in) + tokens_out * F.lit(price_out)) / F.lit(1e6)

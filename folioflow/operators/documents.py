@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORDS_A_TOKEN
+from . import html_tables
 
 #: Tags whose content is no text.
-_SILENT = {"script", "style", "link", "meta", "head", "title"}
+_SILENT = {"script", "style", "link", "meta", "ix:header", "ix:references", "ix:resources", "ix:hidden", "xbrli:context", "xbrli:unit"}
 #: Where texts may be cut, coarse places first.
 _CUTS = (re.compile(r"\n{2,}"), re.compile(r"\n"), re.compile(r"(?<=[.!?])\s+(?=[A-Z(\"'])"))
 
@@ -44,6 +46,82 @@ def flat_text(html: str | None) -> str:
     return "\n".join(p.out)
 
 
+class _Blocks(_Text):
+    """Prose and outermost tables in order. What a table has inside is kept as written until it ends; a table that only
+    places text goes into the prose."""
+
+    def __init__(self):
+        super().__init__()
+        self.done: list[tuple[str, str]] = []
+        self.raw: list[str] = []
+        self.depth = 0
+
+    def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
+        if not self.quiet and (tag == "table" or self.depth):
+            self.depth += tag == "table"
+            self.raw.append(self.get_starttag_text() or "")
+
+    def handle_endtag(self, tag):
+        super().handle_endtag(tag)
+        if self.depth and not self.quiet:
+            self.raw.append(f"</{tag}>")
+            self.depth -= tag == "table"
+            if not self.depth:
+                self._table()
+
+    def handle_data(self, data):
+        if not self.depth:
+            super().handle_data(data)
+        elif not self.quiet:
+            self.raw.append(escape(data))
+
+    def _table(self):
+        raw, self.raw, self.depth = "".join(self.raw), [], 0
+        rows = html_tables.tables_of(raw)[0]
+        if html_tables.is_layout(rows):
+            self.out += filter(None, flat_text(raw).split("\n"))
+        elif body := html_tables.markdown(html_tables.grid(rows)):
+            self.flush()
+            self.done.append(("table", body))
+
+    def flush(self):
+        if self.out:
+            self.done.append(("prose", "\n".join(self.out)))
+        self.out = []
+
+    def close(self):
+        super().close()
+        if self.depth:
+            self._table()
+        self.flush()
+
+
+def blocks_of(html: str | None) -> tuple[str, list[dict]]:
+    """The text of a page and its blocks (kind, start, end) in it: prose and data tables as Markdown, an empty line
+    between them."""
+    p = _Blocks()
+    p.feed(html or "")
+    p.close()
+    at, blocks = 0, []
+    for kind, body in p.done:
+        blocks.append({"kind": kind, "start": at, "end": at + len(body)})
+        at += len(body) + 2
+    return "\n\n".join(body for _, body in p.done), blocks
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """page_id, text and blocks of each page; a null page has an empty text and no blocks."""
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches):
+        for b in batches:
+            got = [blocks_of(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t for t, _ in got], pa.string()), pa.array([x for _, x in got], kind)], ["page_id", "text", "blocks"])
+
+    return pages.select("page_id", "html").mapInArrow(run, "page_id bigint, text string, blocks array<struct<kind:string,start:int,end:int>>")
+
+
 def estimated_tokens(text: str) -> int:
     words = len(text.split())
     return int(words / WORDS_A_TOKEN) + 1 if words else 0
@@ -139,14 +217,39 @@ def chunked(docs: DataFrame, size: int = 512, overlap: int = 64, least: int = 32
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ordinal int, char_start int, char_end int, token_count int")
 
 
-def within_budget(hits: DataFrame, group: str, budget: int, cap: int) -> DataFrame:
-    """Hits (group, rank, id, tokens) admitted in rank order: at most `budget` of them, skipping any that would exceed
-    `cap` tokens in all. A fold over each group's sorted array."""
-    sorted_hits = hits.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("rank", "id", "tokens"))).alias("h"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("ids"))
+def admitted(hits: DataFrame, group: str, budget: int, cap: int | None = None) -> DataFrame:
+    """(group, n, tokens, ids): which hits (group, step, rank, id, tokens, at, anchor) a context holds, in the order of
+    their places `at`, joined by commas.
 
-    def step(acc, x):
-        fits = (F.size(acc["ids"]) < budget) & (acc["sum"] + x["tokens"] <= cap)
-        return F.when(fits, F.struct((acc["sum"] + x["tokens"]).cast("bigint").alias("sum"), F.concat(acc["ids"], F.array(x["id"].cast("bigint"))).alias("ids"))).otherwise(acc)
+    Hits are taken by step and rank, each id once. At most `budget` are taken; the hits of an anchor step may all be taken
+    if the budget was not reached when the step began. One that would exceed `cap` tokens in all is passed over. A fold
+    over each group's sorted hits, of which there are as many as a question's searches give."""
+    one = F.struct(*(F.col(c) for c in ("step", "rank", "id", "tokens", "at", "anchor")))
+    rows = hits.groupBy(group).agg(F.sort_array(F.collect_list(one)).alias("h"))
+    zero = F.struct(F.array().cast("array<struct<at:bigint,id:string>>").alias("ids"), F.lit(0).cast("bigint").alias("sum"), F.lit(None).cast("bigint").alias("step"), F.lit(0).alias("open"))
 
-    return sorted_hits.select(group, F.aggregate("h", zero, step).alias("a")).select(group, F.col("a.sum").alias("tokens"), F.array_join(F.transform("a.ids", lambda x: x.cast("string")), ",").alias("ids"))
+    def step(acc, x):
+        begun = F.when(acc["step"].eqNullSafe(x["step"].cast("bigint")), acc["open"]).otherwise(F.size(acc["ids"]))
+        room = F.when(x["anchor"], begun < budget).otherwise(F.size(acc["ids"]) < budget)
+        new = ~F.exists(acc["ids"], lambda i: i["id"] == x["id"].cast("string"))
+        fits = F.lit(True) if cap is None else acc["sum"] + x["tokens"] <= cap
+        take = room & new & fits
+        ids = F.when(take, F.concat(acc["ids"], F.array(F.struct(x["at"].cast("bigint").alias("at"), x["id"].cast("string").alias("id"))))).otherwise(acc["ids"])
+        total = (acc["sum"] + F.when(take, x["tokens"]).otherwise(0)).cast("bigint")
+        return F.struct(ids.alias("ids"), total.alias("sum"), x["step"].cast("bigint").alias("step"), begun.alias("open"))
+
+    done = rows.select(group, F.aggregate("h", zero, step).alias("a"))
+    return done.select(group, F.size("a.ids").alias("n"), F.col("a.sum").alias("tokens"), F.array_join(F.transform(F.sort_array("a.ids"), lambda x: x["id"]), ",").alias("ids"))
+
+
+def rendered(chunks: DataFrame, group: str, order: str, heads: list[str], text: str = "text") -> DataFrame:
+    """(group, context): the chunks of a group in order, each a line of heads in brackets and its text, rules between."""
+    head = F.concat_ws(" ", *(F.concat(F.lit("["), F.col(h).cast("string"), F.lit("]")) for h in heads))
+    body = F.concat_ws("\n", head, F.coalesce(F.col(text), F.lit("")))
+    rows = chunks.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), body.alias("b")))).alias("c"))
+    return rows.select(group, F.array_join(F.transform("c", lambda x: x["b"]), "\n\n---\n\n").alias("context"))
+
+
+def is_kept(kind, tokens, text, least: int = 32):
+    """Whether a chunk stays: tables do if they are not blank, prose from `least` tokens on."""
+    return (F.trim(F.regexp_replace(text, r"\s+", " ")) != "") & ((kind == "table") | (tokens >= least))

@@ -5,13 +5,16 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import cosine
+from ..functions.stemming import english, stems
+from ..sources.tables import scratch
 
-#: Rows of a query table that may be sent to all tasks.
-BROADCAST_ROWS = 100_000
+#: Vectors of a query table that are sent to all tasks at a time.
+QUERY_ROWS = 10_000
 
 
 def metadata_filter(equal: dict | None = None, any_of: dict | None = None, at_least: dict | None = None, at_most: dict | None = None) -> Column:
@@ -23,13 +26,19 @@ def metadata_filter(equal: dict | None = None, any_of: dict | None = None, at_le
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-def with_tokens(rows: DataFrame, text: str = "text", to: str = "tokens") -> DataFrame:
-    """Lower-case runs of letters and digits, in order."""
-    return rows.withColumn(to, F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+def _tokens(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def with_tokens(rows: DataFrame, text: str = "text", to: str = "tokens", stemmed: bool = False) -> DataFrame:
+    """Lower-case runs of letters and digits, in order; stemmed: as English stems, stop words as empty strings that keep
+    their places. An index keeps this column, so that searches read it."""
+    return rows.withColumn(to, stems(_tokens(F.col(text))) if stemmed else _tokens(F.col(text)))
 
 
 def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none_of: list[str] = (), phrase: list[str] = ()) -> Column:
-    """A web-search condition over a token array: all words, any of some, none of others, adjacent words."""
+    """A web-search condition over a token array: all words, any of some, none of others, adjacent words. In a phrase an
+    empty word stands for any one token."""
     out = F.lit(True)
     for w in all_of:
         out = out & F.array_contains(tokens, w)
@@ -37,7 +46,15 @@ def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none
         out = out & F.arrays_overlap(tokens, F.array(*(F.lit(w) for w in any_of)))
     for w in none_of:
         out = out & ~F.array_contains(tokens, w)
-    if phrase:
+    if "" in phrase:
+        places = [i for i, w in enumerate(phrase) if w]
+        first, rest = (places[0], places[1:]) if places else (0, [])
+        at = F.filter(F.transform(tokens, lambda w, i: F.when(w == phrase[first], i)), lambda i: i.isNotNull())
+        fits = reduce(lambda x, y: x & y, (F.array_contains(tokens, phrase[first]) for _ in places[:1]), F.lit(bool(places)))
+        if rest:
+            fits = fits & F.exists(at, lambda i: reduce(lambda x, y: x & y, (F.get(tokens, i + (k - first)).eqNullSafe(phrase[k]) for k in rest)))
+        out = out & fits
+    elif phrase:
         shifted = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
         out = out & shifted.contains(" " + " ".join(phrase) + " ")
     return out
@@ -57,19 +74,24 @@ def _search_terms(query: str) -> list[tuple[bool, bool, list[str], bool]]:
     return terms
 
 
-def plain_words(query: str) -> list[str]:
-    """The words of a search line that are not forbidden."""
-    return [w for forbidden, _, words, _ in _search_terms(query) if not forbidden for w in words]
+def plain_words(query: str, stemmed: bool = False) -> list[str]:
+    """The words of a search line that are not forbidden, each once; stemmed: their stems, without stop words."""
+    words = [w for forbidden, _, words, _ in _search_terms(query) if not forbidden for w in words]
+    return [w for w in dict.fromkeys(map(english, words) if stemmed else words) if w]
 
 
-def web_condition(tokens: Column, query: str) -> Column:
+def web_condition(tokens: Column, query: str, stemmed: bool = False) -> Column:
     """The condition of a search line: words must all occur, quoted ones side by side, a leading hyphen forbids, OR
-    between two terms asks for either. Any other sign separates words; a line without words fits nothing."""
+    between two terms asks for either. Any other sign separates words; a line without words fits nothing. stemmed: for
+    stemmed tokens; stop words ask for nothing, and inside quotes for any word."""
     parts: list[Column] = []
     for forbidden, quoted, words, either in _search_terms(query):
-        one = matches(tokens, phrase=words) if quoted else matches(tokens, all_of=words)
+        words = list(map(english, words)) if stemmed else words
+        if not any(words):
+            continue
+        one = matches(tokens, phrase=words) if quoted else matches(tokens, all_of=[w for w in words if w])
         one = ~one if forbidden else one
-        parts = [*parts[:-1], parts[-1] | one] if either else [*parts, one]
+        parts = [*parts[:-1], parts[-1] | one] if either and parts else [*parts, one]
     return reduce(lambda a, b: a & b, parts) if parts else F.lit(False)
 
 
@@ -95,31 +117,82 @@ def cover_density(tokens: Column, terms: list[str]) -> Column:
 
 
 def bm25(rows: DataFrame, key: str, terms: list[str], k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """The k best rows (key, score) by Okapi BM25; ties by key. Only the terms' counts leave the scan."""
-    def times(term: str) -> Column:
-        return F.size(F.filter("tokens", lambda w: w == F.lit(term)))
+    """The k best rows (key, score) by Okapi BM25; ties by key.
+
+    One pass over the texts: it counts rows, lengths and rows with each term while it writes the counts of the rows that
+    have a term. Only those are read again."""
+    spark = rows.sparkSession
+    wanted = list(dict.fromkeys(terms))
+    counted = F.transform(F.array(_tokens(F.col("text"))), lambda t: F.struct(F.size(t).alias("dl"), F.filter(t, lambda w: w.isin(*wanted)).alias("hits")))
 
-    own = with_tokens(rows).select(key, F.size("tokens").alias("dl"), *(times(t).alias(f"tf{i}") for i, t in enumerate(terms)))
-    stats = own.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *(F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"df{i}") for i in range(len(terms))))
-    joined = own.filter(reduce(lambda x, y: x | y, (F.col(f"tf{i}") > 0 for i in range(len(terms))))).withColumn("_one", F.lit(1)).join(F.broadcast(stats.withColumn("_one", F.lit(1))), "_one")
+    def times(term: str) -> Column:
+        return F.size(F.filter("hits", lambda w: w == F.lit(term)))
+
+    own = rows.select(key, F.inline(counted)).select(key, "dl", *(times(t).alias(f"tf{i}") for i, t in enumerate(wanted)))
+    seen = Observation()
+    here = [F.col(f"tf{i}") > 0 for i in range(len(wanted))]
+    path = scratch(spark, "bm25")
+    found = own.observe(seen, F.count("*").alias("n"), F.sum("dl").alias("tokens"), *(F.count_if(x).alias(f"df{i}") for i, x in enumerate(here)))
+    found.filter(reduce(lambda x, y: x | y, here)).write.parquet(path)
+    stats = seen.get
+    n, mean = stats["n"], (stats["tokens"] or 0) / max(1, stats["n"])
     score = F.lit(0.0)
-    for i in range(len(terms)):
-        tf, df = F.col(f"tf{i}"), F.col(f"df{i}")
-        score = score + F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return joined.select(key, score.alias("score")).orderBy(F.desc(F.round("score", 9)), key).limit(k)
+    for i in range(len(wanted)):
+        tf, weight = F.col(f"tf{i}"), float(np.log(1 + (n - stats[f"df{i}"] + 0.5) / (stats[f"df{i}"] + 0.5)))
+        score = score + weight * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / (mean or 1.0)))
+    counts = spark.read.schema(own.schema).parquet(path)
+    return counts.select(key, score.alias("score")).orderBy(F.desc(F.round("score", 9)), key).limit(k)
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, length, out=np.full_like(vectors, np.nan), where=length > 0)
+
+
+def _matrix(vectors) -> np.ndarray:
+    return np.array(vectors, np.float64) if len(vectors) else np.zeros((0, 0))
 
 
 def dense_topk(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k nearest rows of each query by cosine, exact; ties by id.
-
-    A stated set of queries is compared with all rows; the query table is sent to all tasks only after its size is known."""
-    n = queries.count()
-    if n > BROADCAST_ROWS:
-        raise ValueError("split the query set into blocks")
-    pairs = rows.withColumn("_one", F.lit(1)).join(F.broadcast(queries.withColumn("_one", F.lit(1))), "_one")
-    scored = pairs.select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("query")), 6).alias("score"))
+    """(query_id, vec_id, score, rank): the k nearest rows of each query by cosine, exact; ties by id. Null vectors and
+    those without a length are near to nothing.
+
+    A stated set of queries is compared with all rows, QUERY_ROWS queries at a time: each Arrow batch of rows is one matrix
+    product and leaves its own k best of each query, so what is shuffled does not grow with the pairs."""
+    spark = rows.sparkSession
+    some = queries.filter("query is not null")
+    blocks = -(-some.count() // QUERY_ROWS)
+    if not blocks:
+        return rows.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), "vec_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
+    placed = some.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+
+    def best(ids: np.ndarray, asked: np.ndarray):
+        sent = spark.sparkContext.broadcast((ids, _unit(asked)))
+
+        def run(batches):
+            names, q = sent.value
+            for batch in batches:
+                held = batch.filter(batch.column(1).is_valid())
+                if not len(held):
+                    continue
+                found = held.column(0).to_numpy()
+                score = np.round(_unit(_matrix(held.column(1).to_pylist())) @ q.T, 6)
+                score[np.isnan(score)] = -np.inf
+                for i in range(len(names)):
+                    order = np.lexsort((found, -score[:, i]))[:k]
+                    order = order[np.isfinite(score[order, i])]
+                    if len(order):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(order), names[i])), pa.array(found[order]), pa.array(score[order, i])], ["query_id", "vec_id", "score"])
+
+        return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+
+    parts = []
+    for block in range(blocks):
+        got = placed.filter(F.col("_b") == block).select("query_id", "query").collect()
+        if got:
+            parts.append(best(np.array([r[0] for r in got], np.int64), _matrix([r[1] for r in got])))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def rrf(runs: list[DataFrame], key: str, k: int = 60, top: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,11 @@ def upserted(old: DataFrame, new: DataFrame, key: str, keep_if_null: list[str])
 
 
 def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The newest row of each key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return rows.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    """The newest row of each key; of equally new ones the largest by its other columns, so that every run takes the
+    same. An aggregate, so rows of a key combine before the shuffle."""
+    rest = [c for c in rows.columns if c not in (*keys, order)]
+    best = rows.groupBy(*keys).agg(F.max(F.struct(order, *rest)).alias("_b"))
+    return best.select(*(F.col(c) if c in keys else F.col("_b")[c].alias(c) for c in rows.columns))
 
 
 def pending(new: DataFrame, stored: DataFrame, key: str, digest: str) -> DataFrame:

@@ -13,10 +13,9 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
-from . import facts, reports, services
+from . import facts, records, reports, services
 
 #: Inline fixtures for columns that the tables lack.
-LINES = "(VALUES (1, '320193|APPLE INC|10-K|20240102|edgar/data/320193/0000320193-24-000001.txt'), (2, '----'), (3, 'CIK|Company|Form|Date|File'), (4, '1|ACME|10-K/A|20240231|edgar/data/1/x.txt'), (5, '2|BETA|10-Q|20240315|edgar/data/2/0000000002-24-000002.txt'), (6, 'a|b|c|d')) AS t(id, line)"
 SCORES = "(VALUES ('a1','revenue',100.0,100.0,false), ('a1','assets',70.2,70.0,false), ('a2','revenue',CAST(NULL AS DOUBLE),5.0,false), ('a2','assets',5.0,CAST(NULL AS DOUBLE),false), ('a3','revenue',5000.0,5.0,false), ('a3','assets',9.0,5.0,false), ('a4','revenue',0.0,0.0,false), ('a4','assets',3.0,3.0,true), ('a5','revenue',0.000005,5.0,false), ('a5','assets',1.0,0.0,false)) AS s(accession, field, val, truth, abstained)"
 OLD = "(VALUES ('k1','x','h1',1), ('k2','y','h2',2), ('k3',CAST(NULL AS VARCHAR(9)),'h3',3)) AS o(id, company, digest, v)"
 NEW = "(VALUES ('k2',CAST(NULL AS VARCHAR(9)),'h2',20), ('k3','z','h9',30), ('k4','w','h4',40)) AS n(id, company, digest, v)"
@@ -37,7 +36,6 @@ PORTABLE = {
     "filter_like_prefix": "SELECT p_partkey, p_type FROM {part} WHERE upper(p_type) LIKE 'PROMO%'",
     "filter_null": "SELECT count(*) AS n, count(text) AS with_text FROM {documents} WHERE text IS NOT NULL",
     "join_left_semi": "SELECT o_orderkey FROM {orders} WHERE EXISTS (SELECT 1 FROM {customer} WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')",
-    "join_left_anti": "SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE c_custkey = o_custkey)",
     "join_left_default": "SELECT d.doc_id, coalesce(l.quality, -1) AS quality FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id",
     "join_override_coalesce": "SELECT n.n_nationkey, coalesce(o.name, n.n_name) AS name FROM {nation} n LEFT JOIN (VALUES (1, 'override one'), (3, 'override three')) AS o(k, name) ON o.k = n.n_nationkey",
     "incremental_pending": f"SELECT n.id, n.digest FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id WHERE o.digest IS NULL OR o.digest <> n.digest",
@@ -48,7 +46,6 @@ PORTABLE = {
     "field_rates": f"SELECT field, count(*) AS total, sum(CASE WHEN v IN ('exact','within_tolerance') THEN 1 ELSE 0 END) * 1.0E0 / count(*) AS accuracy, sum(CASE WHEN v = 'abstained' THEN 1 ELSE 0 END) * 1.0E0 / count(*) AS abstention FROM (SELECT field, {VERDICT} AS v FROM {SCORES}) x GROUP BY field",
     "scorecard_accuracy": f"SELECT accession, round(avg(CASE WHEN v IN ('exact','within_tolerance') THEN 1.0E0 ELSE 0.0E0 END), 4) AS accuracy FROM (SELECT accession, {VERDICT} AS v FROM {SCORES}) x WHERE v <> 'unresolvable' GROUP BY accession",
     "failure_taxonomy": f"SELECT v AS verdict, count(*) AS n FROM (SELECT {VERDICT} AS v FROM {SCORES}) x WHERE v NOT IN ('exact','within_tolerance') GROUP BY v",
-    "accuracy_rollup": f"SELECT field, count(*) AS n, sum(CASE WHEN v = 'exact' THEN 1 ELSE 0 END) * 1.0E0 / count(*) AS exact_share FROM (SELECT field, {VERDICT} AS v FROM {SCORES}) x GROUP BY ROLLUP (field)",
     "quality_gate": f"SELECT m AS measured, 0.6E0 AS floor, m >= 0.6E0 AS passed FROM (SELECT avg(CASE WHEN v IN ('exact','within_tolerance') THEN 1.0E0 ELSE 0.0E0 END) AS m FROM (SELECT {VERDICT} AS v FROM {SCORES}) x WHERE v <> 'unresolvable') y",
     "item_monotonic": f"SELECT doc, part, pos, num FROM (SELECT h.*, max(num) OVER (PARTITION BY doc, part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM {HEADINGS}) x WHERE m IS NULL OR num > m",
     "lead_region_end": f"SELECT doc, pos, lead(pos, 1, 100) OVER (PARTITION BY doc ORDER BY pos) AS region_end FROM {HEADINGS}",
@@ -61,14 +58,10 @@ PORTABLE = {
     "setop_intersect": f"SELECT id FROM {RUN_A} INTERSECT SELECT id FROM {RUN_B}",
     "setop_except": f"SELECT id FROM {RUN_A} EXCEPT SELECT id FROM {RUN_B}",
     "distinct_sorted": "SELECT DISTINCT source FROM {documents} ORDER BY source",
-    "assert_pk_unique": "SELECT doc_id, count(*) AS n FROM {documents} GROUP BY doc_id HAVING count(*) > 1",
     "metric_counter": "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM {events} GROUP BY event_type",
     "metric_gauge_last": "SELECT event_type, event_id FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM {events}) x WHERE rn = 1",
-    "metric_histogram": "SELECT b.le, count(e.event_id) AS n FROM (VALUES (1.0E0), (10.0E0), (50.0E0), (1000000.0E0)) AS b(le) LEFT JOIN {events} e ON e.value <= b.le GROUP BY b.le",
     "retrieval_metrics": f"SELECT avg(p) AS precision_at_4, avg(r) AS recall_at_4, avg(mrr) AS mrr FROM (SELECT sum(rel) / 4.0E0 AS p, max(rel) * 1.0E0 AS r, coalesce(max(CASE WHEN rel = 1 THEN 1.0E0 / rank END), 0.0E0) AS mrr FROM (SELECT id, rank, CASE WHEN id IN (2, 4) THEN 1 ELSE 0 END AS rel FROM {RUN_A}) x) y",
     "alert_inhibition": "SELECT t.id FROM (VALUES (1,'p1'),(2,'p2'),(3,'p1')) AS t(id, platform) WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('p1')) AS s(platform) WHERE s.platform = t.platform)",
-    "llm_cost": "SELECT conv_id, sum(length(text)) * 0.30E0 / 1e6 AS cost FROM {conversations} WHERE role = 'user' GROUP BY conv_id",
-    "backoff_ceiling": "SELECT n, least(1.0E0 * power(2.0E0, n), 30.0E0) AS ceiling FROM (VALUES (0),(1),(2),(3),(4),(5),(6)) AS t(n)",
     "http_status_class": "SELECT code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM (VALUES (200),(404),(403),(429),(500),(503),(401)) AS t(code)",
     "cache_stats": f"SELECT count(*) AS lookups, count(o.id) AS hits, count(o.id) * 1.0E0 / count(*) AS hit_rate FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id AND o.digest = n.digest",
     "chunk_invariants": "SELECT count(*) AS n, sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS bad FROM {documents}",
@@ -94,13 +87,6 @@ def _values(spark: SparkSession, fixture: str) -> DataFrame:
     return spark.sql("SELECT * FROM " + fixture.replace('"end"', "`end`").replace("AS VARCHAR(9)", "AS STRING"))
 
 
-def scan_delimited_index(spark, folder):
-    parts = F.split("line", "\\|")
-    rows = _values(spark, LINES).select("id", parts.alias("p")).filter((F.size("p") == 5) & F.col("p")[0].rlike("^[0-9]+$") & F.col("p")[3].rlike("^[0-9]{8}$"))
-    rows = rows.withColumn("filed", F.try_to_date(F.col("p")[3], "yyyyMMdd")).filter("filed is not null")
-    return rows.select("id", T.padded_id(F.col("p")[0]).alias("cik"), F.col("p")[1].alias("company"), F.col("p")[2].alias("form"), F.date_format("filed", "yyyy-MM-dd").alias("filed"), F.regexp_replace(F.element_at(F.split(F.col("p")[4], "/"), -1), "\\.txt$", "").alias("accession"))
-
-
 def pad_cik(spark, folder):
     return _values(spark, "(VALUES ('CIK0000320193'), ('320193'), ('0'), (''), ('00012')) AS t(raw)").select("raw", T.padded_id(F.col("raw")).alias("cik"))
 
@@ -117,18 +103,10 @@ def normalise_whitespace(spark, folder):
     return table(spark, folder, "documents").select("doc_id", F.sha2(T.normalised_space(F.col("text")), 256).alias("digest"))
 
 
-def content_hash(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.sha2(F.concat(F.lit("m|64|"), "text"), 256).alias("digest"))
-
-
 def verify_hashes(spark, folder):
     return table(spark, folder, "pages").select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"), F.octet_length("html").cast("bigint").alias("n_bytes"))
 
 
-def scan_partition_keys(spark, folder):
-    return table(spark, folder, "pages").select(F.regexp_extract("url", "^https?://([^/:?#]+)", 1).alias("host")).groupBy("host").agg(F.count("*").alias("n"))
-
-
 def scan_json_props(spark, folder):
     return table(spark, folder, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
@@ -141,12 +119,6 @@ def upsert_merge(spark, folder):
     return tables.upserted(_values(spark, OLD), _values(spark, NEW), "id", ["company"])
 
 
-def landing_status(spark, folder):
-    stored = _values(spark, "(VALUES ('p1','a','1'),('p1','b','2'),('p2','a','3')) AS t(prefix, filename, sha256)")
-    incoming = _values(spark, "(VALUES ('p1','a','1'),('p1','b','2'),('p2','a','9'),('p3','a','4')) AS t(prefix, filename, sha256)")
-    return tables.landing_status(stored, incoming)
-
-
 def interval_point_join(spark, folder):
     return intervals.containing(_values(spark, POINTS), _values(spark, REGIONS), "doc").withColumn("pos", F.col("pos").cast("int"))
 
@@ -188,16 +160,6 @@ def session_counts(spark, folder):
     return intervals.sessions(e, "user_id", "s", 86400).select("user_id", F.col("session").cast("bigint").alias("session"), "n")
 
 
-def latency_percentiles(spark, folder):
-    x = table(spark, folder, "events").groupBy("event_type").agg(F.sort_array(F.collect_list("value")).alias("v"))
-    return x.select("event_type", F.expr("v[cast(bround(0.95D * (size(v) - 1)) as int)]").alias("p95"))
-
-
-def context_budget(spark, folder):
-    hits = table(spark, folder, "conversations").select("conv_id", F.col("turn").alias("rank"), F.col("turn").alias("id"), F.char_length("text").alias("tokens"))
-    return documents.within_budget(hits, "conv_id", 4, 600)
-
-
 def chunk_windows(spark, folder):
     return documents.chunked(table(spark, folder, "documents"))
 
@@ -218,18 +180,14 @@ def breaker_states(spark, folder):
 
 #: Functions of the library, with the SQL to compare with (None: tested in tests/ instead).
 OWN = {
-    "scan_delimited_index": (scan_delimited_index, f"SELECT id, lpad(ltrim(p[1], '0'), 10, '0') AS cik, p[2] AS company, p[3] AS form, strftime(try_strptime(p[4], '%Y%m%d'), '%Y-%m-%d') AS filed, regexp_replace(string_split(p[5], '/')[-1], '\\.txt$', '') AS accession FROM (SELECT id, string_split(line, '|') AS p FROM {LINES}) x WHERE len(p) = 5 AND regexp_full_match(p[1], '[0-9]+') AND regexp_full_match(p[4], '[0-9]{{8}}') AND try_strptime(p[4], '%Y%m%d') IS NOT NULL"),
     "pad_cik": (pad_cik, "SELECT raw, lpad(coalesce(nullif(ltrim(regexp_replace(trim(raw), '^CIK', ''), '0'), ''), '0'), 10, '0') AS cik FROM (VALUES ('CIK0000320193'), ('320193'), ('0'), (''), ('00012')) AS t(raw)"),
     "token_count": (token_count, "SELECT doc_id, CAST(CASE WHEN n > 0 THEN floor(n / 0.75) + 1 ELSE 0 END AS INTEGER) AS tokens FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents) x"),
     "token_estimates": (token_estimates, "SELECT doc_id, CAST(floor(length(text) / 2.5) AS INTEGER) AS by_chars, CAST(floor(length(text) / 4) AS INTEGER) AS by_four FROM documents"),
     "normalise_whitespace": (normalise_whitespace, "SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(text, chr(160), ' '), chr(8232), chr(10)), chr(8233), chr(10) || chr(10)), '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) AS digest FROM documents"),
-    "content_hash": (content_hash, "SELECT doc_id, sha256('m|64|' || text) AS digest FROM documents"),
     "verify_hashes": (verify_hashes, "SELECT page_id, sha256(html) AS digest, strlen(html) AS n_bytes FROM pages"),
-    "scan_partition_keys": (scan_partition_keys, "SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, count(*) AS n FROM pages GROUP BY 1"),
     "scan_json_props": (scan_json_props, "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"),
     "score_fields": (score_fields, f"SELECT accession, field, {VERDICT} AS verdict FROM {SCORES}"),
     "upsert_merge": (upsert_merge, f"SELECT coalesce(n.id, o.id) AS id, coalesce(n.company, o.company) AS company, CASE WHEN n.id IS NOT NULL THEN n.digest ELSE o.digest END AS digest, CASE WHEN n.id IS NOT NULL THEN n.v ELSE o.v END AS v FROM {OLD} FULL JOIN {NEW} ON o.id = n.id"),
-    "landing_status": (landing_status, "SELECT * FROM (VALUES ('p1', 'unchanged'), ('p2', 'conflict'), ('p3', 'landed')) AS t(prefix, status)"),
     "interval_point_join": (interval_point_join, f"SELECT p.doc, p.pos, r.name FROM {POINTS} LEFT JOIN {REGIONS} ON r.doc = p.doc AND p.pos >= r.start AND p.pos < r.\"end\""),
     "fts_match_and": (fts(all_of=["the", "of", "license"]), f"SELECT doc_id FROM {_TOKENS} WHERE list_has_all(tokens, ['the', 'of', 'license'])"),
     "fts_match_or": (fts(any_of=["idiot", "licensed"]), f"SELECT doc_id FROM {_TOKENS} WHERE list_has_any(tokens, ['idiot', 'licensed'])"),
@@ -239,10 +197,7 @@ OWN = {
     "dense_topk_batch": (dense_topk_batch, "SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank FROM (SELECT q.vec_id AS query_id, v.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) DESC, v.vec_id) AS rank FROM embeddings v JOIN embeddings q ON q.vec_id % 20 = 0) x WHERE rank <= 5"),
     "hybrid_rrf": (hybrid_rrf, f"SELECT id, round(sum(s), 9) AS score, count(*) AS n_runs FROM (SELECT id, 1.0 / (60 + rank) AS s FROM {RUN_A} UNION ALL SELECT id, 1.0 / (60 + rank) AS s FROM {RUN_B}) x GROUP BY id ORDER BY score DESC, id LIMIT 4"),
     "session_counts": (session_counts, "SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n FROM (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY s, event_id ROWS UNBOUNDED PRECEDING) AS session FROM (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY user_id ORDER BY s, event_id) <= 86400 THEN 0 ELSE 1 END AS new FROM (SELECT user_id, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events) a) b) c GROUP BY 1, 2"),
-    "latency_percentiles": (latency_percentiles, "SELECT event_type, v[CAST(round_even(0.95 * (len(v) - 1), 0) AS INTEGER) + 1] AS p95 FROM (SELECT event_type, list_sort(list(value)) AS v FROM events GROUP BY 1) x"),
     "stream_tumbling_counts": (streams.tumbling_counts, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"),
-    "stream_dedupe": (streams.first_of_each, "SELECT DISTINCT user_id FROM events"),
-    "context_budget": (context_budget, None),
     "chunk_windows": (chunk_windows, None),
     "html_flat_text": (html_flat_text, None),
     "token_bucket_waits": (token_bucket_waits, None),
@@ -251,8 +206,8 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES).items()}
+    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES).items() if s}
+    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES).items() if s}

@@ -172,10 +172,6 @@ def table_layout_flag(spark, folder):
     return got.select("page_id", "ordinal", "layout")
 
 
-def table_to_markdown(spark, folder):
-    return html_tables.extracted(table(spark, folder, "pages"))
-
-
 def _steps(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events")
     return alerts.steps(e, "event_type", F.unix_seconds(F.col("ts").cast("timestamp")), F.col("value") > 20)
@@ -256,5 +252,4 @@ QUERIES = {
     "cover_density_rank": (cover_density_rank, _COVER),
     "web_search_filter": (web_search_filter, f"SELECT doc_id FROM {_TOKENS} WHERE list_has_any(tokens, ['the', 'idiot']) AND NOT list_contains(tokens, 'licensed') AND contains(' ' || array_to_string(tokens, ' ') || ' ', ' of the ')"),
     "hive_prefix": (hive_prefix, "SELECT doc_id, 'source=' || source || '/lang=' || lang || '-xy' AS prefix FROM documents"),
-    "table_to_markdown": (table_to_markdown, None),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import text as T
-from ..operators import retrieval, tables
+from ..operators import tables
 from ..sources.nested import EXHIBIT
 from ..sources.tables import table
 from ..streaming import windows as streams
@@ -65,13 +65,7 @@ def index_health(spark, folder):
 
 def search(spark, folder):
     chunks = table(spark, folder, "documents").withColumnRenamed("doc_id", "chunk_id")
-    return api.search(chunks, "the of -licensed", 10, F.col("lang") == "en").select("chunk_id", "score", "n_runs")
-
-
-def dense_topk(spark, folder):
-    v = table(spark, folder, "embeddings")
-    one = v.filter("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return retrieval.dense_topk(one, v, 10).select("vec_id", "score", "rank")
+    return api.search(chunks, "the of -licensed", 10, F.col("lang") == "en", stemmed=False).select("chunk_id", "score", "n_runs")
 
 
 def cosine_pairs(spark, folder):
@@ -106,7 +100,6 @@ QUERIES = {
     "verdict_pivot": (verdict_pivot, f"SELECT field, sum((verdict = 'exact')::INT)::BIGINT AS exact, sum((verdict = 'wrong')::INT)::BIGINT AS wrong, sum((verdict = 'abstained')::INT)::BIGINT AS abstained FROM {CARDS} GROUP BY field"),
     "index_freshness": (index_health, "SELECT count(*) AS n, count(o_orderstatus) AS n_text, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 AS age_seconds, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 < 86400 AS fresh FROM orders"),
     "search": (search, _SEARCH),
-    "dense_topk": (dense_topk, "SELECT v.vec_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score, CAST(row_number() OVER (ORDER BY round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) DESC, v.vec_id) AS INTEGER) AS rank FROM embeddings v JOIN embeddings q ON q.vec_id = 0 ORDER BY rank LIMIT 10"),
     "cosine_pairs": (cosine_pairs, "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(list_reverse(embedding) AS DOUBLE[])), 6) AS cosine FROM embeddings"),
     "decode_fallback": (decode_fallback, "SELECT * FROM (VALUES (1,'café'),(2,'café “x”'),(3,''),(4,NULL),(5,chr(129) || chr(147))) AS t(id, text)"),
     "safe_decimal": (safe_decimal, "SELECT * FROM (VALUES ('12.5',12.5E0),('1e3',1000E0),('abc',NULL),('',NULL),('NaN',NULL),('-7',-7E0)) AS t(raw, value)"),
@@ -121,12 +114,8 @@ PORTABLE = {
     "query_prefix": "SELECT m, CASE WHEN lower(m) LIKE '%bge%' THEN 'prefixed: ' || q ELSE q END AS line FROM (VALUES ('BGE-small','net income'),('other','net income')) AS t(m, q)",
     "metrics_long": "SELECT event_type AS label, 'events_total' AS name, count(*) * 1.0E0 AS value FROM {events} GROUP BY event_type UNION ALL SELECT event_type, 'value_max', max(value) FROM {events} GROUP BY event_type",
     "alert_absent": "SELECT r.name, count(e.event_id) = 0 AS firing FROM (VALUES ('error'), ('heartbeat')) AS r(name) LEFT JOIN {events} e ON e.event_type = r.name GROUP BY r.name",
-    "render_context": "SELECT conv_id, turn, '[turn: ' || CAST(turn AS VARCHAR(9)) || '] [' || role || ']' AS head FROM {conversations}",
     "abstention_rules": "SELECT field, listed OR val IS NULL AS abstained FROM (VALUES ('a', true, 1.0E0), ('b', false, CAST(NULL AS DOUBLE)), ('c', false, 2.0E0)) AS t(field, listed, val)",
-    "citation_projection": "SELECT doc_id, 'Item ' || source AS item, replace(lang, '-', '') AS form, doc_id || ':' || source AS url FROM {documents}",
-    "chunk_fixed": "SELECT doc_id, n_chars FROM {documents} WHERE n_chars >= 200",
     "accession_from_path": "SELECT p, replace(regexp_replace(regexp_replace(p, '^.*/', ''), '[.]txt$', ''), '-', '') AS accession FROM (VALUES ('edgar/data/1/0000000001-24-000001.txt'), ('x.txt'), ('a/b')) AS t(p)",
-    "embed_cache_hit_miss": "SELECT l.doc_id, r.doc_id IS NOT NULL AS hit FROM {documents} l LEFT JOIN (SELECT doc_id FROM {labels}) r ON r.doc_id = l.doc_id",
 }
 
 

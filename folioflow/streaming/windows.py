@@ -23,8 +23,8 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tumbling_counts(spark: SparkSession, folder: str, width: str = "1 day") -> DataFrame:
-    """Events a day and type, with a watermark: batches are pre-aggregated and added up when read."""
-    stream = events_stream(spark, folder).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 hour")
+    """Events a day and type: batches are pre-aggregated and added up when read, so late rows count and no state is kept."""
+    stream = events_stream(spark, folder).withColumn("at", F.col("ts").cast("timestamp"))
 
     def merge(df, i, out):
         df.groupBy(F.window("at", width)["start"].alias("start"), "event_type").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch={i}")
@@ -33,11 +33,33 @@ def tumbling_counts(spark: SparkSession, folder: str, width: str = "1 day") -> D
     return got.groupBy(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type").agg(F.sum("n").alias("n"))
 
 
-def first_of_each(spark: SparkSession, folder: str) -> DataFrame:
-    """Users by their first event in the stream: duplicates of a key are dropped with state."""
-    stream = events_stream(spark, folder).select("user_id").dropDuplicates(["user_id"])
+def first_of_each(spark: SparkSession, folder: str, delay: str = "60 days") -> DataFrame:
+    """Contents by their first event in the stream, told by a hash: state is kept for `delay` of event time, in which a
+    content that comes again is dropped."""
+    content = F.sha2(F.concat_ws(":", "event_type", F.col("user_id").cast("string")), 256).alias("digest")
+    stream = events_stream(spark, folder).select(F.col("ts").cast("timestamp").alias("at"), content).withWatermark("at", delay).dropDuplicatesWithinWatermark(["digest"])
     got = spark.read.parquet(_run(stream, spark, "first", lambda df, i, out: df.write.mode("overwrite").parquet(f"{out}/batch={i}")))
-    return got.select("user_id")
+    return got.select("digest")
+
+
+def replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events replayed by their logical date, a day a batch and one after the other; a day that is run again replaces its
+    own result. (day, run, n, total): run is the place of the day's batch."""
+    days = scratch(spark, "days")
+    dated = table(spark, folder, "events").withColumn("day", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"))
+    dated.write.partitionBy("day").parquet(days)
+    out, state, seen = scratch(spark, "replayed"), scratch(spark, "replayed-state"), []
+    for day in sorted(r[0] for r in dated.select("day").distinct().collect()):  # logical dates: one run each, as a schedule has them
+        source = spark.readStream.schema(table(spark, folder, "events").schema).parquet(f"{days}/day={day}")
+        at = len(seen)
+        seen.append(day)
+
+        def run(df, i, day=day, at=at):
+            one = df.agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+            one.select(F.lit(at).alias("run"), "n", "total").write.mode("overwrite").parquet(f"{out}/day={day}")
+
+        source.writeStream.foreachBatch(run).option("checkpointLocation", f"{state}/{day}").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("run int, n bigint, total double, day string").parquet(out).select("day", "run", "n", "total")
 
 
 def sliding_counts(spark: SparkSession, folder: str, width: str = "6 hours", slide: str = "1 hour") -> DataFrame:

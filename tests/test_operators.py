@@ -14,13 +14,14 @@ def test_windows_cover_and_overlap():
 
 
 def test_flat_text():
-    assert documents.flat_text("<head><title>t</title></head><p>a &amp; b</p><script>x()</script><div> c\n d</div>") == "a & b\nc d"
+    assert documents.flat_text("<head><title>t</title></head><p>a &amp; b</p><script>x()</script><div> c\n d</div>") == "t\na & b\nc d"
     assert documents.flat_text(None) == ""
 
 
 def test_budget_skips_what_does_not_fit(spark):
     rows = [("g", 1, 10, 5), ("g", 2, 11, 9), ("g", 3, 12, 4), ("g", 4, 13, 1), ("g", 5, 14, 1)]
-    got = documents.within_budget(spark.createDataFrame(rows, "g string, rank int, id long, tokens int"), "g", 3, 10).collect()
+    hits = spark.createDataFrame(rows, "g string, rank int, id long, tokens int").selectExpr("*", "1 AS step", "id AS at", "false AS anchor")
+    got = documents.admitted(hits, "g", 3, 10).collect()
     assert [(r["tokens"], r["ids"]) for r in got] == [(10, "10,12,13")]
 
 
