@@ -2,6 +2,11 @@
 
 Toxic documents go; one document of each near-duplicate class stays; repeated passages are cut; documents with
 benchmark items go; what is left is encoded. Each stage works on all that its predecessor kept.
+
+Defined cases, in every stage: null and empty texts are clean, have one class between them (of which one row stays), no
+passages, no items and no ids; repeated rows are one class; a null doc_id takes part like any other; texts of any length
+are worked on whole; an empty table stays empty; other columns, whatever their names, are kept up to the last stage.
+Ties are those of the operators: the smallest doc_id, then the smallest text hash of a class stays.
 """
 
 from __future__ import annotations

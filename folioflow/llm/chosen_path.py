@@ -13,8 +13,8 @@ Documents with equal shingle sets are one node with a weight; classes are connec
 
 Words are split at white space, in lower case. A text of fewer than five words is one shingle.
 Defined cases: null and empty texts have no shingle, and are copies of each other; repeated rows are copies; a null
-doc_id takes part like any other, and a class of null ids only has a null class_id; no rows give an empty result;
-other columns are ignored.
+doc_id takes part like any other, and a class of null ids only has a null class_id; of equal ids in a class the smallest
+text hash comes first; a text of any length is one set; no rows give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -328,7 +328,7 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(common.lean(run), "set_key bigint, weight bigint, root bigint")
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) with the smallest node of its component for every node of the edges (u, v).
 
     Rounds of stars: a node's larger neighbours, then its smaller ones, are tied to the smallest of all. Rounds stop when
@@ -346,7 +346,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
     now, path = common.written(edges.select("u", "v").filter("u != v").distinct(), "edges")
     state = None
-    for _ in range(most):
+    while True:
         new, new_path = common.written(stars(stars(now, True), False), "edges")
         seen = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         common.remove(spark, path)
@@ -354,8 +354,6 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if seen == state:
             break
         state = seen
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

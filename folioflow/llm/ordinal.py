@@ -6,8 +6,9 @@ Features (hashed to 2**18 places): words in lower case, the last three character
 often a token repeats the one before it; each family is averaged over the text's tokens.
 
 Defined cases: null and empty texts have only the constant feature "empty"; repeated rows are scored alike; without
-two different grades the tail probability is 1 and the expected grade the only one known (0 without any); no rows
-give an empty result; other columns are ignored or kept as asked.
+two different grades the tail probability is 1 and the expected grade the only one known (0 without any); a text of any
+length is scored as a whole; equal scores are equal, there is no order to break ties in; no rows give an empty result;
+other columns are ignored or kept as asked, under any names.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common, linear
 
@@ -143,7 +145,7 @@ def scored(docs: DataFrame, model: Model, at_least: int | None = None, keep_from
     spark = docs.sparkSession
     common.ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
-    chosen = docs.select(*keep, common.text_of().alias("_text"))
+    chosen = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), common.text_of().alias("_text"))
     schema = chosen.drop("_text").selectExpr("*", "0D expected_grade", "cast(array() as array<double>) tails", "0D score", "false keep").schema
     goal = model.grades[-1] if at_least is None else at_least
 
@@ -157,6 +159,6 @@ def scored(docs: DataFrame, model: Model, at_least: int | None = None, keep_from
             above = [i for i, g in enumerate(own.grades) if g >= goal]
             score = np.zeros(len(s)) if not above else np.ones(len(s)) if above[0] == 0 else p[:, above[0] - 1]
             cols = [pa.array(own.grades[0] + p @ steps), pa.array(list(p), pa.list_(pa.float64())), pa.array(score), pa.array(score >= keep_from)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], [*batch.schema.names[:-1], "expected_grade", "tails", "score", "keep"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], schema.names)
 
-    return chosen.mapInArrow(common.lean(run), schema)
+    return chosen.mapInArrow(common.lean(run), schema).toDF(*keep, *schema.names[len(keep) :])

@@ -170,7 +170,7 @@ def blocks_of(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = BLO
     spark = docs.sparkSession
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), common.text_of().alias("text"))
-        .repartitionByRange(common.cores(spark), "doc_id")
+        .repartitionByRange(common.cores(spark), "doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
         .withColumn("part", F.spark_partition_id())
     )

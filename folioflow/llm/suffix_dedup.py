@@ -469,7 +469,9 @@ def _each(batch) -> list[tuple[bytes, list[list[int]]]]:
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans (byte offsets)."""
-    rows = _with_spans(docs, "text", length, list(keep), repeated_windows(docs, length, limit))
+    names = [f"c{i}" for i in range(len(keep))]
+    own = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col("text").alias("_of"))
+    rows = _with_spans(own, "_of", length, names, repeated_windows(docs, length, limit))
     schema = rows.drop("_text", "_spans").selectExpr("*", "0L n_bytes", "0L n_removed", "0L n_spans", "'' kept_sha256", "cast(array() as array<struct<start:int,end:int>>) spans").schema
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -487,7 +489,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT, keep
                 cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.string(), kind], strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], schema.names)
 
-    return rows.mapInArrow(common.lean(run), schema)
+    return rows.mapInArrow(common.lean(run), schema).toDF(*keep, *schema.names[len(names) :])
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataFrame:

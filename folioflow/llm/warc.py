@@ -7,7 +7,8 @@ coalesced into one read, and each record is cut from the bytes read and verified
 
 Defined cases: a null html is an empty payload; a null URL is written as an empty one; a repeated row (same page_id,
 same payload) is written each time, as response if its page_id is the smallest of its payload; a null page_id is
-larger than any other; no rows give an empty index; other columns are ignored.
+larger than any other, and rows of null ids alone that have one payload are responses all; a payload of any length is
+one record; no rows give an empty index; other columns are ignored.
 """
 
 from __future__ import annotations

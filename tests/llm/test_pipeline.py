@@ -41,3 +41,23 @@ def test_stages_against_brute_force(spark, sf, tmp_path):
 def test_run_gives_the_last_stage(spark, sf):
     got = corpus_pipeline.run(spark, sf)
     assert got.columns[:2] == ["doc_id", "n_tokens"] and got.count() > 50
+
+
+def test_odd_tables_go_through_every_stage(spark, sf, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _text string, text_key long, size int, key string, root long, c0 string"
+    long = " ".join(f"word{i}" for i in range(150_000))
+    copied = " ".join(f"w{i}" for i in range(80))
+    texts = [(1, None), (2, ""), (3, long), (4, copied), (4, copied), (None, "no id here but a few words"), (None, None), (5, copied + " and more words that only this one has at its end " + "x" * 30)]
+    rows = [(d, t, "en", "s", len(t or ""), "z", 9, 3, None, 5, "c") for d, t in texts]
+    for name, table in (("odd", spark.createDataFrame(rows, schema)), ("none", spark.createDataFrame([], schema))):
+        docs = table
+        for stage, run in corpus_pipeline.STAGES:
+            run(spark, docs, sf).write.parquet(str(tmp_path / name / stage))
+            docs = spark.read.parquet(str(tmp_path / name / stage))
+            if stage != "bpe_encoding":
+                assert docs.columns == table.columns
+        got = {r["doc_id"]: r["n_tokens"] for r in docs.collect()}
+        if name == "none":
+            assert got == {}
+        else:
+            assert {1, 3, 4, None} == set(got) and got[1] == 0 and got[3] > 100_000
