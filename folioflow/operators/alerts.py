@@ -40,3 +40,15 @@ def histogram_quantile(counts: DataFrame, key: str, q: float) -> DataFrame:
     low = F.coalesce("b.low", F.lit(0.0))
     inside = low + (F.col("b.le") - low) * (F.col("b.rank") - F.col("b.before")) / (F.col("b.n") - F.col("b.before"))
     return found.select(key, F.when(F.col("b.le") == F.lit(float("inf")), F.col("b.low")).otherwise(inside).alias("value"))
+
+
+def increase(samples: DataFrame, key: str, at: str, value: str, seconds: int) -> DataFrame:
+    """(key, at, increase, rate): how much a counter (key, at in seconds, value) has grown in the `seconds` up to each
+    sample, by the samples within, and that by the second. A counter that falls has begun anew from 0."""
+    in_order = Window.partitionBy(key).orderBy(at)
+    grown = samples.select(key, at, F.col(value).alias("_v"), F.lag(value).over(in_order).alias("_was"), F.lag(at).over(in_order).alias("_then"))
+    step = F.when(F.col("_was").isNull(), F.lit(0.0)).when(F.col("_v") >= F.col("_was"), F.col("_v") - F.col("_was")).otherwise(F.col("_v"))
+    inside = in_order.rangeBetween(-seconds + 1, 0)
+    got = grown.withColumn("_step", step.cast("double")).withColumn("_first", F.min(F.struct(at, "_step")).over(inside))
+    total = F.sum("_step").over(inside) - F.col("_first._step")  # the first sample's own growth was before
+    return got.select(key, at, total.alias("increase"), (total / seconds).alias("rate"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fiscal_year
+from ..functions.text import fiscal_year, verdict
 
 #: Days of an annual period, the form that is preferred.
 ANNUAL = (340, 400)
@@ -73,3 +73,13 @@ def reported_year(observations: DataFrame, wanted: DataFrame, place: str, days:
     years = fit.groupBy("accn", fiscal_year(F.col("end_d")).alias("fy")).agg(F.count("*").alias("n"), F.min(place).alias("first"))
     most = years.groupBy("accn").agg(F.max_by("fy", F.struct("n", -F.col("first"), -F.col("fy"))).alias("fy"))
     return wanted.join(most, "accn", "left").select("accn", F.coalesce("fy", "fallback").alias("fy"))
+
+
+def scored(answers: DataFrame, facts: DataFrame, alternatives: DataFrame, tolerance: float = 0.005) -> DataFrame:
+    """Answers (cik, fy, field, answer, abstained) with truth and verdict: the fact is the truth, and the figures of the
+    field's other tags, a few for each, would do as well. An answer without a fact is unresolvable."""
+    key = ["cik", "fy", "field"]
+    others = alternatives.groupBy(*key).agg(F.collect_list(F.col("val").cast("double")).alias("_others"))
+    rows = answers.join(facts.select(*key, F.col("val").cast("double").alias("truth")), key, "left").join(others, key, "left")
+    found = verdict(F.col("answer"), F.col("truth"), F.col("abstained"), tolerance, F.coalesce("_others", F.array().cast("array<double>")))
+    return rows.select(*answers.columns, "truth", found.alias("verdict"))

@@ -86,6 +86,17 @@ def tag_diagnosis(spark, folder):
     return rows.join(facts, ["cik", "fy"]).filter(near).select("cik", "fy", "tag", "unit").distinct()
 
 
+def score_alternatives(spark, folder):
+    """Answers made from the tag liked least of a field, some in other units, a little off, or none."""
+    o = observations(spark, folder)
+    others = resolver.resolved_candidates(o, specs(spark))
+    last = others.groupBy("cik", "fy", "field").agg(F.max_by("val", "pref").cast("double").alias("v"))
+    k = (F.col("cik") + F.col("fy")) % 6
+    answer = F.when(k == 0, F.col("v") / 1000).when(k == 1, F.col("v") * 1.001).when(k == 2, F.col("v") * 1.5).when(k == 3, F.col("v") * 37).when(k == 4, F.col("v"))
+    asked = last.select("cik", "fy", "field", answer.alias("answer"), (F.col("cik") % 10 == 9).alias("abstained"))
+    return resolver.scored(asked, resolver.resolved(o, specs(spark)), others).groupBy("field", "verdict").agg(F.count("*").alias("n"))
+
+
 _O = """o AS (SELECT o_custkey % 200 AS cik, l_returnflag AS tag, l_linestatus AS unit, l_extendedprice AS val,
  CASE WHEN l_suppkey % 8 <> 0 THEN CAST(l_shipdate AS DATE) - CAST(330 + l_partkey % 100 AS INTEGER) END AS start_d, CAST(l_shipdate AS DATE) AS end_d,
  CASE l_linenumber % 3 WHEN 0 THEN '10-K' WHEN 1 THEN '10-K/A' ELSE '10-Q' END AS form, CASE WHEN l_partkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS filed,
@@ -106,7 +117,17 @@ _TEN_K = "SELECT * FROM (SELECT *, bool_or(form = '10-K') OVER (PARTITION BY cik
 _PINNED = "(SELECT * FROM (SELECT c.*, accn = pin AS own, bool_or(accn = pin) OVER (PARTITION BY cik, fy, field, pref) AS has FROM c JOIN (SELECT cik, fy, max(accn) AS pin FROM y GROUP BY ALL) USING (cik, fy)) WHERE own OR NOT has)"
 _ALL = _ranked(_TEN_K.format("c"), "cik, fy, field, pref")
 
+_NEAR = "abs({0} - x) <= 0.005 * abs(x)"
+_SCORED = f"""SELECT field, verdict, count(*) AS n FROM (SELECT field, CASE WHEN cik % 10 = 9 OR answer IS NULL THEN 'abstained' WHEN answer = truth THEN 'exact'
+ WHEN abs(answer - truth) <= 0.005 * abs(truth) THEN 'within_tolerance' WHEN list_contains(others, answer) THEN 'exact'
+ WHEN len(list_filter(others, lambda x: {_NEAR.format('answer')})) > 0 THEN 'within_tolerance'
+ WHEN len(list_filter([truth], lambda x: {' OR '.join(_NEAR.format(f'answer {sign} {k}') for k in ('1e3', '1e6', '1e9') for sign in '*/')})) > 0 THEN 'scale_error'
+ WHEN greatest(answer, truth) / least(answer, truth) > 10 THEN 'hallucinated' ELSE 'wrong' END AS verdict
+ FROM (SELECT *, CASE (cik + fy) % 6 WHEN 0 THEN v / 1000 WHEN 1 THEN v * 1.001E0 WHEN 2 THEN v * 1.5E0 WHEN 3 THEN v * 37E0 WHEN 4 THEN v END AS answer
+  FROM (SELECT cik, fy, field, arg_max(val, pref) AS v, arg_min(val, pref) AS truth, list(val) AS others FROM (WITH {_ALL}) GROUP BY ALL))) GROUP BY ALL"""
+
 QUERIES = {
+    "score_alternatives": (score_alternatives, _SCORED),
     "facts_annual_filter": (facts_annual_filter, f"WITH {_O} SELECT seq, CAST(days AS INTEGER) AS days FROM y WHERE days BETWEEN 340 AND 400"),
     "fiscal_year_of": (fiscal_year_of, f"WITH {_O} SELECT seq, fy FROM y"),
     "fiscal_year_for": (fiscal_year_for, f"WITH {_O} SELECT seq, CAST(CASE WHEN form = '10-Q' OR month(filed) >= 7 THEN year(filed) ELSE year(filed) - 1 END AS INTEGER) AS fy FROM o"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import payloads
 from ..functions import text as T
-from ..operators import cache, chunks, documents, html_tables, percentiles, retrieval
+from ..operators import alerts, cache, chunks, documents, html_tables, percentiles, retrieval
 from ..sources import landing, sinks
 from ..sources.tables import scratch, table
 from ..streaming import windows as streams
@@ -221,6 +222,20 @@ def metrics_exposition(spark, folder):
     return sinks.exposition(e.select(F.lit("events_total").alias("name"), F.col("event_type").alias("label"), "value"))
 
 
+def counter_rate(spark, folder):
+    """A counter a type that starts anew after every twenty events, and how fast it grew in the last day."""
+    e = table(spark, folder, "events").withColumn("at", F.unix_seconds(F.col("ts").cast("timestamp")))
+    per = e.groupBy("event_type", "at").agg(F.count("*").alias("m"))
+    n = F.sum("m").over(Window.partitionBy("event_type").orderBy("at"))
+    got = alerts.increase(per.select("event_type", "at", (n % 20).cast("double").alias("value")), "event_type", "at", "value", 86400)
+    return got.select("event_type", "at", "increase", F.round("rate", 9).alias("rate"))
+
+
+_RATES = """WITH p AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS t, count(*) AS m FROM events GROUP BY ALL),
+c AS (SELECT event_type, t, sum(m) OVER (PARTITION BY event_type ORDER BY t) % 20 AS v FROM p),
+d AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY t) AS was FROM c), g AS (SELECT event_type, t, CASE WHEN was IS NULL THEN 0 WHEN v < was THEN v ELSE v - was END AS step FROM d),
+w AS (SELECT event_type, t, CAST(sum(step) OVER r - first_value(step) OVER r AS DOUBLE) AS increase FROM g WINDOW r AS (PARTITION BY event_type ORDER BY t RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW))
+SELECT event_type, t AS "at", increase, round(increase / 86400, 9) AS rate FROM w"""
 _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: regexp_full_match(x, 'licens(e|ed|es|ing|able)?|permit(s|ted|ting)?'))"
 
 #: name -> (function, SQL or None where tests/ compare instead)
@@ -244,6 +259,7 @@ QUERIES = {
     "render_context": (render_context, "SELECT conv_id, sha256(string_agg('[' || turn || '] [' || role || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id"),
     "chunk_fixed": (chunk_fixed, "SELECT doc_id, kind FROM (SELECT doc_id, CASE WHEN source = 'src1' THEN 'table' ELSE 'prose' END AS kind, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents) WHERE n > 0 AND (kind = 'table' OR floor(n / 0.75) + 1 >= 32)"),
     "chunk_invariants": (chunk_invariants, "SELECT * FROM (VALUES ('bad_offsets', 0), ('crossing', 0)) AS t(name, n)"),
+    "counter_rate": (counter_rate, _RATES),
     "chunk_table": (chunk_table, None),
     "parse_pages": (parse_pages, None),
     "context_budget": (context_budget, None),
