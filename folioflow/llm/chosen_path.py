@@ -4,8 +4,11 @@ Each run sends a set down a path: at every step the set chooses, by a hash seede
 shingles, so that two sets of similarity J choose alike with probability J. Sets that share a path meet in a bucket.
 A bucket with more than LIMIT sets is split by the next step, at most DEPTH steps deep; small buckets are compared
 pair by pair; what is still large after the last step is compared in blocks, each pair of blocks a bucket of its own,
-so no bucket is cut short. RUNS independent runs bring the recall of a pair at 0.8 to 1 - 0.2**8 in buckets that are
-not split, and to 0.997 in those split twice. A pair is judged in the first run in which it meets.
+so no bucket is cut short. Runs go in rounds of RUNS, which are repeated until the target recall: of the links found
+first in a round, those that met in one run only and those that met in two tell how many links have met in none
+(Chao's estimate, which may be too small where links differ much in how easily they meet). One round brings the recall
+of a pair at 0.8 to 1 - 0.2**8 in buckets that are not split, and to 0.997 in those split twice. A pair is judged in
+the first run in which it meets.
 
 Comparing has two steps: sketches (128 small hashes) and sizes leave the plausible pairs; then the buckets in which
 these are get the whole shingle sets, and similarities are exact.
@@ -29,6 +32,8 @@ from . import common
 
 WORDS, SIMILARITY = 5, 0.8
 RUNS, DEPTH, LIMIT = 8, 3, 1024
+#: Share of the links to be found, as estimated after each round.
+TARGET = 0.99
 BINS = 128
 #: Sketches tell the similarity to about 0.035; pairs that look less alike than this are 0.8 or more once in 10**8.
 PLAUSIBLE = SIMILARITY - 0.2
@@ -68,13 +73,10 @@ def shingles(text: str, words: Words, size: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-_SEEDS = mix(np.arange(1, RUNS + 1, dtype=np.uint64))
-
-
-def paths(s: np.ndarray) -> np.ndarray:
-    """DEPTH x RUNS path hashes of a set."""
+def paths(s: np.ndarray, first: int = 0) -> np.ndarray:
+    """DEPTH x RUNS path hashes of a set, for the runs from `first` on."""
     out = np.zeros((DEPTH, RUNS), np.uint64)
-    seed = _SEEDS
+    seed = mix(np.arange(first + 1, first + RUNS + 1, dtype=np.uint64))
     for d in range(DEPTH):
         best = s[np.argmin(mix(s[None, :] ^ seed[:, None]), axis=1)]
         seed = out[d] = mix(seed + mix(best)) | np.uint64(1)
@@ -165,9 +167,13 @@ class Members:
         self.cell, self.chunk = t["cell"].to_numpy(), t["chunk"].to_numpy()
         self.whole = t["whole"].to_numpy(zero_copy_only=False).astype(bool)
         self.run, self.key, self.n = t["run"].to_numpy(), t["set_key"].to_numpy(), t["n"].to_numpy()
-        self.leaves = np.array(t["leaves"].combine_chunks().flatten(), np.int64).reshape(len(t), RUNS)
+        self.leaves = np.array(t["leaves"].combine_chunks().flatten(), np.int64).reshape(len(t), -1)
         self.sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(t), BINS)
 
+    def meetings(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The number of runs in which the rows of each pair share a bucket."""
+        return np.count_nonzero((self.leaves[i] == self.leaves[j]) & (self.leaves[i] != 0), axis=1)
+
     def plausible(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs of rows are to be judged here and may be similar enough."""
         ok = self.key[i] != self.key[j]
@@ -253,8 +259,12 @@ def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
     return common_parts[i, j].astype(np.int64)
 
 
-def _judge(t: pa.Table) -> list[tuple[int, int, int]]:
-    """(set, weight of its partners, smallest set of its component) for the linked sets of the cells of t."""
+_LINKED = ["set_key", "weight", "root", "pairs", "once", "twice"]
+
+
+def _judge(t: pa.Table) -> list[tuple[int, ...]]:
+    """(set, weight of its partners, smallest set of its component, links counted here, those of them that met in one
+    run, in two) for the linked sets of the cells of t."""
     m = Members(t)
     keys, copies = m.key, t["copies"].to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in t["shingles"].to_pylist()]
@@ -278,6 +288,8 @@ def _judge(t: pa.Table) -> list[tuple[int, int, int]]:
         if not len(x):
             continue
         weight = np.bincount(x - s, copies[y], e - s) + np.bincount(y - s, copies[x], e - s)
+        met = m.meetings(x, y)
+        counts = [np.bincount(x[k] - s, minlength=e - s) for k in (met > 0, met == 1, met == 2)]
         root = list(range(e - s))
 
         def top(v: int, root=root) -> int:
@@ -292,12 +304,12 @@ def _judge(t: pa.Table) -> list[tuple[int, int, int]]:
                 if keys[s + u] > keys[s + v]:
                     u, v = v, u
                 root[v] = u
-        out += [(int(keys[s + v]), int(weight[v]), int(keys[s + top(v)])) for v in np.flatnonzero(weight).tolist()]
+        out += [(int(keys[s + v]), int(weight[v]), int(keys[s + top(v)]), *(int(c[v]) for c in counts)) for v in np.flatnonzero(weight).tolist()]
     return out
 
 
 def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(set_key, weight, root) for every cell and linked set in it, similarities exact."""
+    """The columns _LINKED for every cell and linked set in it, similarities exact."""
     spark = docs.sparkSession
     least = F.lit(-(1 << 63)).cast("bigint")
     asked = members.groupBy("set_key", F.coalesce("doc_id", least).alias("_id"), "text_key").agg(F.collect_list(F.struct("cell", "chunk", "whole", *_MEMBERS)).alias("m"))
@@ -323,9 +335,57 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
             new = np.concatenate([[True], (cell[1:] != cell[:-1]) | (key[1:] != key[:-1])])  # a repeated row counts once
             out = _judge(t.filter(pa.array(new)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["set_key", "weight", "root"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], _LINKED)
+
+    return dealt.mapInArrow(common.lean(run), ", ".join(f"{c} bigint" for c in _LINKED))
+
+
+def _with_paths(docs: DataFrame, nodes: DataFrame, first: int) -> DataFrame:
+    """The nodes with their paths of the runs from `first` on, each from one of its texts."""
+    least = F.lit(-(1 << 63)).cast("bigint")
+    own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("_id"), common.text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
+    rows = own.join(nodes.select(F.coalesce("doc_id", least).alias("_id"), "text_key", "set_key"), ["_id", "text_key"]).select("set_key", "text")
 
-    return dealt.mapInArrow(common.lean(run), "set_key bigint, weight bigint, root bigint")
+    def run(batches):
+        words = Words()
+        for batch in batches:
+            ways = [[_signed(p).tolist() for p in paths(shingles(t, words), first)] for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ways, pa.list_(pa.list_(pa.int64())))], ["set_key", "paths"])
+
+    new = rows.mapInArrow(common.lean(run), "set_key bigint, paths array<array<bigint>>").groupBy("set_key").agg(F.any_value("paths").alias("paths"))
+    return nodes.drop("paths").join(new, "set_key")
+
+
+def unseen(once: int, twice: int) -> float:
+    """Estimated number of links that met in no run of a round, from those that met in one and in two of its runs."""
+    return (RUNS - 1) / RUNS * once * (once - 1) / (2 * (twice + 1))
+
+
+def links_until(docs: DataFrame, nodes: DataFrame, limit: int = LIMIT, target: float = TARGET) -> tuple[DataFrame, list[tuple[int, float]]]:
+    """The links of rounds of runs until the estimated recall is at the target, and for each round the links found so
+    far and that estimate. Every link counts once, in the round in which it meets first."""
+    nodes = nodes.filter("n > 0")
+    links, before, found, rounds = None, None, 0, []
+    while True:
+        first = len(rounds) * RUNS
+        leaves = _leaves(_with_paths(docs, nodes, first) if first else nodes, limit)
+        if first:
+            none = [F.array_repeat(F.lit(0).cast("bigint"), n) for n in (first, RUNS)]
+            every = F.concat(F.coalesce("before", none[0]), F.coalesce("leaves", none[1]))
+            later = F.transform("met", lambda b: F.struct((b["run"] + first).alias("run"), b["leaf"].alias("leaf"), b["size"].alias("size")))
+            leaves = leaves.join(before, "set_key", "full").select("set_key", every.alias("leaves"), later.alias("met"))
+        cells = _cells(nodes, leaves, limit).select("cell", "chunk", "whole", *_MEMBERS)
+        members, at = common.written(_with_company(cells), "members")
+        new, _ = common.written(_links(docs, members), "links")
+        common.remove(docs.sparkSession, at)
+        links = new if links is None else links.unionByName(new)
+        pairs, once, twice = (x or 0 for x in new.agg(F.sum("pairs"), F.sum("once"), F.sum("twice")).first())
+        found += pairs
+        rest = unseen(once, twice)
+        rounds.append((found, found / (found + rest) if rest else 1.0))
+        if rounds[-1][1] >= target:
+            return links, rounds
+        before, _ = common.written(leaves.select("set_key", F.col("leaves").alias("before")), "leaves-before")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -357,7 +417,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def joined(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def joined(docs: DataFrame, limit: int = LIMIT, target: float = TARGET) -> DataFrame:
     """One row a document: class_id (smallest doc_id of its class), n_links (other documents with similarity 0.8 or
     more, copies included), n_copies (documents with the same shingle set), text_key (its text's 64-bit hash), root (the
     smallest hash of a shingle set of its class)."""
@@ -368,11 +428,7 @@ def joined(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     pick = F.struct(F.coalesce("doc_id", least).alias("k"), "text_key", "doc_id", "n", "paths", "sketch")
     nodes = rows.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.min_by(pick, F.struct("doc_id", "text_key")).alias("p"))
     nodes, _ = common.written(nodes.select("set_key", "first_id", "copies", "p.text_key", "p.doc_id", "p.n", "p.paths", "p.sketch"), "nodes")
-    leaves = _leaves(nodes.filter("n > 0"), limit)
-    cells = _cells(nodes, leaves, limit).select("cell", "chunk", "whole", *_MEMBERS)
-    members, at = common.written(_with_company(cells), "members")
-    links, _ = common.written(_links(docs, members), "links")
-    common.remove(spark, at)
+    links, _ = links_until(docs, nodes, limit, target)
     comp = components(links.select(F.col("set_key").alias("u"), F.col("root").alias("v")))
     weights = links.groupBy("set_key").agg(F.sum("weight").alias("weight"))
     known = nodes.select("set_key", "first_id", "copies").join(weights, "set_key", "left").join(comp.withColumnRenamed("node", "set_key"), "set_key", "left")

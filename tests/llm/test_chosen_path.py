@@ -138,3 +138,41 @@ def test_recall_at_the_least_similarity(spark):
     r.shuffle(rows)
     got = {x["doc_id"]: x["n_links"] for x in cp.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got.values()) / len(rows) >= 0.99
+
+
+def test_rounds_go_on_until_the_target_and_count_no_link_twice(spark, monkeypatch):
+    texts = corpus(5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = []
+
+    def unseen(once, twice):
+        asked.append((once, twice))
+        return 1e9 if len(asked) < 3 else 0.0
+
+    monkeypatch.setattr(cp, "unseen", unseen)
+    assert rows_of(cp.joined(df)) == sorted(brute(range(len(texts)), texts), key=str)
+    assert len(asked) == 3
+
+
+def test_later_rounds_find_what_earlier_ones_lost(spark, monkeypatch):
+    texts = corpus(6)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    least = cp.F.lit(-(1 << 63)).cast("bigint")
+    rows = cp.described(df).groupBy("set_key").agg(cp.F.count("*").alias("copies"), cp.F.min(cp.F.struct(cp.F.coalesce("doc_id", least).alias("doc_id"), "text_key", "n", "sketch", "paths")).alias("p"))
+    nodes = rows.select("set_key", "copies", "p.*")
+    empty = cp.F.transform("paths", lambda p: cp.F.transform(p, lambda _: cp.F.xxhash64("set_key")))
+    whole, once = cp.links_until(df, nodes)
+    left = iter([1e9, 0.0])
+    monkeypatch.setattr(cp, "unseen", lambda once, twice: next(left))
+    lost, rounds = cp.links_until(df, nodes.withColumn("paths", empty))  # nobody meets anybody in the first round
+    assert rounds[0] == (0, 0.0) and rounds[1][0] == once[-1][0]
+    weights = lambda x: sorted((r["set_key"], r["w"]) for r in x.groupBy("set_key").agg(cp.F.sum("weight").alias("w")).collect())
+    assert weights(lost) == weights(whole)
+
+
+def test_estimate_of_links_unseen():
+    r = random.Random(4)
+    for p in (0.4, 0.6, 0.8):
+        met = [sum(r.random() < p for _ in range(cp.RUNS)) for _ in range(200_000)]
+        assert abs(cp.unseen(met.count(1), met.count(2)) - met.count(0)) <= 0.15 * met.count(0) + 10
+    assert cp.unseen(0, 0) == cp.unseen(1, 0) == 0
