@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sections, text as T
-from ..operators import alerts, headings, html_tables, intervals, retrieval
-from ..sources import nested
+from ..operators import alerts, headings, html_tables, intervals, replies, retrieval
+from ..sources import configs, nested
 from ..sources.tables import table
 
 LISTING = """{"directory":{"name":"/d","item":[{"name":"a.htm","size":"900"},{"name":"ex-99.htm","size":"2000"},{"name":"b.htm","size":""},{"name":"c-index.htm","size":"9999"}]}}"""
@@ -27,6 +27,9 @@ ANSWERS = "(VALUES ('a1','revenue','100','100'),('a2','revenue','110','100'),('a
 CITED = "(VALUES ('a1','revenue','exact','c1,c2'),('a2','revenue','wrong','c1'),('a3','assets','exact',''),('a4','assets','abstained','c9'),('a5','assets','within_tolerance','c2')) AS s(accession, field, verdict, cited)"
 CHUNKS = "(VALUES ('c1','prose'),('c2','table')) AS c(chunk_id, chunk_type)"
 COMPLETIONS = """(VALUES ('p1','```json' || chr(10) || '{"total_revenue": "12.5", "confidence": 0.9, "abstained_fields": ["net_income", "other"]}' || chr(10) || '```'), ('p2','{"total_revenue": null}'), ('p3','not json'), ('p4','{"total_revenue":"NaN","net_income":4,"fiscal_year":2021}')) AS t(id, reply)"""
+ASKED = """(VALUES ('p1','{"total_revenue": 5, "confidence": 0.5}',NULL), ('p2','no json','{"net_income": "7.5"}'), ('p3','{"total_revenue": 4','still {'), ('p4',NULL,'{"total_revenue": 2, "net_income": 1}'), ('p5','nothing',NULL)) AS t(id, reply, again)"""
+LABELLED = """{"queries":[{"id":"q1","query":"single sources of supply","ticker":"AAPL","form":"10-K","items":["1A"]},{"id":"q2","query":"loans and deposits","ticker":"JPM","form":"10-K","items":["1","7"]},{"id":"q3","query":"of no company","ticker":"NONE","form":"10-Q","items":[]}]}"""
+TAG_MAP = """{"fields":{"sales":{"period":"duration","units":["USD","EUR"],"tags":["Revenues","Sales","Revenues"]},"assets":{"period":"instant","tags":["Assets","AssetsNet"]}}}"""
 PROBED = "(VALUES (2022,'revenue','A','Rev',false),(2022,'revenue','B','Rev',true),(2022,'revenue','C','Sales',false),(2022,'assets','A',CAST(NULL AS VARCHAR),false),(2023,'revenue','A',CAST(NULL AS VARCHAR),false),(2023,'revenue','B','Rev',false)) AS p(fy, field, ticker, tag, restated)"
 CONTEXTS = "(VALUES ('a1','revenue',1234000.0,'sales of 1,234 thousand'),('a1','assets',5500000.0,'nothing'),('a2','revenue',CAST(NULL AS DOUBLE),'x'),('a2','assets',-42.0,'a loss of (42)'),('a3','revenue',1234.5,'1234')) AS c(accession, field, truth, context)"
 SIZES = "(VALUES (6,900,true),(6,1200,false),(6,700,true),(10,1500,true),(10,2500,true)) AS s(budget, tokens, covered)"
@@ -136,6 +139,22 @@ def parse_completion(spark, folder):
     return got.withColumns({c: F.col(c).cast("double") for c in ("total_revenue", "net_income")})
 
 
+def abstain_fallback(spark, folder):
+    rows = values(spark, ASKED)
+    first = nested.completions(rows, "id", "reply", 2023)
+    second = nested.completions(rows.filter("again IS NOT NULL").join(replies.unfit(first, "id"), "id", "left_semi"), "id", "again", 2023)
+    return replies.settled(first, second, "id").select("id", "ok", "attempts", *(F.col(c).cast("double").alias(c) for c in ("total_revenue", "net_income")), "confidence", "abstained")
+
+
+def scan_labelled_queries(spark, folder):
+    got = nested.labelled_queries(json_of(LABELLED)(spark), scan_query_set(spark, folder))
+    return got.select("id", "query", "ticker", "form", F.array_join("items", ",").alias("items"), "cik")
+
+
+def scan_tag_map(spark, folder):
+    return configs.tag_specs(spark, TAG_MAP)
+
+
 def value_forms_contains(spark, folder):
     return values(spark, CONTEXTS).select("accession", "field", F.exists(T.figure_forms(F.col("truth")), lambda f: F.col("context").contains(f)).alias("found"))
 
@@ -218,6 +237,9 @@ def hive_prefix(spark, folder):
     return table(spark, folder, "documents").select("doc_id", F.concat(F.lit("source="), T.path_segment(F.col("source")), F.lit("/lang="), T.path_segment(F.concat("lang", F.lit("/x y")))).alias("prefix"))
 
 
+_OBJECT = "coalesce(CASE WHEN json_valid({0}) THEN json_type({0}::JSON) = 'OBJECT' ELSE false END, false)"
+_FIGURE = "CAST(CASE WHEN a THEN reply::JSON ->> '{0}' WHEN b THEN again::JSON ->> '{0}' END AS DOUBLE)"
+
 #: name -> (function, SQL or None where tests/ compare instead)
 QUERIES = {
     "scan_json_listing": (scan_json_listing, f"SELECT i.name AS name, coalesce(try_cast(i.size AS BIGINT), 0) AS size FROM (SELECT unnest(from_json('{LISTING}'::JSON -> 'directory' -> 'item', '[{{\"name\":\"VARCHAR\",\"size\":\"VARCHAR\"}}]')) AS i) x"),
@@ -239,6 +261,9 @@ QUERIES = {
     "source_kind": (source_kind, f"SELECT accession, field, CASE WHEN bool_or(chunk_type = 'table') THEN 'table' WHEN count(chunk_type) > 0 THEN 'prose' ELSE 'unknown' END AS kind FROM (SELECT *, unnest(string_split(cited, ',')) AS cid FROM {CITED}) x LEFT JOIN {CHUNKS} ON chunk_id = cid GROUP BY 1, 2"),
     "accuracy_by_source_kind": (accuracy_by_source_kind, f"SELECT kind, count(*) AS total, sum((verdict IN ('exact','within_tolerance'))::INT)::BIGINT AS correct FROM (SELECT accession, field, verdict, CASE WHEN bool_or(chunk_type = 'table') THEN 'table' WHEN count(chunk_type) > 0 THEN 'prose' ELSE 'unknown' END AS kind FROM (SELECT *, unnest(string_split(cited, ',')) AS cid FROM {CITED}) x LEFT JOIN {CHUNKS} ON chunk_id = cid GROUP BY 1, 2, 3) y GROUP BY kind"),
     "parse_completion": (parse_completion, "SELECT * FROM (VALUES ('p1',true,12.5E0,NULL,2023,'USD',0.9E0,'net_income'),('p2',true,NULL,NULL,2023,'USD',0E0,''),('p3',false,NULL,NULL,2023,'USD',0E0,'total_revenue,net_income,total_assets,operating_cash_flow'),('p4',true,NULL,4E0,2021,'USD',0E0,'')) AS t(id, ok, total_revenue, net_income, fiscal_year, currency, confidence, abstained)"),
+    "abstain_fallback": (abstain_fallback, f"SELECT id, a OR b AS ok, CASE WHEN a OR again IS NULL THEN 1 ELSE 2 END AS attempts, {_FIGURE.format('total_revenue')} AS total_revenue, {_FIGURE.format('net_income')} AS net_income, coalesce({_FIGURE.format('confidence')}, 0) AS confidence, CASE WHEN a OR b THEN '' ELSE 'total_revenue,net_income,total_assets,operating_cash_flow' END AS abstained FROM (SELECT *, {_OBJECT.format('reply')} AS a, {_OBJECT.format('again')} AS b FROM {ASKED}) x"),
+    "scan_labelled_queries": (scan_labelled_queries, f"SELECT q.id AS id, q.query AS query, q.ticker AS ticker, q.form AS form, array_to_string(q.items, ',') AS items, coalesce(lpad(c.cik, 10, '0'), '') AS cik FROM (SELECT unnest(from_json('{LABELLED}'::JSON -> 'queries', '[{{\"id\":\"VARCHAR\",\"query\":\"VARCHAR\",\"ticker\":\"VARCHAR\",\"form\":\"VARCHAR\",\"items\":[\"VARCHAR\"]}}]')) AS q) x LEFT JOIN (SELECT unnest(from_json('{UNIVERSE}'::JSON -> 'companies', '[{{\"ticker\":\"VARCHAR\",\"cik\":\"VARCHAR\"}}]')) AS c) y ON c.ticker = q.ticker"),
+    "scan_tag_map": (scan_tag_map, "SELECT * FROM (VALUES ('sales','duration','USD','Revenues',0),('sales','duration','EUR','Revenues',0),('sales','duration','USD','Sales',1),('sales','duration','EUR','Sales',1),('assets','instant','USD','Assets',0),('assets','instant','USD','AssetsNet',1)) AS t(field, period, unit, tag, pref)"),
     "value_forms_contains": (value_forms_contains, "SELECT * FROM (VALUES ('a1','revenue',true),('a1','assets',false),('a2','revenue',false),('a2','assets',true),('a3','revenue',false)) AS t(accession, field, found)"),
     "context_coverage": (context_coverage, "SELECT * FROM (VALUES ('revenue',1,1,1),('assets',1,1,0)) AS t(field, covered, missing, unresolvable)"),
     "budget_sweep": (budget_sweep, f"SELECT budget, avg(covered::INT) AS coverage, list_sort(list(tokens))[CAST(floor(count(*) / 2) AS INT) + 1] AS mid, max(tokens) AS most, max(tokens) + 1500 < 4000 AS fits FROM {SIZES} GROUP BY budget"),

@@ -47,6 +47,14 @@ def companies(rows: DataFrame) -> DataFrame:
     return _parsed(rows, "companies array<struct<ticker:string,cik:string,sector:string>>").select(F.inline("j.companies"))
 
 
+def labelled_queries(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """(id, query, ticker, form, items, cik) of a set of queries with the items where their answers are; cik is that of
+    the registry (ticker, cik), empty for a ticker that it lacks."""
+    own = _parsed(rows, "queries array<struct<id:string,query:string,ticker:string,form:string,items:array<string>>>").select(F.inline("j.queries"))
+    known = registry.groupBy("ticker").agg(F.min("cik").alias("cik"))
+    return own.join(known, "ticker", "left").select("id", "query", "ticker", "form", "items", F.coalesce("cik", F.lit("")).alias("cik"))
+
+
 def observations(rows: DataFrame) -> DataFrame:
     """(taxonomy, tag, unit, val, start_d, end_d, form, filed, accn): facts by taxonomy, tag and unit laid flat; a date
     that cannot be read is null."""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from folioflow import jobs, settings
 from folioflow.functions import payloads
 from folioflow.functions.stemming import english, stem
-from folioflow.operators import cache, chunks, documents, percentiles, resolver, retrieval, tables
-from folioflow.sources import landing, sinks
+from folioflow.operators import cache, chunks, documents, percentiles, replies, resolver, retrieval, tables
+from folioflow.sources import configs, landing, nested, sinks
 
 
 def test_stems():
@@ -180,3 +180,26 @@ def test_jobs(spark, tmp_path):
     assert run("run_extraction", "--floor", "0.9") == 1 and run("run_extraction", "--floor", "0") == 0
     with pytest.raises(ValueError):
         run("index_corpus", "--overlap", "600")
+
+
+def test_tag_maps(spark):
+    assert configs.annual_days("annual_duration_days: {max: 390}") == (340, 390) and configs.annual_days("") == (340, 400)
+    assert configs.tag_specs(spark, '{"fields": {}}').count() == 0 and configs.tag_specs(spark, "").count() == 0
+    if configs.yaml:
+        text = "fields:\n  sales:\n    period: instant\n    units: [EUR]\n    tags:\n      - B   # first\n      - A\n      - B\n"
+        assert sorted(tuple(r) for r in configs.tag_specs(spark, text).collect()) == [("sales", "instant", "EUR", "A", 1), ("sales", "instant", "EUR", "B", 0)]
+    with pytest.raises(ValueError, match="period"):
+        configs.tag_specs(spark, '{"fields": {"x": {"period": "month", "tags": ["T"]}}}')
+    with pytest.raises(ValueError, match="mapping"):
+        configs.parsed("[1]")
+
+
+def test_replies_are_asked_for_once_more(spark):
+    asked = spark.createDataFrame([(1, '{"net_income": 3}'), (2, "{"), (3, None), (4, '{"total_revenue": 9')], "k int, reply string")
+    first = nested.completions(asked, "k", "reply", 2020)
+    assert sorted(r.k for r in replies.unfit(first, "k").collect()) == [2, 3, 4]
+    second = nested.completions(spark.createDataFrame([(2, '{"total_revenue": 8, "fiscal_year": 2019}'), (4, "no")], "k int, reply string"), "k", "reply", 2020)
+    got = {r.k: r for r in replies.settled(first, second, "k").collect()}
+    assert [(got[k].ok, got[k].attempts, got[k].error is None) for k in (1, 2, 3, 4)] == [(True, 1, True), (True, 2, True), (False, 1, False), (False, 2, False)]
+    assert got[2].total_revenue == 8 and got[2].fiscal_year == 2019 and got[4].total_revenue is None and got[3].fiscal_year == 2020
+    assert replies.settled(first.limit(0), second, "k").count() == 0
