@@ -53,4 +53,40 @@ weights AS (SELECT l.u, sum(m.copies) AS weight FROM links l JOIN nodes m ON m.i
 SELECT k.doc_id, c.class_id, CAST(coalesce(w.weight, 0) + m.copies - 1 AS BIGINT) AS n_links, m.copies AS n_copies
 FROM k JOIN nodes m ON m.k = k.k JOIN classes c ON c.u = m.id LEFT JOIN weights w ON w.u = m.id"""
 
-ORACLE_SQL = {"op2_template_decontamination": _DECONTAMINATION, "op7_warc_index": _WARC, "op9_chosen_path_join": _JOIN}
+# The folds of the contract; crc32 bit by bit.
+_BITS = "flatten(list_transform(string_split({0}, ''), lambda ch: list_transform(range(8), lambda i: (ord(ch) >> i) & 1)))"
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST(" + _BITS + " AS BIGINT[])), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+
+# Every batch of a user is folded anew over all events so far.
+_SESSIONS = f"""
+WITH f AS (SELECT conv_id, turn, {_CRC.format("CAST(conv_id AS VARCHAR)")} AS c, {_CRC.format("conv_id || ':' || turn")} AS h FROM conversations WHERE turn IS NOT NULL AND conv_id IS NOT NULL),
+t AS (SELECT *, (c // 2) % 7200 + 300 * turn + h % 600 AS s, h // 600 AS g FROM f),
+e AS (SELECT 2 * CAST(floor(conv_id / 8.0) AS BIGINT) + c % 2 AS u, s, CAST(floor(s / 1800.0) AS BIGINT) + CASE WHEN g % 3 = 0 THEN g % 4 ELSE 0 END AS b, h FROM t),
+x AS (SELECT k.u, k.b AS batch, e.s, e.b, e.h, CASE WHEN e.s - lag(e.s) OVER (PARTITION BY k.u, k.b ORDER BY e.s) <= 240 THEN 0 ELSE 1 END AS cut FROM (SELECT DISTINCT u, b FROM e) k JOIN e ON e.u = k.u AND e.b <= k.b),
+y AS (SELECT *, sum(cut) OVER (PARTITION BY u, batch ORDER BY s ROWS UNBOUNDED PRECEDING) AS part FROM x),
+v AS (SELECT u, batch, min(s) AS start_s, max(s) AS end_s, count(*) AS n_events, count(*) FILTER (b = batch) AS n_new, sum(h) AS h_sum FROM y GROUP BY u, batch, part HAVING count(*) FILTER (b = batch) > 0),
+r AS (SELECT v.u, v.batch, v.start_s, min(w.batch) AS rb, arg_min(w.start_s, w.batch) AS rs FROM v JOIN v w ON w.u = v.u AND w.batch > v.batch AND w.start_s <= v.start_s AND w.end_s >= v.end_s GROUP BY ALL),
+n AS (SELECT u, rb, rs, count(*) AS n FROM r GROUP BY ALL)
+SELECT v.u AS "user", v.batch, v.start_s, v.end_s, v.n_events, v.n_new, coalesce(n.n, 0) AS n_retracted, CAST(v.h_sum AS BIGINT) AS h_sum, r.rb AS retracted_batch, r.rs AS retracted_start_s
+FROM v LEFT JOIN r ON r.u = v.u AND r.batch = v.batch AND r.start_s = v.start_s LEFT JOIN n ON n.u = v.u AND n.rb = v.batch AND n.rs = v.start_s"""
+
+
+def _codes() -> str:
+    """All entries compared with all parts, by squares and inner products of whole numbers."""
+    steps = [
+        "v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda c: floor(1024.0 * c)) AS c FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)",
+        "x AS MATERIALIZED (SELECT r, p, c[p * (len(c) // 4) + 1:(p + 1) * (len(c) // 4)] AS c FROM (SELECT *, unnest(range(4)) AS p FROM v))",
+        "k0 AS MATERIALIZED (SELECT p, r - 1 AS e, c FROM x WHERE r <= 256)",
+    ]
+    for i in range(5):
+        d = "list_dot_product(x.c, x.c) - 2 * list_dot_product(x.c, k.c) + list_dot_product(k.c, k.c)"
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, x.p, min({d}) AS d, arg_min(e, ({d}) * 256 + e) AS e FROM x JOIN k{i} k ON k.p = x.p GROUP BY r, x.p)")
+        if i < 4:
+            steps.append(f"m{i} AS (SELECT p, e, list(c ORDER BY j) AS c FROM (SELECT p, e, j, floor(sum(c) / count(*)) AS c FROM (SELECT a.p, a.e, unnest(x.c) AS c, unnest(range(len(x.c))) AS j FROM a{i} a JOIN x USING (r, p)) GROUP BY p, e, j) GROUP BY p, e)")
+            steps.append(f"k{i + 1} AS MATERIALIZED (SELECT k.p, k.e, coalesce(m.c, k.c) AS c FROM k{i} k LEFT JOIN m{i} m USING (p, e))")
+    steps.append("s AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: CAST(y AS BIGINT)), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM k4)")
+    steps.append("c AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY r)")
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256, label FROM v JOIN c USING (r) CROSS JOIN s"
+
+
+ORACLE_SQL = {"op2_template_decontamination": _DECONTAMINATION, "op7_warc_index": _WARC, "op9_chosen_path_join": _JOIN, "op12_annular_codes": _codes(), "op13_late_sessions": _SESSIONS}

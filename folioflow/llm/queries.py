@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chosen_path, common, decontam, fst_bpe, imatch, length_hist, ordinal, rans, suffix_dedup, toxicity, warc
+from . import annular, chosen_path, common, decontam, fst_bpe, imatch, late_sessions, length_hist, main_text, ordinal, rans, suffix_dedup, toxicity, warc
 from .common import table
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -59,6 +59,18 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.token_files(table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.of_pages(spark, sf_dir)
+
+
+def op12_annular_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annular.of_embeddings(spark, sf_dir)
+
+
+def op13_late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_sessions.of_conversations(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,5 +84,8 @@ QUERIES = {
         op8_imatch_fingerprints,
         op9_chosen_path_join,
         op10_rans_token_files,
+        op11_main_text,
+        op12_annular_codes,
+        op13_late_sessions,
     )
 }

@@ -14,7 +14,7 @@ def plain(x):
 def test_query(spark, name):
     folder = "/root/testdata/sf0.01"
     duck = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         duck.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
     df = queries.QUERIES[name](spark, folder)
     cols = sorted(df.columns)
