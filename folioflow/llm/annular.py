@@ -7,7 +7,8 @@ search finds the annulus, and all entries inside it, borders included, are compa
 
 Scale: a round is one scan; a task sends at most parts x entries rows of component sums, added up by key before the
 driver gets the new codebooks (parts x entries x width numbers, whatever the input). The errors of a label are a
-grouped sum joined back, which adaptive execution splits where a label is hot.
+grouped sum joined back, which adaptive execution splits where a label is hot. How much the annuli leave out depends on
+the vectors: of 256 entries about 5 % for parts of 16 independent components, most where norms differ.
 
 Defined cases: rows whose vector is null, has null or non-finite components, or has another length than the vector of the
 smallest kept id, are dropped; the length must be a multiple of the number of parts. Scaled components are held to +-2^26,
@@ -30,8 +31,8 @@ from . import common
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 BOUND = 1 << 26
-#: Entries next to a part's norm that give the first distance; pairs of a part and an entry compared at once.
-NEAR, PAIRS = 8, 1 << 17
+#: Entries next to a block's norms that give the first distances; parts in a block.
+NEAR, BLOCK = 8, 256
 
 
 def kept(vectors: DataFrame) -> DataFrame:
@@ -46,45 +47,48 @@ def scaled(v: np.ndarray) -> np.ndarray:
 
 
 class Book:
-    """The entries of one part position, sorted by norm."""
+    """The entries of one part position, sorted by norm.
+
+    Parts are taken in blocks of like norm, so that their annuli overlap: a block is compared with the union of its annuli
+    as one matrix product, and what lies outside a part's own annulus is left out. Doubles hold the whole numbers exactly
+    as long as no sum passes 2^53; beyond, the same product runs on 64-bit integers."""
 
     def __init__(self, entries: np.ndarray):
         norms = np.sqrt((entries.astype(np.float64) ** 2).sum(axis=1))
         self.by_norm = np.argsort(norms, kind="stable")
         self.norms, self.entries = norms[self.by_norm], entries[self.by_norm]
-
-    def _compared(self, x: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each x the least exact distance to its entries low..high and the lowest index that has it."""
-        sizes, best, index = high - low, np.empty(len(x), np.int64), np.empty(len(x), np.int64)
-        ends = np.cumsum(sizes)
-        at = 0
-        while at < len(x):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
-            n = sizes[at:to]
-            starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-            owner = np.repeat(np.arange(at, to), n)
-            entry = np.arange(int(n.sum())) - np.repeat(starts, n) + np.repeat(low[at:to], n)
-            d = ((x[owner] - self.entries[entry]) ** 2).sum(axis=1)
-            best[at:to] = np.minimum.reduceat(d, starts)
-            names = np.where(d == np.repeat(best[at:to], n), self.by_norm[entry], len(self.norms))
-            index[at:to] = np.minimum.reduceat(names, starts)
-            at = to
-        return best, index
+        self.largest = int(np.abs(entries).max(initial=0))
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """(index, squared distance) of the nearest entry of each row of x, and how many pairs were compared."""
-        if not len(x):
-            return np.empty(0, np.int64), np.empty(0, np.int64), 0
-        size, norm = len(self.norms), np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
-        first = np.clip(np.searchsorted(self.norms, norm) - NEAR // 2, 0, max(size - NEAR, 0))
-        width = min(NEAR, size)
-        bound, _ = self._compared(x, first, first + width)
-        reach = np.sqrt(bound.astype(np.float64))
-        slack = 1e-9 * (norm + reach) + 1e-6  # wider than what doubles round off
-        low = np.searchsorted(self.norms, norm - reach - slack, side="left")
-        high = np.searchsorted(self.norms, norm + reach + slack, side="right")
-        d, index = self._compared(x, low, high)
-        return index, d, int(width * len(x) + (high - low).sum())
+        """(index, squared distance) of the nearest entry of each row of x, and how many pairs lay in an annulus."""
+        index, best, pairs = np.empty(len(x), np.int64), np.empty(len(x), np.int64), 0
+        size, width = len(self.norms), x.shape[1]
+        largest = max(self.largest, int(np.abs(x).max(initial=0)))
+        kind = np.float64 if 4 * width * largest * largest < 1 << 53 else np.int64
+        x, entries = x.astype(kind), self.entries.astype(kind)
+        squares, entry_squares = (x * x).sum(axis=1), (entries * entries).sum(axis=1)
+        norm = np.sqrt(squares.astype(np.float64))
+        order = np.argsort(norm, kind="stable")
+        for at in range(0, len(x), BLOCK):
+            rows = order[at : at + BLOCK]
+            block, n = x[rows], norm[rows]
+
+            def distances(low: int, high: int, block=block, rows=rows) -> np.ndarray:
+                return squares[rows, None] - 2 * (block @ entries[low:high].T) + entry_squares[None, low:high]
+
+            next_to = np.clip(np.searchsorted(self.norms, n[[0, -1]]) + [-NEAR // 2, NEAR // 2], 0, size)
+            low, high = int(min(next_to[0], max(size - NEAR, 0))), int(max(next_to[1], min(NEAR, size)))
+            reach = np.sqrt(distances(low, high).min(axis=1).astype(np.float64))
+            slack = 1e-9 * (n + reach) + 1e-6  # wider than what doubles round off
+            lows, highs = np.searchsorted(self.norms, n - reach - slack, side="left"), np.searchsorted(self.norms, n + reach + slack, side="right")
+            low, high = int(lows.min()), int(highs.max())
+            d, place = distances(low, high), np.arange(low, high)
+            inside = (place >= lows[:, None]) & (place < highs[:, None])
+            least = np.where(inside, d, np.iinfo(np.int64).max if kind is np.int64 else np.inf).min(axis=1)
+            index[rows] = np.where(inside & (d == least[:, None]), self.by_norm[low:high], size).min(axis=1)
+            best[rows] = least.astype(np.int64)
+            pairs += int((highs - lows).sum())
+        return index, best, pairs
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,5 +177,6 @@ def of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.ship_code(spark)
     vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     books = trained(vectors)
-    codes = with_label_errors(coded(vectors, books))
+    codes, _ = common.written(coded(vectors, books), "codes")  # both sides of the join read them
+    codes = with_label_errors(codes)
     return codes.select("vec_id", "code", "error", "label_error", F.lit(None if books is None else digest(books)).cast("string").alias("codebooks_sha256"), "label")
