@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import ship_code
+
 # Stop words, exceptions, and the endings of each step with what takes their place.
 STOP_WORDS = frozenset(
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs "
@@ -104,3 +108,14 @@ def stems(tokens: Column) -> Column:
         return rows.map(lambda ts: None if ts is None else [english(t) for t in ts])
 
     return run(tokens)
+
+
+def stemmed_words(words: DataFrame) -> DataFrame:
+    """(term, stem) of a table of different words (term): each is stemmed once; stop words have the stem ''."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([english(w) for w in batch.column(0).to_pylist()], pa.string())], ["term", "stem"])
+
+    ship_code(words.sparkSession)
+    return words.select("term").mapInArrow(run, "term string, stem string")

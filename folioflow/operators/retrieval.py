@@ -26,14 +26,15 @@ def metadata_filter(equal: dict | None = None, any_of: dict | None = None, at_le
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-def _tokens(text: Column) -> Column:
+def words(text: Column) -> Column:
+    """Lower-case runs of letters and digits, in order."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
 def with_tokens(rows: DataFrame, text: str = "text", to: str = "tokens", stemmed: bool = False) -> DataFrame:
     """Lower-case runs of letters and digits, in order; stemmed: as English stems, stop words as empty strings that keep
     their places. An index keeps this column, so that searches read it."""
-    return rows.withColumn(to, stems(_tokens(F.col(text))) if stemmed else _tokens(F.col(text)))
+    return rows.withColumn(to, stems(words(F.col(text))) if stemmed else words(F.col(text)))
 
 
 def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none_of: list[str] = (), phrase: list[str] = ()) -> Column:
@@ -60,7 +61,7 @@ def matches(tokens: Column, all_of: list[str] = (), any_of: list[str] = (), none
     return out
 
 
-def _search_terms(query: str) -> list[tuple[bool, bool, list[str], bool]]:
+def search_terms(query: str) -> list[tuple[bool, bool, list[str], bool]]:
     """(forbidden, quoted, words, or with the one before) for each term of a search line."""
     terms, either = [], False
     for sign, quoted, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', query):
@@ -76,7 +77,7 @@ def _search_terms(query: str) -> list[tuple[bool, bool, list[str], bool]]:
 
 def plain_words(query: str, stemmed: bool = False) -> list[str]:
     """The words of a search line that are not forbidden, each once; stemmed: their stems, without stop words."""
-    words = [w for forbidden, _, words, _ in _search_terms(query) if not forbidden for w in words]
+    words = [w for forbidden, _, words, _ in search_terms(query) if not forbidden for w in words]
     return [w for w in dict.fromkeys(map(english, words) if stemmed else words) if w]
 
 
@@ -85,7 +86,7 @@ def web_condition(tokens: Column, query: str, stemmed: bool = False) -> Column:
     between two terms asks for either. Any other sign separates words; a line without words fits nothing. stemmed: for
     stemmed tokens; stop words ask for nothing, and inside quotes for any word."""
     parts: list[Column] = []
-    for forbidden, quoted, words, either in _search_terms(query):
+    for forbidden, quoted, words, either in search_terms(query):
         words = list(map(english, words)) if stemmed else words
         if not any(words):
             continue
@@ -95,16 +96,14 @@ def web_condition(tokens: Column, query: str, stemmed: bool = False) -> Column:
     return reduce(lambda a, b: a & b, parts) if parts else F.lit(False)
 
 
-def cover_density(tokens: Column, terms: list[str]) -> Column:
-    """Cover density of a token array for distinct terms: each shortest run of tokens that holds all terms adds a tenth,
-    divided by one and the number of other tokens in it. 0 where a term is missing.
+def covers(places: Column, terms: Column | int) -> Column:
+    """Cover density of the places (term: a number from 0, at) of so many terms, in their order: each shortest run of
+    tokens that holds all terms adds a tenth, divided by one and the number of other tokens in it. 0 where a term is missing.
 
-    A fold over the places of the terms: a cover ends where the earliest of the terms' last places moves on."""
-    wanted = F.array(*(F.lit(t) for t in terms))
-    places = F.filter(F.transform(tokens, lambda w, i: F.struct((F.array_position(wanted, w) - 1).cast("int").alias("term"), i.alias("at"))), lambda x: x["term"] >= 0)
+    A fold: a cover ends where the earliest of the terms' last places moves on."""
     places = F.transform(places, lambda x, k: F.struct(x["term"].alias("term"), x["at"].alias("at"), k.alias("nth")))
     none = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("nth"))
-    start = F.struct(F.array_repeat(none, len(terms)).alias("last"), none.alias("from"), F.lit(0.0).alias("score"))
+    start = F.struct(F.array_repeat(none, terms).alias("last"), none.alias("from"), F.lit(0.0).alias("score"))
 
     def step(state, x):
         last = F.transform(state["last"], lambda old, t: F.when(t == x["term"], F.struct(x["at"].alias("at"), x["nth"].alias("nth"))).otherwise(old))
@@ -116,6 +115,13 @@ def cover_density(tokens: Column, terms: list[str]) -> Column:
     return F.aggregate(places, start, step, lambda s: s["score"])
 
 
+def cover_density(tokens: Column, terms: list[str]) -> Column:
+    """Cover density of a token array for distinct terms."""
+    wanted = F.array(*(F.lit(t) for t in terms))
+    places = F.filter(F.transform(tokens, lambda w, i: F.struct((F.array_position(wanted, w) - 1).cast("int").alias("term"), i.alias("at"))), lambda x: x["term"] >= 0)
+    return covers(places, len(terms))
+
+
 def bm25(rows: DataFrame, key: str, terms: list[str], k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k best rows (key, score) by Okapi BM25; ties by key.
 
@@ -123,7 +129,7 @@ def bm25(rows: DataFrame, key: str, terms: list[str], k: int, k1: float = 1.2, b
     have a term. Only those are read again."""
     spark = rows.sparkSession
     wanted = list(dict.fromkeys(terms))
-    counted = F.transform(F.array(_tokens(F.col("text"))), lambda t: F.struct(F.size(t).alias("dl"), F.filter(t, lambda w: w.isin(*wanted)).alias("hits")))
+    counted = F.transform(F.array(words(F.col("text"))), lambda t: F.struct(F.size(t).alias("dl"), F.filter(t, lambda w: w.isin(*wanted)).alias("hits")))
 
     def times(term: str) -> Column:
         return F.size(F.filter("hits", lambda w: w == F.lit(term)))
