@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stemming import english, stemmed_words
@@ -26,6 +26,7 @@ from . import retrieval
 
 TILE, BINS = 128, 64
 K1, B = 1.2, 0.75
+_BLOCKS = "term string, tile int, impact double, keys array<bigint>, tfs array<int>, lengths array<int>, places array<array<int>>, bin int"
 _GAPS = "transform({0}, (x, i) -> if(i = 0, x, x - {0}[i - 1]))"
 
 
@@ -45,7 +46,7 @@ def _sums(gaps: Column, kind: str) -> Column:
 
 @dataclass(frozen=True)
 class TextIndex:
-    """path: folders blocks (postings by bin), documents (key, tile, length) and terms (term, df)."""
+    """path: folders blocks (postings by bin), documents (key, length) and terms (term, df)."""
 
     path: str
     documents: int
@@ -54,13 +55,17 @@ class TextIndex:
     stemmed: bool
 
     def blocks(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/blocks")
+        return spark.read.schema(_BLOCKS).parquet(f"{self.path}/blocks")
 
     def terms(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/terms")
+        return spark.read.schema("term string, df bigint").parquet(f"{self.path}/terms")
 
     def lengths(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/documents")
+        return spark.read.schema("key bigint, length int").parquet(f"{self.path}/documents").withColumn("tile", _tile("key", self.tiles))
+
+
+def _tile(key: str, tiles: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(tiles)).cast("int")
 
 
 def _bin(term: str | Column) -> Column:
@@ -73,30 +78,25 @@ def _impact(tf: Column, length: Column, mean: float) -> Column:
 
 def build(rows: DataFrame, key: str, text: str = "text", stemmed: bool = False, path: str | None = None) -> TextIndex:
     """Indexes all rows (key: a whole number, no two rows alike); writes at once. A null text has no words; rows without key are left out."""
-    spark, seen = rows.sparkSession, Observation()
+    spark = rows.sparkSession
     path = path or scratch(spark, "postings")
     own = rows.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), retrieval.words(F.coalesce(text, F.lit(""))).alias("words"))
-    own = own.withColumn("length", F.size("words")).observe(seen, F.count("*").alias("n"), F.sum("length").alias("words"))
-    places = own.select("key", "length", F.posexplode("words").alias("place", "term"))
-    counts = places.groupBy("key", "length", "term").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    counts.write.parquet(f"{path}/counts")
-    stats = seen.get
-    n, mean = stats["n"], (stats["words"] or 0) / max(1, stats["n"])
-    tiles = max(1, -(-n // TILE))
-    tile = F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int")
-    own.select("key", "length", tile.alias("tile")).write.parquet(f"{path}/documents")
-    counts = spark.read.schema(counts.schema).parquet(f"{path}/counts")
+    own = own.withColumn("length", F.size("words"))
+    own.select("key", "length").write.parquet(f"{path}/documents")
+    n, words = spark.read.schema("key bigint, length int").parquet(f"{path}/documents").agg(F.count("*"), F.sum("length")).first()
+    mean, tiles = (words or 0) / max(1, n), max(1, -(-n // TILE))
+    counts = own.select("key", "length", F.posexplode("words").alias("place", "term")).groupBy("key", "length", "term").agg(F.sort_array(F.collect_list("place")).alias("places"))
     if stemmed:  # words of one stem come together; stop words only held their places
         stems = stemmed_words(counts.select("term").distinct()).filter("stem <> ''")
         counts = counts.join(stems, "term").groupBy("key", "length", F.col("stem").alias("term")).agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
     impact = _impact(F.size("places").cast("double"), F.col("length"), mean)
     entry = F.struct("key", F.size("places").alias("tf"), "length", _gaps("places").alias("places"))
-    blocks = counts.withColumn("tile", tile).groupBy("term", "tile").agg(F.sort_array(F.collect_list(entry)).alias("e"), F.max(impact).alias("impact"))
+    blocks = counts.withColumn("tile", _tile("key", tiles)).groupBy("term", "tile").agg(F.sort_array(F.collect_list(entry)).alias("e"), F.max(impact).alias("impact"))
     blocks = blocks.withColumn("keys", F.col("e.key")).select("term", "tile", "impact", _gaps("keys").alias("keys"), F.col("e.tf").alias("tfs"), F.col("e.length").alias("lengths"), F.col("e.places").alias("places"), _bin("term").alias("bin"))
     # A bin is dealt by tile too, so that the bin of the commonest word is many files.
     parts = max(1, tiles // 512)
     blocks.repartition("bin", F.col("tile") % parts).sortWithinPartitions("bin", "term", "tile").write.partitionBy("bin").parquet(f"{path}/blocks")
-    spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.sum(F.size("tfs")).alias("df")).write.parquet(f"{path}/terms")
+    spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("term").agg(F.sum(F.size("tfs")).alias("df")).write.parquet(f"{path}/terms")
     return TextIndex(path, n, mean, tiles, stemmed)
 
 

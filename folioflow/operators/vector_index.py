@@ -63,9 +63,10 @@ class VectorIndex:
     path: str
     centres: np.ndarray
     rows: int
+    kind: str = "array<float>"
 
     def lists(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return spark.read.schema(f"vec_id bigint, embedding {self.kind}, block int, cell int").parquet(self.path)
 
     def probes(self, queries: DataFrame, n: int) -> DataFrame:
         """(query_id, query, cell, place) for the n nearest cells of each query (query_id, query), the nearest at place 0."""
@@ -109,7 +110,7 @@ def build(rows: DataFrame, cells: int | None = None, path: str | None = None) ->
     placed = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     path = path or scratch(spark, "vectors")
     placed.repartition("cell", "block").write.partitionBy("cell").parquet(path)
-    return VectorIndex(path, centres, n)
+    return VectorIndex(path, centres, n, kind)
 
 
 def probed(index: VectorIndex, probes: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
-from . import facts, records, reports, services
+from . import facts, mechanisms, records, reports, services
 
 #: Inline fixtures for columns that the tables lack.
 SCORES = "(VALUES ('a1','revenue',100.0,100.0,false), ('a1','assets',70.2,70.0,false), ('a2','revenue',CAST(NULL AS DOUBLE),5.0,false), ('a2','assets',5.0,CAST(NULL AS DOUBLE),false), ('a3','revenue',5000.0,5.0,false), ('a3','assets',9.0,5.0,false), ('a4','revenue',0.0,0.0,false), ('a4','assets',3.0,3.0,true), ('a5','revenue',0.000005,5.0,false), ('a5','assets',1.0,0.0,false)) AS s(accession, field, val, truth, abstained)"
@@ -206,8 +206,8 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES).items()}
+    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES).items() if s}
+    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items() if s}

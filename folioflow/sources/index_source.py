@@ -1,16 +1,19 @@
 """spark.read.format("daily_index"): the daily indexes under a folder as one relation, a partition a day.
 
-Options: path (the base folder), start and end (days, both included; yyyy-MM-dd). A comparison of `filed` with a day
+Options: path (the base folder), start and end (days, both included; yyyy-MM-dd), days (in a partition, 1 by default). A comparison of `filed` with a day
 leaves out the days that it rules out before any file is opened; a form that is asked for is dropped while lines are
 read. A day without an index has no rows."""
 
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from .landing import index_path
@@ -20,8 +23,8 @@ _SCHEMA = "cik string, company string, form string, filed date, path string, acc
 
 
 @dataclass
-class Day(InputPartition):
-    day: datetime.date
+class Days(InputPartition):
+    days: list[datetime.date]
 
 
 def parsed(line: str) -> tuple | None:
@@ -46,15 +49,15 @@ class DailyIndex(DataSource):
         return _SCHEMA
 
     def reader(self, schema) -> DailyIndexReader:
-        return DailyIndexReader(self.options["path"], *(datetime.date.fromisoformat(self.options[o]) for o in ("start", "end")))
+        return DailyIndexReader(self.options["path"], *(datetime.date.fromisoformat(self.options[o]) for o in ("start", "end")), int(self.options.get("days", "1")))
 
 
 class DailyIndexReader(DataSourceReader):
     """A day's index lies in the day's own file, but a line may be filed on another day: only an index of the same day
     counts for a comparison of `filed`, so pushed days are checked again on each row."""
 
-    def __init__(self, path: str, start: datetime.date, end: datetime.date):
-        self.path, self.start, self.end = path, start, end
+    def __init__(self, path: str, start: datetime.date, end: datetime.date, days: int = 1):
+        self.path, self.start, self.end, self.days = path, start, end, days
         self.tests: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
@@ -72,14 +75,19 @@ class DailyIndexReader(DataSourceReader):
         }
         return all(test[kind](value, wanted) for c, kind, wanted in self.tests if c == column)
 
-    def partitions(self) -> list[Day]:
+    def partitions(self) -> list[Days]:
         days = (self.start + datetime.timedelta(i) for i in range((self.end - self.start).days + 1))
-        return [Day(d) for d in days if self._fits("filed", d)]
+        held = [d for d in days if self._fits("filed", d)]
+        return [Days(held[i : i + self.days]) for i in range(0, len(held), self.days)]
 
-    def read(self, partition: Day) -> Iterator[tuple]:
+    def read(self, partition: Days) -> Iterator[tuple]:
+        for day in partition.days:
+            yield from self._read(day)
+
+    def _read(self, day: datetime.date) -> Iterator[tuple]:
         from pyarrow import fs
 
-        at = index_path(self.path, partition.day)
+        at = index_path(self.path, day)
         store, at = (fs.LocalFileSystem(), "/" + at.removeprefix("file:").lstrip("/")) if at.startswith(("file:", "/")) else fs.FileSystem.from_uri(at)
         try:
             lines = store.open_input_stream(at)
@@ -89,8 +97,8 @@ class DailyIndexReader(DataSourceReader):
         with lines:
             while piece := lines.read(1 << 20):
                 *whole, rest = (rest + piece).split(b"\n")
-                yield from self._rows(whole, partition.day)
-        yield from self._rows([rest], partition.day)
+                yield from self._rows(whole, day)
+        yield from self._rows([rest], day)
 
     def _rows(self, lines: list[bytes], day: datetime.date) -> Iterator[tuple]:
         for line in lines:
@@ -104,3 +112,24 @@ def register(spark: SparkSession) -> None:
     ship_code(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(DailyIndex)
+
+
+def write_indexes(filings: DataFrame, path: str) -> None:
+    """Writes filings (cik, company, form, filed, path) as daily indexes under a folder, a file a day."""
+    ship_code(filings.sparkSession)
+    lines = filings.filter("filed is not null").select("filed", F.concat_ws("|", "cik", "company", "form", F.date_format("filed", "yyyyMMdd"), "path").alias("line"))
+
+    def write(day: pa.Table) -> pa.Table:
+        from pyarrow import fs
+
+        at = index_path(path, day["filed"][0].as_py())
+        store, at = (fs.LocalFileSystem(), "/" + at.removeprefix("file:").lstrip("/")) if at.startswith(("file:", "/")) else fs.FileSystem.from_uri(at)
+        store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        own = f"{at}.{uuid.uuid4().hex}"  # of this attempt alone
+        with store.open_output_stream(own) as out:
+            out.write(("CIK|Company Name|Form Type|Date Filed|Filename\n" + "-" * 80 + "\n").encode())
+            out.write("\n".join(sorted(day["line"].to_pylist())).encode() + b"\n")
+        store.move(own, at)
+        return day.slice(0, 1).select(["filed"])
+
+    lines.groupBy("filed").applyInArrow(write, "filed date").write.format("noop").mode("overwrite").save()
