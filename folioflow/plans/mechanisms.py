@@ -138,8 +138,8 @@ def daily_index_source(spark, folder):
     return spark.read.format("daily_index").options(path=path, start=days[0], end=days[1], days="31").load().select("cik", "company", "form", "filed", "accession")
 
 
-def scan_facts_variant(spark, folder):
-    """Order lines as nested facts in gzipped JSON, read back through VARIANT."""
+def fact_bodies(spark: SparkSession, folder: str) -> str:
+    """The folder of order lines as nested facts in gzipped JSON."""
     lines, o = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     rows = lines.join(o, lines.l_orderkey == o.o_orderkey).select(
@@ -149,6 +149,12 @@ def scan_facts_variant(spark, folder):
     )
     path = scratch(spark, "facts")
     facts.write_bodies(rows, path)
+    return path
+
+
+def scan_facts_variant(spark, folder):
+    """Order lines as nested facts, read back through VARIANT."""
+    path = fact_bodies(spark, folder)
     return facts.read_facts(spark, path).withColumn("val", F.col("val").cast("double"))
 
 
@@ -238,6 +244,8 @@ c AS (SELECT k, i, d, t, true AS made FROM e WHERE i = 1 UNION ALL
 SELECT e.k, e.i, CASE WHEN e.d <> c.d OR e.t - c.t >= INTERVAL 7 DAY THEN e.d ELSE c.d END, CASE WHEN e.d <> c.d OR e.t - c.t >= INTERVAL 7 DAY THEN e.t ELSE c.t END, e.d <> c.d OR e.t - c.t >= INTERVAL 7 DAY FROM c JOIN e ON e.k = c.k AND e.i = c.i + 1)
 SELECT k AS key, d AS digest, epoch_us(t) AS "at" FROM c WHERE made"""
 
+FACT_ROWS = "SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, 'us-gaap' AS taxonomy, 'Line' || l_linenumber AS tag, CASE WHEN l_linestatus = 'O' THEN 'USD' ELSE 'EUR' END AS unit, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS val, CAST(o_orderdate AS DATE) AS start_d, CAST(l_shipdate AS DATE) AS end_d, CASE WHEN l_returnflag = 'N' THEN '10-K' ELSE '10-Q' END AS form, CAST(l_shipdate AS DATE) AS filed, CAST(o_orderkey AS VARCHAR) AS accn FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
 QUERIES = {
     "postings_terms": (postings_terms, f"SELECT t AS term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(w) AS t FROM {_T}) GROUP BY t"),
     "postings_bm25": (postings_bm25, _BM25_ALL),
@@ -250,7 +258,7 @@ QUERIES = {
     "store_set_vectors": (store_set_vectors, "SELECT vec_id, CAST(CASE WHEN label % 2 = 1 THEN embedding[-1] ELSE embedding[1] END AS DOUBLE) AS first, label FROM embeddings"),
     "bucketed_join": (bucketed_join, "SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(price) AS DOUBLE) AS price FROM orders JOIN (SELECT l_orderkey, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey GROUP BY 1"),
     "daily_index_source": (daily_index_source, "SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, 'Customer ' || o_custkey AS company, CASE WHEN o_orderstatus = 'F' THEN '10-K' ELSE '10-Q' END AS form, CAST(o_orderdate AS DATE) AS filed, CAST(o_orderkey AS VARCHAR) AS accession FROM orders"),
-    "scan_facts_variant": (scan_facts_variant, "SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, 'us-gaap' AS taxonomy, 'Line' || l_linenumber AS tag, CASE WHEN l_linestatus = 'O' THEN 'USD' ELSE 'EUR' END AS unit, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS val, CAST(o_orderdate AS DATE) AS start_d, CAST(l_shipdate AS DATE) AS end_d, CASE WHEN l_returnflag = 'N' THEN '10-K' ELSE '10-Q' END AS form, CAST(l_shipdate AS DATE) AS filed, CAST(o_orderkey AS VARCHAR) AS accn FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+    "scan_facts_variant": (scan_facts_variant, FACT_ROWS),
     "chunk_function_rows": (chunk_function_rows, None),
     "sketch_ranges": (sketch_ranges, "SELECT name, event_type, count(*) AS n, round(sum(value), 2) AS total, count(DISTINCT user_id) AS exact_distinct, true AS distinct_within, true AS median_within FROM events JOIN (VALUES " + ", ".join(f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in _RANGES) + ") r(name, a, b) ON CAST(ts AS DATE) BETWEEN a AND b GROUP BY 1, 2"),
     "close_balances": (close_balances, "SELECT a.c_custkey, count(*) AS n_near FROM customer a JOIN customer b ON a.c_custkey <> b.c_custkey AND abs(a.c_acctbal - b.c_acctbal) <= 0.005E0 * abs(a.c_acctbal) GROUP BY 1"),

@@ -4,8 +4,6 @@ A query is portable SQL with {tables} in braces, or a function of the library be
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +12,8 @@ from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
 from . import facts, mechanisms, records, reports, services
+from .fixtures import HEADINGS, KEYS, NEW, OLD, POINTS, REGIONS, RUN_A, RUN_B, SCORES, STATUS, duck, values
 
-#: Inline fixtures for columns that the tables lack.
-SCORES = "(VALUES ('a1','revenue',100.0,100.0,false), ('a1','assets',70.2,70.0,false), ('a2','revenue',CAST(NULL AS DOUBLE),5.0,false), ('a2','assets',5.0,CAST(NULL AS DOUBLE),false), ('a3','revenue',5000.0,5.0,false), ('a3','assets',9.0,5.0,false), ('a4','revenue',0.0,0.0,false), ('a4','assets',3.0,3.0,true), ('a5','revenue',0.000005,5.0,false), ('a5','assets',1.0,0.0,false)) AS s(accession, field, val, truth, abstained)"
-OLD = "(VALUES ('k1','x','h1',1), ('k2','y','h2',2), ('k3',CAST(NULL AS VARCHAR(9)),'h3',3)) AS o(id, company, digest, v)"
-NEW = "(VALUES ('k2',CAST(NULL AS VARCHAR(9)),'h2',20), ('k3','z','h9',30), ('k4','w','h4',40)) AS n(id, company, digest, v)"
-RUN_A = "(VALUES (1,1),(2,2),(3,3),(4,4)) AS a(id, rank)"
-RUN_B = "(VALUES (3,1),(5,2),(1,3)) AS b(id, rank)"
-HEADINGS = "(VALUES (1,1,0,1),(1,1,10,3),(1,1,20,2),(1,1,30,7),(1,2,40,1),(1,2,50,1),(1,2,60,5)) AS h(doc, part, pos, num)"
-REGIONS = "(VALUES (1,0,10,'a'),(1,10,30,'b'),(1,40,50,'c'),(2,5,9,'d')) AS r(doc, start, \"end\", name)"
-POINTS = "(VALUES (1,0),(1,9),(1,10),(1,29),(1,30),(1,45),(1,60),(2,0),(2,5),(3,1)) AS p(doc, pos)"
 VERDICT = """CASE WHEN truth IS NULL THEN 'unresolvable' WHEN abstained OR val IS NULL THEN 'abstained' WHEN val = truth THEN 'exact'
  WHEN truth <> 0 AND abs(val - truth) / abs(truth) <= 0.005 THEN 'within_tolerance'
  WHEN truth <> 0 AND val <> 0 AND (abs(val * 1e3 - truth) / abs(truth) <= 0.005 OR abs(val / 1e3 - truth) / abs(truth) <= 0.005 OR abs(val * 1e6 - truth) / abs(truth) <= 0.005 OR abs(val / 1e6 - truth) / abs(truth) <= 0.005 OR abs(val * 1e9 - truth) / abs(truth) <= 0.005 OR abs(val / 1e9 - truth) / abs(truth) <= 0.005) THEN 'scale_error' WHEN truth = 0 OR val = 0 OR greatest(abs(val), abs(truth)) / least(abs(val), abs(truth)) > 10 THEN 'hallucinated' ELSE 'wrong' END"""
@@ -60,9 +50,9 @@ PORTABLE = {
     "distinct_sorted": "SELECT DISTINCT source FROM {documents} ORDER BY source",
     "metric_counter": "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM {events} GROUP BY event_type",
     "metric_gauge_last": "SELECT event_type, event_id FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM {events}) x WHERE rn = 1",
-    "retrieval_metrics": f"SELECT avg(p) AS precision_at_4, avg(r) AS recall_at_4, avg(mrr) AS mrr FROM (SELECT sum(rel) / 4.0E0 AS p, max(rel) * 1.0E0 AS r, coalesce(max(CASE WHEN rel = 1 THEN 1.0E0 / rank END), 0.0E0) AS mrr FROM (SELECT id, rank, CASE WHEN id IN (2, 4) THEN 1 ELSE 0 END AS rel FROM {RUN_A}) x) y",
+    "retrieval_metrics": f"SELECT avg(p) AS precision_at_4, avg(r) AS recall_at_4, avg(mrr) AS mrr FROM (SELECT sum(rel) / 4.0E0 AS p, max(rel) * 1.0E0 AS r, coalesce(max(CASE WHEN rel = 1 THEN 1.0E0 / rank END), 0.0E0) AS mrr FROM (SELECT id, rank, CASE WHEN id % 100 = 2 THEN 1 ELSE 0 END AS rel FROM {RUN_A}) x) y",
     "alert_inhibition": "SELECT t.id FROM (VALUES (1,'p1'),(2,'p2'),(3,'p1')) AS t(id, platform) WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('p1')) AS s(platform) WHERE s.platform = t.platform)",
-    "http_status_class": "SELECT code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM (VALUES (200),(404),(403),(429),(500),(503),(401)) AS t(code)",
+    "http_status_class": f"SELECT event_id, code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM {STATUS}",
     "cache_stats": f"SELECT count(*) AS lookups, count(o.id) AS hits, count(o.id) * 1.0E0 / count(*) AS hit_rate FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id AND o.digest = n.digest",
     "chunk_invariants": "SELECT count(*) AS n, sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS bad FROM {documents}",
     "revenue_by_region": "SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name, n_name",
@@ -70,25 +60,11 @@ PORTABLE = {
 
 
 def _portable(sql: str):
-    names = sorted(set(re.findall(r"\{(\w+)\}", sql)))
-
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        text = sql.replace('"end"', "`end`").replace("AS VARCHAR(9)", "AS STRING")
-        return spark.sql(text, **{n: table(spark, folder, n) for n in names})
-
-    return run
-
-
-def _duck(sql: str) -> str:
-    return re.sub(r"\{(\w+)\}", r"\1", sql)
-
-
-def _values(spark: SparkSession, fixture: str) -> DataFrame:
-    return spark.sql("SELECT * FROM " + fixture.replace('"end"', "`end`").replace("AS VARCHAR(9)", "AS STRING"))
+    return lambda spark, folder: values(spark, folder, f"({sql}) q")
 
 
 def pad_cik(spark, folder):
-    return _values(spark, "(VALUES ('CIK0000320193'), ('320193'), ('0'), (''), ('00012')) AS t(raw)").select("raw", T.padded_id(F.col("raw")).alias("cik"))
+    return values(spark, folder, KEYS).select("k", "raw", T.padded_id(F.col("raw")).alias("cik"))
 
 
 def token_count(spark, folder):
@@ -112,15 +88,15 @@ def scan_json_props(spark, folder):
 
 
 def score_fields(spark, folder):
-    return _values(spark, SCORES).select("accession", "field", T.verdict(F.col("val").cast("double"), F.col("truth").cast("double"), F.col("abstained")).alias("verdict"))
+    return values(spark, folder, SCORES).select("accession", "field", T.verdict(F.col("val").cast("double"), F.col("truth").cast("double"), F.col("abstained")).alias("verdict"))
 
 
 def upsert_merge(spark, folder):
-    return tables.upserted(_values(spark, OLD), _values(spark, NEW), "id", ["company"])
+    return tables.upserted(values(spark, folder, OLD), values(spark, folder, NEW), "id", ["company"])
 
 
 def interval_point_join(spark, folder):
-    return intervals.containing(_values(spark, POINTS), _values(spark, REGIONS), "doc").withColumn("pos", F.col("pos").cast("int"))
+    return intervals.containing(values(spark, folder, POINTS), values(spark, folder, REGIONS), "doc")
 
 
 def fts(**how):
@@ -152,7 +128,7 @@ def dense_topk_batch(spark, folder):
 
 
 def hybrid_rrf(spark, folder):
-    return retrieval.rrf([_values(spark, RUN_A), _values(spark, RUN_B)], "id", top=4)
+    return retrieval.rrf([values(spark, folder, RUN_A), values(spark, folder, RUN_B)], "id", top=4)
 
 
 def session_counts(spark, folder):
@@ -180,7 +156,7 @@ def breaker_states(spark, folder):
 
 #: Functions of the library, with the SQL to compare with (None: tested in tests/ instead).
 OWN = {
-    "pad_cik": (pad_cik, "SELECT raw, lpad(coalesce(nullif(ltrim(regexp_replace(trim(raw), '^CIK', ''), '0'), ''), '0'), 10, '0') AS cik FROM (VALUES ('CIK0000320193'), ('320193'), ('0'), (''), ('00012')) AS t(raw)"),
+    "pad_cik": (pad_cik, f"SELECT k, raw, lpad(coalesce(nullif(ltrim(regexp_replace(trim(raw), '^CIK', ''), '0'), ''), '0'), 10, '0') AS cik FROM {KEYS}"),
     "token_count": (token_count, "SELECT doc_id, CAST(CASE WHEN n > 0 THEN floor(n / 0.75) + 1 ELSE 0 END AS INTEGER) AS tokens FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents) x"),
     "token_estimates": (token_estimates, "SELECT doc_id, CAST(floor(length(text) / 2.5) AS INTEGER) AS by_chars, CAST(floor(length(text) / 4) AS INTEGER) AS by_four FROM documents"),
     "normalise_whitespace": (normalise_whitespace, "SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(text, chr(160), ' '), chr(8232), chr(10)), chr(8233), chr(10) || chr(10)), '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) AS digest FROM documents"),
@@ -210,4 +186,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _duck(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items() if s}
+    own = {k: s for k, (_, s) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items() if s}
+    return {k: duck(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE | own).items()}

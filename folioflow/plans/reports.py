@@ -1,6 +1,6 @@
 """Queries for nested sources, structure, scoring, reports and service rules, each with SQL for another engine.
 
-The test tables lack these columns, so most run on small inline fixtures; the operators are the library's own."""
+Columns that the tables lack are derived from theirs (fixtures.py); the operators are the library's own."""
 
 from __future__ import annotations
 
@@ -8,81 +8,80 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sections, text as T
-from ..operators import alerts, headings, html_tables, intervals, replies, retrieval
+from ..operators import alerts, headings, html_tables, intervals, percentiles, replies, retrieval
 from ..sources import configs, nested
 from ..sources.tables import table
+from . import mechanisms
+from .fixtures import ANSWERS, ASKED, BUCKETS, CHUNKS, CITED, COMPLETIONS, ITEMS, MARKS, NAMES, POINTS, PROBED, REGIONS, REPORT, SIZES, SPANS, values
 
-LISTING = """{"directory":{"name":"/d","item":[{"name":"a.htm","size":"900"},{"name":"ex-99.htm","size":"2000"},{"name":"b.htm","size":""},{"name":"c-index.htm","size":"9999"}]}}"""
-SUBMISSIONS = """{"accessionNumber":["a1","a2"],"form":["10-K","8-K"],"filingDate":["2024-01-02","2024-02-03"],"primaryDocument":["x.htm","y.htm"]}"""
-TICKERS = """{"0":{"cik_str":320193,"ticker":"AAPL","title":"Apple Inc."},"1":{"cik_str":789019,"ticker":"MSFT","title":"Microsoft"}}"""
-FACTS = """{"us-gaap":{"Rev":{"units":{"USD":[{"val":10.5,"start":"2022-01-01","end":"2022-12-31","form":"10-K","filed":"2023-02-01","accn":"a1"},{"val":3,"end":"2022-12-31","form":"10-Q","filed":"bad","accn":"a2"}]}},"Shares":{"units":{"shares":[{"val":7,"end":"2023-01-03","form":"10-K","filed":"2023-02-01","accn":"a1"}]}}}}"""
-UNIVERSE = """{"companies":[{"ticker":"AAPL","cik":"320193","sector":"Tech"},{"ticker":"JPM","cik":"19617","sector":"Banks"},{"ticker":"MSFT","cik":"789019","sector":"Tech"}],"forms":["10-K"],"fiscal_years":[2022,2023]}"""
-REPORT = "(VALUES (1, '10-K', 'Front' || chr(10) || 'PART I' || chr(10) || 'Item 1. Business' || chr(10) || 'text é😀' || chr(10) || 'Item 1' || chr(10) || ' ITEM 1A - Risk Factors.' || chr(10) || 'see Item 9 there' || chr(10) || 'PART II' || chr(10) || 'Item 1 Legal' || chr(10) || 'end'), (2, '10-Q', 'Item 2: MD' || chr(10) || 'Item 1: late'), (3, '10-K', ''), (4, '10-K', 'no heading')) AS d(doc_id, form, text)"
-ITEMS = "(VALUES ('1A','10-K'),(' item 7. ','10-K/A'),('2','10-Q'),('8','10-Q'),('99','10-K'),(CAST(NULL AS VARCHAR),'10-K'),('10','10-k'),('x','10-K')) AS i(item, form)"
-SPANS = "(VALUES (1,0,35),(1,37,60),(2,0,4),(3,2,8)) AS s(doc, \"start\", \"end\")"
-REGIONS = "(VALUES (1,0,10,'a'),(1,10,30,'b'),(1,40,50,'c'),(3,0,20,'d')) AS r(doc, \"start\", \"end\", name)"
-MARKS = "(VALUES (1,5),(1,9),(1,40),(2,7)) AS m(doc, pos)"
-POINTS = "(VALUES (1,0),(1,5),(1,8),(1,50),(2,6),(2,7),(3,1)) AS p(doc, pos)"
-ANSWERS = "(VALUES ('a1','revenue','100','100'),('a2','revenue','110','100'),('a3','revenue','abc','100'),('a4','revenue','0.1','100'),('a5','revenue','2500','100'),('a6','revenue','120','100'),('a7','revenue',CAST(NULL AS VARCHAR),'100'),('a8','revenue','5',CAST(NULL AS VARCHAR)),('a9','revenue','110.2','100')) AS a(accession, field, raw, truth)"
-CITED = "(VALUES ('a1','revenue','exact','c1,c2'),('a2','revenue','wrong','c1'),('a3','assets','exact',''),('a4','assets','abstained','c9'),('a5','assets','within_tolerance','c2')) AS s(accession, field, verdict, cited)"
-CHUNKS = "(VALUES ('c1','prose'),('c2','table')) AS c(chunk_id, chunk_type)"
-COMPLETIONS = """(VALUES ('p1','```json' || chr(10) || '{"total_revenue": "12.5", "confidence": 0.9, "abstained_fields": ["net_income", "other"]}' || chr(10) || '```'), ('p2','{"total_revenue": null}'), ('p3','not json'), ('p4','{"total_revenue":"NaN","net_income":4,"fiscal_year":2021}')) AS t(id, reply)"""
-ASKED = """(VALUES ('p1','{"total_revenue": 5, "confidence": 0.5}',NULL), ('p2','no json','{"net_income": "7.5"}'), ('p3','{"total_revenue": 4','still {'), ('p4',NULL,'{"total_revenue": 2, "net_income": 1}'), ('p5','nothing',NULL)) AS t(id, reply, again)"""
-LABELLED = """{"queries":[{"id":"q1","query":"single sources of supply","ticker":"AAPL","form":"10-K","items":["1A"]},{"id":"q2","query":"loans and deposits","ticker":"JPM","form":"10-K","items":["1","7"]},{"id":"q3","query":"of no company","ticker":"NONE","form":"10-Q","items":[]}]}"""
+SMALL_REPORT = "(VALUES (1, '10-K', 'Front' || chr(10) || 'PART I' || chr(10) || 'Item 1. Business' || chr(10) || 'text é😀' || chr(10) || 'Item 1' || chr(10) || ' ITEM 1A - Risk Factors.' || chr(10) || 'see Item 9 there' || chr(10) || 'PART II' || chr(10) || 'Item 1 Legal' || chr(10) || 'end'), (2, '10-Q', 'Item 2: MD' || chr(10) || 'Item 1: late'), (3, '10-K', ''), (4, '10-K', 'no heading')) AS d(doc_id, form, text)"
+SOME_ITEMS = "(VALUES ('1A','10-K'),(' item 7. ','10-K/A'),('2','10-Q'),('8','10-Q'),('99','10-K'),(CAST(NULL AS VARCHAR),'10-K'),('10','10-k'),('x','10-K')) AS i(item, form)"
 TAG_MAP = """{"fields":{"sales":{"period":"duration","units":["USD","EUR"],"tags":["Revenues","Sales","Revenues"]},"assets":{"period":"instant","tags":["Assets","AssetsNet"]}}}"""
-PROBED = "(VALUES (2022,'revenue','A','Rev',false),(2022,'revenue','B','Rev',true),(2022,'revenue','C','Sales',false),(2022,'assets','A',CAST(NULL AS VARCHAR),false),(2023,'revenue','A',CAST(NULL AS VARCHAR),false),(2023,'revenue','B','Rev',false)) AS p(fy, field, ticker, tag, restated)"
 CONTEXTS = "(VALUES ('a1','revenue',1234000.0,'sales of 1,234 thousand'),('a1','assets',5500000.0,'nothing'),('a2','revenue',CAST(NULL AS DOUBLE),'x'),('a2','assets',-42.0,'a loss of (42)'),('a3','revenue',1234.5,'1234')) AS c(accession, field, truth, context)"
-SIZES = "(VALUES (6,900,true),(6,1200,false),(6,700,true),(10,1500,true),(10,2500,true)) AS s(budget, tokens, covered)"
-BUCKETS = "(VALUES ('a',0.1E0,10),('a',0.5E0,30),('a',1.0E0,40),('b',0.1E0,0),('b',0.5E0,0),('b',1.0E0,0),('c',0.1E0,1),('c',0.5E0,2),('c',1.0E0,2)) AS b(route, le, n)"
 STATES = "(VALUES ('x',0,true),('x',60,true),('x',600,true),('x',660,false),('x',720,true),('y',0,false),('y',60,true),('y',120,true)) AS s(rule, at, firing)"
 
 
-def values(spark: SparkSession, fixture: str) -> DataFrame:
-    return spark.sql("SELECT * FROM " + fixture.replace('"start"', "`start`").replace('"end"', "`end`").replace("AS VARCHAR", "AS STRING").replace("chr(10)", "char(10)"))
+def _bodies(rows: DataFrame, group, item, body) -> DataFrame:
+    """JSON bodies of fifty rows or so: what body makes of the array of their items."""
+    held = rows.select(group.alias("g"), item.alias("i")).groupBy("g").agg(F.sort_array(F.collect_list("i")).alias("items"))
+    return held.select(F.to_json(body(F.col("items"))).alias("body"))
 
 
-def json_of(text: str):
-    return lambda spark: spark.createDataFrame([(text,)], "body string")
+def _listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Directories of parts, fifty files each."""
+    item = F.struct("name", F.col("size").cast("string").alias("size"))
+    return _bodies(values(spark, folder, NAMES), F.floor(F.col("k") / 50), item, lambda a: F.struct(F.struct(F.lit("/d").alias("name"), a.alias("item")).alias("directory")))
 
 
 def scan_json_listing(spark, folder):
-    return nested.listing(json_of(LISTING)(spark))
+    return nested.listing(_listing(spark, folder))
 
 
 def argmax_primary_doc(spark, folder):
-    return nested.primary_document(nested.listing(json_of(LISTING)(spark)))
+    return nested.primary_document(nested.listing(_listing(spark, folder)))
 
 
 def scan_nested_facts(spark, folder):
-    return nested.observations(json_of(FACTS)(spark)).select("taxonomy", "tag", "unit", F.col("val").cast("double").alias("val"), F.col("start_d").cast("string").alias("start_d"), F.col("end_d").cast("string").alias("end_d"), "form", F.col("filed").cast("string").alias("filed"), "accn")
+    path = mechanisms.fact_bodies(spark, folder)
+    bodies = spark.read.text(path).select(F.get_json_object("value", "$.facts").alias("body"))
+    return nested.observations(bodies).select("taxonomy", "tag", "unit", F.col("val").cast("double").alias("val"), F.col("start_d").cast("string").alias("start_d"), F.col("end_d").cast("string").alias("end_d"), "form", F.col("filed").cast("string").alias("filed"), "accn")
 
 
 def scan_arrays_zip(spark, folder):
-    return nested.submissions(json_of(SUBMISSIONS)(spark))
+    item = F.struct(F.col("o_orderkey").cast("string").alias("a"), F.when(F.col("o_orderstatus") == "F", "10-K").otherwise("8-K").alias("f"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".htm")).alias("p"))
+    names = {"accessionNumber": "a", "form": "f", "filingDate": "d", "primaryDocument": "p"}
+    body = lambda a: F.struct(*(a[k].alias(n) for n, k in names.items()))
+    return nested.submissions(_bodies(table(spark, folder, "orders"), F.floor(F.col("o_orderkey") / 50), item, body))
 
 
 def scan_map_values(spark, folder):
-    return nested.tickers(json_of(TICKERS)(spark))
+    item = F.struct(F.col("c_custkey").alias("cik_str"), F.col("c_name").alias("ticker"), F.col("c_mktsegment").alias("title"))
+    body = lambda a: F.map_from_entries(F.transform(a, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("v"))))
+    return nested.tickers(_bodies(table(spark, folder, "customer"), F.floor(F.col("c_custkey") / 50), item, body))
 
 
 def scan_query_set(spark, folder):
-    return nested.companies(json_of(UNIVERSE)(spark)).select("ticker", T.padded_id(F.col("cik")).alias("cik"), "sector")
+    item = F.struct(F.col("c_name").alias("ticker"), F.col("c_custkey").cast("string").alias("cik"), F.col("c_mktsegment").alias("sector"))
+    rows = _bodies(table(spark, folder, "customer"), F.floor(F.col("c_custkey") / 50), item, lambda a: F.struct(a.alias("companies")))
+    return nested.companies(rows).select("ticker", T.padded_id(F.col("cik")).alias("cik"), "sector")
 
 
 def array_minmax_span(spark, folder):
-    return json_of(UNIVERSE)(spark).select(F.from_json("body", "fiscal_years array<int>").alias("u")).select(F.array_min("u.fiscal_years").alias("first"), F.array_max("u.fiscal_years").alias("last"))
+    rows = table(spark, folder, "orders").withColumn("y", F.year("o_orderdate"))
+    rows = rows.groupBy(F.floor(F.col("o_orderkey") / 50).alias("block")).agg(F.to_json(F.struct(F.collect_list("y").alias("fiscal_years"))).alias("body"))
+    return rows.select("block", F.from_json("body", "fiscal_years array<int>").alias("u")).select("block", F.array_min("u.fiscal_years").alias("first"), F.array_max("u.fiscal_years").alias("last"))
 
 
 def item_headings(spark, folder):
-    return headings.item_headings(values(spark, REPORT))
+    return headings.item_headings(values(spark, folder, REPORT))
 
 
 def part_headings(spark, folder):
-    return headings.part_headings(values(spark, REPORT))
+    return headings.part_headings(values(spark, folder, REPORT))
 
 
 def item_regions(spark, folder):
-    return headings.item_regions(values(spark, REPORT)).withColumnRenamed("start", "from_char").withColumnRenamed("end", "to_char")
+    return headings.item_regions(values(spark, folder, SMALL_REPORT)).withColumnRenamed("start", "from_char").withColumnRenamed("end", "to_char")
 
 
 _LINES = f"(SELECT doc_id, form, ls, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, form, string_split(text, chr(10)) AS ls FROM {REPORT}) q) l"
@@ -92,62 +91,65 @@ _ITEM = r"(?i)^[ \t]*Item[ \t]+([0-9]{1,2}[A-C]?)(?:[ \t]*[.:—–-]+[ \t]*(.{0
 
 def section_tag(spark, folder):
     s = sections.section(F.col("item"), F.col("form"))
-    return values(spark, ITEMS).select("item", "form", s.alias("section"), sections.is_primary(s).alias("is_primary"))
+    return values(spark, folder, SOME_ITEMS).select("item", "form", s.alias("section"), sections.is_primary(s).alias("is_primary"))
 
 
 def item_sort(spark, folder):
     o = sections.item_order(F.col("item"))
-    return values(spark, ITEMS).filter("item is not null").select("item", o["number"].alias("number"), o["letter"].alias("letter"))
+    return values(spark, folder, ITEMS).filter("item is not null").select("item", o["number"].alias("number"), o["letter"].alias("letter"))
 
 
 def interval_split(spark, folder):
-    got = intervals.split_at(values(spark, SPANS), values(spark, REGIONS), "doc")
+    got = intervals.split_at(values(spark, folder, SPANS), values(spark, folder, REGIONS), "doc")
     return got.select("doc", F.col("start").alias("from_char"), F.col("end").alias("to_char"), "name")
 
 
 def asof_running_count(spark, folder):
-    return intervals.counted_before(values(spark, POINTS), values(spark, MARKS), "doc").withColumn("n", F.col("n").cast("bigint"))
+    return intervals.counted_before(values(spark, folder, POINTS), values(spark, folder, MARKS), "doc").withColumn("n", F.col("n").cast("bigint"))
 
 
 def score_verdicts(spark, folder):
     value, truth = T.safe_decimal(F.col("raw")), T.safe_decimal(F.col("truth"))
     bad = F.col("raw").isNotNull() & value.isNull()
-    return values(spark, ANSWERS).select("accession", T.verdict(value, truth, F.lit(False), others=F.array(F.lit(110).cast("decimal(38,4)")), unreadable=bad).alias("verdict"))
+    return values(spark, folder, ANSWERS).select("accession", T.verdict(value, truth, F.lit(False), others=F.array(F.lit(110).cast("decimal(38,4)")), unreadable=bad).alias("verdict"))
 
 
 def score_primitives(spark, folder):
     v, t = T.safe_decimal(F.col("raw")), T.safe_decimal(F.col("truth"))
-    return values(spark, ANSWERS).select("accession", F.round(T.relative_error(v, t), 9).alias("error"), F.round(T.magnitude_ratio(v, t), 9).alias("ratio"), T.scale_factor(v, t).alias("scale"))
+    return values(spark, folder, ANSWERS).select("accession", F.round(T.relative_error(v, t), 9).alias("error"), F.round(T.magnitude_ratio(v, t), 9).alias("ratio"), T.scale_factor(v, t).alias("scale"))
 
 
-def _kinds(spark: SparkSession) -> DataFrame:
-    cites = values(spark, CITED).select("*", F.explode_outer(F.split("cited", ",")).alias("chunk_id"))
-    per = cites.join(values(spark, CHUNKS), "chunk_id", "left").groupBy("accession", "field", "verdict").agg(F.max(F.col("chunk_type") == "table").alias("t"))
+def _kinds(spark: SparkSession, folder: str) -> DataFrame:
+    cites = values(spark, folder, CITED).select("*", F.explode_outer(F.split("cited", ",")).alias("chunk_id"))
+    per = cites.join(values(spark, folder, CHUNKS), "chunk_id", "left").groupBy("accession", "field", "verdict").agg(F.max(F.col("chunk_type") == "table").alias("t"))
     return per.select("accession", "field", "verdict", F.when(F.col("t"), "table").when(~F.col("t"), "prose").otherwise("unknown").alias("kind"))
 
 
 def source_kind(spark, folder):
-    return _kinds(spark).select("accession", "field", "kind")
+    return _kinds(spark, folder).select("accession", "field", "kind")
 
 
 def accuracy_by_source_kind(spark, folder):
-    return _kinds(spark).groupBy("kind").agg(F.count("*").alias("total"), F.count_if(F.col("verdict").isin("exact", "within_tolerance")).alias("correct"))
+    return _kinds(spark, folder).groupBy("kind").agg(F.count("*").alias("total"), F.count_if(F.col("verdict").isin("exact", "within_tolerance")).alias("correct"))
 
 
 def parse_completion(spark, folder):
-    got = nested.completions(values(spark, COMPLETIONS), "id", "reply", 2023)
+    got = nested.completions(values(spark, folder, COMPLETIONS), "id", "reply", 2023)
     return got.withColumns({c: F.col(c).cast("double") for c in ("total_revenue", "net_income")})
 
 
 def abstain_fallback(spark, folder):
-    rows = values(spark, ASKED)
+    rows = values(spark, folder, ASKED)
     first = nested.completions(rows, "id", "reply", 2023)
     second = nested.completions(rows.filter("again IS NOT NULL").join(replies.unfit(first, "id"), "id", "left_semi"), "id", "again", 2023)
     return replies.settled(first, second, "id").select("id", "ok", "attempts", *(F.col(c).cast("double").alias(c) for c in ("total_revenue", "net_income")), "confidence", "abstained")
 
 
 def scan_labelled_queries(spark, folder):
-    got = nested.labelled_queries(json_of(LABELLED)(spark), scan_query_set(spark, folder))
+    names = F.concat(F.lit("Customer#"), F.lpad((F.col("item_id") * 7).cast("string"), 9, "0"))
+    item = F.struct(F.col("item_id").cast("string").alias("id"), F.col("text").alias("query"), names.alias("ticker"), F.when(F.col("item_id") % 2 == 0, "10-K").otherwise("10-Q").alias("form"), F.array(F.lit("1"), F.lit("7")).alias("items"))
+    rows = _bodies(table(spark, folder, "benchmark"), F.floor(F.col("item_id") / 50), item, lambda a: F.struct(a.alias("queries")))
+    got = nested.labelled_queries(rows, scan_query_set(spark, folder))
     return got.select("id", "query", "ticker", "form", F.array_join("items", ",").alias("items"), "cik")
 
 
@@ -156,22 +158,24 @@ def scan_tag_map(spark, folder):
 
 
 def value_forms_contains(spark, folder):
-    return values(spark, CONTEXTS).select("accession", "field", F.exists(T.figure_forms(F.col("truth")), lambda f: F.col("context").contains(f)).alias("found"))
+    return values(spark, folder, CONTEXTS).select("accession", "field", F.exists(T.figure_forms(F.col("truth")), lambda f: F.col("context").contains(f)).alias("found"))
 
 
 def context_coverage(spark, folder):
     found = F.exists(T.figure_forms(F.col("truth")), lambda f: F.col("context").contains(f))
-    rows = values(spark, CONTEXTS).select("field", "truth", found.alias("found"))
+    rows = values(spark, folder, CONTEXTS).select("field", "truth", found.alias("found"))
     return rows.groupBy("field").agg(F.count_if(F.col("truth").isNotNull() & F.col("found")).alias("covered"), F.count_if(F.col("truth").isNotNull() & ~F.col("found")).alias("missing"), F.count_if(F.col("truth").isNull()).alias("unresolvable"))
 
 
 def budget_sweep(spark, folder):
-    per = values(spark, SIZES).groupBy("budget").agg(F.avg(F.col("covered").cast("int")).alias("coverage"), F.sort_array(F.collect_list("tokens")).alias("t"))
-    return per.select("budget", "coverage", F.expr("t[cast(size(t) / 2 as int)]").alias("mid"), F.array_max("t").alias("most"), (F.array_max("t") + 1500 < 4000).alias("fits"))
+    rows = values(spark, folder, SIZES)
+    per = rows.groupBy("budget").agg(F.avg(F.col("covered").cast("int")).alias("coverage"), F.max("tokens").alias("most"))
+    mid = percentiles.at_places(rows, "budget", "tokens", {"mid": F.floor(F.col("n") / 2)})
+    return per.join(mid, "budget").select("budget", "coverage", F.col("mid").cast("bigint").alias("mid"), "most", (F.col("most") + 1500 < 4000).alias("fits"))
 
 
 def resolution_probe(spark, folder):
-    rows = values(spark, PROBED)
+    rows = values(spark, folder, PROBED)
     tags = rows.filter("tag is not null").groupBy("fy", "field", "tag").agg(F.count("*").alias("n")).groupBy("fy", "field").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "tag"))).alias("t"))
     per = rows.groupBy("fy", "field").agg(F.count("tag").alias("resolved"), F.count_if(F.col("tag").isNull()).alias("failed"), F.count_if("restated").alias("restated"))
     top = F.array_join(F.transform(F.slice("t", 1, 4), lambda x: x["tag"]), ",")
@@ -206,11 +210,11 @@ def _burn_sql(seconds: int) -> str:
 
 
 def histogram_quantile(spark, folder):
-    return alerts.histogram_quantile(values(spark, BUCKETS), "route", 0.95).withColumn("value", F.round("value", 9))
+    return alerts.histogram_quantile(values(spark, folder, BUCKETS), "route", 0.95).withColumn("value", F.round("value", 9))
 
 
 def alert_for_duration(spark, folder):
-    return alerts.held(values(spark, STATES), "rule", "at", "firing", 300)
+    return alerts.held(values(spark, folder, STATES), "rule", "at", "firing", 300)
 
 
 def cover_density_rank(spark, folder):
@@ -242,13 +246,13 @@ _FIGURE = "CAST(CASE WHEN a THEN reply::JSON ->> '{0}' WHEN b THEN again::JSON -
 
 #: name -> (function, SQL or None where tests/ compare instead)
 QUERIES = {
-    "scan_json_listing": (scan_json_listing, f"SELECT i.name AS name, coalesce(try_cast(i.size AS BIGINT), 0) AS size FROM (SELECT unnest(from_json('{LISTING}'::JSON -> 'directory' -> 'item', '[{{\"name\":\"VARCHAR\",\"size\":\"VARCHAR\"}}]')) AS i) x"),
-    "argmax_primary_doc": (argmax_primary_doc, "SELECT 'a.htm' AS name"),
-    "scan_nested_facts": (scan_nested_facts, "SELECT * FROM (VALUES ('us-gaap','Rev','USD',10.5E0,'2022-01-01','2022-12-31','10-K','2023-02-01','a1'),('us-gaap','Rev','USD',3E0,NULL,'2022-12-31','10-Q',NULL,'a2'),('us-gaap','Shares','shares',7E0,NULL,'2023-01-03','10-K','2023-02-01','a1')) AS t(taxonomy, tag, unit, val, start_d, end_d, form, filed, accn)"),
-    "scan_arrays_zip": (scan_arrays_zip, f"SELECT unnest(j.accessionNumber) AS accession, unnest(j.form) AS form, unnest(j.filingDate) AS filed, unnest(j.primaryDocument) AS document FROM (SELECT from_json('{SUBMISSIONS}', '{{\"accessionNumber\":[\"VARCHAR\"],\"form\":[\"VARCHAR\"],\"filingDate\":[\"VARCHAR\"],\"primaryDocument\":[\"VARCHAR\"]}}') AS j) x"),
-    "scan_map_values": (scan_map_values, "SELECT * FROM (VALUES ('AAPL','0000320193','Apple Inc.'),('MSFT','0000789019','Microsoft')) AS t(ticker, cik, title)"),
-    "scan_query_set": (scan_query_set, f"SELECT c.ticker AS ticker, lpad(c.cik, 10, '0') AS cik, c.sector AS sector FROM (SELECT unnest(from_json('{UNIVERSE}'::JSON -> 'companies', '[{{\"ticker\":\"VARCHAR\",\"cik\":\"VARCHAR\",\"sector\":\"VARCHAR\"}}]')) AS c) x"),
-    "array_minmax_span": (array_minmax_span, f"SELECT list_min(y) AS first, list_max(y) AS last FROM (SELECT from_json('{UNIVERSE}'::JSON -> 'fiscal_years', '[\"INTEGER\"]') AS y) x"),
+    "scan_json_listing": (scan_json_listing, f"SELECT name, size FROM {NAMES}"),
+    "argmax_primary_doc": (argmax_primary_doc, f"SELECT name FROM {NAMES} WHERE regexp_matches(name, '(?i)[.]html?$') AND NOT contains(lower(name), 'index') AND NOT regexp_matches(name, '(?i)exhibit|(^|[^a-z0-9])ex-?[0-9]') ORDER BY size DESC, name DESC LIMIT 1"),
+    "scan_nested_facts": (scan_nested_facts, "SELECT taxonomy, tag, unit, val, CAST(start_d AS VARCHAR) AS start_d, CAST(end_d AS VARCHAR) AS end_d, form, CAST(filed AS VARCHAR) AS filed, accn FROM (" + mechanisms.FACT_ROWS + ") x"),
+    "scan_arrays_zip": (scan_arrays_zip, "SELECT CAST(o_orderkey AS VARCHAR) AS accession, CASE WHEN o_orderstatus = 'F' THEN '10-K' ELSE '8-K' END AS form, strftime(o_orderdate, '%Y-%m-%d') AS filed, o_orderkey || '.htm' AS document FROM orders"),
+    "scan_map_values": (scan_map_values, "SELECT c_name AS ticker, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_mktsegment AS title FROM customer"),
+    "scan_query_set": (scan_query_set, "SELECT c_name AS ticker, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_mktsegment AS sector FROM customer"),
+    "array_minmax_span": (array_minmax_span, "SELECT o_orderkey // 50 AS block, min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders GROUP BY 1"),
     "item_headings": (item_headings, f"SELECT doc_id, {_POS} AS pos, upper(regexp_extract(line, '{_ITEM}', 1)) AS item, trim(concat(regexp_extract(line, '{_ITEM}', 2), regexp_extract(line, '{_ITEM}', 3)), ' .:-—–') AS title FROM {_LINES} WHERE regexp_matches(line, '{_ITEM}')"),
     "part_headings": (part_headings, f"SELECT doc_id, {_POS} AS pos, upper(regexp_extract(line, '(?i)^[ \\t]*PART[ \\t]+([IVX]{{1,4}})\\b', 1)) AS part FROM {_LINES} WHERE regexp_matches(line, '(?i)^[ \\t]*PART[ \\t]+([IVX]{{1,4}})\\b')"),
     "item_regions": (item_regions, "SELECT * FROM (VALUES (1,13,45,'1','Business','Business'),(1,45,95,'1A','Risk Factors','Risk Factors'),(1,95,111,'1','Legal','Business'),(2,0,23,'2','MD','Management''s Discussion and Analysis')) AS t(doc_id, from_char, to_char, item, title, section)"),
@@ -256,13 +260,13 @@ QUERIES = {
     "item_sort": (item_sort, f"SELECT item, CASE WHEN regexp_full_match(upper(item), '[0-9]+[A-C]?') THEN CAST(regexp_extract(item, '^[0-9]+') AS INTEGER) ELSE 999 END AS number, CASE WHEN regexp_full_match(upper(item), '[0-9]+[A-C]?') THEN regexp_extract(upper(item), '[A-C]?$') ELSE upper(item) END AS letter FROM {ITEMS} WHERE item IS NOT NULL"),
     "interval_split": (interval_split, f"WITH e AS (SELECT s.doc, s.\"start\" AS a, s.\"end\" AS b, p FROM {SPANS} JOIN (SELECT doc, \"start\" AS p FROM {REGIONS} UNION SELECT doc, \"end\" FROM {REGIONS}) r ON r.doc = s.doc AND r.p > s.\"start\" AND r.p < s.\"end\" UNION SELECT s.doc, s.\"start\", s.\"end\", s.\"start\" FROM {SPANS} ), g AS (SELECT doc, p AS from_char, lead(p, 1, b) OVER (PARTITION BY doc, a ORDER BY p) AS to_char FROM e) SELECT g.doc, from_char, to_char, r.name FROM g LEFT JOIN {REGIONS} ON r.doc = g.doc AND from_char >= r.\"start\" AND from_char < r.\"end\""),
     "asof_running_count": (asof_running_count, f"SELECT p.doc, p.pos, count(m.pos) AS n FROM {POINTS} LEFT JOIN {MARKS} ON m.doc = p.doc AND m.pos <= p.pos GROUP BY 1, 2"),
-    "score_verdicts": (score_verdicts, "SELECT * FROM (VALUES ('a1','exact'),('a2','exact'),('a3','hallucinated'),('a4','scale_error'),('a5','hallucinated'),('a6','wrong'),('a7','abstained'),('a8','unresolvable'),('a9','within_tolerance')) AS t(accession, verdict)"),
+    "score_verdicts": (score_verdicts, f"SELECT accession, CASE WHEN t IS NULL THEN 'unresolvable' WHEN bad THEN 'hallucinated' WHEN v IS NULL THEN 'abstained' WHEN v = t THEN 'exact' WHEN abs(v - t) / t <= 0.005 THEN 'within_tolerance' WHEN abs(v / 1e3 - t) / t <= 0.005 OR abs(v / 1e6 - t) / t <= 0.005 OR abs(v / 1e9 - t) / t <= 0.005 THEN 'scale_error' WHEN greatest(v, t) / least(v, t) > 10 THEN 'hallucinated' ELSE 'wrong' END AS verdict FROM (SELECT accession, try_cast(raw AS DOUBLE) AS v, try_cast(truth AS DOUBLE) AS t, raw IS NOT NULL AND try_cast(raw AS DOUBLE) IS NULL AS bad FROM {ANSWERS}) x"),
     "score_primitives": (score_primitives, f"SELECT accession, round(abs(v - t) / abs(t), 9) AS error, CASE WHEN v IS NOT NULL AND t IS NOT NULL THEN round(greatest(v, t) / least(v, t), 9) END AS ratio, CASE WHEN abs(v * 1e3 - t) / t <= 0.005 THEN 1000 WHEN abs(v / 1e3 - t) / t <= 0.005 THEN -1000 WHEN abs(v * 1e6 - t) / t <= 0.005 THEN 1000000 WHEN abs(v / 1e6 - t) / t <= 0.005 THEN -1000000 END AS scale FROM (SELECT accession, try_cast(raw AS DOUBLE) AS v, try_cast(truth AS DOUBLE) AS t FROM {ANSWERS}) x"),
     "source_kind": (source_kind, f"SELECT accession, field, CASE WHEN bool_or(chunk_type = 'table') THEN 'table' WHEN count(chunk_type) > 0 THEN 'prose' ELSE 'unknown' END AS kind FROM (SELECT *, unnest(string_split(cited, ',')) AS cid FROM {CITED}) x LEFT JOIN {CHUNKS} ON chunk_id = cid GROUP BY 1, 2"),
     "accuracy_by_source_kind": (accuracy_by_source_kind, f"SELECT kind, count(*) AS total, sum((verdict IN ('exact','within_tolerance'))::INT)::BIGINT AS correct FROM (SELECT accession, field, verdict, CASE WHEN bool_or(chunk_type = 'table') THEN 'table' WHEN count(chunk_type) > 0 THEN 'prose' ELSE 'unknown' END AS kind FROM (SELECT *, unnest(string_split(cited, ',')) AS cid FROM {CITED}) x LEFT JOIN {CHUNKS} ON chunk_id = cid GROUP BY 1, 2, 3) y GROUP BY kind"),
-    "parse_completion": (parse_completion, "SELECT * FROM (VALUES ('p1',true,12.5E0,NULL,2023,'USD',0.9E0,'net_income'),('p2',true,NULL,NULL,2023,'USD',0E0,''),('p3',false,NULL,NULL,2023,'USD',0E0,'total_revenue,net_income,total_assets,operating_cash_flow'),('p4',true,NULL,4E0,2021,'USD',0E0,'')) AS t(id, ok, total_revenue, net_income, fiscal_year, currency, confidence, abstained)"),
+    "parse_completion": (parse_completion, f"SELECT id, k % 4 <> 2 AS ok, CASE WHEN k % 4 = 0 THEN k + 0.5E0 END AS total_revenue, CASE WHEN k % 4 = 3 THEN k * 1.0E0 END AS net_income, CASE WHEN k % 4 = 3 THEN 2021 ELSE 2023 END AS fiscal_year, 'USD' AS currency, CASE WHEN k % 4 = 0 THEN 0.9E0 ELSE 0E0 END AS confidence, CASE k % 4 WHEN 0 THEN 'net_income' WHEN 2 THEN 'total_revenue,net_income,total_assets,operating_cash_flow' ELSE '' END AS abstained FROM {COMPLETIONS}"),
     "abstain_fallback": (abstain_fallback, f"SELECT id, a OR b AS ok, CASE WHEN a OR again IS NULL THEN 1 ELSE 2 END AS attempts, {_FIGURE.format('total_revenue')} AS total_revenue, {_FIGURE.format('net_income')} AS net_income, coalesce({_FIGURE.format('confidence')}, 0) AS confidence, CASE WHEN a OR b THEN '' ELSE 'total_revenue,net_income,total_assets,operating_cash_flow' END AS abstained FROM (SELECT *, {_OBJECT.format('reply')} AS a, {_OBJECT.format('again')} AS b FROM {ASKED}) x"),
-    "scan_labelled_queries": (scan_labelled_queries, f"SELECT q.id AS id, q.query AS query, q.ticker AS ticker, q.form AS form, array_to_string(q.items, ',') AS items, coalesce(lpad(c.cik, 10, '0'), '') AS cik FROM (SELECT unnest(from_json('{LABELLED}'::JSON -> 'queries', '[{{\"id\":\"VARCHAR\",\"query\":\"VARCHAR\",\"ticker\":\"VARCHAR\",\"form\":\"VARCHAR\",\"items\":[\"VARCHAR\"]}}]')) AS q) x LEFT JOIN (SELECT unnest(from_json('{UNIVERSE}'::JSON -> 'companies', '[{{\"ticker\":\"VARCHAR\",\"cik\":\"VARCHAR\"}}]')) AS c) y ON c.ticker = q.ticker"),
+    "scan_labelled_queries": (scan_labelled_queries, "SELECT CAST(item_id AS VARCHAR) AS id, text AS query, 'Customer#' || lpad(CAST(item_id * 7 AS VARCHAR), 9, '0') AS ticker, CASE WHEN item_id % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form, '1,7' AS items, coalesce(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), '') AS cik FROM benchmark LEFT JOIN customer ON c_name = 'Customer#' || lpad(CAST(item_id * 7 AS VARCHAR), 9, '0')"),
     "scan_tag_map": (scan_tag_map, "SELECT * FROM (VALUES ('sales','duration','USD','Revenues',0),('sales','duration','EUR','Revenues',0),('sales','duration','USD','Sales',1),('sales','duration','EUR','Sales',1),('assets','instant','USD','Assets',0),('assets','instant','USD','AssetsNet',1)) AS t(field, period, unit, tag, pref)"),
     "value_forms_contains": (value_forms_contains, "SELECT * FROM (VALUES ('a1','revenue',true),('a1','assets',false),('a2','revenue',false),('a2','assets',true),('a3','revenue',false)) AS t(accession, field, found)"),
     "context_coverage": (context_coverage, "SELECT * FROM (VALUES ('revenue',1,1,1),('assets',1,1,0)) AS t(field, covered, missing, unresolvable)"),

@@ -10,34 +10,24 @@ from ..operators import tables
 from ..sources.nested import EXHIBIT
 from ..sources.tables import table
 from ..streaming import windows as streams
-from .reports import values
+from .fixtures import CARDS, FILES, FRESH, LISTED, MANIFEST, MODELS, NAMES, NEW_VECTORS, PATHS, RAW, REFUSALS, STORED, VECTORS, values
 
-CARDS = "(VALUES ('a1','m1',1,'revenue','exact'),('a1','m1',1,'assets','wrong'),('a1','m2',2,'revenue','abstained'),('a1','m2',2,'assets','within_tolerance'),('a2','m1',1,'revenue','unresolvable'),('a2','m1',1,'assets','hallucinated')) AS c(accession, model, day, field, verdict)"
-STORED = "(VALUES ('a1','v1','m',1,0.5E0),('a2','v1','m',1,0.7E0)) AS o(accession, version, model, evaluated, score)"
-FRESH = "(VALUES ('a2','v1','m',2,0.9E0),('a2','v2','m',2,0.1E0),('a3','v1','m',2,0.3E0)) AS n(accession, version, model, evaluated, score)"
-VECTORS = "(VALUES ('k1',1.0E0),('k2',CAST(NULL AS DOUBLE)),('k3',3.0E0)) AS v(id, embedding)"
-NEW_VECTORS = "(VALUES ('k2',2.0E0),('k3',CAST(NULL AS DOUBLE)),('k9',9.0E0)) AS n(id, embedding)"
-MANIFEST = "(VALUES ('p','a.htm','ca978112ca1bbdcafac231b39a23dc4da786eff8147c4e72b9807785afee48bb'),('p','b.htm','00'),('p','c.htm','11')) AS m(prefix, filename, sha256)"
-FILES = "(VALUES ('p','a.htm','a'),('p','b.htm','b')) AS f(prefix, filename, content)"
-REFUSALS = "(VALUES (200,''),(408,''),(429,'limit PerDay reached'),(429,'slow down'),(404,''),(500,''),(400,'')) AS r(code, body)"
-NAMES = "(VALUES ('aapl-ex99.htm'),('exhibit1.htm'),('index.htm'),('ex-10.htm'),('complex2.htm'),('a_ex3.txt')) AS n(name)"
-RAW = "(VALUES ('12.5'),('1e3'),('abc'),(''),('NaN'),('-7')) AS r(raw)"
 
 
-def _cards(spark):
-    return values(spark, CARDS).groupBy("accession", "model", F.col("day").alias("evaluated_at")).agg(F.collect_list(F.struct("field", "verdict")).alias("scores"))
+def _cards(spark, folder):
+    return values(spark, folder, CARDS).groupBy("accession", "model", F.col("day").alias("evaluated_at")).agg(F.collect_list(F.struct("field", "verdict")).alias("scores"))
 
 
 def scorecard_upsert(spark, folder):
-    return tables.latest(values(spark, STORED).unionByName(values(spark, FRESH)), ["accession", "version", "model"], "evaluated")
+    return tables.latest(values(spark, folder, STORED).unionByName(values(spark, folder, FRESH)), ["accession", "version", "model"], "evaluated")
 
 
 def set_embeddings(spark, folder):
-    return tables.with_new_values(values(spark, VECTORS), values(spark, NEW_VECTORS), "id", "embedding")
+    return tables.with_new_values(values(spark, folder, VECTORS), values(spark, folder, NEW_VECTORS), "id", "embedding")
 
 
 def verify_partition(spark, folder):
-    return tables.verified(values(spark, MANIFEST), values(spark, FILES).withColumn("content", F.col("content").cast("binary")))
+    return tables.verified(values(spark, folder, MANIFEST), values(spark, folder, FILES).withColumn("content", F.col("content").cast("binary")))
 
 
 def embed_dedupe(spark, folder):
@@ -47,15 +37,15 @@ def embed_dedupe(spark, folder):
 
 
 def accuracy_by_field(spark, folder):
-    return api.accuracy(_cards(spark)).withColumn("accuracy", F.round("accuracy", 9))
+    return api.accuracy(_cards(spark, folder)).withColumn("accuracy", F.round("accuracy", 9))
 
 
 def latest_scorecard(spark, folder):
-    return api.latest_scorecard(_cards(spark), "a1").select("accession", "model", F.size("scores").alias("n"))
+    return api.latest_scorecard(_cards(spark, folder), "7").select("accession", "model", F.size("scores").alias("n"))
 
 
 def verdict_pivot(spark, folder):
-    return values(spark, CARDS).groupBy("field").pivot("verdict", ["exact", "wrong", "abstained"]).agg(F.count(F.lit(1))).na.fill(0)
+    return values(spark, folder, CARDS).groupBy("field").pivot("verdict", ["exact", "wrong", "abstained"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def index_health(spark, folder):
@@ -79,7 +69,7 @@ def decode_fallback(spark, folder):
 
 
 def safe_decimal(spark, folder):
-    return values(spark, RAW).select("raw", T.safe_decimal(F.col("raw")).cast("double").alias("value"))
+    return values(spark, folder, RAW).select("k", "raw", T.safe_decimal(F.col("raw")).cast("double").alias("value"))
 
 
 _CARD_ROWS = f"SELECT field, count(*) AS n, round(avg((verdict IN ('exact','within_tolerance'))::INT), 9) AS accuracy, avg((verdict IN ('exact','within_tolerance'))::INT) >= 0.9 AS passed FROM {CARDS} WHERE verdict <> 'unresolvable' GROUP BY field"
@@ -91,36 +81,36 @@ SELECT doc_id AS chunk_id, round(1.0E0 / (60 + row_number() OVER (ORDER BY score
 
 #: name -> (function, SQL or None where tests/ compare instead)
 QUERIES = {
-    "scorecard_upsert": (scorecard_upsert, "SELECT * FROM (VALUES ('a1','v1','m',1,0.5E0),('a2','v1','m',2,0.9E0),('a2','v2','m',2,0.1E0),('a3','v1','m',2,0.3E0)) AS t(accession, version, model, evaluated, score)"),
+    "scorecard_upsert": (scorecard_upsert, f"SELECT accession, version, model, max(evaluated) AS evaluated, arg_max(score, evaluated) AS score FROM (SELECT * FROM {STORED} UNION ALL SELECT * FROM {FRESH}) GROUP BY 1, 2, 3"),
     "set_embeddings": (set_embeddings, f"SELECT v.id, coalesce(n.embedding, v.embedding) AS embedding FROM {VECTORS} LEFT JOIN {NEW_VECTORS} ON n.id = v.id"),
     "verify_partition": (verify_partition, f"SELECT m.prefix, m.filename, coalesce(sha256(f.content) = m.sha256, false) AS ok FROM {MANIFEST} LEFT JOIN {FILES} ON f.prefix = m.prefix AND f.filename = m.filename"),
     "embed_dedupe": (embed_dedupe, "SELECT doc_id, sha256(text) AS digest, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_words FROM documents"),
     "accuracy_by_field": (accuracy_by_field, _CARD_ROWS),
-    "latest_scorecard": (latest_scorecard, "SELECT 'a1' AS accession, 'm2' AS model, 2 AS n"),
+    "latest_scorecard": (latest_scorecard, f"SELECT accession, model, count(*) AS n FROM {CARDS} WHERE accession = '7' GROUP BY accession, model, day ORDER BY day DESC, model LIMIT 1"),
     "verdict_pivot": (verdict_pivot, f"SELECT field, sum((verdict = 'exact')::INT)::BIGINT AS exact, sum((verdict = 'wrong')::INT)::BIGINT AS wrong, sum((verdict = 'abstained')::INT)::BIGINT AS abstained FROM {CARDS} GROUP BY field"),
     "index_freshness": (index_health, "SELECT count(*) AS n, count(o_orderstatus) AS n_text, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 AS age_seconds, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 < 86400 AS fresh FROM orders"),
     "search": (search, _SEARCH),
     "cosine_pairs": (cosine_pairs, "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(list_reverse(embedding) AS DOUBLE[])), 6) AS cosine FROM embeddings"),
     "decode_fallback": (decode_fallback, "SELECT * FROM (VALUES (1,'café'),(2,'café “x”'),(3,''),(4,NULL),(5,chr(129) || chr(147))) AS t(id, text)"),
-    "safe_decimal": (safe_decimal, "SELECT * FROM (VALUES ('12.5',12.5E0),('1e3',1000E0),('abc',NULL),('',NULL),('NaN',NULL),('-7',-7E0)) AS t(raw, value)"),
+    "safe_decimal": (safe_decimal, f"SELECT k, raw, CASE WHEN raw <> 'NaN' THEN try_cast(raw AS DOUBLE) END AS value FROM {RAW}"),
     "stream_sliding_counts": (streams.sliding_counts, "SELECT strftime(date_trunc('hour', ts) - to_hours(CAST(k AS INTEGER)), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events, range(6) r(k) GROUP BY 1, 2"),
     "stream_foreach_batch": (streams.landed_then_scored, "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum((event_type = 'error')::INT)::BIGINT AS errors FROM events GROUP BY 1"),
 }
 
 #: Same text for both engines.
 PORTABLE = {
-    "classify_status": f"SELECT code, body, CASE WHEN code < 400 THEN 'ok' WHEN code = 429 AND lower(substr(body, 1, 400)) LIKE '%perday%' THEN 'final' WHEN code IN (408, 429, 500, 502, 503, 504) THEN 'retry' ELSE 'final' END AS class FROM {REFUSALS}",
+    "classify_status": f"SELECT event_id, code, body, CASE WHEN code < 400 THEN 'ok' WHEN code = 429 AND lower(substr(body, 1, 400)) LIKE '%perday%' THEN 'final' WHEN code IN (408, 429, 500, 502, 503, 504) THEN 'retry' ELSE 'final' END AS class FROM {REFUSALS}",
     "date_parts": "SELECT o_orderkey, quarter(o_orderdate) AS q, year(o_orderdate) AS y, CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS fy FROM {orders}",
-    "query_prefix": "SELECT m, CASE WHEN lower(m) LIKE '%bge%' THEN 'prefixed: ' || q ELSE q END AS line FROM (VALUES ('BGE-small','net income'),('other','net income')) AS t(m, q)",
+    "query_prefix": f"SELECT item_id, m, CASE WHEN lower(m) LIKE '%bge%' THEN 'prefixed: ' || q ELSE q END AS line FROM {MODELS}",
     "metrics_long": "SELECT event_type AS label, 'events_total' AS name, count(*) * 1.0E0 AS value FROM {events} GROUP BY event_type UNION ALL SELECT event_type, 'value_max', max(value) FROM {events} GROUP BY event_type",
     "alert_absent": "SELECT r.name, count(e.event_id) = 0 AS firing FROM (VALUES ('error'), ('heartbeat')) AS r(name) LEFT JOIN {events} e ON e.event_type = r.name GROUP BY r.name",
-    "abstention_rules": "SELECT field, listed OR val IS NULL AS abstained FROM (VALUES ('a', true, 1.0E0), ('b', false, CAST(NULL AS DOUBLE)), ('c', false, 2.0E0)) AS t(field, listed, val)",
-    "accession_from_path": "SELECT p, replace(regexp_replace(regexp_replace(p, '^.*/', ''), '[.]txt$', ''), '-', '') AS accession FROM (VALUES ('edgar/data/1/0000000001-24-000001.txt'), ('x.txt'), ('a/b')) AS t(p)",
+    "abstention_rules": f"SELECT field, listed OR val IS NULL AS abstained FROM {LISTED}",
+    "accession_from_path": f"SELECT p, replace(regexp_replace(regexp_replace(p, '^.*/', ''), '[.]txt$', ''), '-', '') AS accession FROM {PATHS}",
 }
 
 
 def filter_regex(spark, folder):
-    return values(spark, NAMES).select("name", F.col("name").rlike(EXHIBIT).alias("exhibit"))
+    return values(spark, folder, NAMES).select("name", F.col("name").rlike(EXHIBIT).alias("exhibit"))
 
 
 def filter_digit_ratio(spark, folder):
