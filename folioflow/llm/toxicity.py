@@ -3,15 +3,16 @@
 A document is a bag of sentences, a sentence the set of its known features. It has the probability sigmoid(bias +
 weights of its features); a document is toxic if any of its sentences is (noisy-or): 1 - prod(1 - p). The weights are
 fitted through that formula from document labels, with a small share of wrong labels allowed for, so the same weights
-point out the offending sentences. `instances` and `noisy_or` serve fitting, scoring and location alike:
-sentences without known features are no instances; equal sentences of a document are one; of the sentences with a
-probability under FLOOR only the likeliest counts. So neither length nor repetition makes a text toxic.
+point out the offending sentences. `instances` and `noisy_or` serve fitting, scoring and location alike: sentences
+without known features are no instances, equal sentences of a document are one, and all instances count, however
+unlikely. So that long clean texts stay clean, what documents without the label hold together is clean too: unions of
+GROUPS of them are fitted as further clean bags, which keeps the sum over many clean sentences small.
 Features of a word: the word in lower case, and its first four and five letters, so that inflected forms count.
 
 Sentences end at . ! ? at the end of a word and at line breaks.
 Defined cases: null and empty texts have no sentence and the score 0; repeated rows are scored alike; without both
 labels to learn from every score is 0; no rows give an empty result; other columns are ignored or kept as asked, under
-any names; a text of any length is scored as a whole; of equally likely sentences under FLOOR one counts.
+any names; a text of any length is scored as a whole; equally likely sentences all count.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ SAMPLE = 4000
 NOISE = 0.01
 #: Features kept for fitting, at most: those that differ most between the labels.
 FEATURES = 30_000
-#: Sentences less likely than this do not add up: the likeliest of them stands for all.
-FLOOR = 0.05
+#: Clean documents to a union, and the weight of all unions of a size beside that of all documents.
+GROUPS, UNION = (8, 64, 512), 0.02
+#: How often a toxic document counts while fitting: the unions say no often enough.
+RARE = 3.0
 #: Code points of texts that are scored at a time.
 PORTION = 1 << 21
 _TOKEN = re.compile(r"\S+|\n")
@@ -106,17 +109,9 @@ def instances(doc: np.ndarray, sentence: np.ndarray, feature: np.ndarray, once:
     return Instances(doc, sentence, of, feature)
 
 
-def counted(z: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which instances count: those from FLOOR on, and the likeliest of each document."""
-    out = z >= math.log(FLOOR / (1 - FLOOR))
-    order = np.lexsort((np.arange(len(z)), z, doc))
-    out[order[np.flatnonzero(np.diff(doc[order], append=-1))]] = True
-    return out
-
-
 def noisy_or(z: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
-    """The probability of each document from its instances' logits."""
-    return -np.expm1(-np.bincount(doc, np.logaddexp(0, z) * counted(z, doc), docs))
+    """The probability of each document from its instances' logits: 1 - prod(1 - p)."""
+    return -np.expm1(-np.bincount(doc, np.logaddexp(0, z), docs))
 
 
 class Tokens(dict):
@@ -178,10 +173,9 @@ class Tokens(dict):
         return (np.concatenate(score), np.concatenate(number)) if score else (np.zeros(0), np.zeros(0, np.int64))
 
     def sentences(self, text: str) -> np.ndarray:
-        """log(1 - p) of each sentence that counts, negated."""
+        """log(1 - p) of each instance, negated."""
         got = self.instances([self.codes(text)])
-        z = got.logits(self.model.bias, self.model.weights)
-        return np.logaddexp(0, z)[counted(z, got.doc)]
+        return np.logaddexp(0, got.logits(self.model.bias, self.model.weights))
 
     def score(self, text: str) -> float:
         return float(self.scores([text])[0][0])
@@ -223,12 +217,11 @@ def _chosen(doc: np.ndarray, feature: np.ndarray, labels: np.ndarray) -> np.ndar
 def fit(sample: list[tuple[str, int, float]], steps: int = 400, rate: float = 0.3, l2: float = 1e-5) -> Model:
     """Fits bias and weights to (text, toxic, weight) rows by the noisy-or likelihood.
 
-    First all sentences add up, so that each can learn; then small weights go, and the rest is fitted on through the
-    very formula that scores."""
+    First with all chosen features; then small weights go, and the rest is fitted on."""
     labels = np.array([y > 0 for _, y, _ in sample], np.float64)
     if not len(labels) or labels.min() == labels.max():
         return nothing()
-    weight = np.array([w for _, _, w in sample])
+    weight = np.array([w for _, _, w in sample]) * np.where(labels > 0, RARE, 1.0)
     weight = weight / weight.sum()
     memo: dict[str, tuple[int, ...]] = {}
     found, places, numbers, s = [], [], [], 0
@@ -258,26 +251,40 @@ def fit(sample: list[tuple[str, int, float]], steps: int = 400, rate: float = 0.
         held = names[at] == feature
         return instances(doc[held], sentence[held], at[held])
 
-    def gradient_of(bag: Instances, all_count: bool):
+    clean_docs = np.flatnonzero(labels == 0)
+    unions = []
+    for size in GROUPS:
+        of = np.full(len(labels), -1)
+        of[clean_docs] = np.arange(len(clean_docs)) // min(size, len(clean_docs))
+        unions.append((of, int(of.max()) + 1))
+
+    def gradient_of(bag: Instances):
+        held = [(of[bag.doc], n) for of, n in unions]
+
         def gradient(x: np.ndarray) -> np.ndarray:
             z = bag.logits(x[0], x[1:])
-            counts = 1.0 if all_count else counted(z, bag.doc)
-            clean = np.exp(-np.bincount(bag.doc, np.logaddexp(0, z) * counts, len(labels)))
+            cost = np.logaddexp(0, z)
+            clean = np.exp(-np.bincount(bag.doc, cost, len(labels)))
             p = NOISE + (1 - 2 * NOISE) * (1 - clean)
-            slope = weight * (labels / p - (1 - labels) / (1 - p)) * (1 - 2 * NOISE) * clean
-            g = -slope[bag.doc] * linear.sigmoid(z) * counts
+            slope = (weight * (labels / p - (1 - labels) / (1 - p)) * (1 - 2 * NOISE) * clean)[bag.doc]
+            for of, n in held:
+                some = of >= 0
+                whole = np.exp(-np.bincount(of[some], cost[some], n))
+                share = -UNION / n * (1 - 2 * NOISE) * whole / (NOISE + (1 - 2 * NOISE) * whole)
+                slope[some] += share[of[some]]
+            g = -slope * linear.sigmoid(z)
             return np.concatenate([[g.sum()], np.bincount(bag.feature, g[bag.of], len(x) - 1) + l2 * x[1:]])
 
         return gradient
 
     bag = known(names)
     share = max(1, len(bag.doc) / len(labels))
-    x = linear.adam(gradient_of(bag, True), np.concatenate([[-2 - math.log(share)], np.zeros(len(names))]), steps, rate)
+    x = linear.adam(gradient_of(bag), np.concatenate([[-2 - math.log(share)], np.zeros(len(names))]), steps, rate)
     large = np.abs(x[1:]) > 0.25
     if not large.any():
         return nothing()
     names = names[large]
-    x = linear.adam(gradient_of(known(names), False), np.concatenate([x[:1], x[1:][large]]), steps // 2, rate / 3)
+    x = linear.adam(gradient_of(known(names)), np.concatenate([x[:1], x[1:][large]]), steps // 2, rate / 3)
     return Model(float(x[0]), names, x[1:])
 
 

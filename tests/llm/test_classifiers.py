@@ -89,7 +89,7 @@ def test_held_out_accuracy(spark, name, label):
 
 
 def plain_score(model, text):
-    """Noisy-or in plain Python: sets of features a sentence, equal ones once, the likeliest of those under the floor."""
+    """Noisy-or in plain Python over all instances: sets of features a sentence, equal ones once."""
     w = dict(zip(model.names.tolist(), model.weights.tolist(), strict=True))
     bag, now = set(), set()
     for token in [*text.replace("\n", " . ").split(), "."]:
@@ -97,10 +97,25 @@ def plain_score(model, text):
         if token[-1] in ".!?":
             bag |= {frozenset(now)} if now else set()
             now = set()
-    p = sorted(1 / (1 + np.exp(-(model.bias + sum(w[f] for f in s)))) for s in bag)
-    low = [x for x in p if x < toxicity.FLOOR]
-    high = [x for x in p if x >= toxicity.FLOOR]
-    return 1 - np.prod([1 - x for x in (high or low[-1:])]) if p else 0.0
+    return 1 - np.prod([1 - 1 / (1 + np.exp(-(model.bias + sum(w[f] for f in s)))) for s in bag])
+
+
+def test_every_instance_counts():
+    z = np.full(200, np.log(0.045 / 0.955))
+    assert toxicity.noisy_or(z, np.zeros(200, np.int64), 1)[0] == pytest.approx(1 - 0.955**200)
+
+
+def test_many_different_clean_sentences_stay_clean(spark):
+    """Of the documents outside training that are clean, all different sentences as one text of the length of the longest."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    tokens = toxicity.Tokens(toxicity.train(docs, labels))
+    clean = [r["text"] for r in docs.join(labels.filter("toxic = 0"), "doc_id").filter("crc32(cast(doc_id as string)) % 5 = 0").orderBy("doc_id").select("text").collect()]
+    own = [t for t in clean if t and tokens.score(t) < 0.5]
+    assert len(own) > 0.98 * len(clean)
+    n = np.array([tokens.scores([t])[1][0] for t in own])
+    half = int(np.searchsorted(np.cumsum(n), 1500))
+    assert tokens.score("\n".join(own[:half])) < 0.5
 
 
 def test_every_score_is_the_fitted_formula(spark):
