@@ -6,10 +6,10 @@ the band's floor; it is broadcast up to MOST_TERMS terms and joined by a shuffle
 The lexicon is dealt at random into subsets of three sizes; a fingerprint has one hash a subset, of the sorted
 distinct terms of the document that fall into it. An edit changes only the hashes of the subsets that it touches, so
 the share of equal hashes tells how alike two texts are: small subsets answer for long texts, large ones for short.
-A text with fewer than FEW terms of the band adds its own LOW terms with the smallest hashes, whatever their frequency.
+A text without a term of the band has a fingerprint of empty subsets only, which says so: it is like equal texts alone.
 
-Defined cases: a null text is empty; a text without any term has only empty subsets; equal fingerprints have the
-likeness 1; equal texts have equal fingerprints, also if repeated; a null doc_id counts as the smallest; rows with equal
+Defined cases: a null text is empty; equal texts have equal fingerprints and the likeness 1, also if repeated; other texts
+with equal fingerprints have the likeness 1 if a subset is filled, else 0; a null doc_id counts as the smallest; rows with equal
 doc_id follow each other in an order of their own; a single document is its own next one; a text of any length is read
 as a whole; no rows give an empty result; other columns are ignored, whatever their names.
 """
@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: The band: terms in at least 1/256 and at most 1/16 of the different texts, and in two at least.
-FLOOR, CEILING = 1 / 256, 1 / 16
+#: The band: terms in at least 1/256 and at most a quarter of the different texts, and in two at least.
+FLOOR, CEILING = 1 / 256, 1 / 4
 #: Subsets: for each size, the lexicon is dealt into that many parts, of which the first sixteen are used.
 PARTS, USED = (16, 64, 512), 16
 #: Terms of a lexicon that is sent to all tasks; a larger one is joined by a shuffle.
 MOST_TERMS = 1_000_000
-#: A text with fewer terms of the band than FEW is told by so many of its own terms too.
-FEW, LOW = 4, 16
 #: Subsets of a size that must be filled before their share of equal hashes counts in full.
 ENOUGH = 4
 _NONE = -1  # the hash of no terms
@@ -87,14 +85,9 @@ def told_by(rows: DataFrame, by: list[str], texts: list[str], lex: DataFrame) ->
     one = one.join(hint(lex.withColumn("_in", F.lit(True))), "t", "left").withColumn("_in", F.coalesce("_in", F.lit(False)))
     starts = [F.lit(0), *(F.col(f"_e{i}") for i in range(len(texts) - 1))]
     inside = [(F.col("_pos") >= a) & (F.col("_pos") < F.col(f"_e{i}")) for i, a in enumerate(starts)]
-    low = [ok & (F.col("_pos") < a + LOW) for a, ok in zip(starts, inside, strict=True)]
-    any_low = low[0]
-    for x in low[1:]:
-        any_low = any_low | x
-    one = one.filter(F.col("_in") | any_low | F.coalesce(F.col("_pos"), F.lit(0)).eqNullSafe(0))
-    gathered = [x for i in range(len(texts)) for x in (F.collect_list(F.when(F.col("_in") & inside[i], F.col("t"))).alias(f"_h{i}"), F.collect_list(F.when(~F.col("_in") & low[i], F.col("t"))).alias(f"_l{i}"))]
-    got = one.groupBy(*by).agg(*gathered)
-    terms = [F.sort_array(F.array_distinct(F.when(F.size(f"_h{i}") >= FEW, F.col(f"_h{i}")).otherwise(F.concat(f"_h{i}", f"_l{i}")))).alias(c) for i, c in enumerate(texts)]
+    one = one.filter(F.col("_in") | F.coalesce(F.col("_pos"), F.lit(0)).eqNullSafe(0))  # the first stays, so that no row goes
+    got = one.groupBy(*by).agg(*(F.collect_list(F.when(F.col("_in") & inside[i], F.col("t"))).alias(f"_h{i}") for i in range(len(texts))))
+    terms = [F.sort_array(F.array_distinct(f"_h{i}")).alias(c) for i, c in enumerate(texts)]
     return got.select(*by, *terms)
 
 
@@ -105,14 +98,14 @@ def as_text(sig: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Of the subsets of one size that are not empty in both, the share of equal hashes; the largest of the sizes.
-    Fewer than ENOUGH filled subsets count as so many; equal signatures are alike by 1."""
+    Fewer than ENOUGH filled subsets count as so many; equal signatures are alike by 1 if a subset is filled, else by 0."""
     both = F.zip_with(a, b, lambda x, y: F.when((x == _NONE) & (y == _NONE), 0).when(x == y, 3).otherwise(1))
 
     def share(z: Column) -> Column:
         return F.size(F.filter(z, lambda x: x == 3)) / F.greatest(F.size(F.filter(z, lambda x: x > 0)), F.lit(ENOUGH))
 
     shares = F.transform(F.array(both), lambda z: F.greatest(*(share(F.slice(z, 1 + USED * i, USED)) for i in range(len(PARTS)))))
-    return F.when(a == b, 1.0).otherwise(F.get(shares, F.lit(0)))
+    return F.when((a == b) & F.exists(a, lambda x: x != _NONE), 1.0).otherwise(F.get(shares, F.lit(0)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -163,13 +156,14 @@ def against_edits(docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next", F.lit(1), third)))
-    by = ["block", "row", "doc_id", "n_chars", "edited_sha256"]
-    rows = rows.select("block", "row", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", F.when(F.col("inside").isNull(), F.col("head")).alias("head"))
+    by = ["block", "row", "doc_id", "n_chars", "edited_sha256", "same_edited", "same_next"]
+    rows = rows.select("block", "row", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), (F.col("edited") == F.col("text")).alias("same_edited"), (F.col("next") == F.col("text")).alias("same_next"), "text", "edited", F.when(F.col("inside").isNull(), F.col("head")).alias("head"))
     keys = told_by(rows, by, ["text", "edited", "head"], lex)
     last = Window.partitionBy("block").orderBy("row")
     keys = keys.select(*by, signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("esig"), signature(F.col("head")).alias("hsig"))
     keys = keys.withColumn("next_sig", F.coalesce(F.lead("sig").over(last), "hsig"))
     return keys.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("sig")).alias("fingerprint"), as_text(F.col("esig")).alias("edited_fingerprint"),
-        likeness(F.col("sig"), F.col("esig")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
+        F.when(F.col("same_edited"), 1.0).otherwise(likeness(F.col("sig"), F.col("esig"))).alias("near_edited"),
+        F.when(F.col("same_next"), 1.0).otherwise(likeness(F.col("sig"), F.col("next_sig"))).alias("near_next"),
     )
