@@ -6,7 +6,8 @@ figures are no hot key. Matches on one diagonal (same shift between document and
 each value of the item stands for one value of the document, the one that most windows say; windows that say another
 go. What other diagonals add must not contradict the best one.
 An item is found in a document if at least 0.8 of its windows match so, under one of two readings of both: without
-names, whatever the case; or with every capitalised word a name that is no function word, wherever it stands.
+names, whatever the case; or with every capitalised word a name, wherever it stands, that is neither a function word of
+English, German, French or Spanish nor, after a German article, a noun.
 Items of fewer than five tokens are one window, read without names, which is found in texts of the same tokens or, if
 asked for, inside longer ones.
 
@@ -28,35 +29,65 @@ from . import common
 WINDOW, SHARE = 5, 0.8
 #: Windows of items that may be sent to all tasks (some 50 bytes each).
 BROADCAST_WINDOWS = 500_000
-# Number words, unit words, and words that are no names where they open a sentence.
+# Fixed values of four languages: number words, unit words, and words that are no names where they open a sentence. Words
+# that mean something else in another of the languages (French six counts, Spanish once and French cent do not) are left out.
 NUMBER_WORDS = tuple(
-    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
-    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+    (
+        "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+        "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion "
+        "null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn zwanzig dreißig vierzig fünfzig hundert tausend "
+        "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante mille "
+        "cero dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce veinte treinta cuarenta cincuenta sesenta cien"
+    ).split()
 )
 _SHORT_UNITS = "kg g mg lb lbs oz km m cm mm mi ft yd l ml cl dl s sec secs min mins h hr hrs kmh kph mph kw kwh mw w v a hz khz mhz ghz kb mb gb tb usd eur gbp"
 _PLAIN_UNITS = "foot feet inch inches yard mile acre hectare ounce pound stone gallon quart pint cup tablespoon teaspoon dozen minute hour day night week month year decade century centuries dollar cent euro penny pence pennies yen rupee franc peso mark percent degree knot barrel bushel"
-_METRIC_UNITS = "gram gramme meter metre liter litre watt volt amp hertz byte bit joule newton calorie second tonne ton"
+_METRIC_UNITS = "gram gramme meter metre liter litre watt volt amp hertz byte bit joule newton calorie second tonne ton gramm mètre gramo metro litro"
+_OTHER_UNITS = "stunde stunden minuten tag tage tagen woche wochen monat monate monaten jahr jahre jahren sekunde sekunden pfund grad prozent heure jour semaine mois ans année seconde livre degré hora minuto día mes meses semana año segundo libra grado kilómetro"
 _PREFIXES = ("", "kilo", "centi", "milli", "mega", "giga", "tera", "micro", "nano", "deci")
-FUNCTION_WORDS = (
-    "A An The This That These Those It Its He His Him She Her They Their Them We Our Us You Your I My And Or But If Then So As At By For From In Into "
-    "Of On To With Without About After Before During While Until Since Because Although When Where Which Who Whom Whose What Why How Is Are Was Were Be "
-    "Do Does Did Has Have Had Can Could Will Would Should May Might Must Not No Yes Each Every All Some Any Many Much More Most Both Between Over Under "
-    "There Here Now Later First Next Finally Today Yesterday Tomorrow Suppose Given Let Calculate Find"
-).split()
+FUNCTION_WORDS = {
+    "en": (
+        "A An The This That These Those It Its He His Him She Her They Their Them We Our Us You Your I My And Or But If Then So As At By For From In Into "
+        "Of On To With Without About After Before During While Until Since Because Although When Where Which Who Whom Whose What Why How Is Are Was Were Be "
+        "Do Does Did Has Have Had Can Could Will Would Should May Might Must Not No Yes Each Every All Some Any Many Much More Most Both Between Over Under "
+        "There Here Now Later First Next Finally Today Yesterday Tomorrow Suppose Given Let Calculate Find"
+    ),
+    "de": (
+        "Der Die Das Den Dem Des Ein Eine Einen Einem Einer Eines Er Sie Es Wir Ihr Sein Seine Ihre Mein Meine Kein Keine Dieser Diese Dieses Und Oder Aber "
+        "Wenn Dann Weil Da Als Ob Wie Wo Wer Wen Wem Was Wann Warum Welche Welcher Welches Wieviel Wieviele Auf Aus Bei Bis Durch Für Gegen Mit Nach Ohne "
+        "Seit Um Unter Von Vor Zu Zum Zur Am Im Vom Beim Nicht Nun Jetzt Hier Dort Heute Morgen Gestern Jeder Jede Jedes Alle Viele Ist Sind War Waren Hat Haben Kann"
+    ),
+    "fr": (
+        "Le La Les Un Une Des Du De Au Aux Ce Cet Cette Ces Il Elle Ils Elles Nous Vous Je Tu On Son Sa Ses Leur Leurs Mon Ma Mes Et Ou Mais Si Alors Donc "
+        "Car Quand Comme Que Qui Quoi Quel Quelle Quels Quelles Combien Comment Pourquoi Où Dans Sur Sous Avec Sans Pour Par Après Avant Pendant Depuis Chez "
+        "Entre Chaque Tous Toutes Est Sont Ne Pas Ici Maintenant Puis Ensuite"
+    ),
+    "es": (
+        "El Los Las Una Unos Unas Al Del Este Esta Estos Estas Ese Esa Él Ella Ellos Ellas Nosotros Yo Su Sus Mi Mis Y O Pero Entonces Porque Cuando Como Que "
+        "Quien Cuál Cuánto Cuánta Cuántos Cuántas Cómo Dónde Qué Quién En Con Sin Para Por Sobre Desde Hasta Entre Cada Todos Todas Es Son No Sí Aquí Ahora Luego Después"
+    ),
+}
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 #: Scripts without spaces between words: each letter is a token.
 _SCRIPTS = r"\u0e00-\u0e7f\u3005\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{323af}"
-#: A name wherever it stands, sentence openers too; no function word begins one.
-_ANY_NAMES = rf"(?=\p{{Lu}})(?<!\p{{L}})((?!(?:{'|'.join(FUNCTION_WORDS)})(?!\p{{L}}))\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)"
+_OPENERS = "|".join(sorted({w for words in FUNCTION_WORDS.values() for w in words.split()}))
+#: What stands before a German noun, which is written like a name: an article or the like, in any of its forms.
+_ARTICLES = "d(?:er|ie|as|en|em|es)|[kmds]?eine?[nmrs]?|(?:ihr|unser|euer|eur)(?:e[nmrs]?)?|(?:dies|jed|jen|welch|manch|solch|all)e[nmrs]?|[ai]m|zu[mr]|vom|beim|ans|ins"
+#: A name wherever it stands, sentence openers too: no function word begins one, and after a German article, be there a
+#: word in small letters between or not, it is a noun.
+_ANY_NAMES = (
+    rf"(?=\p{{Lu}})(?<!\p{{L}})(?<!(?<!\p{{L}})(?i:{_ARTICLES}) (?:\p{{Ll}}{{1,20}} )?)"
+    rf"((?!(?:{_OPENERS})(?!\p{{L}}))\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)"
+)
 _NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*"
 #: Readings of a text: without names; with names.
 PLAIN, NAMED = 0, 1
 
 
 def units() -> tuple[str, ...]:
-    """Unit words in the singular and the plural, metric ones with their prefixes."""
+    """Unit words of four languages in the singular and the plural, metric ones with their prefixes."""
     metric = [p + u for u in _METRIC_UNITS.split() for p in _PREFIXES]
-    words = [*_PLAIN_UNITS.split(), *metric]
+    words = [*_PLAIN_UNITS.split(), *_OTHER_UNITS.split(), *metric]
     return tuple(sorted({*_SHORT_UNITS.split(), *words, *(w + "s" for w in words)}))
 
 
