@@ -30,6 +30,11 @@ def held(states: DataFrame, key: str, at: str, firing: str, seconds: int) -> Dat
     return runs.filter(F.col("until") - F.col("since") >= seconds).drop("_run")
 
 
+def inhibited(alerts: DataFrame, sources: DataFrame, on: list[str]) -> DataFrame:
+    """The alerts of which no source alert has the same labels; null labels are the same as nothing."""
+    return alerts.join(sources.select(*on).distinct(), on, "left_anti").select(*alerts.columns)
+
+
 def histogram_quantile(counts: DataFrame, key: str, q: float) -> DataFrame:
     """(key, value) from cumulative counts (key, le, n), the last le infinite: linear inside the bucket that holds the
     quantile; the highest finite bound if that is the last one; null for a key without events."""

@@ -74,6 +74,13 @@ SIZES = "(SELECT CAST(l_linenumber AS INT) AS budget, CAST(l_orderkey % 5000 AS
 PROBED = "(SELECT CAST(year(o_orderdate) AS INT) AS fy, CASE WHEN o_orderkey % 2 = 0 THEN 'revenue' ELSE 'assets' END AS field, CAST(o_custkey AS VARCHAR) AS ticker, CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS VARCHAR) ELSE o_orderpriority END AS tag, o_orderkey % 9 = 0 AS restated FROM {orders}) AS p"
 BUCKETS = "(SELECT route, le, n FROM (" + " UNION ALL ".join(f"SELECT event_type AS route, {b}E0 AS le, sum(CASE WHEN value <= {b}E0 THEN 1 ELSE 0 END) AS n FROM {{events}} WHERE value <= 200.0E0 GROUP BY event_type" for b in ("5.0", "20.0", "50.0", "200.0")) + ") q) AS b"
 ITEMS = "(SELECT DISTINCT CAST(l_linenumber AS VARCHAR) || CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'b' ELSE '' END AS item, CASE WHEN l_linestatus = 'O' THEN '10-K' ELSE '10-Q' END AS form FROM {lineitem}) AS i"
+#: Items as reports write them: with the word and signs, with small letters, unknown, missing.
+TAGGED = """(SELECT DISTINCT CASE CAST(l_quantity AS INT) % 5 WHEN 0 THEN ' item ' || n || '. ' WHEN 1 THEN CAST(NULL AS VARCHAR) WHEN 2 THEN n || 'x' WHEN 3 THEN n || 'a' ELSE n END AS item,
+ CASE WHEN l_linestatus = 'O' THEN '10-K/A' ELSE '10-q' END AS form FROM (SELECT *, CAST(l_partkey % 18 AS VARCHAR) AS n FROM {lineitem}) q) AS i"""
+#: Figures of orders, whole, in thousands or millions, below zero, with a fraction or missing; and texts that print them or not.
+CONTEXTS = f"""(SELECT {_K} AS accession, o_orderpriority AS field, CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS DOUBLE) WHEN o_orderkey % 13 = 0 THEN -1.0E0 * t * k WHEN o_orderkey % 7 = 0 THEN t * k + 0.5E0 ELSE 1.0E0 * t * k END AS truth,
+ CASE o_orderkey % 4 WHEN 0 THEN 'sales of ' || CAST(t AS VARCHAR) || ' in all' WHEN 1 THEN 'nothing' WHEN 2 THEN 'a loss of (' || CAST(t * k AS VARCHAR) || ')' ELSE CAST(CAST(floor(t / 1000.0E0) AS BIGINT) AS VARCHAR) || ',' || lpad(CAST(t % 1000 AS VARCHAR), 3, '0') END AS context
+ FROM (SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS t, CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END AS k FROM {{orders}}) q) AS c"""
 REPORT = """(SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form, 'Front' || chr(10) || 'PART I' || chr(10) || 'Item ' || CAST(1 + doc_id % 15 AS VARCHAR) || '. ' || source || chr(10) || 'text é😀' || chr(10) || 'Item ' || CAST(1 + n_chars % 15 AS VARCHAR) || chr(10) || ' ITEM 1A - Risk of ' || lang || '.' || chr(10) || 'see Item 9 there' || chr(10) || 'PART II' || chr(10) || 'Item 1 Legal' || chr(10) || 'end' AS text FROM {documents}) AS d"""
 #: Replies of a model about orders: fenced, without a figure, no JSON, with a figure that is none; and a second reply for some.
 COMPLETIONS = f"""(SELECT {_K} AS id, CASE o_orderkey % 4 WHEN 0 THEN '```json' || chr(10) || '{{"total_revenue": "' || {_K} || '.5", "confidence": 0.9, "abstained_fields": ["net_income", "other"]}}' || chr(10) || '```' WHEN 1 THEN '{{"total_revenue": null}}' WHEN 2 THEN 'not json' ELSE '{{"total_revenue":"NaN","net_income":' || {_K} || ',"fiscal_year":2021}}' END AS reply, o_orderkey AS k FROM {{orders}}) AS t"""

@@ -51,7 +51,6 @@ PORTABLE = {
     "metric_counter": "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM {events} GROUP BY event_type",
     "metric_gauge_last": "SELECT event_type, event_id FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM {events}) x WHERE rn = 1",
     "retrieval_metrics": f"SELECT avg(p) AS precision_at_4, avg(r) AS recall_at_4, avg(mrr) AS mrr FROM (SELECT sum(rel) / 4.0E0 AS p, max(rel) * 1.0E0 AS r, coalesce(max(CASE WHEN rel = 1 THEN 1.0E0 / rank END), 0.0E0) AS mrr FROM (SELECT id, rank, CASE WHEN id % 100 = 2 THEN 1 ELSE 0 END AS rel FROM {RUN_A}) x) y",
-    "alert_inhibition": "SELECT t.id FROM (VALUES (1,'p1'),(2,'p2'),(3,'p1')) AS t(id, platform) WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('p1')) AS s(platform) WHERE s.platform = t.platform)",
     "http_status_class": f"SELECT event_id, code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM {STATUS}",
     "cache_stats": f"SELECT count(*) AS lookups, count(o.id) AS hits, count(o.id) * 1.0E0 / count(*) AS hit_rate FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id AND o.digest = n.digest",
     "chunk_invariants": "SELECT count(*) AS n, sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS bad FROM {documents}",

@@ -12,13 +12,8 @@ from ..operators import alerts, headings, html_tables, intervals, percentiles, r
 from ..sources import configs, nested
 from ..sources.tables import table
 from . import mechanisms
-from .fixtures import ANSWERS, ASKED, BUCKETS, CHUNKS, CITED, COMPLETIONS, ITEMS, MARKS, NAMES, POINTS, PROBED, REGIONS, REPORT, SIZES, SPANS, values
+from .fixtures import ANSWERS, ASKED, BUCKETS, CHUNKS, CITED, COMPLETIONS, CONTEXTS, ITEMS, MARKS, NAMES, POINTS, PROBED, REGIONS, REPORT, SIZES, SPANS, TAGGED, values
 
-SMALL_REPORT = "(VALUES (1, '10-K', 'Front' || chr(10) || 'PART I' || chr(10) || 'Item 1. Business' || chr(10) || 'text é😀' || chr(10) || 'Item 1' || chr(10) || ' ITEM 1A - Risk Factors.' || chr(10) || 'see Item 9 there' || chr(10) || 'PART II' || chr(10) || 'Item 1 Legal' || chr(10) || 'end'), (2, '10-Q', 'Item 2: MD' || chr(10) || 'Item 1: late'), (3, '10-K', ''), (4, '10-K', 'no heading')) AS d(doc_id, form, text)"
-SOME_ITEMS = "(VALUES ('1A','10-K'),(' item 7. ','10-K/A'),('2','10-Q'),('8','10-Q'),('99','10-K'),(CAST(NULL AS VARCHAR),'10-K'),('10','10-k'),('x','10-K')) AS i(item, form)"
-TAG_MAP = """{"fields":{"sales":{"period":"duration","units":["USD","EUR"],"tags":["Revenues","Sales","Revenues"]},"assets":{"period":"instant","tags":["Assets","AssetsNet"]}}}"""
-CONTEXTS = "(VALUES ('a1','revenue',1234000.0,'sales of 1,234 thousand'),('a1','assets',5500000.0,'nothing'),('a2','revenue',CAST(NULL AS DOUBLE),'x'),('a2','assets',-42.0,'a loss of (42)'),('a3','revenue',1234.5,'1234')) AS c(accession, field, truth, context)"
-STATES = "(VALUES ('x',0,true),('x',60,true),('x',600,true),('x',660,false),('x',720,true),('y',0,false),('y',60,true),('y',120,true)) AS s(rule, at, firing)"
 
 
 def _bodies(rows: DataFrame, group, item, body) -> DataFrame:
@@ -81,17 +76,29 @@ def part_headings(spark, folder):
 
 
 def item_regions(spark, folder):
-    return headings.item_regions(values(spark, folder, SMALL_REPORT)).withColumnRenamed("start", "from_char").withColumnRenamed("end", "to_char")
+    return headings.item_regions(values(spark, folder, REPORT)).withColumnRenamed("start", "from_char").withColumnRenamed("end", "to_char")
 
 
 _LINES = f"(SELECT doc_id, form, ls, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, form, string_split(text, chr(10)) AS ls FROM {REPORT}) q) l"
 _POS = "coalesce(list_sum(list_transform(ls[1:i - 1], lambda x: length(x) + 1)), 0)::BIGINT"
+_PART = r"(?i)^[ \t]*PART[ \t]+([IVX]{1,4})\b"
 _ITEM = r"(?i)^[ \t]*Item[ \t]+([0-9]{1,2}[A-C]?)(?:[ \t]*[.:—–-]+[ \t]*(.{0,120})|[ \t]+(\S.{0,119}))$"
 
 
+_SECTIONS = "(VALUES " + ", ".join("(%s, '%s', '%s')" % (quarterly, item, name.replace("'", "''")) for quarterly, names in ((False, sections.ANNUAL), (True, sections.QUARTERLY)) for item, name in names.items()) + ") AS n(quarterly, number, section)"
+_REGIONS = f"""WITH h AS (SELECT doc_id, form, {_POS} AS pos, length(array_to_string(ls, chr(10))) AS len, regexp_matches(line, '{_PART}') AS part, upper(regexp_extract(line, '{_ITEM}', 1)) AS item, trim(concat(regexp_extract(line, '{_ITEM}', 2), regexp_extract(line, '{_ITEM}', 3)), ' .:-—–') AS title
+ FROM {_LINES} WHERE regexp_matches(line, '{_ITEM}') OR regexp_matches(line, '{_PART}')),
+p AS (SELECT *, sum(part::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS pt, 10 * TRY_CAST(regexp_extract(item, '^[0-9]+') AS INT) + CASE right(item, 1) WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3 ELSE 0 END AS o FROM h),
+k AS (SELECT *, max(o) OVER (PARTITION BY doc_id, pt ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM p WHERE NOT part),
+r AS (SELECT doc_id, form, pos AS from_char, lead(pos, 1, len) OVER (PARTITION BY doc_id ORDER BY pos) AS to_char, item, title FROM k WHERE best IS NULL OR o > best)
+SELECT doc_id, from_char, to_char, item, title, coalesce(section, 'Unknown') AS section FROM r LEFT JOIN {_SECTIONS} ON number = item AND quarterly = (form = '10-Q')"""
+_TAGS = f"""SELECT item, form, coalesce(section, 'Unknown') AS section, coalesce(section IN ({", ".join("'" + name.replace("'", "''") + "'" for name in sections.PRIMARY)}), false) AS is_primary FROM {TAGGED}
+ LEFT JOIN {_SECTIONS} ON number = trim(upper(replace(lower(item), 'item', '')), ' .:') AND quarterly = (upper(form) LIKE '10-Q%')"""
+
+
 def section_tag(spark, folder):
     s = sections.section(F.col("item"), F.col("form"))
-    return values(spark, folder, SOME_ITEMS).select("item", "form", s.alias("section"), sections.is_primary(s).alias("is_primary"))
+    return values(spark, folder, TAGGED).select("item", "form", s.alias("section"), sections.is_primary(s).alias("is_primary"))
 
 
 def item_sort(spark, folder):
@@ -154,7 +161,18 @@ def scan_labelled_queries(spark, folder):
 
 
 def scan_tag_map(spark, folder):
-    return configs.tag_specs(spark, TAG_MAP)
+    """A configuration an order: return flags as fields, parts as the tags that may stand for them."""
+    line = F.struct(F.col("l_linenumber").alias("at"), (F.col("l_partkey") % 5).alias("p"))
+    held = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    units = F.when(F.col("l_returnflag") != "A", F.array(F.lit("USD"), F.lit("EUR")))
+    period = F.when(F.col("l_returnflag") == "R", "instant").otherwise("duration")
+    spec = F.struct(period.alias("period"), units.alias("units"), F.transform("lines", lambda x: F.concat(F.lit("Tag"), x["p"].cast("string"))).alias("tags"))
+    body = F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("l_returnflag", spec))).alias("fields")))
+    return configs.tag_maps(held.groupBy("l_orderkey").agg(body.alias("body")), "l_orderkey")
+
+
+_TAG_MAPS = """SELECT l_orderkey, field, CASE WHEN field = 'R' THEN 'instant' ELSE 'duration' END AS period, unit, 'Tag' || p AS tag, CAST(row_number() OVER (PARTITION BY l_orderkey, field, unit ORDER BY first) - 1 AS INTEGER) AS pref
+ FROM (SELECT l_orderkey, l_returnflag AS field, l_partkey % 5 AS p, min(l_linenumber * 10 + l_partkey % 5) AS first FROM lineitem GROUP BY ALL) t, (VALUES ('USD'), ('EUR')) AS u(unit) WHERE unit = 'USD' OR field <> 'A'"""
 
 
 def value_forms_contains(spark, folder):
@@ -167,6 +185,10 @@ def context_coverage(spark, folder):
     return rows.groupBy("field").agg(F.count_if(F.col("truth").isNotNull() & F.col("found")).alias("covered"), F.count_if(F.col("truth").isNotNull() & ~F.col("found")).alias("missing"), F.count_if(F.col("truth").isNull()).alias("unresolvable"))
 
 
+_FORM = "(v % {0} = 0 AND (contains(context, CAST(v // {0} AS VARCHAR)) OR contains(context, format('{{:,}}', v // {0}))))"
+_FOUND = f"(SELECT accession, field, truth, coalesce(v <> 0 AND v = abs(truth) AND ({' OR '.join(_FORM.format(k) for k in (1, 1000, 1000000))}), false) AS found FROM (SELECT *, CAST(floor(abs(truth)) AS BIGINT) AS v FROM {CONTEXTS}) q) f"
+
+
 def budget_sweep(spark, folder):
     rows = values(spark, folder, SIZES)
     per = rows.groupBy("budget").agg(F.avg(F.col("covered").cast("int")).alias("coverage"), F.max("tokens").alias("most"))
@@ -190,9 +212,16 @@ def relevance_ceiling(spark, folder):
 
 
 def table_layout_flag(spark, folder):
-    page = "<table><tr><td>a</td></tr></table><table><tr><td>x</td><td>1,000</td></tr><tr><td>y</td><td>(2.5)</td></tr></table><table><tr><td>p</td><td>q</td></tr><tr><td>r</td><td>s</td></tr></table>"
-    got = html_tables.extracted(spark.createDataFrame([(1, page), (2, None)], "page_id long, html string"))
-    return got.select("page_id", "ordinal", "layout")
+    """A page an order: a table of its lines, of which some have figures, and a table of one row."""
+    figure = F.when(F.col("l_returnflag") == "N", F.lit("n/a")).otherwise(F.format_number("l_extendedprice", 0))
+    row = F.concat(F.lit("<tr><td>part "), F.col("l_partkey").cast("string"), F.lit("</td><td>"), figure, F.lit("</td></tr>"))
+    pages = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows"))
+    html = F.concat(F.lit("<p>lines</p><table>"), "rows", F.lit("</table><table><tr><td>a</td><td>b</td></tr></table>"))
+    return html_tables.extracted(pages.select("page_id", html.alias("html"))).select("page_id", "ordinal", "layout")
+
+
+_LAYOUT = """WITH o AS (SELECT l_orderkey AS page_id, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'N') AS figures FROM lineitem GROUP BY 1)
+SELECT page_id, 0 AS ordinal, n < 2 OR (n < 4 AND 10 * figures < 2 * n) AS layout FROM o UNION ALL SELECT page_id, 1, true FROM o"""
 
 
 def _steps(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,7 +243,24 @@ def histogram_quantile(spark, folder):
 
 
 def alert_for_duration(spark, folder):
-    return alerts.held(values(spark, folder, STATES), "rule", "at", "firing", 300)
+    """Hours of an event type in which most values are high, if they last three hours or more."""
+    e = table(spark, folder, "events")
+    hours = alerts.steps(e, "event_type", F.unix_seconds(F.col("ts").cast("timestamp")), F.col("value") > 20, 3600)
+    return alerts.held(hours.withColumn("firing", F.col("bad") * 2 > F.col("total")), "event_type", "step", "firing", 7200)
+
+
+_HELD = """WITH h AS (SELECT event_type, CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS step, sum((value > 20)::INT) * 2 > count(*) AS firing FROM events GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY step) - row_number() OVER (PARTITION BY event_type, firing ORDER BY step) AS run FROM h)
+SELECT event_type, min(step) AS since, max(step) AS until FROM r WHERE firing GROUP BY event_type, run HAVING max(step) - min(step) >= 7200"""
+
+
+def alert_inhibition(spark, folder):
+    """Errors of users who have no high value of any other kind in the same hour."""
+    e = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", F.date_trunc("hour", "ts").alias("hour"))
+    return alerts.inhibited(e.filter("event_type = 'error'"), e.filter("event_type <> 'error' AND value > 60"), ["user_id", "hour"]).select("event_id")
+
+
+_INHIBITED = "SELECT event_id FROM events t WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type <> 'error' AND s.value > 60 AND s.user_id = t.user_id AND date_trunc('hour', s.ts) = date_trunc('hour', t.ts))"
 
 
 def cover_density_rank(spark, folder):
@@ -255,8 +301,8 @@ QUERIES = {
     "array_minmax_span": (array_minmax_span, "SELECT o_orderkey // 50 AS block, min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders GROUP BY 1"),
     "item_headings": (item_headings, f"SELECT doc_id, {_POS} AS pos, upper(regexp_extract(line, '{_ITEM}', 1)) AS item, trim(concat(regexp_extract(line, '{_ITEM}', 2), regexp_extract(line, '{_ITEM}', 3)), ' .:-—–') AS title FROM {_LINES} WHERE regexp_matches(line, '{_ITEM}')"),
     "part_headings": (part_headings, f"SELECT doc_id, {_POS} AS pos, upper(regexp_extract(line, '(?i)^[ \\t]*PART[ \\t]+([IVX]{{1,4}})\\b', 1)) AS part FROM {_LINES} WHERE regexp_matches(line, '(?i)^[ \\t]*PART[ \\t]+([IVX]{{1,4}})\\b')"),
-    "item_regions": (item_regions, "SELECT * FROM (VALUES (1,13,45,'1','Business','Business'),(1,45,95,'1A','Risk Factors','Risk Factors'),(1,95,111,'1','Legal','Business'),(2,0,23,'2','MD','Management''s Discussion and Analysis')) AS t(doc_id, from_char, to_char, item, title, section)"),
-    "section_tag": (section_tag, "SELECT * FROM (VALUES ('1A','10-K','Risk Factors',true),(' item 7. ','10-K/A','Management''s Discussion and Analysis',true),('2','10-Q','Management''s Discussion and Analysis',true),('8','10-Q','Unknown',false),('99','10-K','Unknown',false),(NULL,'10-K','Unknown',false),('10','10-k','Directors and Corporate Governance',false),('x','10-K','Unknown',false)) AS t(item, form, section, is_primary)"),
+    "item_regions": (item_regions, _REGIONS),
+    "section_tag": (section_tag, _TAGS),
     "item_sort": (item_sort, f"SELECT item, CASE WHEN regexp_full_match(upper(item), '[0-9]+[A-C]?') THEN CAST(regexp_extract(item, '^[0-9]+') AS INTEGER) ELSE 999 END AS number, CASE WHEN regexp_full_match(upper(item), '[0-9]+[A-C]?') THEN regexp_extract(upper(item), '[A-C]?$') ELSE upper(item) END AS letter FROM {ITEMS} WHERE item IS NOT NULL"),
     "interval_split": (interval_split, f"WITH e AS (SELECT s.doc, s.\"start\" AS a, s.\"end\" AS b, p FROM {SPANS} JOIN (SELECT doc, \"start\" AS p FROM {REGIONS} UNION SELECT doc, \"end\" FROM {REGIONS}) r ON r.doc = s.doc AND r.p > s.\"start\" AND r.p < s.\"end\" UNION SELECT s.doc, s.\"start\", s.\"end\", s.\"start\" FROM {SPANS} ), g AS (SELECT doc, p AS from_char, lead(p, 1, b) OVER (PARTITION BY doc, a ORDER BY p) AS to_char FROM e) SELECT g.doc, from_char, to_char, r.name FROM g LEFT JOIN {REGIONS} ON r.doc = g.doc AND from_char >= r.\"start\" AND from_char < r.\"end\""),
     "asof_running_count": (asof_running_count, f"SELECT p.doc, p.pos, count(m.pos) AS n FROM {POINTS} LEFT JOIN {MARKS} ON m.doc = p.doc AND m.pos <= p.pos GROUP BY 1, 2"),
@@ -267,17 +313,18 @@ QUERIES = {
     "parse_completion": (parse_completion, f"SELECT id, k % 4 <> 2 AS ok, CASE WHEN k % 4 = 0 THEN k + 0.5E0 END AS total_revenue, CASE WHEN k % 4 = 3 THEN k * 1.0E0 END AS net_income, CASE WHEN k % 4 = 3 THEN 2021 ELSE 2023 END AS fiscal_year, 'USD' AS currency, CASE WHEN k % 4 = 0 THEN 0.9E0 ELSE 0E0 END AS confidence, CASE k % 4 WHEN 0 THEN 'net_income' WHEN 2 THEN 'total_revenue,net_income,total_assets,operating_cash_flow' ELSE '' END AS abstained FROM {COMPLETIONS}"),
     "abstain_fallback": (abstain_fallback, f"SELECT id, a OR b AS ok, CASE WHEN a OR again IS NULL THEN 1 ELSE 2 END AS attempts, {_FIGURE.format('total_revenue')} AS total_revenue, {_FIGURE.format('net_income')} AS net_income, coalesce({_FIGURE.format('confidence')}, 0) AS confidence, CASE WHEN a OR b THEN '' ELSE 'total_revenue,net_income,total_assets,operating_cash_flow' END AS abstained FROM (SELECT *, {_OBJECT.format('reply')} AS a, {_OBJECT.format('again')} AS b FROM {ASKED}) x"),
     "scan_labelled_queries": (scan_labelled_queries, "SELECT CAST(item_id AS VARCHAR) AS id, text AS query, 'Customer#' || lpad(CAST(item_id * 7 AS VARCHAR), 9, '0') AS ticker, CASE WHEN item_id % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form, '1,7' AS items, coalesce(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), '') AS cik FROM benchmark LEFT JOIN customer ON c_name = 'Customer#' || lpad(CAST(item_id * 7 AS VARCHAR), 9, '0')"),
-    "scan_tag_map": (scan_tag_map, "SELECT * FROM (VALUES ('sales','duration','USD','Revenues',0),('sales','duration','EUR','Revenues',0),('sales','duration','USD','Sales',1),('sales','duration','EUR','Sales',1),('assets','instant','USD','Assets',0),('assets','instant','USD','AssetsNet',1)) AS t(field, period, unit, tag, pref)"),
-    "value_forms_contains": (value_forms_contains, "SELECT * FROM (VALUES ('a1','revenue',true),('a1','assets',false),('a2','revenue',false),('a2','assets',true),('a3','revenue',false)) AS t(accession, field, found)"),
-    "context_coverage": (context_coverage, "SELECT * FROM (VALUES ('revenue',1,1,1),('assets',1,1,0)) AS t(field, covered, missing, unresolvable)"),
+    "scan_tag_map": (scan_tag_map, _TAG_MAPS),
+    "value_forms_contains": (value_forms_contains, f"SELECT accession, field, found FROM {_FOUND}"),
+    "context_coverage": (context_coverage, f"SELECT field, count(*) FILTER (WHERE truth IS NOT NULL AND found) AS covered, count(*) FILTER (WHERE truth IS NOT NULL AND NOT found) AS missing, count(*) FILTER (WHERE truth IS NULL) AS unresolvable FROM {_FOUND} GROUP BY field"),
     "budget_sweep": (budget_sweep, f"SELECT budget, avg(covered::INT) AS coverage, list_sort(list(tokens))[CAST(floor(count(*) / 2) AS INT) + 1] AS mid, max(tokens) AS most, max(tokens) + 1500 < 4000 AS fits FROM {SIZES} GROUP BY budget"),
     "resolution_probe": (resolution_probe, f"SELECT p.fy, p.field, count(p.tag) AS resolved, count(*) - count(p.tag) AS failed, sum(restated::INT)::BIGINT AS restated, coalesce(max(t.tags), '') AS top_tags, count(p.tag) / count(*) >= 0.7 AS passed FROM {PROBED} LEFT JOIN (SELECT fy, field, string_agg(tag, ',' ORDER BY rk) AS tags FROM (SELECT fy, field, tag, row_number() OVER (PARTITION BY fy, field ORDER BY count(*) DESC, tag) AS rk FROM {PROBED} WHERE tag IS NOT NULL GROUP BY 1, 2, 3) x WHERE rk <= 4 GROUP BY 1, 2) t ON t.fy = p.fy AND t.field = p.field GROUP BY 1, 2"),
     "relevance_ceiling": (relevance_ceiling, "SELECT round(avg(c), 6) AS ceiling, sum((c < 1)::INT)::BIGINT AS under FROM (SELECT least(sum((event_type = 'error')::INT), 10) / 10.0E0 AS c FROM events GROUP BY user_id) x"),
-    "table_layout_flag": (table_layout_flag, "SELECT * FROM (VALUES (1,0,true),(1,1,false),(1,2,true)) AS t(page_id, ordinal, layout)"),
+    "table_layout_flag": (table_layout_flag, _LAYOUT),
     "slo_burn_fast": (slo_burn(3600), _burn_sql(3600)),
     "slo_burn_slow": (slo_burn(21600), _burn_sql(21600)),
     "histogram_quantile": (histogram_quantile, f"SELECT b.route, round(CASE WHEN max(t.tot) > 0 THEN min(low + (le - low) * (0.95E0 * tot - bf) / (n - bf)) FILTER (WHERE n >= 0.95E0 * tot AND bf < 0.95E0 * tot) END, 9) AS value FROM (SELECT *, coalesce(lag(le) OVER (PARTITION BY route ORDER BY le), 0) AS low, coalesce(lag(n) OVER (PARTITION BY route ORDER BY le), 0) AS bf FROM {BUCKETS}) b JOIN (SELECT route, max(n) AS tot FROM {BUCKETS} GROUP BY route) t ON t.route = b.route GROUP BY b.route"),
-    "alert_for_duration": (alert_for_duration, "SELECT 'x' AS rule, 0 AS since, 600 AS until"),
+    "alert_for_duration": (alert_for_duration, _HELD),
+    "alert_inhibition": (alert_inhibition, _INHIBITED),
     "cover_density_rank": (cover_density_rank, _COVER),
     "web_search_filter": (web_search_filter, f"SELECT doc_id FROM {_TOKENS} WHERE list_has_any(tokens, ['the', 'idiot']) AND NOT list_contains(tokens, 'licensed') AND contains(' ' || array_to_string(tokens, ' ') || ' ', ' of the ')"),
     "hive_prefix": (hive_prefix, "SELECT doc_id, 'source=' || source || '/lang=' || lang || '-xy' AS prefix FROM documents"),

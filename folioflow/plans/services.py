@@ -64,8 +64,12 @@ def cosine_pairs(spark, folder):
 
 
 def decode_fallback(spark, folder):
-    rows = spark.createDataFrame([(1, b"caf\xc3\xa9"), (2, b"caf\xe9 \x93x\x94"), (3, b""), (4, None), (5, b"\x81\x93")], "id int, raw binary")
-    return rows.select("id", T.decoded(F.col("raw")).alias("text"))
+    """Documents as bytes in UTF-8, in Windows-1252 with its quotes, and in Latin-1 with a byte that Windows lacks."""
+    docs = table(spark, folder, "documents")
+    one_byte = F.encode(F.regexp_replace("text", r"[^\x{20}-\x{7e}\x{a0}-\x{ff}]", "?"), "ISO-8859-1")
+    kind = F.col("doc_id") % 3
+    raw = F.when(kind == 0, F.encode("text", "UTF-8")).when(kind == 1, F.concat(F.unhex(F.lit("93")), one_byte, F.unhex(F.lit("94")))).otherwise(F.concat(F.unhex(F.lit("8193")), one_byte))
+    return docs.select("doc_id", F.sha2(T.decoded(raw).cast("binary"), 256).alias("sha256"))
 
 
 def safe_decimal(spark, folder):
@@ -73,6 +77,8 @@ def safe_decimal(spark, folder):
 
 
 _CARD_ROWS = f"SELECT field, count(*) AS n, round(avg((verdict IN ('exact','within_tolerance'))::INT), 9) AS accuracy, avg((verdict IN ('exact','within_tolerance'))::INT) >= 0.9 AS passed FROM {CARDS} WHERE verdict <> 'unresolvable' GROUP BY field"
+_BYTES = "regexp_replace(text, '[^\\x{20}-\\x{7e}\\x{a0}-\\x{ff}]', '?', 'g')"
+_DECODED = f"SELECT doc_id, sha256(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '“' || {_BYTES} || '”' ELSE chr(129) || chr(147) || {_BYTES} END) AS sha256 FROM documents"
 _SEARCH = """WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en'),
 f AS (SELECT * FROM t WHERE list_has_all(w, ['the', 'of']) AND NOT list_contains(w, 'licensed')), p AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM f),
 c AS (SELECT doc_id, w, i, lag(w) OVER o AS pw, lag(i) OVER o AS pi FROM p WHERE w IN ('the', 'of') WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
@@ -91,7 +97,7 @@ QUERIES = {
     "index_freshness": (index_health, "SELECT count(*) AS n, count(o_orderstatus) AS n_text, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 AS age_seconds, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 < 86400 AS fresh FROM orders"),
     "search": (search, _SEARCH),
     "cosine_pairs": (cosine_pairs, "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(list_reverse(embedding) AS DOUBLE[])), 6) AS cosine FROM embeddings"),
-    "decode_fallback": (decode_fallback, "SELECT * FROM (VALUES (1,'café'),(2,'café “x”'),(3,''),(4,NULL),(5,chr(129) || chr(147))) AS t(id, text)"),
+    "decode_fallback": (decode_fallback, _DECODED),
     "safe_decimal": (safe_decimal, f"SELECT k, raw, CASE WHEN raw <> 'NaN' THEN try_cast(raw AS DOUBLE) END AS value FROM {RAW}"),
     "stream_sliding_counts": (streams.sliding_counts, "SELECT strftime(date_trunc('hour', ts) - to_hours(CAST(k AS INTEGER)), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events, range(6) r(k) GROUP BY 1, 2"),
     "stream_foreach_batch": (streams.landed_then_scored, "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum((event_type = 'error')::INT)::BIGINT AS errors FROM events GROUP BY 1"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.resolver import ANNUAL
 
@@ -39,6 +40,20 @@ def tag_specs(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame(rows, _SPEC)
 
 
+_MAPS = "fields map<string, struct<period: string, units: array<string>, tags: array<string>>>"
+
+
+def tag_maps(rows: DataFrame, key: str, body: str = "body") -> DataFrame:
+    """(key, field, period, unit, tag, pref) for the JSON configurations of many rows, by the rules of tag_specs, in one
+    plan. A body that is null or holds no fields gives no row; a field without tags neither."""
+    spec = rows.select(key, F.explode(F.from_json(body, _MAPS)["fields"]).alias("field", "spec"))
+    known = F.col("spec.period").isin("duration", "instant")
+    period = F.when(known, F.col("spec.period")).otherwise(F.raise_error(F.concat("field", F.lit(": the period is duration or instant"))).cast("string"))
+    units = F.coalesce("spec.units", F.array(F.lit("USD")))
+    tags = spec.select(key, "field", period.alias("period"), units.alias("units"), F.posexplode(F.array_distinct("spec.tags")).alias("pref", "tag"))
+    return tags.select(key, "field", "period", F.explode("units").alias("unit"), "tag", "pref")
+
+
 def annual_days(text: str) -> tuple[int, int]:
     """The fewest and most days of an annual period."""
     window = parsed(text).get("annual_duration_days") or {}
