@@ -38,11 +38,11 @@ def search(chunks: DataFrame, query: str, top_k: int = 10, where: Column | None
     return best.join(chunks.select("chunk_id", "text"), "chunk_id").orderBy(F.desc("score"), "chunk_id")
 
 
-def ask(chunks: DataFrame, query: str, top_k: int = 5, where: Column | None = None) -> DataFrame:
+def ask(chunks: DataFrame, query: str, top_k: int = 5, where: Column | None = None, stemmed: bool = True) -> DataFrame:
     """Passages for a question, each with its citation."""
     if not 1 <= top_k <= 20:
         raise ValueError("top_k is from 1 to 20")
-    return search(chunks, query, top_k, where).withColumn("citation", F.struct("chunk_id", F.substring("text", 1, 300).alias("passage")))
+    return search(chunks, query, top_k, where, stemmed=stemmed).withColumn("citation", F.struct("chunk_id", F.substring("text", 1, 300).alias("passage")))
 
 
 def latest_scorecard(cards: DataFrame, accession: str) -> DataFrame:

@@ -69,6 +69,15 @@ def assembled(docs: DataFrame, size: int = 512, overlap: int = 64, least: int =
     return got.select(*(c.split()[0] for c in COLUMNS.split(", ")))
 
 
+def stale(chunks: DataFrame, docs: DataFrame) -> DataFrame:
+    """(accession, chunks, moved): documents that no longer give the text of each of their chunks at its offsets, how many
+    chunks they have and how many of these differ. A document that is gone or without a text has lost all its chunks."""
+    both = chunks.join(docs.select("accession", F.col("text").alias("_whole")), "accession", "left")
+    here = F.substring("_whole", F.col("char_start") + 1, F.col("char_end") - F.col("char_start"))
+    per = both.groupBy("accession").agg(F.count("*").alias("chunks"), F.count_if(~here.eqNullSafe(F.col("text"))).alias("moved"))
+    return per.filter("moved > 0")
+
+
 def verified(chunks: DataFrame, docs: DataFrame, size: int = 512) -> DataFrame:
     """One row: chunks, those whose offsets do not give their text, whose prose is over 1.1 times the size, and the
     smallest, largest and mean number of tokens."""

@@ -11,14 +11,14 @@ from ..functions import text as T
 from ..operators import control, documents, intervals, retrieval, tables
 from ..sources.tables import table
 from ..streaming import windows as streams
-from . import facts, mechanisms, records, reports, services
+from . import facts, library, mechanisms, records, reports, services
 from .fixtures import HEADINGS, KEYS, NEW, OLD, POINTS, REGIONS, RUN_A, RUN_B, SCORES, STATUS, duck, values
 
 VERDICT = """CASE WHEN truth IS NULL THEN 'unresolvable' WHEN abstained OR val IS NULL THEN 'abstained' WHEN val = truth THEN 'exact'
  WHEN truth <> 0 AND abs(val - truth) / abs(truth) <= 0.005 THEN 'within_tolerance'
  WHEN truth <> 0 AND val <> 0 AND (abs(val * 1e3 - truth) / abs(truth) <= 0.005 OR abs(val / 1e3 - truth) / abs(truth) <= 0.005 OR abs(val * 1e6 - truth) / abs(truth) <= 0.005 OR abs(val / 1e6 - truth) / abs(truth) <= 0.005 OR abs(val * 1e9 - truth) / abs(truth) <= 0.005 OR abs(val / 1e9 - truth) / abs(truth) <= 0.005) THEN 'scale_error' WHEN truth = 0 OR val = 0 OR greatest(abs(val), abs(truth)) / least(abs(val), abs(truth)) > 10 THEN 'hallucinated' ELSE 'wrong' END"""
 
-#: Same text for both engines.
+#: SQL of one text for both engines; library.py holds library code for some of them, which this text then checks.
 PORTABLE = {
     "filter_metadata": "SELECT doc_id, source, lang, n_chars FROM {documents} WHERE source = 'src3' AND upper(lang) = 'EN' AND n_chars >= 500",
     "filter_in_list": "SELECT doc_id, lang FROM {documents} WHERE lang IN ('de', 'fr') AND source IN ('src1', 'src2')",
@@ -53,7 +53,6 @@ PORTABLE = {
     "retrieval_metrics": f"SELECT avg(p) AS precision_at_4, avg(r) AS recall_at_4, avg(mrr) AS mrr FROM (SELECT sum(rel) / 4.0E0 AS p, max(rel) * 1.0E0 AS r, coalesce(max(CASE WHEN rel = 1 THEN 1.0E0 / rank END), 0.0E0) AS mrr FROM (SELECT id, rank, CASE WHEN id % 100 = 2 THEN 1 ELSE 0 END AS rel FROM {RUN_A}) x) y",
     "http_status_class": f"SELECT event_id, code, CASE WHEN code IN (429, 500, 502, 503, 504) THEN 'retry' WHEN code IN (403, 404) THEN 'empty' WHEN code >= 400 THEN 'fail' ELSE 'ok' END AS class FROM {STATUS}",
     "cache_stats": f"SELECT count(*) AS lookups, count(o.id) AS hits, count(o.id) * 1.0E0 / count(*) AS hit_rate FROM {NEW} LEFT JOIN {OLD} ON o.id = n.id AND o.digest = n.digest",
-    "chunk_invariants": "SELECT count(*) AS n, sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS bad FROM {documents}",
     "revenue_by_region": "SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name, n_name",
 }
 
@@ -181,7 +180,7 @@ OWN = {
 
 
 def queries() -> dict:
-    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items()}
+    return {k: _portable(v) for k, v in (PORTABLE | services.PORTABLE | records.PORTABLE).items()} | {k: f for k, (f, _) in (OWN | reports.QUERIES | services.QUERIES | facts.QUERIES | records.QUERIES | mechanisms.QUERIES).items()} | library.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:

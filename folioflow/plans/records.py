@@ -173,6 +173,15 @@ def chunk_invariants(spark, folder):
     return counts.unionByName(crossing.select(F.lit("crossing").alias("name"), F.col("crossing").alias("n")))
 
 
+def chunk_stale(spark, folder):
+    """Filings after some have got a line in front, some have gone and some end otherwise: those whose chunks moved, and
+    whether all did. An item of fewer than 32 tokens with its heading of three words is no chunk."""
+    f = _filings(spark, folder)
+    kind = F.substring("accession", 2, 20).cast("bigint") % 7
+    now = f.filter(kind != 1).withColumn("text", F.when(kind == 0, F.concat(F.lit("#\n"), "text")).when(kind == 2, F.concat("text", F.lit("\nlater"))).otherwise(F.col("text")))
+    return chunks.stale(chunks.assembled(f), now).select("accession", (F.col("chunks") == F.col("moved")).alias("wholly"))
+
+
 def parse_pages(spark, folder):
     return documents.parsed(table(spark, folder, "pages")).select("page_id", F.size("blocks").alias("n_blocks"), F.char_length("text").alias("n_chars"))
 
@@ -258,6 +267,7 @@ QUERIES = {
     "citation_projection": (citation_projection, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS filed, 'https://example.org/data/' || o_custkey || '/' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || strftime(o_orderdate, '%y') || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') || '/' AS url FROM orders"),
     "render_context": (render_context, "SELECT conv_id, sha256(string_agg('[' || turn || '] [' || role || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id"),
     "chunk_fixed": (chunk_fixed, "SELECT doc_id, kind FROM (SELECT doc_id, CASE WHEN source = 'src1' THEN 'table' ELSE 'prose' END AS kind, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents) WHERE n > 0 AND (kind = 'table' OR floor(n / 0.75) + 1 >= 32)"),
+    "chunk_stale": (chunk_stale, "SELECT 'd' || CAST(doc_id AS VARCHAR) AS accession, true AS wholly FROM documents WHERE doc_id % 7 IN (0, 1) AND floor((len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 3) / 0.75) + 1 >= 32"),
     "chunk_invariants": (chunk_invariants, "SELECT * FROM (VALUES ('bad_offsets', 0), ('crossing', 0)) AS t(name, n)"),
     "counter_rate": (counter_rate, _RATES),
     "chunk_table": (chunk_table, None),

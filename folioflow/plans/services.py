@@ -58,6 +58,12 @@ def search(spark, folder):
     return api.search(chunks, "the of -licensed", 10, F.col("lang") == "en", stemmed=False).select("chunk_id", "score", "n_runs")
 
 
+def ask(spark, folder):
+    chunks = table(spark, folder, "documents").withColumnRenamed("doc_id", "chunk_id")
+    got = api.ask(chunks, "the of -licensed", 10, F.col("lang") == "en", stemmed=False)
+    return got.select("chunk_id", F.sha2("citation.passage", 256).alias("passage"), F.col("citation.chunk_id").alias("cited"))
+
+
 def cosine_pairs(spark, folder):
     v = table(spark, folder, "embeddings")
     return v.select("vec_id", F.round(T.cosine(F.col("embedding"), F.reverse("embedding")), 6).alias("cosine"))
@@ -96,6 +102,7 @@ QUERIES = {
     "verdict_pivot": (verdict_pivot, f"SELECT field, sum((verdict = 'exact')::INT)::BIGINT AS exact, sum((verdict = 'wrong')::INT)::BIGINT AS wrong, sum((verdict = 'abstained')::INT)::BIGINT AS abstained FROM {CARDS} GROUP BY field"),
     "index_freshness": (index_health, "SELECT count(*) AS n, count(o_orderstatus) AS n_text, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 AS age_seconds, date_diff('day', max(o_orderdate)::DATE, DATE '1999-01-01') * 86400 < 86400 AS fresh FROM orders"),
     "search": (search, _SEARCH),
+    "ask": (ask, f"SELECT chunk_id, sha256(substring(text, 1, 300)) AS passage, chunk_id AS cited FROM ({_SEARCH}) s JOIN documents ON doc_id = chunk_id"),
     "cosine_pairs": (cosine_pairs, "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(list_reverse(embedding) AS DOUBLE[])), 6) AS cosine FROM embeddings"),
     "decode_fallback": (decode_fallback, _DECODED),
     "safe_decimal": (safe_decimal, f"SELECT k, raw, CASE WHEN raw <> 'NaN' THEN try_cast(raw AS DOUBLE) END AS value FROM {RAW}"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import sections
 from folioflow.functions import text as T
-from folioflow.operators import alerts, headings, html_tables
+from folioflow.operators import alerts, chunks, headings, html_tables
 from folioflow.sources import configs
 
 
@@ -64,3 +64,11 @@ def test_bytes_of_unknown_encoding(spark):
     rows = [(1, b"caf\xc3\xa9"), (2, b"caf\xe9 \x93x\x94"), (3, b""), (4, None), (5, b"\x81\x93")]
     got = spark.createDataFrame(rows, "id int, raw binary").select(T.decoded(F.col("raw"))).collect()
     assert [r[0] for r in got] == ["café", "café “x”", "", None, "\x81\x93"]
+
+
+def test_stale_chunks(spark):
+    rows = [("a", "one two three"), ("b", "one two three"), ("c", "x"), ("d", "y"), ("e", "z")]
+    made = [("a", 0, 3, "one"), ("a", 4, 7, "two"), ("b", 0, 3, "one"), ("b", 8, 13, "four!"), ("d", 0, 1, "y"), ("gone", 0, 1, "q"), ("e", 0, 0, None)]
+    chunks_ = spark.createDataFrame(made, "accession string, char_start int, char_end int, text string")
+    got = chunks.stale(chunks_, spark.createDataFrame(rows, "accession string, text string"))
+    assert sorted(map(tuple, got.collect())) == [("b", 2, 1), ("e", 1, 1), ("gone", 1, 1)]
