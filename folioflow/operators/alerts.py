@@ -1,6 +1,7 @@
 """Service-level rules over event tables: burn rates, histogram quantiles, hold durations.
 
-Events are first added up in small time steps, so that windows see a row a step and key, not a row an event."""
+Events are first added up in small time steps, so that windows see a row a step and key, not a row an event. Windows
+that reach back a fixed time are dealt by key and stretch of time, so a key with most of the rows is many tasks."""
 
 from __future__ import annotations
 
@@ -8,6 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _stretches(rows: DataFrame, at: str, seconds: int) -> DataFrame:
+    """Each row in its own stretch of `seconds` (_own true) and as what went before in the next: a window that reaches
+    back less than a stretch is whole inside (key, _stretch)."""
+    own = F.floor(F.col(at) / seconds)
+    return rows.withColumn("_stretch", F.explode(F.array(own, own + 1))).withColumn("_own", F.col("_stretch") == own)
+
+
 def steps(events: DataFrame, key: str, seconds: Column, bad: Column, width: int = 60) -> DataFrame:
     """(key, step, total, bad): events and bad events a key and step of `width` seconds, named by its first second."""
     at = (F.floor(seconds / width) * width).cast("bigint")
@@ -17,9 +25,9 @@ def steps(events: DataFrame, key: str, seconds: Column, bad: Column, width: int
 def burn_rates(per_step: DataFrame, key: str, window: int, objective: float) -> DataFrame:
     """Each step with the share of bad events in the `window` seconds that end with it, over the share that the
     objective allows: 1 uses up the allowance exactly."""
-    w = Window.partitionBy(key).orderBy("step").rangeBetween(-window + 1, 0)
+    w = Window.partitionBy(key, "_stretch").orderBy("step").rangeBetween(-window + 1, 0)
     share = F.sum("bad").over(w) / F.sum("total").over(w)
-    return per_step.select(key, "step", F.round(share / (1 - objective), 6).alias("burn"))
+    return _stretches(per_step, "step", window).select(key, "step", F.round(share / (1 - objective), 6).alias("burn"), "_own").filter("_own").drop("_own")
 
 
 def held(states: DataFrame, key: str, at: str, firing: str, seconds: int) -> DataFrame:
@@ -50,10 +58,12 @@ def histogram_quantile(counts: DataFrame, key: str, q: float) -> DataFrame:
 def increase(samples: DataFrame, key: str, at: str, value: str, seconds: int) -> DataFrame:
     """(key, at, increase, rate): how much a counter (key, at in seconds, value) has grown in the `seconds` up to each
     sample, by the samples within, and that by the second. A counter that falls has begun anew from 0."""
-    in_order = Window.partitionBy(key).orderBy(at)
-    grown = samples.select(key, at, F.col(value).alias("_v"), F.lag(value).over(in_order).alias("_was"), F.lag(at).over(in_order).alias("_then"))
-    step = F.when(F.col("_was").isNull(), F.lit(0.0)).when(F.col("_v") >= F.col("_was"), F.col("_v") - F.col("_was")).otherwise(F.col("_v"))
+    in_order = Window.partitionBy(key, "_stretch").orderBy(at)
+    rows = _stretches(samples, at, seconds)
+    grown = rows.select(key, at, "_stretch", "_own", F.col(value).alias("_v"), F.lag(value).over(in_order).alias("_was"), F.lag(at).over(in_order).alias("_then"))
+    alone = F.col("_was").isNull() | (F.col("_then") <= F.col(at) - seconds)  # no window holds it and the one before
+    step = F.when(alone, F.lit(0.0)).when(F.col("_v") >= F.col("_was"), F.col("_v") - F.col("_was")).otherwise(F.col("_v"))
     inside = in_order.rangeBetween(-seconds + 1, 0)
     got = grown.withColumn("_step", step.cast("double")).withColumn("_first", F.min(F.struct(at, "_step")).over(inside))
     total = F.sum("_step").over(inside) - F.col("_first._step")  # the first sample's own growth was before
-    return got.select(key, at, total.alias("increase"), (total / seconds).alias("rate"))
+    return got.select(key, at, total.alias("increase"), (total / seconds).alias("rate"), "_own").filter("_own").drop("_own")

@@ -24,6 +24,18 @@ def running_records(rows: DataFrame, by: str, order: str, value: str) -> DataFra
     return rows.withColumn("_m", F.max(value).over(w)).filter(F.col("_m").isNull() | (F.col(value) > F.col("_m"))).drop("_m")
 
 
+def running_total(rows: DataFrame, by: str, order: str, value: str, width: int, to: str = "total") -> DataFrame:
+    """Rows with the sum of the values of their key up to and with their own, equal places together. Stretches of `width`
+    of the order are added up first, so a long key is many tasks; one task sees a row a stretch of a key."""
+    placed = rows.withColumn("_stretch", F.floor(F.col(order) / width))
+    sums = placed.groupBy(by, "_stretch").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col(by).alias("_by"), F.col("_stretch").alias("_s"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    own = placed.withColumn("_inside", F.sum(value).over(Window.partitionBy(by, "_stretch").orderBy(order)))
+    both = own.join(carried, own[by].eqNullSafe(F.col("_by")) & F.col("_stretch").eqNullSafe(F.col("_s")))
+    return both.select(*(own[c] for c in rows.columns), (F.col("_carried") + F.coalesce("_inside", F.lit(0))).alias(to))
+
+
 def sessions(events: DataFrame, user: str, seconds: str, gap: int) -> DataFrame:
     """(user, session, n, first, last): runs of events with gaps of at most `gap` seconds."""
     w = Window.partitionBy(user).orderBy(seconds, "event_id")

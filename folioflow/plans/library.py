@@ -92,10 +92,17 @@ def store_stats(spark, folder):
     return d.agg(F.count("*").alias("n"), F.count("text").alias("n_text"), F.countDistinct("source").alias("n_sources"), F.max("n_chars").alias("longest"))
 
 
+def block_offsets(spark, folder):
+    """Where each document of a source begins if they are joined by two signs; a source may hold most of the rows."""
+    d = table(spark, folder, "documents").select("doc_id", "source", (F.col("n_chars") + 2).alias("size"))
+    got = intervals.running_total(d, "source", "doc_id", "size", 4096, "end_at")
+    return got.select("doc_id", "source", (F.col("end_at") - F.col("size")).alias("start_at"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         filter_metadata, filter_in_list, filter_year_range, filter_like_prefix, incremental_pending, verdict_rows, scorecard_accuracy,
-        failure_taxonomy, quality_gate, item_monotonic, rrf_terms, cache_stats, metric_gauge_last, store_stats,
+        failure_taxonomy, quality_gate, item_monotonic, rrf_terms, cache_stats, metric_gauge_last, store_stats, block_offsets,
     )
 }

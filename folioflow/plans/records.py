@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import payloads
 from ..functions import text as T
-from ..operators import alerts, cache, chunks, documents, html_tables, percentiles, retrieval
+from ..operators import alerts, cache, chunks, documents, html_tables, intervals, percentiles, retrieval
 from ..sources import landing, sinks
 from ..sources.tables import scratch, table
 from ..streaming import windows as streams
@@ -235,8 +234,8 @@ def counter_rate(spark, folder):
     """A counter a type that starts anew after every twenty events, and how fast it grew in the last day."""
     e = table(spark, folder, "events").withColumn("at", F.unix_seconds(F.col("ts").cast("timestamp")))
     per = e.groupBy("event_type", "at").agg(F.count("*").alias("m"))
-    n = F.sum("m").over(Window.partitionBy("event_type").orderBy("at"))
-    got = alerts.increase(per.select("event_type", "at", (n % 20).cast("double").alias("value")), "event_type", "at", "value", 86400)
+    per = intervals.running_total(per, "event_type", "at", "m", 86400, "n")
+    got = alerts.increase(per.select("event_type", "at", (F.col("n") % 20).cast("double").alias("value")), "event_type", "at", "value", 86400)
     return got.select("event_type", "at", "increase", F.round("rate", 9).alias("rate"))
 
 

@@ -1,11 +1,13 @@
 """Cases that the tables do not hold, for operators whose queries run on the tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioflow.functions import sections
 from folioflow.functions import text as T
-from folioflow.operators import alerts, chunks, headings, html_tables
+from folioflow.operators import alerts, chunks, headings, html_tables, intervals
 from folioflow.sources import configs
 
 
@@ -72,3 +74,25 @@ def test_stale_chunks(spark):
     chunks_ = spark.createDataFrame(made, "accession string, char_start int, char_end int, text string")
     got = chunks.stale(chunks_, spark.createDataFrame(rows, "accession string, text string"))
     assert sorted(map(tuple, got.collect())) == [("b", 2, 1), ("e", 1, 1), ("gone", 1, 1)]
+
+
+def test_windows_dealt_by_stretches_are_those_of_whole_keys(spark):
+    r = random.Random(3)
+    rows = sorted({(k, r.randrange(-4000, 40000)): r.choice([0.1, 2.5, 7.0]) * r.randrange(50) for k in ("a", "b", None) for _ in range(300)}.items(), key=str)
+    samples = spark.createDataFrame([(k, at, v) for (k, at), v in rows], "k string, at long, v double")
+    got = {(x["k"], x["at"]): x["increase"] for x in alerts.increase(samples, "k", "at", "v", 500).collect()}
+    want = {}
+    for k in ("a", "b", None):
+        own = sorted((at, v) for (q, at), v in rows if q == k)
+        for at, _ in own:
+            inside = [v for t, v in own if at - 500 < t <= at]
+            want[k, at] = sum(y - x if y >= x else y for x, y in zip(inside, inside[1:], strict=False))
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got)
+    total = {(x["k"], x["at"]): x["t"] for x in intervals.running_total(samples, "k", "at", "v", 700, "t").collect()}
+    assert total.keys() == want.keys()
+    assert all(abs(total[k, at] - sum(v for (q, t), v in rows if q == k and t <= at)) < 1e-6 for k, at in total)
+    per = samples.select("k", F.col("at").alias("step"), F.lit(2).alias("total"), (F.col("v") > 60).cast("int").alias("bad"))
+    burn = {(x["k"], x["step"]): x["burn"] for x in alerts.burn_rates(per, "k", 900, 0.9).collect()}
+    for k, at in want:
+        bad = [v > 60 for (q, t), v in rows if q == k and at - 900 < t <= at]
+        assert abs(burn[k, at] - sum(bad) / (2 * len(bad)) / 0.1) < 1e-5
