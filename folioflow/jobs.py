@@ -66,11 +66,8 @@ def measure_context_coverage(spark, a):
 
 def sweep_context_budget(spark, a):
     """hits -> how many chunks and tokens contexts have for budgets from 1 to --top."""
-    parts = [documents.admitted(_read(spark, a, "hits"), "question", b, a.cap).agg(F.avg("n").alias("chunks"), F.avg("tokens").alias("tokens")).withColumn("budget", F.lit(b)) for b in range(1, a.top + 1)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("budget")
+    held = documents.admitted_to(_read(spark, a, "hits"), "question", F.sequence(F.lit(1), F.lit(a.top)), a.cap)
+    return held.groupBy("budget").agg(F.avg("n").alias("chunks"), F.avg("tokens").alias("tokens")).orderBy("budget")
 
 
 def diagnose_abstentions(spark, a):

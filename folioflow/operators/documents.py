@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORDS_A_TOKEN
@@ -224,8 +224,14 @@ def admitted(hits: DataFrame, group: str, budget: int, cap: int | None = None) -
     Hits are taken by step and rank, each id once. At most `budget` are taken; the hits of an anchor step may all be taken
     if the budget was not reached when the step began. One that would exceed `cap` tokens in all is passed over. A fold
     over each group's sorted hits, of which there are as many as a question's searches give."""
+    return admitted_to(hits, group, F.array(F.lit(budget)), cap).drop("budget")
+
+
+def admitted_to(hits: DataFrame, group: str, budgets: Column, cap: int | None = None) -> DataFrame:
+    """What `admitted` gives, for each budget of an array, with a column budget: the hits are read and gathered once."""
     one = F.struct(*(F.col(c) for c in ("step", "rank", "id", "tokens", "at", "anchor")))
-    rows = hits.groupBy(group).agg(F.sort_array(F.collect_list(one)).alias("h"))
+    rows = hits.groupBy(group).agg(F.sort_array(F.collect_list(one)).alias("h")).withColumn("budget", F.explode(budgets))
+    budget = F.col("budget")
     zero = F.struct(F.array().cast("array<struct<at:bigint,id:string>>").alias("ids"), F.lit(0).cast("bigint").alias("sum"), F.lit(None).cast("bigint").alias("step"), F.lit(0).alias("open"))
 
     def step(acc, x):
@@ -238,8 +244,8 @@ def admitted(hits: DataFrame, group: str, budget: int, cap: int | None = None) -
         total = (acc["sum"] + F.when(take, x["tokens"]).otherwise(0)).cast("bigint")
         return F.struct(ids.alias("ids"), total.alias("sum"), x["step"].cast("bigint").alias("step"), begun.alias("open"))
 
-    done = rows.select(group, F.aggregate("h", zero, step).alias("a"))
-    return done.select(group, F.size("a.ids").alias("n"), F.col("a.sum").alias("tokens"), F.array_join(F.transform(F.sort_array("a.ids"), lambda x: x["id"]), ",").alias("ids"))
+    done = rows.select(group, "budget", F.aggregate("h", zero, step).alias("a"))
+    return done.select(group, "budget", F.size("a.ids").alias("n"), F.col("a.sum").alias("tokens"), F.array_join(F.transform(F.sort_array("a.ids"), lambda x: x["id"]), ",").alias("ids"))
 
 
 def rendered(chunks: DataFrame, group: str, order: str, heads: list[str], text: str = "text") -> DataFrame:

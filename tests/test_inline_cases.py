@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow import jobs
 from folioflow.functions import sections
 from folioflow.functions import text as T
-from folioflow.operators import alerts, chunks, headings, html_tables, intervals
+from folioflow.operators import alerts, chunks, documents, headings, html_tables, intervals
 from folioflow.sources import configs
 
 
@@ -96,3 +97,16 @@ def test_windows_dealt_by_stretches_are_those_of_whole_keys(spark):
     for k, at in want:
         bad = [v > 60 for (q, t), v in rows if q == k and at - 900 < t <= at]
         assert abs(burn[k, at] - sum(bad) / (2 * len(bad)) / 0.1) < 1e-5
+
+
+def test_a_sweep_of_budgets_is_each_budget_alone(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(q, r.randrange(3), k, f"c{r.randrange(12)}", r.randrange(1, 90), r.randrange(500), k % 5 == 0) for q in "abc" for k in range(20)]
+    hits = spark.createDataFrame(rows, "question string, step int, rank int, id string, tokens int, at int, anchor boolean")
+    hits.write.parquet(f"{tmp_path}/in/hits.parquet")
+    assert jobs.main(["sweep_context_budget", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--top", "4", "--cap", "200"], spark) == 0
+    got = {x["budget"]: (x["chunks"], x["tokens"]) for x in spark.read.parquet(f"{tmp_path}/out").collect()}
+    for budget in range(1, 5):
+        alone = documents.admitted(hits, "question", budget, 200).collect()
+        assert got[budget] == (sum(x["n"] for x in alone) / 3, sum(x["tokens"] for x in alone) / 3)
+    assert set(got) == {1, 2, 3, 4}
