@@ -60,10 +60,17 @@ def increase(samples: DataFrame, key: str, at: str, value: str, seconds: int) ->
     sample, by the samples within, and that by the second. A counter that falls has begun anew from 0."""
     in_order = Window.partitionBy(key, "_stretch").orderBy(at)
     rows = _stretches(samples, at, seconds)
-    grown = rows.select(key, at, "_stretch", "_own", F.col(value).alias("_v"), F.lag(value).over(in_order).alias("_was"), F.lag(at).over(in_order).alias("_then"))
-    alone = F.col("_was").isNull() | (F.col("_then") <= F.col(at) - seconds)  # no window holds it and the one before
-    step = F.when(alone, F.lit(0.0)).when(F.col("_v") >= F.col("_was"), F.col("_v") - F.col("_was")).otherwise(F.col("_v"))
-    inside = in_order.rangeBetween(-seconds + 1, 0)
-    got = grown.withColumn("_step", step.cast("double")).withColumn("_first", F.min(F.struct(at, "_step")).over(inside))
-    total = F.sum("_step").over(inside) - F.col("_first._step")  # the first sample's own growth was before
-    return got.select(key, at, total.alias("increase"), (total / seconds).alias("rate"), "_own").filter("_own").drop("_own")
+    grown = rows.select(key, at, "_stretch", "_own", F.col(value).alias("_v"), F.lag(value).over(in_order).alias("_was"))
+    step = F.when(F.col("_was").isNull(), 0.0).when(F.col("_v") >= F.col("_was"), F.col("_v") - F.col("_was")).otherwise(F.col("_v"))
+    upto = F.sum("_step").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    run = grown.withColumn("_step", step.cast("double")).withColumn("_upto", upto).withColumn("_now", F.max("_upto").over(Window.partitionBy(key, "_stretch", at)))
+    # Each sample once as itself and once at the start of its window: going back in time, the last sample met there is the
+    # first of the window, whose own growth was before. No frame slides, so a row costs the same however dense they are.
+    nothing = F.lit(None)
+    itself = F.struct(F.col(at).alias("_at"), F.col("_upto").alias("_first"), nothing.cast(samples.schema[at].dataType).alias("_of"))
+    start = F.struct((F.col(at) - seconds + 1).alias("_at"), nothing.cast("double").alias("_first"), F.col(at).alias("_of"))
+    places = F.when(F.col("_own"), F.array(itself, start)).otherwise(F.array(itself))
+    back = Window.partitionBy(key, "_stretch").orderBy(F.desc("_at"), F.desc_nulls_last("_first")).rowsBetween(Window.unboundedPreceding, 0)
+    met = run.select(key, "_stretch", "_now", F.inline(places)).withColumn("_met", F.last("_first", ignorenulls=True).over(back)).filter("_of is not null")
+    total = F.col("_now") - F.col("_met")
+    return met.select(key, F.col("_of").alias(at), total.alias("increase"), (total / seconds).alias("rate"))

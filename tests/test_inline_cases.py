@@ -77,6 +77,13 @@ def test_stale_chunks(spark):
     assert sorted(map(tuple, got.collect())) == [("b", 2, 1), ("e", 1, 1), ("gone", 1, 1)]
 
 
+def test_no_frame_of_an_increase_slides(spark):
+    """A sliding frame costs each row all rows of its window: quadratic in how dense the samples are."""
+    samples = spark.createDataFrame([("a", 1, 2.0)], "k string, at long, v double")
+    plan = alerts.increase(samples, "k", "at", "v", 500)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RangeFrame, -" not in plan
+
+
 def test_windows_dealt_by_stretches_are_those_of_whole_keys(spark):
     r = random.Random(3)
     rows = sorted({(k, r.randrange(-4000, 40000)): r.choice([0.1, 2.5, 7.0]) * r.randrange(50) for k in ("a", "b", None) for _ in range(300)}.items(), key=str)
