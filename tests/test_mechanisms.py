@@ -110,6 +110,19 @@ def test_close_values(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_close_values_are_counted_without_pairs(spark):
+    rnd = random.Random(5)
+    left = [round(rnd.choice([1, -1]) * rnd.uniform(0, 30), 2) for _ in range(1500)] + [0.0, -0.0, float("nan"), float("inf"), None, 100.0, 100.5, 99.5, 1240.17, 1227.83, 201.0]
+    right = [*left[:400], 0.0, None, float("nan"), float("-inf"), 100.0, 100.0, 1e-300, 1234.0, 200.0]
+    a = spark.createDataFrame(list(enumerate(left)), "i long, x double")
+    b = spark.createDataFrame(list(enumerate(right)), "j long, y double")
+    fine = [x for x in left if x is not None and abs(x) < float("inf")]
+    want = {j: n for j, y in enumerate(right) if y is not None and abs(y) < float("inf") and (n := sum(abs(x - y) <= 0.005 * abs(y) for x in fine))}
+    got = bands.counts(a, b, "x", "y")
+    assert {r.j: r.n_near for r in got.collect()} == want
+    assert "Join [_a" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gate_keeps_the_former_batch(spark):
     name = "g" + uuid.uuid4().hex[:12]
     gate = publish.Gate.at(spark, name, 0.5, publish.share_without("error"), lambda rows: rows.groupBy("event_type").count())
