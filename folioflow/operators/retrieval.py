@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.stemming import english, stems
-from ..sources.tables import scratch
+from ..sources.tables import scratch, ship_code
 
-#: Vectors of a query table that are sent to all tasks at a time.
-QUERY_ROWS = 10_000
+#: Rows, and queries, in one task of a dense search; queries in one matrix product.
+ROW_BLOCK, QUERY_ROWS, SLICE = 20_000, 2_000, 64
 
 
 def metadata_filter(equal: dict | None = None, any_of: dict | None = None, at_least: dict | None = None, at_most: dict | None = None) -> Column:
@@ -155,50 +155,64 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.full_like(vectors, np.nan), where=length > 0)
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.array(vectors, np.float64) if len(vectors) else np.zeros((0, 0))
+def _matrix(column) -> np.ndarray:
+    """The vectors of an Arrow column without null vectors, as doubles; a null component is not a number."""
+    width = len(column[0]) if len(column) else 0
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+
+
+def nearest(ids, vectors, names, queries, k: int, cells=None, wanted=None) -> pa.Table:
+    """(query_id, vec_id, score): the k rows nearest to each query by cosine, ties by id, from Arrow columns; of the wanted
+    cells only, if they are given. Vectors without a length are near to nothing. A few queries at a time are one matrix
+    product, so memory is bounded by the rows."""
+    found: list[list[np.ndarray]] = [[], [], []]
+    if len(ids) and len(names):
+        ids, names = ids.to_numpy(), names.to_numpy()
+        rows, asked = _unit(_matrix(vectors)), _unit(_matrix(queries))
+        if cells is not None:
+            cells = cells.to_numpy()
+            table = np.zeros((len(names), int(cells.max()) + 1), bool)
+            for i, own in enumerate(wanted.to_pylist()):
+                table[i, [c for c in own if c < table.shape[1]]] = True
+        for a in range(0, len(names), SLICE):
+            score = np.round(asked[a : a + SLICE] @ rows.T, 6)
+            score[np.isnan(score)] = -np.inf
+            if cells is not None:
+                score[~table[a : a + SLICE, cells]] = -np.inf
+            least = np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k] if k < len(ids) else np.full(len(score), -np.inf)
+            for name, own, last in zip(names[a : a + SLICE], score, least, strict=True):
+                at = np.flatnonzero((own >= last) & (own > -np.inf))  # all that tie with the last of them
+                at = at[np.lexsort((ids[at], -own[at]))][:k]
+                for out, got in zip(found, (np.full(len(at), name), ids[at], own[at]), strict=True):
+                    out.append(got)
+    joined = [np.concatenate(x) if x else np.zeros(0) for x in found]
+    return pa.table({"query_id": pa.array(joined[0].astype(np.int64)), "vec_id": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(np.float64))})
 
 
 def dense_topk(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest rows of each query by cosine, exact; ties by id. Null vectors and
     those without a length are near to nothing.
 
-    A stated set of queries is compared with all rows, QUERY_ROWS queries at a time: each Arrow batch of rows is one matrix
-    product and leaves its own k best of each query, so what is shuffled does not grow with the pairs."""
-    spark = rows.sparkSession
-    some = queries.filter("query is not null")
-    blocks = -(-some.count() // QUERY_ROWS)
-    if not blocks:
-        return rows.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), "vec_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
-    placed = some.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-
-    def best(ids: np.ndarray, asked: np.ndarray):
-        sent = spark.sparkContext.broadcast((ids, _unit(asked)))
-
-        def run(batches):
-            names, q = sent.value
-            for batch in batches:
-                held = batch.filter(batch.column(1).is_valid())
-                if not len(held):
-                    continue
-                found = held.column(0).to_numpy()
-                score = np.round(_unit(_matrix(held.column(1).to_pylist())) @ q.T, 6)
-                score[np.isnan(score)] = -np.inf
-                for i in range(len(names)):
-                    order = np.lexsort((found, -score[:, i]))[:k]
-                    order = order[np.isfinite(score[order, i])]
-                    if len(order):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(order), names[i])), pa.array(found[order]), pa.array(score[order, i])], ["query_id", "vec_id", "score"])
-
-        return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-
-    parts = []
-    for block in range(blocks):
-        got = placed.filter(F.col("_b") == block).select("query_id", "query").collect()
-        if got:
-            parts.append(best(np.array([r[0] for r in got], np.int64), _matrix([r[1] for r in got])))
+    Blocks of ROW_BLOCK rows meet blocks of QUERY_ROWS queries, each pair in one task, which leaves its own k best of each
+    query. The pairs of blocks are as many as the exact answer asks for, quadratic if both tables grow; a task is not."""
+    ship_code(rows.sparkSession)
+    some = queries.filter("query is not null").select(F.col("query_id").cast("bigint").alias("query_id"), "query")
+    held = rows.filter("embedding is not null").select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
+    n, m = (max(1, -(-x.count() // size)) for x, size in ((held, ROW_BLOCK), (some, QUERY_ROWS)))
+
+    def dealt(table: DataFrame, key: str, own: str, blocks: int, other: str, others: int) -> DataFrame:
+        placed = table.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    left, right = dealt(held, "vec_id", "rb", n, "qb", m), dealt(some, "query_id", "qb", m, "rb", n)
+
+    def best(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        return nearest(rows["vec_id"], rows["embedding"], asked["query_id"], asked["query"], k)
+
+    both = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def rrf(runs: list[DataFrame], key: str, k: int = 60, top: int | None = None) -> DataFrame:

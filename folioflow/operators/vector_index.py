@@ -4,8 +4,9 @@ The lists are a table partitioned by cell, so a search reads only the folders of
 vector is in exactly one list; null vectors and those without a length are in cell -1, which no query probes. Centroids
 are fitted on a bounded sample (SAMPLE rows, those with the smallest hash of their id); all else covers all rows.
 
-A search compares blocks of a cell's rows with blocks of the queries that probe it, each pair of blocks in one task of
-bounded size, whatever share of the rows a cell has; each leaves its own k best of a query. With all cells probed the
+Cells are dealt to shelves of about ROW_BLOCK rows: small cells share one, a large cell has several. A search compares
+the rows of a shelf with blocks of the queries that probe any of its cells, each pair in one task of bounded size; a query
+goes to a shelf once, however many of its cells it probes, and takes its own k best of those. With all cells probed the
 result is that of the exact scan."""
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import scratch, ship_code
+from .retrieval import nearest
 
 #: Vectors read for fitting; rows a centroid is worth; bounds of the number of cells.
 SAMPLE, ROWS_A_CELL, CELLS = 20_000, 64, (1, 4096)
 ROUNDS = 10
-#: Rows of a cell, and queries that probe it, in one task.
+#: Rows of a shelf, and queries that probe it, in one task.
 ROW_BLOCK, QUERY_BLOCK = 20_000, 2_000
 
 
@@ -58,12 +60,14 @@ def fitted(vectors: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """path: the lists (vec_id, embedding, block, cell), partitioned by cell; centres: one row a cell."""
+    """path: the lists (vec_id, embedding, block, cell), partitioned by cell; centres: one row a cell; shelves: first
+    block and number of blocks of each cell that has rows."""
 
     path: str
     centres: np.ndarray
     rows: int
-    kind: str = "array<float>"
+    kind: str
+    shelves: dict[int, tuple[int, int]]
 
     def lists(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(f"vec_id bigint, embedding {self.kind}, block int, cell int").parquet(self.path)
@@ -80,9 +84,34 @@ class VectorIndex:
                 at = pa.array(np.repeat(np.arange(len(batch)), n))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(near.reshape(-1).astype(np.int32)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(batch)))], ["query_id", "query", "cell", "place"])
 
-        rows = queries.filter(_usable("query")).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("query").cast("array<double>").alias("query"))
+        return self._queries(queries).mapInArrow(run, "query_id bigint, query array<double>, cell int, place int")
+
+    def _queries(self, queries: DataFrame) -> DataFrame:
         ship_code(queries.sparkSession)
-        return rows.mapInArrow(run, "query_id bigint, query array<double>, cell int, place int")
+        return queries.filter(_usable("query")).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("query").cast("array<double>").alias("query"))
+
+    def asked(self, queries: DataFrame, n: int) -> DataFrame:
+        """(query_id, query, block, cells): each query once for every shelf with cells among its n nearest, and these."""
+        centres, shelves = self.centres, self.shelves
+        first = np.array([shelves.get(c, (-1, 0))[0] for c in range(len(centres))])
+        more = [(c, range(a + 1, a + p)) for c, (a, p) in shelves.items() if c >= 0 and p > 1]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in (whole.slice(i, 256) for i in range(0, len(whole), 256)):
+                    near = np.argsort(-np.round(_matrix(batch.column(1)) @ centres.T, 9), axis=1, kind="stable")[:, :n].astype(np.int32)
+                    rows = np.repeat(np.arange(len(batch)), near.shape[1])
+                    cells = near.reshape(-1)
+                    extra = [(np.repeat(rows[cells == c], len(at)), np.full((cells == c).sum() * len(at), c, np.int32), np.tile(np.array(at), (cells == c).sum())) for c, at in more]
+                    rows, cells, blocks = (np.concatenate(x) for x in zip((rows, cells, first[cells]), *extra, strict=True))
+                    order = np.lexsort((cells, blocks, rows))
+                    rows, cells, blocks = (x[order][blocks[order] >= 0] for x in (rows, cells, blocks))
+                    edges = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
+                    at = pa.array(rows[edges])
+                    listed = pa.ListArray.from_arrays(np.append(edges, len(cells)).astype(np.int32), pa.array(cells, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(blocks[edges], pa.int32()), listed], ["query_id", "query", "block", "cells"])
+
+        return self._queries(queries).mapInArrow(run, "query_id bigint, query array<double>, block int, cells array<int>")
 
 
 def build(rows: DataFrame, cells: int | None = None, path: str | None = None) -> VectorIndex:
@@ -105,12 +134,30 @@ def build(rows: DataFrame, cells: int | None = None, path: str | None = None) ->
 
     kind = rows.schema["embedding"].dataType.simpleString()
     placed = rows.select("vec_id", "embedding", _usable("embedding").alias("held")).mapInArrow(run, f"vec_id bigint, embedding {kind}, cell int")
-    # As many blocks a cell as its fair share of rows asks for: a list that holds a third of all rows is many files.
-    blocks = max(1, -(-n // ROW_BLOCK))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     path = path or scratch(spark, "vectors")
-    placed.repartition("cell", "block").write.partitionBy("cell").parquet(path)
-    return VectorIndex(path, centres, n, kind)
+    unsorted = scratch(spark, "placed")
+    placed.write.parquet(unsorted)
+    placed = spark.read.schema(placed.schema).parquet(unsorted)
+    sizes = sorted((r[0], r[1]) for r in placed.groupBy("cell").count().collect())  # at most CELLS and one numbers
+    shelves = shelved(sizes)
+    of = spark.createDataFrame([(c, *x) for c, x in shelves.items()], "cell int, first int, pieces int")
+    block = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("pieces"))).cast("int").alias("block")
+    placed = placed.join(F.broadcast(of), "cell").select("vec_id", "embedding", "cell", block)
+    n_blocks = 1 + max((a + p - 1 for a, p in shelves.values()), default=0)
+    placed.repartition(min(n_blocks, 4096), "block").write.partitionBy("cell").parquet(path)
+    return VectorIndex(path, centres, n, kind, shelves)
+
+
+def shelved(sizes: list[tuple[int, int]]) -> dict[int, tuple[int, int]]:
+    """(first block, number of blocks) of each cell (cell, rows): cells in order share a block until it is full."""
+    out, block, held = {}, 0, 0
+    for cell, rows in sizes:
+        pieces = -(-rows // ROW_BLOCK)
+        if held and held + rows > ROW_BLOCK:
+            block, held = block + 1, 0
+        out[cell] = (block, max(1, pieces))
+        block, held = (block + pieces, 0) if pieces > 1 else (block, held + rows)
+    return out
 
 
 def probed(index: VectorIndex, probes: DataFrame) -> DataFrame:
@@ -122,35 +169,18 @@ def probed(index: VectorIndex, probes: DataFrame) -> DataFrame:
 def search(index: VectorIndex, queries: DataFrame, k: int, n_probes: int) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest rows by cosine in the n_probes nearest lists; ties by id."""
     spark = queries.sparkSession
-    probes = index.probes(queries, n_probes)
-    asked = scratch(spark, "probes")
-    probes.write.parquet(asked)
-    probes = spark.read.schema(probes.schema).parquet(asked)
-    lists = probed(index, probes)
-    row_blocks = max(1, -(-index.rows // ROW_BLOCK))
-    query_blocks = max(1, -(-probes.count() // (QUERY_BLOCK * max(1, len(index.centres)))))
+    n = min(n_probes, len(index.centres))
+    if not n:
+        return spark.createDataFrame([], "query_id bigint, vec_id bigint, score double, rank int")
+    lists = index.lists(spark).filter("cell >= 0") if n == len(index.centres) else probed(index, index.probes(queries, n))
+    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     left = lists.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = probes.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+    right = index.asked(queries, n).withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
 
     def best(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, names = np.asarray(rows["vec_id"]), np.asarray(asked["query_id"])
-        found: list[list[np.ndarray]] = [[], [], []]
-        if len(ids) and len(names):
-            score = np.round(_unit(_matrix(asked["query"])) @ _unit(_matrix(rows["embedding"])).T, 6)
-            near = np.argpartition(-score, k - 1, axis=1)[:, :k] if k < len(ids) else np.broadcast_to(np.arange(len(ids)), score.shape)
-            for i, name in enumerate(names):
-                at = near[i]
-                if k < len(ids):  # all that tie with the last of them
-                    at = np.flatnonzero(score[i] >= score[i, at].min())
-                at = at[np.lexsort((ids[at], -score[i, at]))][:k]
-                for out, got in zip(found, (np.full(len(at), name), ids[at], score[i, at]), strict=True):
-                    out.append(got)
-        joined = [np.concatenate(x) if x else np.zeros(0) for x in found]
-        return pa.table({"query_id": pa.array(joined[0].astype(np.int64)), "vec_id": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(np.float64))})
-
-    keys = ["cell", "block", "qb"]
-    both = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
+        return nearest(rows["vec_id"], rows["embedding"], asked["query_id"], asked["query"], k, rows["cell"], asked["cells"])
+
+    both = left.groupBy("block", "qb").cogroup(right.groupBy("block", "qb")).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -141,3 +141,23 @@ def test_a_tile_and_several_blocks_of_queries(spark, docs, monkeypatch):
     for i, words in asked.items():
         want = [(r.doc_id, round(r.score, 6)) for r in retrieval.bm25(plain, "doc_id", words, 3).collect()]
         assert [(r.key, round(r.score, 6)) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == i] == want
+
+
+def test_cells_share_shelves_and_large_cells_have_several(monkeypatch):
+    monkeypatch.setattr(vector_index, "ROW_BLOCK", 100)
+    assert vector_index.shelved([(-1, 3), (0, 90), (1, 20), (2, 250), (3, 5), (4, 95)]) == {-1: (0, 1), 0: (0, 1), 1: (1, 1), 2: (2, 3), 3: (5, 1), 4: (5, 1)}
+
+
+def test_a_query_goes_to_a_shelf_once_and_blocks_do_not_change_the_rows(spark, monkeypatch):
+    rows = clustered(spark, 600)
+    asked = rows.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    want = sorted(map(tuple, retrieval.dense_topk(asked, rows, 10).collect()))
+    monkeypatch.setattr(vector_index, "ROW_BLOCK", 100)
+    monkeypatch.setattr(vector_index, "QUERY_BLOCK", 7)
+    index = vector_index.build(rows)
+    sent = index.asked(asked, len(index.centres)).groupBy("query_id").agg(F.count("*").alias("n"), F.countDistinct("block").alias("d")).collect()
+    assert {r.n for r in sent} == {r.d for r in sent} and max(r.n for r in sent) <= 12 < len(index.centres)
+    assert sorted(map(tuple, vector_index.search(index, asked, 10, len(index.centres)).collect())) == want
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 50)
+    monkeypatch.setattr(retrieval, "QUERY_ROWS", 7)
+    assert sorted(map(tuple, retrieval.dense_topk(asked, rows, 10).collect())) == want
