@@ -215,7 +215,9 @@ def table_layout_flag(spark, folder):
     """A page an order: a table of its lines, of which some have figures, and a table of one row."""
     figure = F.when(F.col("l_returnflag") == "N", F.lit("n/a")).otherwise(F.format_number("l_extendedprice", 0))
     row = F.concat(F.lit("<tr><td>part "), F.col("l_partkey").cast("string"), F.lit("</td><td>"), figure, F.lit("</td></tr>"))
-    pages = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows"))
+    # Small bytes are much work here: a stated number of tasks is not put together into few, as Spark does by size.
+    lines = table(spark, folder, "lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    pages = lines.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows"))
     html = F.concat(F.lit("<p>lines</p><table>"), "rows", F.lit("</table><table><tr><td>a</td><td>b</td></tr></table>"))
     return html_tables.extracted(pages.select("page_id", html.alias("html"))).select("page_id", "ordinal", "layout")
 
