@@ -1,11 +1,11 @@
 """Headings of reports: items and parts with offsets, and the regions that items open.
 
-Lines are taken apart with built-in functions inside each row, so offsets count code points and no text is shuffled; only
-the few headings of a document meet in a window."""
+Lines are taken apart and headings told apart with built-in functions inside each row, so offsets count code points and
+nothing is shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sections import item_order, section
@@ -40,16 +40,31 @@ def part_headings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return _lines(docs, key, text, PART, []).select(key, "pos", F.upper(F.regexp_extract("line", PART, 1)).alias("part"))
 
 
+def with_regions(docs: DataFrame, text: str = "text", form: str = "form", to: str = "regions") -> DataFrame:
+    """Rows with an array of their regions (start, end, item, title, section): an item counts if it is greater than all
+    before it in its part; its region ends where the next begins, or with the text. Null for a null text."""
+    cut = docs.withColumn("_l", F.split(text, "\n"))
+    heads = F.filter(F.transform("_l", lambda line, i: F.struct(i.alias("i"), line.alias("line"))), lambda x: x["line"].rlike(ITEM) | x["line"].rlike(PART))
+    cut = cut.withColumns({"_n": F.transform("_l", lambda x: F.char_length(x) + 1), "_h": heads, "_len": F.char_length(text).cast("bigint")}).drop("_l")
+
+    def told(x: Column) -> Column:
+        item = F.upper(F.regexp_extract(x["line"], ITEM, 1))  # empty for a part
+        return F.struct(x["i"].alias("i"), item.alias("item"), _title(x["line"]).alias("title"), item_order(item).alias("order"))
+
+    def fold(a: Column, x: Column) -> Column:
+        pos = F.aggregate(F.slice("_n", a["i"] + 1, x["i"] - a["i"]), a["pos"], lambda s, n: s + n)
+        take = (x["item"] != "") & (a["best"].isNull() | (x["order"] > a["best"]))
+        best = F.when(take, x["order"]).when(x["item"] != "", a["best"])
+        kept = F.when(take, F.concat(a["kept"], F.array(F.struct(pos.alias("start"), x["item"].alias("item"), x["title"].alias("title"))))).otherwise(a["kept"])
+        return F.struct(x["i"].alias("i"), pos.alias("pos"), best.alias("best"), kept.alias("kept"))
+
+    none = "named_struct('i', 0, 'pos', 0L, 'best', cast(null as struct<number:int,letter:string>), 'kept', cast(array() as array<struct<start:bigint,item:string,title:string>>))"
+    kept = cut.withColumn("_h", F.transform("_h", told)).withColumn("_h", F.aggregate("_h", F.expr(none), fold)["kept"])
+    whole = F.transform("_h", lambda k, i: F.struct(
+        k["start"].alias("start"), F.coalesce(F.get("_h", i + 1)["start"], F.col("_len")).alias("end"), k["item"].alias("item"), k["title"].alias("title"), section(k["item"], F.col(form)).alias("section")))
+    return kept.withColumn(to, whole).drop("_n", "_h", "_len")
+
+
 def item_regions(docs: DataFrame, key: str = "doc_id", text: str = "text", form: str = "form") -> DataFrame:
-    """(key, start, end, item, title, section): an item counts if it is greater than all before it in its part; its
-    region ends where the next begins, or with the text. A text without headings has no region."""
-    whole = docs.select(key, F.col(form).alias("_form"), F.col(text), F.char_length(text).cast("bigint").alias("_len"))
-    items = item_headings(whole, key, text, ("_form", "_len")).withColumn("_item", F.lit(1))
-    parts = part_headings(docs, key, text).select(key, "pos", F.lit(None).cast("string").alias("_form"), F.lit(None).cast("bigint").alias("_len"), F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("title"), F.lit(0).alias("_item"))
-    in_order = Window.partitionBy(key).orderBy("pos", "_item")
-    placed = items.unionByName(parts).withColumn("_part", F.sum(1 - F.col("_item")).over(in_order.rowsBetween(Window.unboundedPreceding, 0))).filter("_item = 1")
-    before = Window.partitionBy(key, "_part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    order = item_order(F.col("item"))
-    kept = placed.withColumn("_best", F.max(order).over(before)).filter(F.col("_best").isNull() | (order > F.col("_best")))
-    end = F.coalesce(F.lead("pos").over(Window.partitionBy(key).orderBy("pos")), F.col("_len"))
-    return kept.select(key, F.col("pos").alias("start"), end.alias("end"), "item", "title", section(F.col("item"), F.col("_form")).alias("section"))
+    """(key, start, end, item, title, section) of the regions of each text. A text without headings has no region."""
+    return with_regions(docs.select(key, form, text), text, form, "_regions").select(key, F.inline("_regions"))
