@@ -24,6 +24,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/folioflow/{name}-{uuid.uuid4().hex}"
 
 
+def tasks_for(rows: DataFrame, each: int) -> int:
+    """Tasks of some `each` rows for work that sorts or holds what it reads, at least as many as Spark takes for a shuffle.
+    Spark's own number does not follow the input; counting a Parquet table reads no column."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // each))
+
+
 _shipped: set[str] = set()
 
 

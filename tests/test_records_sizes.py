@@ -14,3 +14,8 @@ def test_stale_chunks_of_texts_around_the_least_size(spark, tmp_path):
     duck = duckdb.connect()
     duck.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
     assert got == sorted(duck.execute(plans.oracle_sql()["chunk_stale"]).fetchall())
+
+
+def test_the_chunks_that_are_verified_are_cut_once(spark, sf):
+    plan = plans.queries()["chunk_invariants"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
