@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import ship_code
 from .chunks import pieces
-from .headings import item_regions
+from .headings import with_regions
 from .resolver import filing_year
 
 RETURNS = "ordinal int, label string, item_number string, item_title string, section string, chunk_type string, char_start int, char_end int, token_count int, chunk string"
@@ -37,9 +37,7 @@ def assembled(docs: DataFrame, size: int = 512, overlap: int = 64, least: int =
     """The rows of chunks.assembled, by a lateral join with the table function."""
     spark = docs.sparkSession
     register(spark)
-    regions = item_regions(docs.select("accession", "text", "form").dropDuplicates(["accession"]), "accession")
-    held = regions.groupBy("accession").agg(F.sort_array(F.collect_list(F.struct("start", "end", "item", "title", "section"))).alias("regions"))
-    rows = docs.join(held, "accession", "left").withColumn("fiscal_year", filing_year(F.col("form"), F.col("filed")))
+    rows = with_regions(docs).withColumn("fiscal_year", filing_year(F.col("form"), F.col("filed")))
     return spark.sql(
         f"""SELECT concat(d.accession, '::', c.label) AS chunk_id, d.accession, d.cik, d.company, d.form, d.filed, d.fiscal_year,
         c.item_number, c.item_title, c.section, c.chunk_type, c.char_start, c.char_end, c.token_count, c.chunk AS text

@@ -71,6 +71,11 @@ def test_chunk_function_gives_the_chunk_table(spark, sf):
     assert key(chunk_function.assembled(docs).select(*chunks.assembled(docs).columns)) == key(chunks.assembled(docs))
 
 
+def test_chunk_function_needs_no_shuffle(spark, sf):
+    docs = records._filings(spark, sf).limit(3).localCheckpoint()
+    assert "Exchange" not in chunk_function.assembled(docs)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_chunk_function_in_sql(spark):
     chunk_function.register(spark)
     got = spark.sql("SELECT i, c.* FROM VALUES (1, repeat('word ', 300)), (2, null) AS t(i, x), LATERAL chunk_document(x, null, null, 100, 10, 5) c").collect()
