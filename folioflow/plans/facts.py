@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import resolver
-from ..sources.tables import table
+from ..sources.tables import lines_of_orders, table
 
 #: Field specs: (field, period, unit, tag, pref).
 SPECS = [("revenue", "duration", "F", "R", 0), ("revenue", "duration", "F", "A", 1), ("revenue", "duration", "O", "N", 2), ("assets", "instant", "F", "N", 0), ("assets", "instant", "F", "A", 1), ("assets", "instant", "O", "N", 2)]
@@ -16,7 +16,7 @@ SPECS = [("revenue", "duration", "F", "R", 0), ("revenue", "duration", "F", "A",
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """Each line of an order as an observation: customer, return flag, status, price, a period that ends on the day of
     shipping; one in eight lines is an instant, one in nine has no date of filing."""
-    rows = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines_of_orders(spark, folder)
     end = F.col("l_shipdate").cast("date")
     days = (F.lit(330) + F.pmod(F.col("l_partkey"), F.lit(100))).cast("int")
     return rows.select(

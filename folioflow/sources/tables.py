@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +31,18 @@ def tasks_for(rows: DataFrame, each: int) -> int:
     return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // each))
 
 
+#: Rows of the lines of orders that one task sorts or groups, more or less.
+LINES = 500_000
+
+
+def lines_of_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the columns of their orders, in tasks whose number follows the number of lines: the join sorts both sides
+    in a task, and what is grouped after it is sorted there too."""
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    n = tasks_for(lines, LINES)
+    return lines.repartition(n, "l_orderkey").join(orders.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 _shipped: set[str] = set()
 
 
