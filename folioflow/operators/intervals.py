@@ -44,19 +44,16 @@ def sessions(events: DataFrame, user: str, seconds: str, gap: int) -> DataFrame:
     return marked.groupBy(user, "session").agg(F.count("*").alias("n"), F.min(seconds).alias("first_s"), F.max(seconds).alias("last_s"))
 
 
-def split_at(spans: DataFrame, regions: DataFrame, key: str) -> DataFrame:
+def split_at(spans: DataFrame, regions: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
     """Cuts spans (key, start, end) at all edges of regions (key, start, end, name) inside them: (key, start, end, name),
-    name null outside all regions. Neither the spans of a key nor its regions overlap; all edges are sorted once."""
-    span, region = F.struct("start", "end"), F.struct("start", "end", "name")
-    marks = [
-        spans.select(key, F.col("start").alias("at"), span.alias("span")),
-        spans.select(key, F.col("end").alias("at")),
-        regions.select(key, F.col("start").alias("at"), region.alias("region")),
-        regions.select(key, F.col("end").alias("at")),
-    ]
-    edges = marks[0]
-    for m in marks[1:]:
-        edges = edges.unionByName(m, allowMissingColumns=True)
+    name null outside all regions. Neither the spans of a key nor its regions overlap; all edges are dealt by key once, to
+    `tasks` tasks if given, and sorted there."""
+
+    def edged(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        return rows.select(key, F.inline(F.array(F.struct(F.col("start").alias("at"), F.struct(*columns).alias(name)), F.struct(F.col("end").alias("at"), F.lit(None).alias(name)))))
+
+    edges = edged(spans, "span", "start", "end").unionByName(edged(regions, "region", "start", "end", "name"), allowMissingColumns=True)
+    edges = edges.repartition(*([] if tasks is None else [tasks]), key)
     edges = edges.groupBy(key, "at").agg(F.max("span").alias("span"), F.max("region").alias("region"))
     w = Window.partitionBy(key).orderBy("at")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

@@ -9,7 +9,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import table
+from ..sources.tables import LINES, table, tasks_for
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 _BRACED = re.compile(r"\{(" + "|".join(TABLES) + r")\}")
@@ -28,8 +28,10 @@ def sparks(sql: str) -> str:
 
 
 def values(spark: SparkSession, folder: str, fixture: str) -> DataFrame:
-    names = sorted(set(_BRACED.findall(fixture)))
-    return spark.sql("SELECT * FROM " + sparks(fixture), **{n: table(spark, folder, n) for n in names})
+    given = {n: table(spark, folder, n) for n in sorted(set(_BRACED.findall(fixture)))}
+    if _LINES in fixture:  # different lines are told by order, in tasks whose number follows the number of lines
+        given["lineitem"] = given["lineitem"].repartition(tasks_for(given["lineitem"], LINES), "l_orderkey")
+    return spark.sql("SELECT * FROM " + sparks(fixture), **given)
 
 
 _K = "CAST(o_orderkey AS VARCHAR)"

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import sections, text as T
 from ..operators import alerts, headings, html_tables, intervals, percentiles, replies, retrieval
 from ..sources import configs, nested
-from ..sources.tables import table
+from ..sources.tables import table, tasks_for
 from . import mechanisms
 from .fixtures import ANSWERS, ASKED, BUCKETS, CHUNKS, CITED, COMPLETIONS, CONTEXTS, ITEMS, MARKS, NAMES, POINTS, PROBED, REGIONS, REPORT, SIZES, SPANS, TAGGED, values
 
+#: Lines whose spans and regions one task cuts, more or less.
+SPLIT_LINES = 250_000
 
 
 def _bodies(rows: DataFrame, group, item, body) -> DataFrame:
@@ -107,7 +109,8 @@ def item_sort(spark, folder):
 
 
 def interval_split(spark, folder):
-    got = intervals.split_at(values(spark, folder, SPANS), values(spark, folder, REGIONS), "doc")
+    tasks = tasks_for(table(spark, folder, "lineitem"), SPLIT_LINES)
+    got = intervals.split_at(values(spark, folder, SPANS), values(spark, folder, REGIONS), "doc", tasks)
     return got.select("doc", F.col("start").alias("from_char"), F.col("end").alias("to_char"), "name")
 
 
