@@ -1,17 +1,16 @@
 """Contents computed only when they are new: keyed state with expiry in a stream.
 
 A key's state is the digest it was last computed for and when. A row with that digest within the time to live is
-skipped; any other is computed. A timer of event time at the end of the time to live takes the state away, so it holds
+skipped; any other is computed. A timer of event time after the end of the time to live takes the state away, so it holds
 no key that is out of date, and what comes later is computed again. State lives in the checkpoint, across batches and
 restarts."""
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources.tables import scratch, ship_code
@@ -21,40 +20,51 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 RETURNS = "key long, digest string, at timestamp, reason string"
 
 
+#: Keys are held in this many shelves. Each call to the state goes through a socket, so the keys of a shelf are read and
+#: written together; the number belongs to a checkpoint.
+SHELVES = 1024
+
+
 class Fresh(StatefulProcessor):
+    """Rows (shelf, key, digest, at, us), us the microseconds of at. A shelf has the last (key, digest, us) of each of its
+    keys and one timer, for the one that runs out first when it is set; when it goes off, what is out of date is taken
+    away and the timer set anew for the rest."""
+
     def __init__(self, seconds: int):
         self.seconds = seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "digest string, at timestamp")
-
-    def _expires(self, at: datetime.datetime) -> int:
-        return round(at.timestamp() * 1000) + 1000 * self.seconds
-
-    def _drop_timer(self, at: datetime.datetime) -> None:
-        if self._expires(at) in set(self.handle.listTimers()):
-            self.handle.deleteTimer(self._expires(at))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["at", "digest"], kind="stable")
-        old = self.last.get() if self.last.exists() else None
-        before, out = old, []
-        for digest, at in zip(new["digest"], new["at"], strict=True):
-            at = at.to_pydatetime()
-            late = old is not None and (at - old[1]).total_seconds() >= self.seconds
+        self.last = handle.getListState("last", "key long, digest string, us long")
+
+    def _expires(self, us: int) -> int:
+        return -(-us // 1000) + 1000 * self.seconds
+
+    def _timer(self, held: dict[int, tuple]) -> None:
+        self.handle.registerTimer(self._expires(min(us for _, us in held.values())))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = {r[0]: (r[1], r[2]) for r in self.last.get()}
+        timed, changed = bool(held), False
+        for k, digest, us in sorted(((r.key, r.digest, r.us) for r in rows), key=lambda r: (r[2], r[1] is None, r[1] or "")):
+            old = held.get(k)
+            late = old is not None and us - old[1] >= 1000000 * self.seconds
             if old is None or late or old[0] != digest:
-                out.append((key[0], digest, at, "new" if old is None else "expired" if late and old[0] == digest else "changed"))
-                old = (digest, at)
-        if old is not before:
-            if before is not None:
-                self._drop_timer(before[1])
-            self.last.update(old)
-            self.handle.registerTimer(self._expires(old[1]))
-        yield pd.DataFrame(out, columns=["key", "digest", "at", "reason"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists() and self._expires(self.last.get()[1]) <= expiredTimerInfo.getExpiryTimeInMs():
+                yield Row(key=k, digest=digest, us=us, reason="new" if old is None else "expired" if late and old[0] == digest else "changed")
+                held[k], changed = (digest, us), True
+        if changed:
+            self.last.put([(k, *v) for k, v in held.items()])
+            if not timed:
+                self._timer(held)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, held = timerValues.getCurrentWatermarkInMs(), {r[0]: (r[1], r[2]) for r in self.last.get()}
+        left = {k: v for k, v in held.items() if self._expires(v[1]) > now}
+        if left:
+            if len(left) < len(held):
+                self.last.put([(k, *v) for k, v in left.items()])
+            self._timer(left)
+        else:
             self.last.clear()
         return iter(())
 
@@ -70,7 +80,9 @@ def computed(stream: DataFrame, seconds: int, delay: str, out: str, checkpoint:
     before = spark.conf.get(_PROVIDER, None)
     spark.conf.set(_PROVIDER, _ROCKS)
     try:
-        found = stream.withWatermark("at", delay).groupBy("key").transformWithStateInPandas(Fresh(seconds), RETURNS, "append", "eventTime")
+        rows = stream.select("key", "digest", "at").withWatermark("at", delay).withColumns({"us": F.unix_micros("at"), "shelf": F.pmod(F.xxhash64("key"), F.lit(SHELVES)).cast("int")})
+        found = rows.groupBy("shelf").transformWithState(Fresh(seconds), RETURNS.replace("at timestamp", "us long"), "append", "eventTime")
+        found = found.select("key", "digest", F.timestamp_micros("us").alias("at"), "reason")
         query = found.writeStream.foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:

@@ -175,3 +175,19 @@ def test_keyed_state_with_expiry(spark, tmp_path):
     assert (1, "a", "expired") in seen() or seen().count((1, "a", "new")) == 2
     assert feed((3, "z", 200), (4, "y", 201)) >= 1
     assert feed((4, "y", 202)) == 2  # the timers of 1 and 2 have gone off, 3 was computed again
+
+
+def test_keyed_state_of_more_keys_than_shelves(spark, tmp_path):
+    """Keys that share a shelf keep their own digests and times; the state is read by shelves, not by keys."""
+    rnd, src, (out, state) = random.Random(6), str(tmp_path / "in"), fresh.folders(spark)
+    start, want, last = datetime.datetime(2024, 1, 1), [], {}
+    for week in range(2):
+        rows = sorted((week * 168 + rnd.randrange(168), rnd.choice("ab"), rnd.randrange(2 * fresh.SHELVES)) for _ in range(6000))
+        spark.createDataFrame([(k, d, start + datetime.timedelta(hours=h)) for h, d, k in rows], "key long, digest string, at timestamp").coalesce(1).write.mode("append").parquet(src)
+        held = fresh.computed(spark.readStream.schema("key long, digest string, at timestamp").parquet(src), 48 * 3600, "1 hour", out, state)
+        for h, d, k in rows:
+            if k not in last or last[k][0] != d or h - last[k][1] >= 48:
+                want.append((k, d, h))
+                last[k] = (d, h)
+    seen = [(r.key, r.digest, round((r.at - start).total_seconds() / 3600)) for r in fresh.results(spark, out).collect()]
+    assert sorted(seen) == sorted(want) and 0 < held <= fresh.SHELVES
