@@ -39,6 +39,13 @@ def fiscal_year(end: Column) -> Column:
     return F.year(end) - F.when((F.month(end) == 1) & (F.dayofmonth(end) <= 14), 1).otherwise(0)
 
 
+def iso_day(c: Column | str) -> Column:
+    """The day that a text in the form yyyy-MM-dd names, null for any other text. Texts of four digits, two and two are cast,
+    which costs a small part of what a parser of patterns does; that one reads the rest."""
+    text = F.col(c) if isinstance(c, str) else c
+    return F.when(text.rlike(r"\A[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date")).otherwise(F.try_to_date(text, "yyyy-MM-dd"))
+
+
 def relative_error(value: Column, truth: Column) -> Column:
     """|value - truth| / |truth|; 0 for 0/0, null for x/0."""
     v, t = value.cast("double"), truth.cast("double")

@@ -7,6 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow.functions.text import iso_day
 from folioflow.operators import bands, chunk_function, chunks, sketches
 from folioflow.plans import records
 from folioflow.sources import facts, index_source, landing
@@ -64,6 +65,41 @@ def test_facts_through_variant(spark, tmp_path):
         ("1", "New:Tag", "USD", 12.5, datetime.date(2024, 1, 1), datetime.date(2025, 1, 31), "a1"), ("1", "New:Tag", "shares", -3.0, None, None, "a2"), ("2", "T", "USD", None, None, None, "a3")]
 
 
+def test_facts_are_dealt_once_by_bodies_of_bounded_size(spark, tmp_path):
+    rows = [("1", "t", f"T{i % 3}", "USD", str(i), "2024-01-01", None, "10-K", None, "one") for i in range(300)] + [(None, "t", "T", "USD", str(i), None, "2024-12-31", None, None, f"a{i}") for i in range(300)]
+    rows += [(str(c), "t", "T", "USD", str(i), None, None, None, None, f"a{i}") for c in range(2, 40) for i in range(20)]
+    rows = [(*r[:6], r[6] or f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", *r[7:]) for i, r in enumerate(rows)]
+    names = "cik taxonomy tag unit val start end form filed accn".split()
+    path = str(tmp_path / "facts")
+    facts.write_bodies(spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)), path, 11, 20)
+    bodies = spark.read.text(path).select(F.get_json_object("value", "$.cik").alias("cik"), (F.size(F.split("value", '"val":')) - 1).alias("n")).collect()
+    assert max(b.n for b in bodies) < 100 and sum(b.cik == "1" for b in bodies) > 5 and sum(b.cik is None for b in bodies) > 5
+    assert all(sum(b.cik == str(c) for b in bodies) == 1 for c in range(2, 40))  # a small company is one body
+    got = facts.read_facts(spark, path).select("cik", "tag", F.col("val").cast("int").cast("string").alias("val"), F.col("start_d").cast("string"), F.col("end_d").cast("string"), "accn")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((r[0], r[2], r[4], r[5], r[6], r[9]) for r in rows), key=str)
+
+
+def test_odd_facts_through_variant(spark, tmp_path):
+    units = ['[{"val": true}, 7, null, {"val": "1e2"}, {"val": [1]}, {"val": 0.12345}, {"val": "true"}]', '{"a": {"val": 4}, "b": 5}', "5", "[]", "{}"]
+    body = '{"cik": "%d", "facts": {"t": {"T": {"units": {"USD": %s}}}}}'
+    (tmp_path / "a.json").write_text("\n".join([body % (i, u) for i, u in enumerate(units)] + ['{"cik": 9, "facts": [{"T": {"units": [[{"val": 3}]]}}]}']))
+    got = facts.read_facts(spark, str(tmp_path)).select("cik", "taxonomy", "unit", F.col("val").cast("double")).collect()
+    want = [("0", "t", "USD", v) for v in (1.0, None, None, 100.0, None, 0.1235, None)] + [("1", "t", "USD", 4.0), ("1", "t", "USD", None), ("9", None, None, 3.0)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_facts_do_not_carry_their_body(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"cik": "1", "facts": {}}')
+    plan = facts.read_facts(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert all("body" not in line for line in plan.split("\n")[: plan[: plan.rindex("Generate")].count("\n") + 1])
+
+
+@pytest.mark.parametrize("text", ["2024-02-29", "2023-02-29", "2024-1-5", "0000-01-01", "0001-01-01", "+10000-01-01", "10000-01-01", " 2024-01-01", "2024-01-01 ", "2024-01-01\n", "2024-01-01T00", "1582-10-10", "2024-00-10", "-2024-01-01", "", None])
+def test_days_are_those_of_the_pattern(spark, text):
+    df = spark.createDataFrame([(text,)], "c string").select(iso_day("c").cast("string").alias("a"), F.try_to_date("c", "yyyy-MM-dd").cast("string").alias("b"))
+    assert df.filter("a <=> b").count() == 1
+
+
 def test_chunk_function_gives_the_chunk_table(spark, sf):
     docs = records._filings(spark, sf).limit(40)
     docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("accession", F.lit("none")))
