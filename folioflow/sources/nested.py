@@ -5,10 +5,10 @@ gives no rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import padded_id, safe_decimal
+from ..functions.text import iso_day, padded_id, safe_decimal
 
 #: The fields that are scored, file names that are exhibits.
 FIELDS = ("total_revenue", "net_income", "total_assets", "operating_cash_flow")
@@ -60,11 +60,7 @@ def observations(rows: DataFrame) -> DataFrame:
     that cannot be read is null."""
     tags = rows.select(F.explode(F.from_json("body", f"map<string,map<string,struct<units:map<string,array<{_FACT}>>>>>")).alias("taxonomy", "tags"))
     units = tags.select("taxonomy", F.explode("tags").alias("tag", "t")).select("taxonomy", "tag", F.explode("t.units").alias("unit", "facts"))
-
-    def day(name: str) -> Column:
-        return F.try_to_date(F.col(name), "yyyy-MM-dd")
-
-    return units.select("taxonomy", "tag", "unit", F.inline("facts")).select("taxonomy", "tag", "unit", "val", day("start").alias("start_d"), day("end").alias("end_d"), "form", day("filed").alias("filed"), "accn")
+    return units.select("taxonomy", "tag", "unit", F.inline("facts")).select("taxonomy", "tag", "unit", "val", iso_day("start").alias("start_d"), iso_day("end").alias("end_d"), "form", iso_day("filed").alias("filed"), "accn")
 
 
 def completions(rows: DataFrame, key: str, reply: str, fiscal_year: int) -> DataFrame:

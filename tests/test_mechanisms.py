@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.text import iso_day
 from folioflow.operators import bands, chunk_function, chunks, sketches
 from folioflow.plans import records
-from folioflow.sources import facts, index_source, landing
+from folioflow.sources import facts, index_source, landing, nested
 from folioflow.sources.tables import scratch
 from folioflow.streaming import fresh, publish
 
@@ -94,6 +94,14 @@ def test_facts_do_not_carry_their_body(spark, tmp_path):
     assert all("body" not in line for line in plan.split("\n")[: plan[: plan.rindex("Generate")].count("\n") + 1])
 
 
+def test_days_of_nested_facts_need_no_pattern(spark):
+    rows = [('{"t": {"T": {"units": {"USD": [{"val": 1.5, "start": "2024-01-05", "filed": "2024-1-5"}, {"val": "no", "end": "2024-02-30"}]}}, "N": null}, "u": null}',), ("{}",), ("no json",), (None,)]
+    got = nested.observations(spark.createDataFrame(rows, "body string"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 3
+    shown = got.select("taxonomy", "tag", "unit", F.col("val").cast("string"), F.col("start_d").cast("string"), "end_d", "filed").collect()
+    assert sorted(map(tuple, shown), key=str) == sorted([("t", "T", "USD", "1.5000", "2024-01-05", None, None), ("t", "T", "USD", None, None, None, None)], key=str)
+
+
 @pytest.mark.parametrize("text", ["2024-02-29", "2023-02-29", "2024-1-5", "0000-01-01", "0001-01-01", "+10000-01-01", "10000-01-01", " 2024-01-01", "2024-01-01 ", "2024-01-01\n", "2024-01-01T00", "1582-10-10", "2024-00-10", "-2024-01-01", "", None])
 def test_days_are_those_of_the_pattern(spark, text):
     df = spark.createDataFrame([(text,)], "c string").select(iso_day("c").cast("string").alias("a"), F.try_to_date("c", "yyyy-MM-dd").cast("string").alias("b"))
