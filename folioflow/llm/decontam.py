@@ -77,9 +77,10 @@ _ARTICLES = "d(?:er|ie|as|en|em|es)|[kmds]?eine?[nmrs]?|(?:ihr|unser|euer|eur)(?
 #: word in small letters between or not, it is a noun.
 _ANY_NAMES = (
     rf"(?=\p{{Lu}})(?<!\p{{L}})(?<!(?<!\p{{L}})(?i:{_ARTICLES}) (?:\p{{Ll}}{{1,20}} )?)"
-    rf"((?!(?:{_OPENERS})(?!\p{{L}}))\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)"
+    rf"((?!(?:{_OPENERS})(?!\p{{L}}))\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*+)"
 )
-_NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*"
+# Repeated groups are possessive: nothing comes after them to go back for, and a greedy one takes stack for each word of a run.
+_NUMBERS = r"\p{N}+(?:[.,:]\p{N}+)*+"
 #: Readings of a text: without names; with names.
 PLAIN, NAMED = 0, 1
 
