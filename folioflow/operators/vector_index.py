@@ -27,6 +27,8 @@ SAMPLE, ROWS_A_CELL, CELLS = 20_000, 64, (1, 4096)
 ROUNDS = 10
 #: Rows of a shelf, and queries that probe it, in one task.
 ROW_BLOCK, QUERY_BLOCK = 20_000, 2_000
+#: Vectors that are compared with all centres at once (8 MB with CELLS of them), and rows with a query that are given on at once.
+SLICE, GIVEN = 256, 8_192
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -45,12 +47,28 @@ def _usable(vector: str) -> Column:
     return F.coalesce(F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)), F.lit(False))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], each: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, a few at a time: what is made of a row grows with the number of cells."""
+    for batch in batches:
+        yield from (batch.slice(i, each) for i in range(0, len(batch), each))
+
+
+def _closest(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The number of the centre nearest to each row."""
+    return np.concatenate([np.zeros(0, np.int64), *((v[i : i + SLICE] @ centres.T).argmax(axis=1) for i in range(0, len(v), SLICE))])
+
+
+def _order(v: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest centres of each row, the nearest first."""
+    return np.argsort(-np.round(v @ centres.T, 9), axis=1, kind="stable")[:, :n].astype(np.int32)
+
+
 def fitted(vectors: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
     """Centroids on the unit sphere: rounds of assignment and means from spread-out first rows."""
     v = _unit(vectors)
     centres = v[:: max(1, len(v) // max(1, cells))][:cells].copy()
     for _ in range(rounds):
-        nearest = (v @ centres.T).argmax(axis=1)
+        nearest = _closest(v, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, v)
         held = np.linalg.norm(sums, axis=1) > 1e-12
@@ -73,18 +91,27 @@ class VectorIndex:
         return spark.read.schema(f"vec_id bigint, embedding {self.kind}, block int, cell int").parquet(self.path)
 
     def probes(self, queries: DataFrame, n: int) -> DataFrame:
-        """(query_id, query, cell, place) for the n nearest cells of each query (query_id, query), the nearest at place 0."""
+        """(query_id, cell, place) for the n nearest cells of each query (query_id, query), the nearest at place 0."""
         centres, n = self.centres, min(n, len(self.centres))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not len(batch):
-                    continue
-                near = np.argsort(-np.round(_matrix(batch.column(1)) @ centres.T, 9), axis=1, kind="stable")[:, :n]
-                at = pa.array(np.repeat(np.arange(len(batch)), n))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(near.reshape(-1).astype(np.int32)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(batch)))], ["query_id", "query", "cell", "place"])
+            for batch in _slices(batches):
+                near, places = _order(_matrix(batch.column(1)), centres, n).reshape(-1), np.tile(np.arange(n, dtype=np.int32), len(batch))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(batch)), n))), pa.array(near), pa.array(places)], ["query_id", "cell", "place"])
+
+        return self._queries(queries).mapInArrow(run, "query_id bigint, cell int, place int")
+
+    def cells(self, queries: DataFrame, n: int) -> DataFrame:
+        """(cell): those among the n nearest of any query. A task gives each cell once, however many of its queries name it."""
+        centres = self.centres
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            named = np.zeros(len(centres), bool)
+            for batch in _slices(batches):
+                named[_order(_matrix(batch.column(1)), centres, n)] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(named).astype(np.int32))], ["cell"])
 
-        return self._queries(queries).mapInArrow(run, "query_id bigint, query array<double>, cell int, place int")
+        return self._queries(queries).mapInArrow(run, "cell int").distinct()
 
     def _queries(self, queries: DataFrame) -> DataFrame:
         ship_code(queries.sparkSession)
@@ -95,21 +122,21 @@ class VectorIndex:
         centres, shelves = self.centres, self.shelves
         first = np.array([shelves.get(c, (-1, 0))[0] for c in range(len(centres))])
         more = [(c, range(a + 1, a + p)) for c, (a, p) in shelves.items() if c >= 0 and p > 1]
+        each = max(1, min(SLICE, GIVEN // max(1, max((a + p for a, p in shelves.values()), default=1))))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in (whole.slice(i, 256) for i in range(0, len(whole), 256)):
-                    near = np.argsort(-np.round(_matrix(batch.column(1)) @ centres.T, 9), axis=1, kind="stable")[:, :n].astype(np.int32)
-                    rows = np.repeat(np.arange(len(batch)), near.shape[1])
-                    cells = near.reshape(-1)
-                    extra = [(np.repeat(rows[cells == c], len(at)), np.full((cells == c).sum() * len(at), c, np.int32), np.tile(np.array(at), (cells == c).sum())) for c, at in more]
-                    rows, cells, blocks = (np.concatenate(x) for x in zip((rows, cells, first[cells]), *extra, strict=True))
-                    order = np.lexsort((cells, blocks, rows))
-                    rows, cells, blocks = (x[order][blocks[order] >= 0] for x in (rows, cells, blocks))
-                    edges = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
-                    at = pa.array(rows[edges])
-                    listed = pa.ListArray.from_arrays(np.append(edges, len(cells)).astype(np.int32), pa.array(cells, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(blocks[edges], pa.int32()), listed], ["query_id", "query", "block", "cells"])
+            for batch in _slices(batches, each):
+                near = _order(_matrix(batch.column(1)), centres, n)
+                rows = np.repeat(np.arange(len(batch)), near.shape[1])
+                cells = near.reshape(-1)
+                extra = [(np.repeat(rows[cells == c], len(at)), np.full((cells == c).sum() * len(at), c, np.int32), np.tile(np.array(at), (cells == c).sum())) for c, at in more]
+                rows, cells, blocks = (np.concatenate(x) for x in zip((rows, cells, first[cells]), *extra, strict=True))
+                order = np.lexsort((cells, blocks, rows))
+                rows, cells, blocks = (x[order][blocks[order] >= 0] for x in (rows, cells, blocks))
+                edges = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
+                at = pa.array(rows[edges])
+                listed = pa.ListArray.from_arrays(np.append(edges, len(cells)).astype(np.int32), pa.array(cells, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(blocks[edges], pa.int32()), listed], ["query_id", "query", "block", "cells"])
 
         return self._queries(queries).mapInArrow(run, "query_id bigint, query array<double>, block int, cells array<int>")
 
@@ -129,7 +156,7 @@ def build(rows: DataFrame, cells: int | None = None, path: str | None = None) ->
             cell = np.full(len(batch), -1, np.int32)
             held = np.flatnonzero(np.asarray(batch.column(2)))
             if len(held):
-                cell[held] = (_matrix(batch.column(1).take(pa.array(held))) @ centres.T).argmax(axis=1)
+                cell[held] = _closest(_matrix(batch.column(1).take(pa.array(held))), centres)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell)], ["vec_id", "embedding", "cell"])
 
     kind = rows.schema["embedding"].dataType.simpleString()
@@ -172,7 +199,7 @@ def search(index: VectorIndex, queries: DataFrame, k: int, n_probes: int) -> Dat
     n = min(n_probes, len(index.centres))
     if not n:
         return spark.createDataFrame([], "query_id bigint, vec_id bigint, score double, rank int")
-    lists = index.lists(spark).filter("cell >= 0") if n == len(index.centres) else probed(index, index.probes(queries, n))
+    lists = index.lists(spark).filter("cell >= 0") if n == len(index.centres) else probed(index, index.cells(queries, n))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     left = lists.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     right = index.asked(queries, n).withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
@@ -194,7 +221,7 @@ def probes_for(index: VectorIndex, queries: DataFrame, k: int, target: float = 0
     some = queries.filter(_usable("query")).orderBy(F.xxhash64("query_id"), "query_id").limit(sample)
     found = search(index, some, k, every).select("query_id", "vec_id")
     lists = index.lists(queries.sparkSession).select("vec_id", "cell")
-    placed = found.join(lists, "vec_id").join(index.probes(some, every).select("query_id", "cell", "place"), ["query_id", "cell"])
+    placed = found.join(lists, "vec_id").join(index.probes(some, every), ["query_id", "cell"])
     counts = {r[0]: r[1] for r in placed.groupBy("place").count().collect()}
     held, total = 0, sum(counts.values())
     for place in range(every):
